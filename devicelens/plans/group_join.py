@@ -13,8 +13,9 @@ How pass 2 joins, decided per call:
    of time buckets) within the broadcast budget: broadcast them.  Readings are
    not shuffled at all.
 2. Otherwise the statistics are materialized once (reliable checkpoint in the
-   shared checkpoint folder) and their rows counted.  Within the budget:
-   broadcast.
+   shared checkpoint folder) and measured by one small job: groups, readings
+   and bytes (fixed row width plus the actual string lengths).  Within the
+   session's ``spark.sql.autoBroadcastJoinThreshold``: broadcast.
 3. Beyond the budget: split the groups.  With N readings and P shuffle
    partitions, a *hot* group has more than N / P readings, so there are at
    most P hot groups; their statistics are broadcast.  Readings are first
@@ -49,40 +50,61 @@ class GroupStats:
     keys: list
     strategy: str  # "broadcast" | "split"
     groups: int | None = None  # exact row count when materialized
+    rows: int | None = None  # readings behind the groups, when materialized
+    bytes: int | None = None  # size of the statistics as rows, when materialized
 
 
-def _row_bytes(schema: T.StructType) -> int:
-    """Conservative in-memory width of one statistics row."""
-    size = 16
-    for f in schema.fields:
-        size += 40 if isinstance(f.dataType, T.StringType) else 8
-    return size
+def _fixed_width(schema: T.StructType) -> int:
+    """Bytes per row of an UnsafeRow without its variable-length part."""
+    return 8 * (1 + (len(schema.fields) + 63) // 64) + 8 * len(schema.fields)
 
 
-def broadcast_row_budget(stats: DataFrame) -> int:
-    """Rows of ``stats`` that fit the session's broadcast threshold."""
-    raw = stats.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+def _estimated_width(schema: T.StructType) -> int:
+    """Conservative width of one row when string lengths are unknown."""
+    return _fixed_width(schema) + sum(32 for f in schema.fields if isinstance(f.dataType, T.StringType))
+
+
+def broadcast_bytes(spark) -> int:
+    """The session's broadcast threshold in bytes (<= 0: never broadcast)."""
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    raw = raw[:-1] if raw.endswith("b") else raw
+    mult = units.get(raw[-1:], 1)
     try:
-        limit = int(str(raw).strip().lower().rstrip("b"))
+        return int(float(raw.rstrip("kmgt")) * mult)
     except ValueError:
-        limit = 10 * 1024 * 1024
-    if limit <= 0:
-        return 0
-    return max(limit // _row_bytes(stats.schema), 0)
+        return 10 << 20
+
+
+def broadcast_row_budget(stats: DataFrame) -> int:
+    """Rows of ``stats`` that surely fit the broadcast threshold."""
+    limit = broadcast_bytes(stats.sparkSession)
+    return max(limit // _estimated_width(stats.schema), 0) if limit > 0 else 0
 
 
 def plan_group_stats(stats: DataFrame, keys, *, static_groups: int | None = None,
-                     max_broadcast_rows: int | None = None) -> GroupStats:
-    """Choose how ``stats`` (one row per group) meets the readings."""
+                     max_broadcast_rows: int | None = None, count_col: str = COUNT) -> GroupStats:
+    """Choose how ``stats`` (one row per group) meets the readings.
+
+    ``max_broadcast_rows`` overrides the session's byte threshold with a row
+    count (0 forces the split strategy)."""
     keys = list(keys)
     budget = broadcast_row_budget(stats) if max_broadcast_rows is None else int(max_broadcast_rows)
     if static_groups is not None and static_groups <= budget:
-        return GroupStats(stats, keys, "broadcast", None)
+        return GroupStats(stats, keys, "broadcast")
     stats = materialize(stats)
-    groups = stats.count()
-    if groups <= budget:
-        return GroupStats(stats, keys, "broadcast", groups)
-    return GroupStats(stats, keys, "split", groups)
+    # One small job over the materialized statistics: rows, readings, bytes.
+    strings = [F.coalesce(F.octet_length(f.name), F.lit(0)) + F.lit(7) for f in stats.schema.fields
+               if isinstance(f.dataType, T.StringType)]
+    var = F.sum(sum(((s / 8).cast("bigint") * 8 for s in strings), F.lit(0).cast("bigint")))
+    total = F.sum(count_col) if count_col in stats.columns else F.lit(None)
+    groups, rows, var_bytes = stats.agg(F.count(F.lit(1)), total, var).first()
+    size = groups * _fixed_width(stats.schema) + (var_bytes or 0)
+    if max_broadcast_rows is None:
+        fits = 0 < size <= broadcast_bytes(stats.sparkSession) or groups == 0
+    else:
+        fits = groups <= budget
+    return GroupStats(stats, keys, "broadcast" if fits else "split", groups, rows, size)
 
 
 def attach_group_stats(rows: DataFrame, gs: GroupStats, count_col: str = COUNT) -> DataFrame:
@@ -99,7 +121,7 @@ def _split_join(r: DataFrame, gs: GroupStats, stat_cols, count_col: str) -> Data
     spark = r.sparkSession
     keys = gs.keys
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    total = gs.df.agg(F.sum(count_col)).first()[0] or 0
+    total = gs.rows or 0
     threshold = total // parts  # > threshold is hot: at most `parts` such groups
     hot = gs.df.where(F.col(count_col) > F.lit(threshold))
     cold = gs.df.where(F.col(count_col) <= F.lit(threshold))

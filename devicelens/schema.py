@@ -48,6 +48,7 @@ STORED_READINGS = T.StructType(READINGS.fields + [T.StructField(TS, T.TimestampT
 # on its own (see sources.messages).
 MESSAGE_DDL = "tenantId double, deviceId string, data array<string>"
 ELEMENT_DDL = "key string, value double, ts double"
+TYPED_MESSAGE_DDL = f"tenantId double, deviceId string, data array<struct<{ELEMENT_DDL}>>"
 
 # Result columns.
 MAX = "max_value"

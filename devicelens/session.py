@@ -25,6 +25,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Dedup state of the ingest stream lives off-heap and is checkpointed
+        # incrementally.
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
     for k, v in (extra or {}).items():
         b = b.config(k, v)

@@ -2,29 +2,53 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
 from ..schema import HOUR_END, HOUR_MS, STORED_READINGS
 
+STORED_SCHEMA = T.StructType(STORED_READINGS.fields + [T.StructField(HOUR_END, T.LongType())])
+MAX_GLOB_HOURS = 2000  # longer ranges read the root and prune partitions
 
-def hour_partition_filter(start_ms: int, end_ms: int, pad_hours: int = 1):
-    """Partition predicate for readings of ``[start, end]``.
+
+def hour_bounds(start_ms: int, end_ms: int, pad_hours: int = 1) -> tuple[int, int]:
+    """Closed range of ``hour_end_ms`` values that can hold ``[start, end]``.
 
     A reading at ``t`` that arrives by ``t + pad`` sits in an hour ending at
-    most 1 h after its arrival, so ``hour_end`` lies in ``(start - pad,
+    most 1 h after its arrival, so ``hour_end`` lies in ``[start - pad,
     end + pad + 1 h]``.  Readings later than ``pad`` are not found; callers
     with late devices raise ``pad_hours``."""
     pad = int(pad_hours) * HOUR_MS
-    return F.col(HOUR_END).between(F.lit(int(start_ms) - pad), F.lit(int(end_ms) + pad + HOUR_MS))
+    return int(start_ms) - pad, int(end_ms) + pad + HOUR_MS
+
+
+def hour_partition_filter(start_ms: int, end_ms: int, pad_hours: int = 1):
+    lo, hi = hour_bounds(start_ms, end_ms, pad_hours)
+    return F.col(HOUR_END).between(F.lit(lo), F.lit(hi))
 
 
 def read_hours(spark: SparkSession, path: str, start_ms: int, end_ms: int, pad_hours: int = 1) -> DataFrame:
     """Read only the hour partitions that can hold ``[start, end]``.
-    Spark prunes partitions from the predicate (``PartitionFilters``); the
-    exact time filter is the analysis' own."""
-    schema = T.StructType(STORED_READINGS.fields + [T.StructField(HOUR_END, T.LongType())])
-    df = spark.read.schema(schema).parquet(path)
+
+    For up to ``MAX_GLOB_HOURS`` hours the candidate partition folders are
+    named in one glob, so only those folders are listed (partition discovery
+    over the whole table would list every hour ever stored).  Either way the
+    partition predicate stays in the plan (``PartitionFilters``); the exact
+    time filter is the analysis' own."""
+    lo, hi = hour_bounds(start_ms, end_ms, pad_hours)
+    first = -(-lo // HOUR_MS) * HOUR_MS
+    hours = list(range(first, hi + 1, HOUR_MS))
+    reader = spark.read.schema(STORED_SCHEMA).option("basePath", path)
+    root = path.rstrip("/")
+    if not hours:
+        return spark.createDataFrame([], STORED_SCHEMA)
+    target = f"{root}/{HOUR_END}={{{','.join(str(h) for h in hours)}}}" if len(hours) <= MAX_GLOB_HOURS else root
+    try:
+        df = reader.parquet(target)
+    except AnalysisException as e:  # no hour of the range was stored
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], STORED_SCHEMA)
     return df.where(hour_partition_filter(start_ms, end_ms, pad_hours))

@@ -94,3 +94,17 @@ def test_read_hours_prunes_partitions(spark, tmpdir_path):
     hours = {x.hour_end_ms for x in df.select("hour_end_ms").distinct().collect()}
     assert hours and min(hours) >= fx.START_MS + 86_400_000 - 3_600_000
     assert max(hours) <= fx.START_MS + 2 * 86_400_000 + 7_200_000
+
+
+def test_read_hours_outside_stored_range_is_empty(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+
+    r = fx.event_readings(spark, SF_SMALL).withColumn("ingest_ts", F.col("ts").cast("timestamp"))
+    path = tmpdir_path + "/hours"
+    write_hourly_readings_batch(hourly_distinct_readings(r, "ingest_ts"), path)
+    far = fx.END_MS + 400 * 86_400_000
+    df = read_hours(spark, path, far, far + 3_600_000)
+    assert df.count() == 0 and "hour_end_ms" in df.columns
+    # a range wider than the glob limit reads the root and prunes
+    wide = read_hours(spark, path, fx.START_MS - 200 * 86_400_000, fx.END_MS)
+    assert wide.count() == hourly_distinct_readings(r, "ingest_ts").count()
