@@ -60,6 +60,9 @@ def device_type_stats(df: DataFrame, start_ms: int, end_ms: int, tenant_id=None,
     gs = plan_group_stats(st, [TYPE, DEVICE], max_broadcast_rows=max_broadcast_rows)
     usual = attach_group_stats(r, gs).where(usual_flag(0)).groupBy(TYPE).agg(F.sum(WEIGHT).alias(USUAL))
     per_type = gs.df.groupBy(TYPE).agg(F.count(F.lit(1)).alias(DEVICES), F.sum(COUNT).alias(COUNT))
+    # per_type has at most as many rows as the statistics: broadcast only when
+    # those were measured (or bounded) within the budget.
+    per_type = F.broadcast(per_type) if gs.strategy == "broadcast" else per_type.hint("shuffle_hash")
     return per_type.join(usual, TYPE, "inner").select(
         TYPE, DEVICES, COUNT, USUAL, usual_rate(USUAL, COUNT).alias(RATE)
     )

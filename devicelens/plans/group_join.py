@@ -17,16 +17,14 @@ How pass 2 joins, decided per call:
    and bytes (fixed row width plus the actual string lengths).  Within the
    session's ``spark.sql.autoBroadcastJoinThreshold``: broadcast.
 3. Beyond the budget: split the groups.  With N readings and P shuffle
-   partitions, a *hot* group has more than N / P readings, so there are at
-   most P hot groups; their statistics are broadcast.  Readings are first
-   pre-aggregated to (key, value, copies), which collapses copies map-side,
-   then shuffled on (key, salt) to meet the *cold* statistics, where the salt
-   spreads a hot group's distinct values over all P partitions and is 0 for
-   cold groups.  No partition receives more than about N / P rows of one group.
-
-The result has the group keys, ``value``, the statistics columns and ``_w``,
-the number of identical readings a row stands for; aggregate with
-``sum("_w")``.
+   partitions, a *hot* group has more than N / P readings, so there are fewer
+   than P hot groups.  Readings of hot groups meet their broadcast statistics
+   where they are read (no shuffle, however many copies a hot group holds).
+   The other readings are shuffled on the group key to meet the rest of the
+   statistics; there, no group brings more than N / P readings to a task.
+
+The result has the group keys, ``value``, the statistics columns and ``_w``
+(readings a row stands for, 1 here); aggregate with ``sum("_w")``.
 """
 
 from __future__ import annotations
@@ -41,7 +39,6 @@ from ..schema import COUNT, VALUE
 from ..session import materialize
 
 WEIGHT = "_w"
-_SALT = "_salt"
 
 
 @dataclass
@@ -121,23 +118,15 @@ def _split_join(r: DataFrame, gs: GroupStats, stat_cols, count_col: str) -> Data
     spark = r.sparkSession
     keys = gs.keys
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    total = gs.rows or 0
-    threshold = total // parts  # > threshold is hot: at most `parts` such groups
+    threshold = (gs.rows or 0) // parts  # > threshold is hot: fewer than `parts` such groups
     hot = gs.df.where(F.col(count_col) > F.lit(threshold))
     cold = gs.df.where(F.col(count_col) <= F.lit(threshold))
-
-    hot = hot.select(*keys, *[F.col(c).alias("_h_" + c) for c in stat_cols])
-    cold = cold.select(*keys, *[F.col(c).alias("_c_" + c) for c in stat_cols]).withColumn(
-        _SALT, F.lit(0).cast("bigint")
-    )
-    # Copies of a reading collapse in the map-side partial aggregate.
-    pre = r.groupBy(*keys, VALUE).agg(F.count(F.lit(1)).alias(WEIGHT))
-    x = pre.join(F.broadcast(hot), keys, "left")
-    is_hot = F.col("_h_" + count_col).isNotNull()
-    x = x.withColumn(
-        _SALT, F.when(is_hot, F.pmod(F.xxhash64(F.col(VALUE)), F.lit(parts))).otherwise(F.lit(0)).cast("bigint")
-    )
-    y = x.join(cold, keys + [_SALT], "left")
-    return y.select(
-        *keys, VALUE, WEIGHT, *[F.coalesce(F.col("_h_" + c), F.col("_c_" + c)).alias(c) for c in stat_cols]
+    r = r.withColumn(WEIGHT, F.lit(1).cast("bigint"))
+    # Hot groups: statistics broadcast (bounded by `parts` rows), readings stay put.
+    hot_rows = r.join(F.broadcast(hot), keys, "inner")
+    # Cold groups: shuffled join; no group holds more than N / P readings.  The
+    # hint keeps Spark from broadcasting statistics it cannot size.
+    cold_rows = r.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(
+        cold.hint("shuffle_hash"), keys, "inner"
     )
+    return hot_rows.unionByName(cold_rows)
