@@ -10,7 +10,8 @@ Positional arguments and their defaults are the reference's: ``-1`` means
 "any" for identities; a negative start is 0, a negative end is now, a part
 count <= 0 is 1.  Reports go to Kafka (``--kafka``), rows to a JDBC table
 (``--jdbc-url``); ``--print`` shows them instead.  ``--path`` is the stored
-hourly readings table written by ``ingest``.
+hourly readings table written by ``ingest`` or, with ``--layout text``, the
+folder holding the reference's ``device-data-<ms>`` text output.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from .operators.report import bucket_report, device_report
 from .schema import ANY_ID, DAY_MS, SOURCE_TOPIC
 from .session import prepare_session
 from .sinks import append_recent, publish_report, recent_rows, write_kafka
-from .sources import read_hours
+from .sources import read_hours, read_text_hours
 from .sources.messages import message_file_stream, message_records, stream_device_messages
 from .streaming import run_ingest
 
@@ -38,6 +39,12 @@ def _arg(args, i, default):
     return args[i] if len(args) > i else default
 
 
+def _readings(spark, opts, start, end):
+    if opts.layout == "text":
+        return read_text_hours(spark, opts.path, start, end)
+    return read_hours(spark, opts.path, start, end)
+
+
 def _deliver_report(report, tenant, kind, opts):
     records = publish_report(report, tenant_id=tenant, kind=kind)
     if opts.kafka:
@@ -60,7 +67,7 @@ def data_analysis(spark: SparkSession, opts, args) -> None:
     parts = int(_arg(args, 5, 1))
     start = 0 if start < 0 else start
     end = _now_ms() if end < 0 else end
-    readings = read_hours(spark, opts.path, start, end)
+    readings = _readings(spark, opts, start, end)
     stats = bucket_stats(readings, start, end, parts, tenant, dtype, device)
     _deliver_report(bucket_report(stats), tenant, "data", opts)
 
@@ -70,19 +77,19 @@ def device_analysis(spark: SparkSession, opts, args) -> None:
     start, end = int(_arg(args, 1, -1)), int(_arg(args, 2, -1))
     start = 0 if start < 0 else start
     end = _now_ms() if end < 0 else end
-    readings = read_hours(spark, opts.path, start, end)
+    readings = _readings(spark, opts, start, end)
     _deliver_report(device_report(device_type_stats(readings, start, end, tenant)), tenant, "device", opts)
 
 
 def recent_data_job(spark: SparkSession, opts, args) -> None:
     end = int(_arg(args, 0, _now_ms()))
-    readings = read_hours(spark, opts.path, end - DAY_MS, end)
+    readings = _readings(spark, opts, end - DAY_MS, end)
     _deliver_rows(recent_data(readings, end, 1), opts.table or "recent_data", end, opts)
 
 
 def recent_device_job(spark: SparkSession, opts, args) -> None:
     end, days = int(_arg(args, 0, _now_ms())), int(_arg(args, 1, 1))
-    readings = read_hours(spark, opts.path, end - days * DAY_MS, end)
+    readings = _readings(spark, opts, end - days * DAY_MS, end)
     _deliver_rows(recent_device(readings, end, days), opts.table or "recent_device", end, opts)
 
 
@@ -110,6 +117,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("job", choices=sorted(JOBS))
     p.add_argument("args", nargs="*", help="the reference's positional arguments")
     p.add_argument("--path", required=True, help="stored hourly readings (Parquet, by hour_end_ms)")
+    p.add_argument("--layout", choices=["parquet", "text"], default="parquet",
+                   help="text: the reference's device-data-<ms> comma-text folders")
     p.add_argument("--kafka", help="bootstrap servers: source of ingest, sink of reports")
     p.add_argument("--topic", default=SOURCE_TOPIC)
     p.add_argument("--files", help="ingest from JSON-lines message files instead of Kafka")

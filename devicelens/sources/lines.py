@@ -10,11 +10,12 @@ which no projection can prune.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timecols import ms_to_ts
-from ..schema import DEVICE, READING_FIELDS, TENANT, TIME_MS, TS, TYPE, VALUE
+from ..schema import DEVICE, HOUR_MS, READING_FIELDS, READINGS, TENANT, TIME_MS, TS, TYPE, VALUE
 
 _INT = r"^[+-]?[0-9]+$"
 
@@ -63,3 +64,50 @@ def read_reading_lines(spark: SparkSession, path: str, mode: str = "FAILFAST"):
 def format_reading_lines(df: DataFrame) -> DataFrame:
     """Readings -> one ``value`` text line each (the stream job's text form)."""
     return df.select(F.concat_ws(",", *[F.col(c).cast("string") for c in READING_FIELDS]).alias("value"))
+
+
+# Fixed value: folder name prefix of the reference's hourly text output.
+TEXT_DIR_PREFIX = "device-data-"
+_WIDTH = 13  # epoch-ms digits from 2001 to 2286
+
+
+def prefix_cover(lo: int, hi: int, width: int = _WIDTH) -> list[str]:
+    """Decimal prefixes whose ``width``-digit completions are exactly
+    ``[lo, hi]`` (at most ~18 per digit position)."""
+    out = []
+    while lo <= hi:
+        k = 0
+        while k < width and lo % 10 ** (k + 1) == 0 and lo + 10 ** (k + 1) - 1 <= hi:
+            k += 1
+        digits = str(lo).zfill(width)
+        out.append(digits[: width - k] + ("*" if k else ""))
+        lo += 10**k
+    return out
+
+
+def read_text_hours(spark: SparkSession, root: str, start_ms: int, end_ms: int, pad_hours: int = 1,
+                    mode: str = "FAILFAST"):
+    """Readings of ``[start, end]`` from the reference's layout: comma text in
+    one folder ``device-data-<window end ms>`` per hourly window.
+
+    Only folders whose window end lies in ``[start - pad, end + pad + 1 h]``
+    are read, named by one glob of prefix alternatives, so nothing else is
+    listed.  The exact time filter is the analysis' own."""
+    lo, hi = max(int(start_ms) - int(pad_hours) * HOUR_MS, 0), int(end_ms) + (int(pad_hours) + 1) * HOUR_MS
+    if hi < lo:
+        return _empty(spark, mode)
+    alternatives = ",".join(prefix_cover(lo, hi))
+    glob = f"{root.rstrip('/')}/{TEXT_DIR_PREFIX}{{{alternatives}}}/*"
+    try:
+        return read_reading_lines(spark, glob, mode)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        return _empty(spark, mode)
+
+
+def _empty(spark: SparkSession, mode: str):
+    out = spark.createDataFrame([], READINGS).withColumn(TS, ms_to_ts(TIME_MS))
+    if mode.upper() == "PERMISSIVE":
+        return out, spark.createDataFrame([], "line string")
+    return out

@@ -28,3 +28,22 @@ def test_jobs_end_to_end(spark, tmpdir_path, capsys):
     assert "usual_data_rate" in capsys.readouterr().out
     run(spark, ["recent-device", "--path", path, "--print", e, "3"])
     assert "device_count" in capsys.readouterr().out
+
+
+def test_job_on_reference_text_layout(spark, tmpdir_path, capsys):
+    from pyspark.sql import functions as F
+
+    from devicelens.schema import HOUR_END
+    from devicelens.sources import format_reading_lines
+
+    r = fx.event_readings(spark, SF_SMALL)
+    h = 3_600_000
+    # one text folder per hourly window, named by the window end, as the reference writes
+    hours = r.withColumn(HOUR_END, (F.col("time_stamp") / h).cast("bigint") * h + h)
+    root = tmpdir_path + "/text"
+    for row in hours.select(HOUR_END).distinct().orderBy(HOUR_END).limit(30).collect():
+        T = row[HOUR_END]
+        format_reading_lines(hours.where(F.col(HOUR_END) == T)).coalesce(1).write.text(f"{root}/device-data-{T}")
+    s, e = str(fx.START_MS), str(fx.START_MS + 86_400_000)
+    run(spark, ["data-analysis", "--path", root, "--layout", "text", "--print", "-1", "-1", "-1", s, e, "4"])
+    assert '"status":"success"' in capsys.readouterr().out

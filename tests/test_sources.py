@@ -114,3 +114,37 @@ def test_lines_from_files(spark, tmpdir_path):
     back = read_reading_lines(spark, tmpdir_path + "/lines/*.txt")
     assert back.count() == r.count()
     assert back.agg(F.sum("value")).first()[0] == pytest.approx(r.agg(F.sum("value")).first()[0])
+
+
+@pytest.mark.parametrize("lo,hi", [(0, 0), (5, 5), (120, 4999), (1704063600000, 1706666400000),
+                                   (1704063600000, 1704063600000 + 3_600_000), (999, 1000), (1, 10**13 - 1)])
+def test_prefix_cover_is_exact(lo, hi):
+    from devicelens.sources import prefix_cover
+
+    cover = prefix_cover(lo, hi)
+    total = 0
+    for p in cover:
+        stem = p.rstrip("*")
+        k = 13 - len(stem)
+        first = int(stem) * 10**k
+        assert lo <= first and first + 10**k - 1 <= hi
+        total += 10**k
+    assert total == hi - lo + 1  # disjoint pieces that add up to the range
+    assert len(cover) <= 2 * 9 * 13
+
+
+def test_read_text_hours(spark, tmpdir_path):
+    from devicelens.sources import read_text_hours
+
+    h = 3_600_000
+    base = 1704067200000
+    root = tmpdir_path + "/text"
+    for i in range(6):  # one folder per hourly window, ending at base + i h
+        T = base + i * h
+        rows = [f"1,t,d,{i}.0,{T - 1000}", f"1,t,d,{i}.5,{T - 2000}"]
+        spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1).write.text(
+            f"{root}/device-data-{T}")
+    got = read_text_hours(spark, root, base + 2 * h, base + 3 * h, pad_hours=0)
+    # windows ending in [start, end + 1 h] = hours 2, 3, 4
+    assert sorted(r.value for r in got.collect()) == [2.0, 2.5, 3.0, 3.5, 4.0, 4.5]
+    assert read_text_hours(spark, root, base + 100 * h, base + 101 * h).count() == 0
