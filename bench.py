@@ -44,8 +44,9 @@ def main():
     ev_copies = ev.withColumn("ingest_ts", F.col("ts").cast("timestamp"))
     li_end = reg.LI_E
     scratch = tempfile.mkdtemp(prefix="devicelens-bench-")
-    reg._messages(ev).write.json(f"{scratch}/messages")
-    format_reading_lines(ev).write.text(f"{scratch}/lines")
+    # Inputs as several part files, as topic partitions and the reference's text output are.
+    reg._messages(ev).repartition(cpus).write.json(f"{scratch}/messages")
+    format_reading_lines(ev).repartition(cpus).write.text(f"{scratch}/lines")
     messages = lambda: spark.read.schema("value string, ingest_ts timestamp").json(f"{scratch}/messages")
     cases = {
         "bucket_stats": lambda: bucket_stats(ev, reg.S, reg.E, reg.PARTS),

@@ -68,8 +68,12 @@ def parse_device_messages(df: DataFrame, value_col: str = "value", keep=()) -> D
     x = x.select(*keep, F.when(_all_good(F.col("_m")), F.col("_m")).otherwise(_slow_parse(F.col("_v"))).alias("_p"))
     tenant, device = F.col("_p.tenantId"), F.col("_p.deviceId")
     ok_head = tenant.isNotNull() & device.isNotNull() & (F.abs(tenant) < F.lit(_LONG_LIMIT))
-    x = x.where(ok_head).select(*keep, tenant.alias("_tenant"), device.alias("_device"),
-                                F.explode("_p.data").alias("_e"))
+    # No filter on the parsed columns before the explode: the optimizer would
+    # push it below the projections and parse every message again.  An outer
+    # explode infers no filter either; its empty rows are dropped after it.
+    x = x.select(*keep, tenant.alias("_tenant"), device.alias("_device"),
+                 F.explode_outer(F.when(ok_head, F.col("_p.data"))).alias("_e"))
+    x = x.where(F.col("_e").isNotNull())
     ms = F.col("_e.ts").cast("bigint")
     return x.select(
         F.col("_tenant").cast("bigint").alias(TENANT),

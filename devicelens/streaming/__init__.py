@@ -1,5 +1,5 @@
 """Structured Streaming ingest."""
 
-from .ingest import readings_stream, run_ingest, write_hourly_readings, write_hourly_readings_batch
+from .ingest import print_stream, readings_stream, run_ingest, write_hourly_readings, write_hourly_readings_batch
 
-__all__ = ["readings_stream", "run_ingest", "write_hourly_readings", "write_hourly_readings_batch"]
+__all__ = ["print_stream", "readings_stream", "run_ingest", "write_hourly_readings", "write_hourly_readings_batch"]

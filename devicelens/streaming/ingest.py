@@ -53,3 +53,11 @@ def run_ingest(records: DataFrame, path: str, checkpoint: str, trigger: dict | N
                watermark: str = DEFAULT_WATERMARK) -> StreamingQuery:
     """Start the whole ingest query on a streaming frame of records."""
     return write_hourly_readings(readings_stream(records, watermark), path, checkpoint, trigger)
+
+
+def print_stream(df: DataFrame, trigger: dict | None = None, num_rows: int = 20) -> StreamingQuery:
+    """Debug view of a stream (the reference printed every record): Spark's
+    console sink, which prints each micro-batch on the driver.  For
+    debugging only; it is not part of the ingest query."""
+    w = df.writeStream.format("console").option("truncate", "false").option("numRows", str(num_rows))
+    return w.trigger(**(trigger or {"processingTime": BATCH_INTERVAL})).start()
