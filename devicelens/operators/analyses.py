@@ -56,7 +56,7 @@ def device_type_stats(df: DataFrame, start_ms: int, end_ms: int, tenant_id=None,
     rate (O15).  The same device id under two tenants is one device."""
     r = filter_identity(df, tenant_id=tenant_id)
     r = filter_time_range(r, start_ms, end_ms, closed="both").select(TYPE, DEVICE, VALUE)
-    st = group_stats(r, [TYPE, DEVICE], ddof=0)
+    st = group_stats(r, [TYPE, DEVICE], ddof=0, extremes=False)
     gs = plan_group_stats(st, [TYPE, DEVICE], max_broadcast_rows=max_broadcast_rows)
     usual = attach_group_stats(r, gs).where(usual_flag(0)).groupBy(TYPE).agg(F.sum(WEIGHT).alias(USUAL))
     per_type = gs.df.groupBy(TYPE).agg(F.count(F.lit(1)).alias(DEVICES), F.sum(COUNT).alias(COUNT))
@@ -92,7 +92,7 @@ def recent_device(df: DataFrame, end_ms: int, days: int = 1, *,
     and the rate (O17)."""
     r = filter_recent(df, end_ms, days)
     keys = [TENANT, TYPE]
-    st = group_stats(r.select(TENANT, TYPE, DEVICE, VALUE), keys, ddof=1, distinct_devices=True)
+    st = group_stats(r.select(TENANT, TYPE, DEVICE, VALUE), keys, ddof=1, distinct_devices=True, extremes=False)
     gs = plan_group_stats(st, keys, max_broadcast_rows=max_broadcast_rows)
     out = _usual_with_stats(attach_group_stats(r.select(TENANT, TYPE, VALUE), gs), keys, [DEVICES, COUNT], 1)
     return out.select(TENANT, TYPE, DEVICES, COUNT, USUAL, usual_rate(USUAL, COUNT).alias(RATE))

@@ -20,7 +20,10 @@ def filter_identity(df: DataFrame, tenant_id=None, device_type=None, device_id=N
     if _given(device_id):
         cond = cond & (F.col(DEVICE) == F.lit(str(device_id)))
     if _given(tenant_id):
-        cond = cond & (F.col(TENANT) == F.lit(int(tenant_id)))
+        try:
+            cond = cond & (F.col(TENANT) == F.lit(int(str(tenant_id))))
+        except ValueError:  # not a tenant number: matches nothing, as a text compare would
+            cond = F.lit(False)
     if _given(device_type):
         cond = cond & (F.col(TYPE) == F.lit(str(device_type)))
     return df.where(cond)

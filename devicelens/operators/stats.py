@@ -10,16 +10,16 @@ from ..plans.group_join import WEIGHT, attach_group_stats, plan_group_stats
 from ..schema import COUNT, DEVICE, DEVICES, MAX, MEAN, MIN, RATE, STDDEV, USUAL, VALUE
 
 
-def group_stats(df: DataFrame, keys, ddof: int = 0, distinct_devices: bool = False) -> DataFrame:
-    """Per group: max, min, mean, standard deviation (population for
-    ``ddof=0``, sample for ``ddof=1``), reading count and, on request, the
-    number of distinct devices (O11).  One grouped aggregate: Spark combines
-    partial aggregates map-side, so only one row per group and task is
-    shuffled however large a group is."""
+def group_stats(df: DataFrame, keys, ddof: int = 0, distinct_devices: bool = False,
+                extremes: bool = True) -> DataFrame:
+    """Per group: max and min (unless ``extremes=False``), mean, standard
+    deviation (population for ``ddof=0``, sample for ``ddof=1``), reading
+    count and, on request, the number of distinct devices (O11).  One grouped
+    aggregate: Spark combines partial aggregates map-side, so only one row per
+    group and task is shuffled however large a group is."""
     sd = F.stddev_pop if ddof == 0 else F.stddev_samp
-    aggs = [
-        F.max(VALUE).alias(MAX),
-        F.min(VALUE).alias(MIN),
+    aggs = [F.max(VALUE).alias(MAX), F.min(VALUE).alias(MIN)] if extremes else []
+    aggs += [
         F.avg(VALUE).alias(MEAN),
         sd(VALUE).alias(STDDEV),
         F.count(F.lit(1)).alias(COUNT),

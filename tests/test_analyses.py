@@ -106,3 +106,23 @@ def test_recent_days_are_64_bit(readings):  # D3: 30 days overflows a 32-bit pro
     df = readings([(1, "t", "d", 1.0, end - 29 * DAY), (1, "t", "d", 2.0, end - 31 * DAY)])
     (r,) = recent_device(df, end, 30).collect()
     assert r.data_count == 1
+
+
+def test_usual_counts_rollup(readings):
+    from devicelens.operators import group_stats, usual_counts, usual_rate
+
+    rows = [(1, "t", "a", 10.0, S + i) for i in range(20)] + [(1, "t", "a", 1000.0, S + 20)]
+    rows += [(1, "t", "b", 5.0, S), (2, "u", "c", 1.0, S)]
+    df = readings(rows)
+    st = group_stats(df, ["device_type", "device_id"])
+    got = by_key(usual_counts(df, st, ["device_type", "device_id"], rollup=["device_type"]), "device_type")
+    assert {k: v["usual_data_count"] for k, v in got.items()} == {"t": 21, "u": 1}
+    tenants = group_stats(df, ["tenant_id"], ddof=1).select("tenant_id", "data_count")
+    u = usual_counts(df, group_stats(df, ["tenant_id"], ddof=1), ["tenant_id"], ddof=1)
+    rate = by_key(usual_rate(tenants.join(u, "tenant_id")), "tenant_id")
+    assert rate[2]["usual_data_rate"] == 1.0 and rate[1]["data_count"] == 22
+
+
+def test_non_numeric_tenant_matches_nothing(readings):
+    df = readings([(1, "t", "d", 1.0, S)])
+    assert bucket_stats(df, S, E, 1, tenant_id="abc").count() == 0
