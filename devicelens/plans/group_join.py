@@ -13,8 +13,8 @@ How pass 2 joins, decided per call:
    of time buckets) within the broadcast budget: broadcast them.  Readings are
    not shuffled at all.
 2. Otherwise the statistics are materialized once (reliable checkpoint in the
-   shared checkpoint folder) and measured by one small job: groups, readings
-   and bytes (fixed row width plus the actual string lengths).  Within the
+   shared checkpoint folder) and measured in the same job (observed metrics):
+   groups, readings and bytes (fixed row width plus the actual string lengths).  Within the
    session's ``spark.sql.autoBroadcastJoinThreshold``: broadcast.
 3. Beyond the budget: split the groups.  With N readings and P shuffle
    partitions, a *hot* group has more than N / P readings, so there are fewer
@@ -31,7 +31,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,13 +89,17 @@ def plan_group_stats(stats: DataFrame, keys, *, static_groups: int | None = None
     budget = broadcast_row_budget(stats) if max_broadcast_rows is None else int(max_broadcast_rows)
     if static_groups is not None and static_groups <= budget:
         return GroupStats(stats, keys, "broadcast")
-    stats = materialize(stats)
-    # One small job over the materialized statistics: rows, readings, bytes.
+    # Materialize once; the measurements (groups, readings, bytes of the
+    # variable-length fields) are collected by the same job as observed
+    # metrics, in its result stage, so they count each row once.
     strings = [F.coalesce(F.octet_length(f.name), F.lit(0)) + F.lit(7) for f in stats.schema.fields
                if isinstance(f.dataType, T.StringType)]
     var = F.sum(sum(((s / 8).cast("bigint") * 8 for s in strings), F.lit(0).cast("bigint")))
-    total = F.sum(count_col) if count_col in stats.columns else F.lit(None)
-    groups, rows, var_bytes = stats.agg(F.count(F.lit(1)), total, var).first()
+    total = F.sum(count_col) if count_col in stats.columns else F.lit(None).cast("bigint")
+    obs = Observation()
+    stats = materialize(stats.observe(obs, F.count(F.lit(1)).alias("g"), total.alias("n"), var.alias("v")))
+    m = obs.get
+    groups, rows, var_bytes = m["g"], m["n"], m["v"]
     size = groups * _fixed_width(stats.schema) + (var_bytes or 0)
     if max_broadcast_rows is None:
         fits = 0 < size <= broadcast_bytes(stats.sparkSession) or groups == 0
