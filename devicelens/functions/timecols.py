@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import HOUR_MS, TIME_MS, TS
+from ..schema import HOUR_MS, TS
 
 
 def ms_to_ts(ms: Column | str) -> Column:
