@@ -212,6 +212,22 @@ def q_device_type_stats_lineitem(spark, sf_dir):
     return rounded(device_type_stats(_lineitem(spark, sf_dir), LI_S, LI_E))
 
 
+def q_recent_data_lineitem(spark, sf_dir):
+    return rounded(recent_data(_lineitem(spark, sf_dir), LI_E, 365))
+
+
+# The same analyses forced onto the strategy for statistics too large to
+# broadcast (hot groups broadcast, cold groups shuffled), so that the path
+# taken at scale passes the same oracle as the broadcast one.
+
+def q_device_type_stats_split(spark, sf_dir):
+    return rounded(device_type_stats(_events(spark, sf_dir), S, E, max_broadcast_rows=0))
+
+
+def q_recent_data_split(spark, sf_dir):
+    return rounded(recent_data(_events(spark, sf_dir), E, 1, max_broadcast_rows=0))
+
+
 def q_recent_device_lineitem(spark, sf_dir):
     return rounded(recent_device(_lineitem(spark, sf_dir), LI_E, 365))
 
@@ -242,6 +258,9 @@ QUERIES = {
     "bucket_stats_lineitem": q_bucket_stats_lineitem,
     "device_type_stats_lineitem": q_device_type_stats_lineitem,
     "recent_device_lineitem": q_recent_device_lineitem,
+    "recent_data_lineitem": q_recent_data_lineitem,
+    "device_type_stats_split": q_device_type_stats_split,
+    "recent_data_split": q_recent_data_split,
 }
 
 
@@ -381,4 +400,7 @@ SELECT * FROM h WHERE hour_end_ms BETWEEN {HOURS_S - 3600000} AND {HOURS_E + 2 *
     "bucket_stats_lineitem": _bucket_sql(LI, LI_S, LI_E, LI_GAP),
     "device_type_stats_lineitem": _device_sql(LI, LI_S, LI_E),
     "recent_device_lineitem": _recent_device_sql(LI, LI_E, 365),
+    "recent_data_lineitem": _recent_data_sql(LI, LI_E, 365),
+    "device_type_stats_split": _device_sql(EV, S, E),
+    "recent_data_split": _recent_data_sql(EV, E, 1),
 }
