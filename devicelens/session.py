@@ -38,6 +38,32 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of readings, to pass to
+    spark-submit (``--conf k=v``).
+
+    Shuffle partitions are sized so that one partition holds about
+    ``partition_bytes`` of input (and never fewer than two waves of tasks);
+    AQE then merges small ones and splits skewed ones at runtime.  The split
+    strategy of plans.group_join reads the same setting: a group is hot above
+    N / partitions readings."""
+    slots = max(executors * cores_per_executor, 1)
+    partitions = max(-(-int(input_bytes) // int(partition_bytes)), 2 * slots)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+
+
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Pin what the library's results depend on: UTC session time zone (epoch
     ms <-> timestamp conversions) and a checkpoint folder."""
