@@ -66,3 +66,17 @@ def test_late_rows_dropped_after_watermark(spark, tmpdir_path):  # D5
     run_ingest(records, out, ckpt, trigger={"availableNow": True}).awaitTermination()
     got = sorted(x.value for x in spark.read.parquet(out).collect())
     assert got == [1.0, 3.0]
+
+
+def test_state_partitions_fixed_for_stream_only(spark, tmpdir_path):
+    msgs = _messages(fx.event_readings(spark, SF_SMALL))
+    src = tmpdir_path + "/in"
+    msgs.write.json(src)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q = run_ingest(message_records(message_file_stream(spark, src), "value", "ingest_ts"),
+                   tmpdir_path + "/out", tmpdir_path + "/ckpt", trigger={"availableNow": True}, state_partitions=3)
+    q.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    states = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
+    assert states and all(s["numShufflePartitions"] == 3 for s in states)
+    assert spark.read.parquet(tmpdir_path + "/out").count() == fx.event_readings(spark, SF_SMALL).count()
