@@ -126,3 +126,14 @@ def test_usual_counts_rollup(readings):
 def test_non_numeric_tenant_matches_nothing(readings):
     df = readings([(1, "t", "d", 1.0, S)])
     assert bucket_stats(df, S, E, 1, tenant_id="abc").count() == 0
+
+
+def test_nan_reading_follows_spark_ordering(readings):  # D8
+    import math
+
+    df = readings([(1, "t", "d", 1.0, S), (1, "t", "d", float("nan"), S + 1)])
+    (b,) = bucket_stats(df, S, E, 1).collect()
+    # NaN is the largest value; min skips it; mean and sd are NaN, and NaN <= NaN holds,
+    # so both readings are usual.
+    assert math.isnan(b.max_value) and b.min_value == 1.0 and math.isnan(b.mean_value)
+    assert (b.data_count, b.usual_data_count) == (2, 2)

@@ -148,3 +148,8 @@ def test_read_text_hours(spark, tmpdir_path):
     # windows ending in [start, end + 1 h] = hours 2, 3, 4
     assert sorted(r.value for r in got.collect()) == [2.0, 2.5, 3.0, 3.5, 4.0, 4.5]
     assert read_text_hours(spark, root, base + 100 * h, base + 101 * h).count() == 0
+
+
+def test_text_after_complete_message_is_ignored(spark):  # D11
+    text = msg() + " trailing"
+    assert parse(spark, [text]) == [(7, "t", "d-1", 1.5, 1000)]
