@@ -3,8 +3,6 @@ statistics, then the readings joined with them (see plans.group_join)."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +29,7 @@ def bucket_count(start_ms: int, end_ms: int, part_num: int) -> int:
     if end_ms <= start_ms:
         return 0
     gap = bucket_width(start_ms, end_ms, part_num)
-    return int(math.ceil((end_ms - start_ms) / gap))
+    return -(-(int(end_ms) - int(start_ms)) // gap)
 
 
 def bucket_stats(df: DataFrame, start_ms: int, end_ms: int, part_num: int = 1, tenant_id=None,

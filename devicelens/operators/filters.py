@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.timecols import bucket_start, bucket_width, ts_literal
 from ..schema import ANY_ID, BUCKET, DAY_MS, DEVICE, TENANT, TIME_MS, TS, TYPE
@@ -43,7 +44,7 @@ def filter_time_range(df: DataFrame, start_ms: int, end_ms: int, closed: str = "
     s, e = int(start_ms), int(end_ms)
     t = F.col(TIME_MS)
     cond = (t >= F.lit(s)) & ((t < F.lit(e)) if closed == "left" else (t <= F.lit(e)))
-    if TS in df.columns:
+    if TS in df.columns and isinstance(df.schema[TS].dataType, (T.TimestampType, T.TimestampNTZType)):
         upper = e if closed == "left" else e + 1
         cond = (F.col(TS) >= ts_literal(df, s)) & (F.col(TS) < ts_literal(df, upper)) & cond
     return df.where(cond)

@@ -14,8 +14,9 @@ How pass 2 joins, decided per call:
    not shuffled at all.
 2. Otherwise the statistics are materialized once (reliable checkpoint in the
    shared checkpoint folder) and measured in the same job (observed metrics):
-   groups, readings and bytes (fixed row width plus the actual string lengths).  Within the
-   session's ``spark.sql.autoBroadcastJoinThreshold``: broadcast.
+   groups, readings and bytes (fixed row width plus the actual string
+   lengths).  Within the session's ``spark.sql.autoBroadcastJoinThreshold``:
+   broadcast.
 3. Beyond the budget: split the groups.  With N readings and P shuffle
    partitions, a *hot* group has more than N / P readings, so there are fewer
    than P hot groups.  Readings of hot groups meet their broadcast statistics
@@ -52,7 +53,8 @@ class GroupStats:
 
 
 def _fixed_width(schema: T.StructType) -> int:
-    """Bytes per row of an UnsafeRow without its variable-length part."""
+    """Bytes per row of an UnsafeRow without its variable-length part: null
+    bits, one 8-byte slot per field, plus 8 for the hash table's entry."""
     return 8 * (1 + (len(schema.fields) + 63) // 64) + 8 * len(schema.fields)
 
 
