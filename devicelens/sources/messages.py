@@ -23,7 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timecols import ms_to_ts
-from ..schema import DEVICE, ELEMENT_DDL, MESSAGE_DDL, SOURCE_TOPIC, TENANT, TIME_MS, TS, TYPE, TYPED_MESSAGE_DDL, VALUE
+from ..schema import (
+    DEVICE, ELEMENT_DDL, MESSAGE_DDL, SOURCE_TOPIC, TENANT, TIME_MS, TS, TYPE, TYPED_MESSAGE_DDL, VALUE,
+)
 
 JSON_OPTIONS = {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false", "mode": "PERMISSIVE"}
 _LONG_LIMIT = 9.2e18  # doubles beyond this do not fit a bigint
