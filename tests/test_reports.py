@@ -50,3 +50,54 @@ def test_recent_rows_nan_and_date(readings):
     assert str(out["u"].date) == "1970-01-04"
     for v in out["u"].asDict().values():
         assert not (isinstance(v, float) and math.isnan(v))
+
+
+def test_append_recent_writes_prepared_rows(readings, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from devicelens.sinks import append_recent
+
+    seen = {}
+
+    def fake_jdbc(self, url, table, mode=None, properties=None):
+        seen.update(url=url, table=table, mode=mode, properties=properties,
+                    rows=[r.asDict() for r in self._df.collect()])
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", fake_jdbc)
+    df = readings([(1, "t", "a", 1.0, S), (1, "t", "a", 3.0, S + 1)])
+    end = 86_400_000 * 2
+    append_recent(recent_data(df, end, 2), "jdbc:postgresql://db/x", "recent_data", end, {"user": "u"})
+    assert (seen["url"], seen["table"], seen["mode"]) == ("jdbc:postgresql://db/x", "recent_data", "append")
+    assert seen["properties"]["user"] == "u" and seen["properties"]["batchsize"] == "1000"
+    (row,) = seen["rows"]
+    assert row["data_count"] == 2 and str(row["date"]) == "1970-01-03"
+
+
+def test_write_kafka_uses_spark_sink(readings, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from devicelens.sinks import write_kafka
+
+    seen = {"options": {}}
+    real_format, real_option = DataFrameWriter.format, DataFrameWriter.option
+
+    def fake_format(self, source):
+        seen["format"] = source
+        return real_format(self, source)
+
+    def fake_option(self, key, value):
+        seen["options"][key] = value
+        return real_option(self, key, value)
+
+    def fake_save(self, *a, **k):
+        seen["rows"] = [tuple(r) for r in self._df.collect()]
+
+    monkeypatch.setattr(DataFrameWriter, "format", fake_format)
+    monkeypatch.setattr(DataFrameWriter, "option", fake_option)
+    monkeypatch.setattr(DataFrameWriter, "save", fake_save)
+    df = readings([(1, "t", "a", 1.0, S)])
+    records = publish_report(bucket_report(bucket_stats(df, S, E)), tenant_id=1, kind="data")
+    write_kafka(records, "broker:9092")
+    assert seen["format"] == "kafka" and seen["options"]["kafka.bootstrap.servers"] == "broker:9092"
+    ((topic, key, value),) = seen["rows"]
+    assert (topic, key) == ("1_data", "Statistics") and value.startswith('{"status":"success"')
