@@ -80,3 +80,35 @@ def test_state_partitions_fixed_for_stream_only(spark, tmpdir_path):
     states = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
     assert states and all(s["numShufflePartitions"] == 3 for s in states)
     assert spark.read.parquet(tmpdir_path + "/out").count() == fx.event_readings(spark, SF_SMALL).count()
+
+
+def test_kafka_source_wiring(spark, tmpdir_path, monkeypatch):
+    from pyspark.sql.streaming.readwriter import DataStreamReader
+
+    from devicelens.sources import stream_device_messages
+
+    seen = {"options": {}}
+    real_format, real_option = DataStreamReader.format, DataStreamReader.option
+    src = tmpdir_path + "/in"
+    spark.createDataFrame([("x", None)], "value string, timestamp timestamp").write.json(src)
+
+    def fake_format(self, source):
+        seen["format"] = source
+        return real_format(self, source)
+
+    def fake_option(self, key, value):
+        seen["options"][key] = value
+        return real_option(self, key, value)
+
+    def fake_load(self, *a, **k):  # no Kafka connector here: a file stream with Kafka's columns
+        return spark.readStream.schema("value binary, timestamp timestamp").json(src)
+
+    monkeypatch.setattr(DataStreamReader, "format", fake_format)
+    monkeypatch.setattr(DataStreamReader, "option", fake_option)
+    monkeypatch.setattr(DataStreamReader, "load", fake_load)
+    df = stream_device_messages(spark, "broker:9092", options={"maxOffsetsPerTrigger": "100000"})
+    assert seen["format"] == "kafka"
+    assert seen["options"] == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "deviceData",
+                               "startingOffsets": "latest", "maxOffsetsPerTrigger": "100000"}
+    assert df.isStreaming and [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [
+        ("value", "string"), ("ingest_ts", "timestamp")]
