@@ -79,7 +79,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     fresh folder under the machine's temp dir; a cluster session without it
     is an error, because a machine-local folder would not survive the loss of
     an executor."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        conf = spark.conf.get(CHECKPOINT_CONF, None)
+        if not conf:
+            raise RuntimeError(f"set {CHECKPOINT_CONF} on the Spark Connect server") from None
+        return conf
     current = sc.getCheckpointDir()
     if current:
         return current
