@@ -99,7 +99,7 @@ def ingest(spark: SparkSession, opts, args) -> None:
     else:
         records = stream_device_messages(spark, opts.kafka, opts.topic)
     trigger = {"availableNow": True} if opts.available_now else None
-    q = run_ingest(records, opts.path, opts.checkpoint, trigger=trigger)
+    q = run_ingest(records, opts.path, opts.checkpoint, trigger=trigger, time_source=opts.time_source)
     q.awaitTermination()
 
 
@@ -124,6 +124,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--files", help="ingest from JSON-lines message files instead of Kafka")
     p.add_argument("--checkpoint", help="checkpoint of the ingest query")
     p.add_argument("--available-now", action="store_true", help="ingest what is there, then stop")
+    p.add_argument("--time-source", choices=["processing", "record"], default="processing",
+                   help="hour of a reading: when its batch runs (no drops) or its record timestamp")
     p.add_argument("--jdbc-url")
     p.add_argument("--table")
     p.add_argument("--jdbc-option", action="append", help="key=value JDBC property (user, password, ...)")

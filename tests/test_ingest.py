@@ -37,7 +37,7 @@ def test_stream_equals_batch(spark, tmpdir_path):
     src = tmpdir_path + "/in"
     msgs.write.json(src)
     q = run_ingest(message_records(message_file_stream(spark, src), "value", "ingest_ts"),
-                   tmpdir_path + "/out", tmpdir_path + "/ckpt", trigger={"availableNow": True})
+                   tmpdir_path + "/out", tmpdir_path + "/ckpt", trigger={"availableNow": True}, time_source="record")
     q.awaitTermination()
     streamed = spark.read.parquet(tmpdir_path + "/out").select(*READING_FIELDS, HOUR_END)
     batch = hourly_distinct_readings(
@@ -58,12 +58,12 @@ def test_late_rows_dropped_after_watermark(spark, tmpdir_path):  # D5
     _write_messages(spark, src, [(message(1.0, 1), t0), (message(1.0, 1), t0)])
     records = message_records(message_file_stream(spark, src, max_files_per_trigger=1), "value", "ingest_ts")
     out, ckpt = tmpdir_path + "/out", tmpdir_path + "/ckpt"
-    run_ingest(records, out, ckpt, trigger={"availableNow": True}).awaitTermination()
+    run_ingest(records, out, ckpt, trigger={"availableNow": True}, time_source="record").awaitTermination()
     # Second batch: a copy and a new row, both ingested in an hour the watermark
     # (10:25) has closed, and one row in the open hour.
     late = dt.datetime(2024, 1, 1, 9, 10)
     _write_messages(spark, src, [(message(1.0, 1), late), (message(2.0, 2), late), (message(3.0, 3), t0)])
-    run_ingest(records, out, ckpt, trigger={"availableNow": True}).awaitTermination()
+    run_ingest(records, out, ckpt, trigger={"availableNow": True}, time_source="record").awaitTermination()
     got = sorted(x.value for x in spark.read.parquet(out).collect())
     assert got == [1.0, 3.0]
 
@@ -112,3 +112,28 @@ def test_kafka_source_wiring(spark, tmpdir_path, monkeypatch):
                                "startingOffsets": "latest", "maxOffsetsPerTrigger": "100000"}
     assert df.isStreaming and [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [
         ("value", "string"), ("ingest_ts", "timestamp")]
+
+
+def test_processing_time_keeps_every_row(spark, tmpdir_path):
+    """Default time source: the batch's hour; copies in a batch collapse and
+    nothing is late, whatever the records' own timestamps say."""
+    import datetime as dt
+    import time
+
+    def message(v, ms):
+        return json.dumps({"tenantId": 1, "deviceId": "d", "data": [{"key": "t", "value": v, "ts": ms}]})
+
+    old = dt.datetime(2020, 1, 1)
+    src = tmpdir_path + "/in"
+    _write_messages(spark, src, [(message(1.0, 1), old), (message(1.0, 1), old), (message(2.0, 2), None)])
+    records = message_records(message_file_stream(spark, src, max_files_per_trigger=1), "value", "ingest_ts")
+    out, ckpt = tmpdir_path + "/out", tmpdir_path + "/ckpt"
+    before = int(time.time() * 1000)
+    run_ingest(records, out, ckpt, trigger={"availableNow": True}).awaitTermination()
+    _write_messages(spark, src, [(message(3.0, 3), old)])  # would be far behind a record watermark
+    run_ingest(records, out, ckpt, trigger={"availableNow": True}).awaitTermination()
+    after = int(time.time() * 1000)
+    rows = spark.read.parquet(out).collect()
+    assert sorted(r.value for r in rows) == [1.0, 2.0, 3.0]
+    for r in rows:
+        assert before < r[HOUR_END] <= after - after % H + H

@@ -15,7 +15,8 @@ def run(spark, argv):
 def test_jobs_end_to_end(spark, tmpdir_path, capsys):
     src, path, ckpt = tmpdir_path + "/in", tmpdir_path + "/readings", tmpdir_path + "/ckpt"
     _messages(fx.event_readings(spark, SF_SMALL)).write.json(src)
-    run(spark, ["ingest", "--path", path, "--checkpoint", ckpt, "--files", src, "--available-now"])
+    run(spark, ["ingest", "--path", path, "--checkpoint", ckpt, "--files", src, "--available-now",
+                "--time-source", "record"])
     assert spark.read.parquet(path).count() == fx.event_readings(spark, SF_SMALL).count()
     s, e = str(fx.START_MS), str(fx.END_MS)
     run(spark, ["data-analysis", "--path", path, "--print", "-1", "-1", "-1", s, e, "10"])
