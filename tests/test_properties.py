@@ -94,3 +94,62 @@ def test_recent_data_against_brute_force(readings, rows):
         assert r.data_count == len(vals) and lo <= r.usual_data_count <= hi
         assert r.usual_data_count > 0
     assert set(got) <= set(groups)
+
+
+# ---------------------------------------------------------------- messages
+
+import json  # noqa: E402
+
+from devicelens.schema import READING_FIELDS  # noqa: E402
+from devicelens.sources import parse_device_messages  # noqa: E402
+
+number = st.one_of(st.integers(-10**6, 10**6), st.floats(-1e6, 1e6, allow_nan=False).map(lambda x: round(x, 3)))
+not_number = st.one_of(st.text(max_size=3), st.booleans(), st.none(), st.just([1]), st.just({"a": 1}))
+good_element = st.fixed_dictionaries({"key": st.sampled_from(["t", "h", ""]), "value": number, "ts": number})
+bad_element = st.one_of(
+    st.none(), number, st.text(max_size=3),
+    st.fixed_dictionaries({"key": st.sampled_from(["t"]), "value": not_number, "ts": number}),
+    st.fixed_dictionaries({"key": st.sampled_from(["t"]), "value": number, "ts": not_number}),
+    st.fixed_dictionaries({"value": number, "ts": number}),
+    st.fixed_dictionaries({"key": st.none(), "value": number, "ts": number}),
+)
+message = st.fixed_dictionaries(
+    {},
+    optional={
+        "tenantId": st.one_of(number, number, not_number),
+        "deviceId": st.one_of(st.sampled_from(["d1", "d-2"]), st.sampled_from(["d1"]), st.none()),
+        "data": st.one_of(st.lists(st.one_of(good_element, good_element, bad_element), max_size=5),
+                          st.text(max_size=2), st.none()),
+    },
+)
+
+
+def is_num(x):
+    return isinstance(x, (int, float)) and not isinstance(x, bool)
+
+
+def model(m):
+    """The reference's rules, in plain Python."""
+    out = []
+    data = m.get("data")
+    if not isinstance(data, list):
+        return out
+    for e in data:
+        tenant, device = m.get("tenantId"), m.get("deviceId")
+        if not is_num(tenant) or device is None or not isinstance(e, dict):
+            break
+        k, v, t = e.get("key"), e.get("value"), e.get("ts")
+        if k is None or not is_num(v) or not is_num(t):
+            break
+        out.append((int(tenant), k, device, float(v), int(t)))
+    return out
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(msgs=st.lists(message, min_size=1, max_size=30))
+def test_messages_against_model(spark, msgs):
+    texts = [json.dumps(m) for m in msgs]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = sorted(tuple(r) for r in parse_device_messages(df).select(*READING_FIELDS).collect())
+    want = sorted(r for m in msgs for r in model(m))
+    assert got == want
