@@ -96,6 +96,36 @@ def test_recent_data_against_brute_force(readings, rows):
     assert set(got) <= set(groups)
 
 
+device_reading = st.tuples(
+    st.sampled_from(["a", "b"]),  # type
+    st.sampled_from(["d1", "d2", "d3"]),  # device
+    st.one_of(st.integers(0, 5), st.integers(0, 5), st.sampled_from([100, -50])),
+    st.integers(-20, WIDTH + 20),
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(device_reading, min_size=1, max_size=40))
+def test_device_type_stats_against_brute_force(readings, rows):
+    from devicelens.operators import device_type_stats
+
+    df = readings([(1, k, d, float(v), S + off) for k, d, v, off in rows])
+    got = {r.device_type: r for r in device_type_stats(df, S, S + WIDTH).collect()}
+    per_device = defaultdict(list)
+    for k, d, v, off in rows:
+        if 0 <= off <= WIDTH:  # closed range
+            per_device[(k, d)].append(v)
+    types = {k for k, _ in per_device}
+    assert set(got) == types
+    for k in types:
+        devices = {d: vals for (kk, d), vals in per_device.items() if kk == k}
+        lo = sum(usual_bounds(v, 0)[0] for v in devices.values())
+        hi = sum(usual_bounds(v, 0)[1] for v in devices.values())
+        r = got[k]
+        assert r.device_count == len(devices) and r.data_count == sum(len(v) for v in devices.values())
+        assert lo <= r.usual_data_count <= hi
+
+
 # ---------------------------------------------------------------- messages
 
 import json  # noqa: E402
