@@ -111,6 +111,9 @@ def test_device_type_stats_against_brute_force(readings, rows):
 
     df = readings([(1, k, d, float(v), S + off) for k, d, v, off in rows])
     got = {r.device_type: r for r in device_type_stats(df, S, S + WIDTH).collect()}
+    # the split strategy (hot groups broadcast, cold ones shuffled) gives the same rows
+    split = {r.device_type: r for r in device_type_stats(df, S, S + WIDTH, max_broadcast_rows=0).collect()}
+    assert split == got
     per_device = defaultdict(list)
     for k, d, v, off in rows:
         if 0 <= off <= WIDTH:  # closed range
