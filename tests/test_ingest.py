@@ -137,3 +137,17 @@ def test_processing_time_keeps_every_row(spark, tmpdir_path):
     assert sorted(r.value for r in rows) == [1.0, 2.0, 3.0]
     for r in rows:
         assert before < r[HOUR_END] <= after - after % H + H
+
+
+def test_print_stream_shows_records(spark, tmpdir_path):
+    from devicelens.streaming import print_stream
+
+    src = tmpdir_path + "/in"
+    _write_messages(spark, src, [(json.dumps({"tenantId": 1, "deviceId": "dbg", "data": []}), None)])
+    q = print_stream(message_records(message_file_stream(spark, src), "value", "ingest_ts"),
+                     trigger={"availableNow": True})
+    q.awaitTermination()
+    # the JVM prints the batch to its own stdout; check what the query consumed and where it went
+    progress = [p for p in q.recentProgress if p["numInputRows"]]
+    assert sum(p["numInputRows"] for p in progress) == 1
+    assert "Console" in progress[0]["sink"]["description"]
