@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import HOUR_END, HOUR_MS, STORED_READINGS
+from .paths import range_glob
 
 STORED_SCHEMA = T.StructType(STORED_READINGS.fields + [T.StructField(HOUR_END, T.LongType())])
-MAX_GLOB_HOURS = 2000  # longer ranges read the root and prune partitions
 
 
 def hour_bounds(start_ms: int, end_ms: int, pad_hours: int = 1) -> tuple[int, int]:
@@ -32,21 +32,20 @@ def hour_partition_filter(start_ms: int, end_ms: int, pad_hours: int = 1):
 def read_hours(spark: SparkSession, path: str, start_ms: int, end_ms: int, pad_hours: int = 1) -> DataFrame:
     """Read only the hour partitions that can hold ``[start, end]``.
 
-    For up to ``MAX_GLOB_HOURS`` hours the candidate partition folders are
-    named in one glob, so only those folders are listed (partition discovery
-    over the whole table would list every hour ever stored).  Either way the
-    partition predicate stays in the plan (``PartitionFilters``); the exact
-    time filter is the analysis' own."""
+    The candidate partition folders are named in one glob whose alternatives
+    are the decimal prefixes covering exactly ``[start - pad, end + pad +
+    1 h]`` (a few dozen, however long the range), so only those folders are
+    listed; partition discovery over the whole table would list every hour
+    ever stored.  The partition predicate stays in the plan as well
+    (``PartitionFilters``); the exact time filter is the analysis' own."""
     lo, hi = hour_bounds(start_ms, end_ms, pad_hours)
-    first = -(-lo // HOUR_MS) * HOUR_MS
-    hours = list(range(first, hi + 1, HOUR_MS))
-    reader = spark.read.schema(STORED_SCHEMA).option("basePath", path)
-    root = path.rstrip("/")
-    if not hours:
+    names = range_glob(lo, hi)
+    if names is None:
         return spark.createDataFrame([], STORED_SCHEMA)
-    target = f"{root}/{HOUR_END}={{{','.join(str(h) for h in hours)}}}" if len(hours) <= MAX_GLOB_HOURS else root
+    root = path.rstrip("/")
+    reader = spark.read.schema(STORED_SCHEMA).option("basePath", path)
     try:
-        df = reader.parquet(target)
+        df = reader.parquet(f"{root}/{HOUR_END}={names}")
     except AnalysisException as e:  # no hour of the range was stored
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise

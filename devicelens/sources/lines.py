@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timecols import ms_to_ts
 from ..schema import DEVICE, HOUR_MS, READING_FIELDS, READINGS, TENANT, TIME_MS, TS, TYPE, VALUE
+from .paths import range_glob
 
 _INT = r"^[+-]?[0-9]+$"
 
@@ -68,21 +69,6 @@ def format_reading_lines(df: DataFrame) -> DataFrame:
 
 # Fixed value: folder name prefix of the reference's hourly text output.
 TEXT_DIR_PREFIX = "device-data-"
-_WIDTH = 13  # epoch-ms digits from 2001 to 2286
-
-
-def prefix_cover(lo: int, hi: int, width: int = _WIDTH) -> list[str]:
-    """Decimal prefixes whose ``width``-digit completions are exactly
-    ``[lo, hi]`` (at most ~18 per digit position)."""
-    out = []
-    while lo <= hi:
-        k = 0
-        while k < width and lo % 10 ** (k + 1) == 0 and lo + 10 ** (k + 1) - 1 <= hi:
-            k += 1
-        digits = str(lo).zfill(width)
-        out.append(digits[: width - k] + ("*" if k else ""))
-        lo += 10**k
-    return out
 
 
 def read_text_hours(spark: SparkSession, root: str, start_ms: int, end_ms: int, pad_hours: int = 1,
@@ -94,10 +80,10 @@ def read_text_hours(spark: SparkSession, root: str, start_ms: int, end_ms: int,
     are read, named by one glob of prefix alternatives, so nothing else is
     listed.  The exact time filter is the analysis' own."""
     lo, hi = max(int(start_ms) - int(pad_hours) * HOUR_MS, 0), int(end_ms) + (int(pad_hours) + 1) * HOUR_MS
-    if hi < lo:
+    names = range_glob(lo, hi)
+    if names is None:
         return _empty(spark, mode)
-    alternatives = ",".join(prefix_cover(lo, hi))
-    glob = f"{root.rstrip('/')}/{TEXT_DIR_PREFIX}{{{alternatives}}}/*"
+    glob = f"{root.rstrip('/')}/{TEXT_DIR_PREFIX}{names}/*"
     try:
         return read_reading_lines(spark, glob, mode)
     except AnalysisException as e:

@@ -121,10 +121,10 @@ def test_lines_from_files(spark, tmpdir_path):
 def test_prefix_cover_is_exact(lo, hi):
     from devicelens.sources import prefix_cover
 
-    cover = prefix_cover(lo, hi)
+    cover = prefix_cover(lo, hi, 13)
     total = 0
     for p in cover:
-        stem = p.rstrip("*")
+        stem = p.rstrip("?")
         k = 13 - len(stem)
         first = int(stem) * 10**k
         assert lo <= first and first + 10**k - 1 <= hi
@@ -153,3 +153,24 @@ def test_read_text_hours(spark, tmpdir_path):
 def test_text_after_complete_message_is_ignored(spark):  # D11
     text = msg() + " trailing"
     assert parse(spark, [text]) == [(7, "t", "d-1", 1.5, 1000)]
+
+
+
+@pytest.mark.parametrize("lo,hi", [(0, 0), (0, 130), (7, 12345), (95, 105), (3_600_000, 7_200_000 * 1000)])
+def test_range_alternatives_match_exactly(lo, hi):
+    import fnmatch
+    import random
+
+    from devicelens.sources import range_alternatives
+
+    alts = range_alternatives(lo, hi)
+
+    def matches(n):
+        return any(fnmatch.fnmatchcase(str(n), a) for a in alts)
+
+    rng = random.Random(7)
+    probes = {lo, hi, lo - 1, hi + 1, 0, 9, 10, 99, 100} | {rng.randint(0, hi * 2 + 10) for _ in range(2000)}
+    for n in probes:
+        if n >= 0:
+            assert matches(n) == (lo <= n <= hi), n
+    assert len(alts) <= 2 * 9 * len(str(hi)) + 2
