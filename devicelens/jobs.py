@@ -133,8 +133,19 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def parse(argv=None):
+    p = parser()
+    opts = p.parse_intermixed_args(argv)
+    if opts.job == "ingest":
+        if not (opts.kafka or opts.files):
+            p.error("ingest needs --kafka or --files")
+        if not opts.checkpoint:
+            p.error("ingest needs --checkpoint (offsets and dedup state)")
+    return opts
+
+
 def main(argv=None) -> None:
-    opts = parser().parse_intermixed_args(argv)
+    opts = parse(argv)
     spark = prepare_session(SparkSession.builder.appName(f"devicelens-{opts.job}").getOrCreate())
     JOBS[opts.job](spark, opts, opts.args)
 

@@ -1,14 +1,16 @@
 """The five job entry points, end to end on files (no broker, no database)."""
 
 from devicelens import fixtures as fx
-from devicelens.jobs import parser, JOBS
+import pytest
+
+from devicelens.jobs import JOBS, parse
 from devicelens.registry import _messages
 
 from conftest import SF_SMALL
 
 
 def run(spark, argv):
-    opts = parser().parse_intermixed_args(argv)
+    opts = parse(argv)
     JOBS[opts.job](spark, opts, opts.args)
 
 
@@ -48,3 +50,10 @@ def test_job_on_reference_text_layout(spark, tmpdir_path, capsys):
     s, e = str(fx.START_MS), str(fx.START_MS + 86_400_000)
     run(spark, ["data-analysis", "--path", root, "--layout", "text", "--print", "-1", "-1", "-1", s, e, "4"])
     assert '"status":"success"' in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("argv", [["ingest", "--path", "p", "--checkpoint", "c"],
+                                  ["ingest", "--path", "p", "--files", "f"]])
+def test_ingest_arguments_checked(argv):
+    with pytest.raises(SystemExit):
+        parse(argv)
