@@ -3,7 +3,8 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query is forced through a no-op sink (full execution, nothing
-collected).  The four analyses run over readings mapped from ``events`` and
+collected), once cold and once warm; ``value`` is the warm total and the
+cold times are reported beside it.  The four analyses run over readings mapped from ``events`` and
 from the 6x larger ``lineitem``.  The ingest entries read device messages
 (JSON lines) and comma text written once, before timing, from ``events``
 into a fresh scratch folder, as the reference reads topic records and text
@@ -78,20 +79,19 @@ def main():
         "recent_data_lineitem": lambda: recent_data(li, li_end, 365),
         "recent_device_lineitem": lambda: recent_device(li, li_end, 365),
     }
-    actions = {"stream_ingest_batch": stream_batch}
-    run(cases["bucket_stats"]())  # warm-up: JVM, codegen caches, file listing
-    stream_batch()
-    times = {}
-    for name, build in cases.items():
-        t0 = time.perf_counter()
-        run(build())
-        times[name] = round(time.perf_counter() - t0, 3)
+    actions = {name: (lambda b=build: run(b())) for name, build in cases.items()}
+    actions["stream_ingest_batch"] = stream_batch
+    # Each query runs twice: cold (first run: JIT, codegen, file listing) and
+    # warm (steady state, as in a long-running service).  Both are reported;
+    # the headline value is the warm total.
+    cold, warm = {}, {}
     for name, act in actions.items():
-        t0 = time.perf_counter()
-        act()
-        times[name] = round(time.perf_counter() - t0, 3)
-    total = round(sum(times.values()), 3)
-    print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec", "queries": times,
+        for times in (cold, warm):
+            t0 = time.perf_counter()
+            act()
+            times[name] = round(time.perf_counter() - t0, 3)
+    print(json.dumps({"metric": "total_query_seconds_warm", "value": round(sum(warm.values()), 3), "unit": "sec",
+                      "queries": warm, "cold_total": round(sum(cold.values()), 3), "cold_queries": cold,
                       "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""), "cpus": cpus}))
     spark.stop()
 
