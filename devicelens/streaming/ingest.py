@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import hourly_distinct_readings
-from ..schema import BATCH_INTERVAL, DEVICE, HOUR_END, TENANT, TYPE
+from ..schema import BATCH_INTERVAL, DEVICE, HOUR_END, HOUR_MS, READING_FIELDS, TENANT, TYPE
 from ..sources.messages import parse_device_messages
 
 DEFAULT_WATERMARK = "5 minutes"
@@ -18,8 +18,47 @@ DEFAULT_WATERMARK = "5 minutes"
 DEFAULT_STATE_PARTITIONS = 32
 
 
+_PRE_KEY = "_pre_hour"
+
+
+def _batch_distinct(keys: list):
+    """Arrow batches -> the same rows without copies inside each batch (the
+    earliest ingest time kept), in C++ (pyarrow ``group_by``).  A closure
+    over plain values, so it reaches the Python workers by value and needs
+    no import of this package there."""
+    keys = list(keys)
+
+    def distinct(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            g = pa.Table.from_batches([b]).group_by(keys).aggregate([("ingest_ts", "min")])
+            names = ["ingest_ts" if c == "ingest_ts_min" else c for c in g.column_names]
+            yield from g.rename_columns(names).select([*keys, "ingest_ts"]).to_batches()
+
+    return distinct
+
+
+def precombine_copies(readings: DataFrame) -> DataFrame:
+    """Collapse copies of a reading (same fields, same ingest hour) within
+    each Arrow batch of each task, before the stateful dedup shuffles them.
+
+    A streaming ``dropDuplicates`` has no map-side combine: every copy goes
+    to the state partition of its key, so a device that floods one reading
+    would load one task with all its copies.  No built-in streaming operator
+    pre-combines, hence this Arrow step; the stateful dedup still makes the
+    result exact across batches and tasks."""
+    x = readings.select(*READING_FIELDS, "ingest_ts",
+                        F.floor(F.unix_millis(F.col("ingest_ts").cast("timestamp")) / F.lit(HOUR_MS))
+                        .cast("bigint").alias(_PRE_KEY))
+    out = x.select(*READING_FIELDS, _PRE_KEY, "ingest_ts")
+    return out.mapInArrow(_batch_distinct([*READING_FIELDS, _PRE_KEY]), out.schema).drop(_PRE_KEY)
+
+
 def readings_stream(records: DataFrame, watermark: str = DEFAULT_WATERMARK,
-                    time_source: str = "processing") -> DataFrame:
+                    time_source: str = "processing", precombine: bool = True) -> DataFrame:
     """(``value``, ``ingest_ts``) records -> de-duplicated readings with
     ``hour_end_ms``.
 
@@ -32,13 +71,18 @@ def readings_stream(records: DataFrame, watermark: str = DEFAULT_WATERMARK,
     ``time_source="record"``: the hour of the record's ``ingest_ts`` (the
     Kafka record timestamp), replayable from the topic alone.  Records more
     than ``watermark`` behind the newest one seen, whose hour has closed,
-    are dropped."""
+    are dropped.
+
+    ``precombine`` collapses copies before the shuffle (see
+    :func:`precombine_copies`)."""
     if time_source == "processing":
         records = records.withColumn("ingest_ts", F.current_timestamp())
         watermark = "0 seconds"
     elif time_source != "record":
         raise ValueError("time_source must be 'processing' or 'record'")
     readings = parse_device_messages(records, "value", keep=("ingest_ts",))
+    if precombine:
+        readings = precombine_copies(readings)
     return hourly_distinct_readings(readings, "ingest_ts", watermark=watermark)
 
 

@@ -151,3 +151,19 @@ def test_print_stream_shows_records(spark, tmpdir_path):
     progress = [p for p in q.recentProgress if p["numInputRows"]]
     assert sum(p["numInputRows"] for p in progress) == 1
     assert "Console" in progress[0]["sink"]["description"]
+
+
+def test_precombine_collapses_copies_before_the_shuffle(spark, readings):
+    from devicelens.functions.timecols import ms_to_ts
+    from devicelens.streaming.ingest import precombine_copies
+
+    flood = [(1, "t", "hot", 1.0, 10)] * 3000 + [(1, "t", "d", float(i), 10) for i in range(20)]
+    df = readings(flood).coalesce(1).withColumn("ingest_ts", ms_to_ts(F.lit(5 * H + 7)))
+    pre = precombine_copies(df)
+    batches = -(-len(flood) // int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+    assert pre.where(F.col("device_id") == "hot").count() <= batches
+    assert pre.where(F.col("device_id") == "d").count() == 20
+    # copies in different ingest hours are different readings to the dedup
+    other_hour = readings([(1, "t", "hot", 1.0, 10)]).withColumn("ingest_ts", ms_to_ts(F.lit(6 * H)))
+    both = precombine_copies(df.unionByName(other_hour).coalesce(1))
+    assert hourly_distinct_readings(both, "ingest_ts").where(F.col("device_id") == "hot").count() == 2
