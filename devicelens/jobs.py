@@ -41,8 +41,8 @@ def _arg(args, i, default):
 
 def _readings(spark, opts, start, end):
     if opts.layout == "text":
-        return read_text_hours(spark, opts.path, start, end)
-    return read_hours(spark, opts.path, start, end)
+        return read_text_hours(spark, opts.path, start, end, pad_hours=opts.pad_hours)
+    return read_hours(spark, opts.path, start, end, pad_hours=opts.pad_hours)
 
 
 def _deliver_report(report, tenant, kind, opts):
@@ -117,6 +117,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("job", choices=sorted(JOBS))
     p.add_argument("args", nargs="*", help="the reference's positional arguments")
     p.add_argument("--path", required=True, help="stored hourly readings (Parquet, by hour_end_ms)")
+    p.add_argument("--pad-hours", type=int, default=1,
+                   help="read hours this much around the range, for readings that arrive late")
     p.add_argument("--layout", choices=["parquet", "text"], default="parquet",
                    help="text: the reference's device-data-<ms> comma-text folders")
     p.add_argument("--kafka", help="bootstrap servers: source of ingest, sink of reports")
