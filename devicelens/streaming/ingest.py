@@ -108,6 +108,11 @@ def write_hourly_readings(df: DataFrame, path: str, checkpoint: str, trigger: di
     w = w.trigger(**(trigger or {"processingTime": BATCH_INTERVAL}))
     conf = df.sparkSession.conf
     before = conf.get("spark.sql.shuffle.partitions")
+    if before == str(int(state_partitions)):
+        return w.start()
+    # The query copies the session's settings when it starts.  Other queries
+    # started on this session in the same instant would see the value too;
+    # start streams from one thread, or give them a session of their own.
     conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
     try:
         return w.start()
