@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import argparse
 import time
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 
 from .operators import bucket_stats, device_type_stats, recent_data, recent_device
@@ -39,10 +41,21 @@ def _arg(args, i, default):
     return args[i] if len(args) > i else default
 
 
+@contextmanager
 def _readings(spark, opts, start, end):
-    if opts.layout == "text":
-        return read_text_hours(spark, opts.path, start, end, pad_hours=opts.pad_hours)
-    return read_hours(spark, opts.path, start, end, pad_hours=opts.pad_hours)
+    """Readings of the range.  Parquet is re-scanned by each pass (pruned,
+    cheap); the reference's text layout is parsed once and kept (memory, then
+    local disk) for the job's passes, since parsing text twice costs more.
+    Lost blocks are recomputed from the text files."""
+    if opts.layout != "text":
+        yield read_hours(spark, opts.path, start, end, pad_hours=opts.pad_hours)
+        return
+    df = read_text_hours(spark, opts.path, start, end, pad_hours=opts.pad_hours)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
 
 
 def _deliver_report(report, tenant, kind, opts):
@@ -67,9 +80,9 @@ def data_analysis(spark: SparkSession, opts, args) -> None:
     parts = int(_arg(args, 5, 1))
     start = 0 if start < 0 else start
     end = _now_ms() if end < 0 else end
-    readings = _readings(spark, opts, start, end)
-    stats = bucket_stats(readings, start, end, parts, tenant, dtype, device)
-    _deliver_report(bucket_report(stats), tenant, "data", opts)
+    with _readings(spark, opts, start, end) as readings:
+        stats = bucket_stats(readings, start, end, parts, tenant, dtype, device)
+        _deliver_report(bucket_report(stats), tenant, "data", opts)
 
 
 def device_analysis(spark: SparkSession, opts, args) -> None:
@@ -77,20 +90,20 @@ def device_analysis(spark: SparkSession, opts, args) -> None:
     start, end = int(_arg(args, 1, -1)), int(_arg(args, 2, -1))
     start = 0 if start < 0 else start
     end = _now_ms() if end < 0 else end
-    readings = _readings(spark, opts, start, end)
-    _deliver_report(device_report(device_type_stats(readings, start, end, tenant)), tenant, "device", opts)
+    with _readings(spark, opts, start, end) as readings:
+        _deliver_report(device_report(device_type_stats(readings, start, end, tenant)), tenant, "device", opts)
 
 
 def recent_data_job(spark: SparkSession, opts, args) -> None:
     end = int(_arg(args, 0, _now_ms()))
-    readings = _readings(spark, opts, end - DAY_MS, end)
-    _deliver_rows(recent_data(readings, end, 1), opts.table or "recent_data", end, opts)
+    with _readings(spark, opts, end - DAY_MS, end) as readings:
+        _deliver_rows(recent_data(readings, end, 1), opts.table or "recent_data", end, opts)
 
 
 def recent_device_job(spark: SparkSession, opts, args) -> None:
     end, days = int(_arg(args, 0, _now_ms())), int(_arg(args, 1, 1))
-    readings = _readings(spark, opts, end - days * DAY_MS, end)
-    _deliver_rows(recent_device(readings, end, days), opts.table or "recent_device", end, opts)
+    with _readings(spark, opts, end - days * DAY_MS, end) as readings:
+        _deliver_rows(recent_device(readings, end, days), opts.table or "recent_device", end, opts)
 
 
 def ingest(spark: SparkSession, opts, args) -> None:
