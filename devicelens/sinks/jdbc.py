@@ -20,10 +20,13 @@ def recent_rows(df: DataFrame, end_ms: int) -> DataFrame:
 
 
 def append_recent(df: DataFrame, url: str, table: str, end_ms: int, properties: dict | None = None,
-                  batch_size: int = 1000) -> None:
+                  batch_size: int = 1000, connections: int = 8) -> None:
     """Append :func:`recent_rows` through JDBC, written by the executors in
-    batches.  A failing batch fails the job (the reference printed and
-    skipped the row).  Credentials come from ``properties``, never code."""
+    batches over at most ``connections`` connections (Spark coalesces to
+    ``numPartitions``; the rows are tenants x types, so few).  A failing
+    batch fails the job (the reference printed and skipped the row).
+    Credentials come from ``properties``, never code."""
     props = dict(properties or {})
     props.setdefault("batchsize", str(batch_size))
+    props.setdefault("numPartitions", str(connections))
     recent_rows(df, end_ms).write.jdbc(url=url, table=table, mode="append", properties=props)

@@ -69,6 +69,7 @@ def test_append_recent_writes_prepared_rows(readings, monkeypatch):
     append_recent(recent_data(df, end, 2), "jdbc:postgresql://db/x", "recent_data", end, {"user": "u"})
     assert (seen["url"], seen["table"], seen["mode"]) == ("jdbc:postgresql://db/x", "recent_data", "append")
     assert seen["properties"]["user"] == "u" and seen["properties"]["batchsize"] == "1000"
+    assert seen["properties"]["numPartitions"] == "8"
     (row,) = seen["rows"]
     assert row["data_count"] == 2 and str(row["date"]) == "1970-01-03"
 
