@@ -51,7 +51,7 @@ def bucket_width(start_ms: int, end_ms: int, part_num: int) -> int:
 
 def bucket_start(ms_col: str, start_ms: int, gap: int) -> Column:
     """Start of the bucket of width ``gap`` (counted from ``start_ms``) that
-    holds the epoch-ms column ``ms_col``; exact 64-bit ``div``.  Only
-    meaningful for ``ms >= start_ms``."""
+    holds the epoch-ms column ``ms_col``: ``t - pmod(t - start, gap)``, exact
+    64-bit arithmetic, a true floor also for readings before ``start``."""
     s, g = int(start_ms), int(gap)
-    return F.expr(f"{s} + ((`{ms_col}` - {s}) div {g}) * {g}")
+    return F.expr(f"`{ms_col}` - pmod(`{ms_col}` - {s}, {g})")

@@ -137,3 +137,11 @@ def test_nan_reading_follows_spark_ordering(readings):  # D8
     # so both readings are usual.
     assert math.isnan(b.max_value) and b.min_value == 1.0 and math.isnan(b.mean_value)
     assert (b.data_count, b.usual_data_count) == (2, 2)
+
+
+def test_bucket_start_is_a_floor(readings):
+    from devicelens.operators import assign_time_bucket
+
+    df = readings([(1, "t", "d", 0.0, t) for t in [S - 301, S - 1, S, S + 299, S + 300, S + 1001]])
+    got = [r.bucket_start for r in assign_time_bucket(df, S, S + 900, 3).orderBy("time_stamp").collect()]
+    assert got == [S - 600, S - 300, S, S, S + 300, S + 900]
