@@ -36,6 +36,14 @@ from devicelens.streaming import run_ingest  # noqa: E402
 from devicelens.sources import format_reading_lines, parse_device_messages, read_reading_lines  # noqa: E402
 
 
+def scale_factor(sf_dir: str):
+    name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def run(df):
     df.write.format("noop").mode("overwrite").save()
 
@@ -92,7 +100,7 @@ def main():
             times[name] = round(time.perf_counter() - t0, 3)
     print(json.dumps({"metric": "total_query_seconds_warm", "value": round(sum(warm.values()), 3), "unit": "sec",
                       "queries": warm, "cold_total": round(sum(cold.values()), 3), "cold_queries": cold,
-                      "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""), "cpus": cpus}))
+                      "sf": scale_factor(sf_dir), "cpus": cpus}))
     spark.stop()
 
 
