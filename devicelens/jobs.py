@@ -31,6 +31,7 @@ from .sinks import append_recent, publish_report, recent_rows, write_kafka
 from .sources import read_hours, read_text_hours
 from .sources.messages import message_file_stream, message_records, stream_device_messages
 from .streaming import run_ingest
+from .streaming.ingest import DEFAULT_STATE_PARTITIONS
 
 
 def _now_ms() -> int:
@@ -112,7 +113,8 @@ def ingest(spark: SparkSession, opts, args) -> None:
     else:
         records = stream_device_messages(spark, opts.kafka, opts.topic)
     trigger = {"availableNow": True} if opts.available_now else None
-    q = run_ingest(records, opts.path, opts.checkpoint, trigger=trigger, time_source=opts.time_source)
+    q = run_ingest(records, opts.path, opts.checkpoint, trigger=trigger, time_source=opts.time_source,
+                   state_partitions=opts.state_partitions)
     q.awaitTermination()
 
 
@@ -139,6 +141,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--files", help="ingest from JSON-lines message files instead of Kafka")
     p.add_argument("--checkpoint", help="checkpoint of the ingest query")
     p.add_argument("--available-now", action="store_true", help="ingest what is there, then stop")
+    p.add_argument("--state-partitions", type=int, default=DEFAULT_STATE_PARTITIONS,
+                   help="dedup state partitions of a new ingest checkpoint (size them to one micro-batch)")
     p.add_argument("--time-source", choices=["processing", "record"], default="processing",
                    help="hour of a reading: when its batch runs (no drops) or its record timestamp")
     p.add_argument("--jdbc-url")
