@@ -16,6 +16,12 @@ from hypothesis import strategies as st
 from devicelens.operators import bucket_stats, recent_data
 
 S, WIDTH, PARTS = 1_000_000, 1_000, 4
+
+
+def props(n: int):
+    """Fixed example sets (reproducible runs); wider random sweeps are run by hand."""
+    return settings(max_examples=n, deadline=None, derandomize=True,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
 DAY = 86_400_000
 
 reading = st.tuples(
@@ -51,7 +57,7 @@ def usual_bounds(values, ddof):
     return sure, sure + maybe
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@props(12)
 @given(rows=st.lists(reading, min_size=1, max_size=40))
 def test_bucket_stats_against_brute_force(readings, rows):
     df = readings([(t, k, "d", float(v), S + off) for t, k, v, off in rows])
@@ -71,7 +77,7 @@ def test_bucket_stats_against_brute_force(readings, rows):
         assert r.usual_data_rate == pytest.approx(r.usual_data_count / len(vals))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@props(12)
 @given(rows=st.lists(reading, min_size=1, max_size=40))
 def test_recent_data_against_brute_force(readings, rows):
     end = S + DAY
@@ -104,7 +110,7 @@ device_reading = st.tuples(
 )
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@props(10)
 @given(rows=st.lists(device_reading, min_size=1, max_size=40))
 def test_device_type_stats_against_brute_force(readings, rows):
     from devicelens.operators import device_type_stats
@@ -178,7 +184,7 @@ def model(m):
     return out
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@props(8)
 @given(msgs=st.lists(message, min_size=1, max_size=30))
 def test_messages_against_model(spark, msgs):
     texts = [json.dumps(m) for m in msgs]
