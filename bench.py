@@ -84,6 +84,8 @@ def main():
         "hourly_distinct_readings": lambda: hourly_distinct_readings(ev_copies.unionByName(ev_copies), "ingest_ts"),
         "bucket_stats_lineitem": lambda: bucket_stats(li, reg.LI_S, reg.LI_E, reg.LI_PARTS),
         "device_type_stats_lineitem": lambda: device_type_stats(li, reg.LI_S, reg.LI_E),
+        # the path statistics too large to broadcast take: hot broadcast, cold shuffled
+        "device_type_stats_lineitem_split": lambda: device_type_stats(li, reg.LI_S, reg.LI_E, max_broadcast_rows=0),
         "recent_data_lineitem": lambda: recent_data(li, li_end, 365),
         "recent_device_lineitem": lambda: recent_device(li, li_end, 365),
     }
