@@ -9,9 +9,14 @@ A *reading* is one measurement of one device:
     time_stamp  bigint   epoch milliseconds
     ts          timestamp (optional) the same instant as a native timestamp
 
-Invariant: when ``ts`` is present, ``time_stamp`` is ``ts`` floored to the
-millisecond.  Time filters use ``time_stamp`` for the exact rule and add an
-implied predicate on ``ts`` so that Parquet can skip row groups.
+Invariants:
+
+- when ``ts`` is present, ``time_stamp`` is ``ts`` floored to the
+  millisecond.  Time filters use ``time_stamp`` for the exact rule and add an
+  implied predicate on ``ts`` so that Parquet can skip row groups;
+- ``tenant_id``, ``device_type`` and ``device_id`` are never NULL (every reader
+  here drops or rejects such rows).  The analyses join readings to their
+  group's statistics on these keys with plain equality.
 """
 
 from __future__ import annotations
