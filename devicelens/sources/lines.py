@@ -83,7 +83,8 @@ def read_text_hours(spark: SparkSession, root: str, start_ms: int, end_ms: int,
     names = range_glob(lo, hi)
     if names is None:
         return _empty(spark, mode)
-    glob = f"{root.rstrip('/')}/{TEXT_DIR_PREFIX}{names}/*"
+    # Folders, not files: Spark lists them and skips _SUCCESS and checksum files.
+    glob = f"{root.rstrip('/')}/{TEXT_DIR_PREFIX}{names}"
     try:
         return read_reading_lines(spark, glob, mode)
     except AnalysisException as e:
