@@ -39,7 +39,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
-                 partition_bytes: int = 256 << 20) -> dict:
+                 partition_bytes: int = 256 << 20, broadcast_bytes: int = 64 << 20) -> dict:
     """Settings for a cluster run over ``input_bytes`` of readings, to pass to
     spark-submit (``--conf k=v``).
 
@@ -47,7 +47,9 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     ``partition_bytes`` of input (and never fewer than two waves of tasks);
     AQE then merges small ones and splits skewed ones at runtime.  The split
     strategy of plans.group_join reads the same setting: a group is hot above
-    N / partitions readings."""
+    N / partitions readings.  ``broadcast_bytes`` is the most a measured
+    statistics frame may weigh to be broadcast (about 900k groups at 64 MB);
+    size it to what every executor can hold beside its tasks."""
     slots = max(executors * cores_per_executor, 1)
     partitions = max(-(-int(input_bytes) // int(partition_bytes)), 2 * slots)
     return {
@@ -57,6 +59,7 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -108,3 +108,19 @@ def test_read_hours_outside_stored_range_is_empty(spark, tmpdir_path):
     # a range wider than the glob limit reads the root and prunes
     wide = read_hours(spark, path, fx.START_MS - 200 * 86_400_000, fx.END_MS)
     assert wide.count() == hourly_distinct_readings(r, "ingest_ts").count()
+
+
+def test_cluster_conf_sizes(spark):
+    from devicelens.plans.group_join import broadcast_bytes
+    from devicelens.session import cluster_conf
+
+    conf = cluster_conf(100 * 2**40, executors=1000, cores_per_executor=8)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)  # ~256 MB of input each
+    small = cluster_conf(2**30, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80  # never fewer than two waves of tasks
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", conf["spark.sql.autoBroadcastJoinThreshold"])
+        assert broadcast_bytes(spark) == 64 << 20  # the measured strategy reads the same budget
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
