@@ -23,6 +23,8 @@ How pass 2 joins, decided per call:
    where they are read (no shuffle, however many copies a hot group holds).
    The other readings are shuffled on the group key to meet the rest of the
    statistics; there, no group brings more than N / P readings to a task.
+   When the measurements show no hot group at all, that shuffled join is the
+   whole plan (one scan of the readings).
 
 The result has the group keys, ``value``, the statistics columns and ``_w``
 (readings a row stands for, 1 here); aggregate with ``sum("_w")``.
@@ -50,6 +52,7 @@ class GroupStats:
     groups: int | None = None  # exact row count when materialized
     rows: int | None = None  # readings behind the groups, when materialized
     bytes: int | None = None  # size of the statistics as rows, when materialized
+    largest: int | None = None  # readings in the largest group, when materialized
 
 
 def _fixed_width(schema: T.StructType) -> int:
@@ -97,9 +100,12 @@ def plan_group_stats(stats: DataFrame, keys, *, static_groups: int | None = None
     strings = [F.coalesce(F.octet_length(f.name), F.lit(0)) + F.lit(7) for f in stats.schema.fields
                if isinstance(f.dataType, T.StringType)]
     var = F.sum(sum(((s / 8).cast("bigint") * 8 for s in strings), F.lit(0).cast("bigint")))
-    total = F.sum(count_col) if count_col in stats.columns else F.lit(None).cast("bigint")
+    has_count = count_col in stats.columns
+    total = F.sum(count_col) if has_count else F.lit(None).cast("bigint")
+    largest = F.max(count_col) if has_count else F.lit(None).cast("bigint")
     obs = Observation()
-    stats = materialize(stats.observe(obs, F.count(F.lit(1)).alias("g"), total.alias("n"), var.alias("v")))
+    stats = materialize(stats.observe(obs, F.count(F.lit(1)).alias("g"), total.alias("n"), var.alias("v"),
+                                      largest.alias("x")))
     m = obs.get
     groups, rows, var_bytes = m["g"], m["n"], m["v"]
     size = groups * _fixed_width(stats.schema) + (var_bytes or 0)
@@ -107,7 +113,7 @@ def plan_group_stats(stats: DataFrame, keys, *, static_groups: int | None = None
         fits = 0 < size <= broadcast_bytes(stats.sparkSession) or groups == 0
     else:
         fits = groups <= budget
-    return GroupStats(stats, keys, "broadcast" if fits else "split", groups, rows, size)
+    return GroupStats(stats, keys, "broadcast" if fits else "split", groups, rows, size, m["x"])
 
 
 def attach_group_stats(rows: DataFrame, gs: GroupStats, count_col: str = COUNT) -> DataFrame:
@@ -125,9 +131,12 @@ def _split_join(r: DataFrame, gs: GroupStats, stat_cols, count_col: str) -> Data
     keys = gs.keys
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     threshold = (gs.rows or 0) // parts  # > threshold is hot: fewer than `parts` such groups
+    r = r.withColumn(WEIGHT, F.lit(1).cast("bigint"))
+    if gs.largest is not None and gs.largest <= threshold:
+        # No hot group (known from the measurements): one shuffled join, one scan.
+        return r.join(gs.df.hint("shuffle_hash"), keys, "inner")
     hot = gs.df.where(F.col(count_col) > F.lit(threshold))
     cold = gs.df.where(F.col(count_col) <= F.lit(threshold))
-    r = r.withColumn(WEIGHT, F.lit(1).cast("bigint"))
     # Hot groups: statistics broadcast (bounded by `parts` rows), readings stay put.
     hot_rows = r.join(F.broadcast(hot), keys, "inner")
     # Cold groups: shuffled join; no group holds more than N / P readings.  The

@@ -124,3 +124,14 @@ def test_cluster_conf_sizes(spark):
         assert broadcast_bytes(spark) == 64 << 20  # the measured strategy reads the same budget
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_split_without_hot_groups_scans_once(spark):
+    r = fx.event_readings(spark, SF_SMALL)  # 150 devices x 5 types, none near N / P readings
+    df = device_type_stats(r, fx.START_MS, fx.END_MS, max_broadcast_rows=0)
+    df.collect()
+    p = plan_text(df)
+    assert "ShuffledHashJoin" in p and "LeftAnti" not in p
+    final = p.split("== Initial Plan ==")[0]  # AQE prints the final plan, then the initial one
+    assert final.count("Scan parquet") == 1
+    assert rows(df) == rows(device_type_stats(r, fx.START_MS, fx.END_MS))
