@@ -44,7 +44,7 @@ def main():
          lambda: bucket_stats(ev, reg.S, reg.E, reg.PARTS)),
         ("device_type_stats: measured statistics, broadcast",
          lambda: device_type_stats(ev, reg.S, reg.E)),
-        ("device_type_stats: split strategy (hot broadcast, cold shuffled)",
+        ("device_type_stats: split strategy; no device is hot here, so one shuffled join",
          lambda: device_type_stats(ev, reg.S, reg.E, max_broadcast_rows=0)),
         ("recent_data over stored hours: partition pruning + pushdown",
          lambda: recent_data(stored, reg.E, 1)),
