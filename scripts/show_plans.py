@@ -39,6 +39,14 @@ def main():
     copies = ev.withColumn("ingest_ts", F.col("ts").cast("timestamp"))
     write_hourly_readings_batch(hourly_distinct_readings(copies, "ingest_ts"), f"{scratch}/hours")
     stored = read_hours(spark, f"{scratch}/hours", reg.E - 86_400_000, reg.E)
+    # one device holding a third of all readings, mostly copies (the skew case)
+    n = ev.count()
+    hot = spark.range(n // 2).select(
+        F.lit(7).cast("bigint").alias("tenant_id"), F.lit("click").alias("device_type"),
+        F.lit("hot").alias("device_id"), (F.col("id") % 7).cast("double").alias("value"),
+        F.lit(reg.E - 1000).alias("time_stamp"), F.timestamp_millis(F.lit(reg.E - 1000)).alias("ts"),
+    )
+    skewed = ev.unionByName(hot)
     cases = [
         ("bucket_stats: static bound, statistics broadcast in the same plan",
          lambda: bucket_stats(ev, reg.S, reg.E, reg.PARTS)),
@@ -46,6 +54,8 @@ def main():
          lambda: device_type_stats(ev, reg.S, reg.E)),
         ("device_type_stats: split strategy; no device is hot here, so one shuffled join",
          lambda: device_type_stats(ev, reg.S, reg.E, max_broadcast_rows=0)),
+        ("device_type_stats: split strategy with a hot device (hot broadcast, cold anti-joined and shuffled)",
+         lambda: device_type_stats(skewed, reg.S, reg.E, max_broadcast_rows=0)),
         ("recent_data over stored hours: partition pruning + pushdown",
          lambda: recent_data(stored, reg.E, 1)),
         ("recent_device: distinct devices in pass 1",
