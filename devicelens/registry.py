@@ -4,6 +4,12 @@ Every query reads whole tables (``events``, or ``lineitem`` for the larger
 variants) through the mapping in :mod:`devicelens.fixtures`; parameters are
 the fixed ones of FIXTURES.md.  Doubles are rounded to 6 places in both
 engines so that summation order does not matter.
+
+Besides one query per operator, ``*_split`` variants force the strategy that
+statistics too large to broadcast take, and the ingest is registered both
+with record-time hours (``write_hourly_readings``) and with the default
+processing-time hours (``ingest_processing_time``).  Queries that stream or
+write use fresh folders inside the session's checkpoint folder.
 """
 
 from __future__ import annotations
