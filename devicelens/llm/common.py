@@ -80,3 +80,22 @@ def ship_code(spark: SparkSession) -> None:
     base = os.path.join(tempfile.mkdtemp(prefix="devicelens-code-"), "devicelens")
     spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", root, Path(__file__).resolve().parents[1].name))
     _shipped.add(app)
+
+
+def join_salted(rows: DataFrame, facts: DataFrame, key: str, spread: str, sizes: DataFrame | None = None) -> DataFrame:
+    """Inner join of ``rows`` with large ``facts`` (few per key), hot keys in pieces.
+
+    A key with more than 1/HOT_SHARE of the rows (counted in ``sizes``, by default
+    ``rows``) is cut by the hash of ``spread`` into pieces of about that share, and
+    its facts are repeated for each piece; the piece counts of those fewer than
+    HOT_SHARE keys are what is broadcast."""
+    counts = (rows if sizes is None else sizes).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counts = stored(counts, "salt-counts")
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    limit = max(1, total // HOT_SHARE)
+    hot = F.broadcast(counts.where(F.col("_n") > limit).select(key, F.ceil(F.col("_n") / limit).cast("int").alias("_pieces")))
+    salted = rows.join(hot, key, "left").withColumn(
+        "_salt", F.when(F.col("_pieces").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(spread), F.col("_pieces")).cast("int")))
+    copies = facts.join(hot, key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)))
+    return salted.drop("_pieces").join(copies.drop("_pieces"), [key, "_salt"]).drop("_salt")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare_session
 from . import exact_dedup as op3
+from . import hyperminhash as op1
 from . import url_filter as op7
 from . import warc as op9
 from .common import ship_code
@@ -17,6 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def q_minhash(spark, sf_dir):
+    return op1.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def q_exact_dedup(spark, sf_dir):
     return op3.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -36,6 +41,7 @@ def q_warc(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_hyperminhash": q_minhash,
     "op3_exact_dedup": q_exact_dedup,
     "op7_url_filter": q_url_filter,
     "op9_warc": q_warc,
