@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare_session
+from . import bpe as op10
 from . import exact_dedup as op3
 from . import hyperminhash as op1
+from . import token_store as op2
 from . import url_filter as op7
 from . import warc as op9
 from .common import ship_code
@@ -22,6 +24,16 @@ def q_minhash(spark, sf_dir):
     return op1.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def q_token_store(spark, sf_dir):
+    return op2.token_round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
+
+
 def q_exact_dedup(spark, sf_dir):
     return op3.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -40,11 +52,17 @@ def q_warc(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def q_bpe(spark, sf_dir):
+    return op10.bpe_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_hyperminhash": q_minhash,
+    "op2_token_store": q_token_store,
     "op3_exact_dedup": q_exact_dedup,
     "op7_url_filter": q_url_filter,
     "op9_warc": q_warc,
+    "op10_bpe": q_bpe,
 }
 
 ORACLE: dict[str, str] = {}

@@ -10,7 +10,7 @@ prefix) that could be a rule; a hit counts once the stored string is the same.
 from __future__ import annotations
 
 import functools
-import hashlib
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -121,7 +121,7 @@ class RuleIndex:
 def ship_index(spark: SparkSession, rules: Iterable[tuple[str, str, str]]) -> str:
     """Write the index to the shared folder and have Spark hand it to the executors; its name."""
     data = build_index(rules)
-    name = f"url-rules-{hashlib.sha256(data).hexdigest()[:24]}"
+    name = f"url-rules-{uuid.uuid4().hex}"  # Spark takes one file of a name
     path = scratch_path(spark, "urls") + "/" + name
     write_bytes(spark, path, data)
     spark.sparkContext.addFile(path)
