@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 # fixed values: the byte-level splitting pattern, and its byte-to-character table below
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: White space that bytes.split and Python's re see differently from the pattern's \s.
-ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+ODD_SPACE = re.compile("[" + "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
+                                                   0x2029, 0x202F, 0x205F, 0x3000])) + "]")
 CHUNK = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 LONG_WORD = 64
 CACHE = 500_000              # remembered chunks (and words) per worker
