@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare_session
 from . import bpe as op10
+from . import decontaminate as op4
 from . import exact_dedup as op3
 from . import hyperminhash as op1
 from . import token_store as op2
+from . import toxicity as op8
 from . import url_filter as op7
 from . import warc as op9
 from .common import ship_code
@@ -38,6 +40,12 @@ def q_exact_dedup(spark, sf_dir):
     return op3.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def q_decontaminate(spark, sf_dir):
+    found = op4.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", op4.items_digest(found.items).alias("items_sha256"),
+                        "contaminated")
+
+
 #: (verdict, host, path prefix)
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -47,6 +55,10 @@ def q_url_filter(spark, sf_dir):
     return op7.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def q_toxicity(spark, sf_dir):
+    return op8.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def q_warc(spark, sf_dir):
     return op9.warc_round_trip(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -60,7 +72,9 @@ QUERIES = {
     "op1_hyperminhash": q_minhash,
     "op2_token_store": q_token_store,
     "op3_exact_dedup": q_exact_dedup,
+    "op4_fm_index": q_decontaminate,
     "op7_url_filter": q_url_filter,
+    "op8_string_kernel": q_toxicity,
     "op9_warc": q_warc,
     "op10_bpe": q_bpe,
 }
@@ -95,3 +109,24 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id < top THEN top END AS refers_to
 FROM d"""
+
+ORACLE["op4_fm_index"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+starts AS (SELECT item_id, w, least(len(w), 13) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k
+           FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS s FROM starts),
+sizes AS (SELECT DISTINCT n FROM windows),
+grams AS (SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS s
+          FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, sizes)),
+found AS (SELECT g.doc_id, g.k, g.n, v.item_id FROM grams g JOIN windows v ON g.n = v.n AND g.s = v.s),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS list
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id"""
