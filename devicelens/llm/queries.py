@@ -9,6 +9,7 @@ from . import bpe as op10
 from . import decontaminate as op4
 from . import exact_dedup as op3
 from . import hyperminhash as op1
+from . import pii as op6
 from . import token_store as op2
 from . import toxicity as op8
 from . import url_filter as op7
@@ -46,6 +47,10 @@ def q_decontaminate(spark, sf_dir):
                         "contaminated")
 
 
+def q_pii(spark, sf_dir):
+    return op6.pii_digests(table(spark, sf_dir, "documents"))
+
+
 #: (verdict, host, path prefix)
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -73,6 +78,7 @@ QUERIES = {
     "op2_token_store": q_token_store,
     "op3_exact_dedup": q_exact_dedup,
     "op4_fm_index": q_decontaminate,
+    "op6_boosted_pii": q_pii,
     "op7_url_filter": q_url_filter,
     "op8_string_kernel": q_toxicity,
     "op9_warc": q_warc,
