@@ -9,6 +9,7 @@ from . import bpe as op10
 from . import decontaminate as op4
 from . import exact_dedup as op3
 from . import hyperminhash as op1
+from . import line_dedup as op5
 from . import pii as op6
 from . import token_store as op2
 from . import toxicity as op8
@@ -47,6 +48,10 @@ def q_decontaminate(spark, sf_dir):
                         "contaminated")
 
 
+def q_line_dedup(spark, sf_dir):
+    return op5.line_digests(table(spark, sf_dir, "documents"))
+
+
 def q_pii(spark, sf_dir):
     return op6.pii_digests(table(spark, sf_dir, "documents"))
 
@@ -78,6 +83,7 @@ QUERIES = {
     "op2_token_store": q_token_store,
     "op3_exact_dedup": q_exact_dedup,
     "op4_fm_index": q_decontaminate,
+    "op5_line_dedup": q_line_dedup,
     "op6_boosted_pii": q_pii,
     "op7_url_filter": q_url_filter,
     "op8_string_kernel": q_toxicity,
@@ -136,3 +142,24 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
        sha256(coalesce(list, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id"""
+
+# Lines of a Jaccard similarity of 0.8 share a word among the ceil(0.2 n) + 1 rarest of either.
+ORACLE["op5_line_dedup"] = r"""
+WITH l AS (SELECT doc_id, CAST(i AS INTEGER) AS line, string_split(coalesce(text, ''), chr(10))[i + 1] AS s
+           FROM (SELECT doc_id, text, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents)),
+w AS (SELECT doc_id, line, s, list_sort(list_distinct(list_filter(
+             regexp_split_to_array(lower(s), '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS words FROM l),
+c AS (SELECT words, len(words) AS n, min((doc_id, line)) AS pos FROM w WHERE len(words) > 0 GROUP BY words),
+t AS (SELECT pos, n, unnest(words) AS word FROM c),
+f AS (SELECT word, count(*) AS df FROM t GROUP BY word),
+r AS (SELECT pos, n, word, row_number() OVER (PARTITION BY pos ORDER BY df, word) AS k FROM t JOIN f USING (word)),
+p AS (SELECT pos, n, word FROM r WHERE k <= n - ceil(0.8 * n) + 1),
+cand AS (SELECT DISTINCT a.pos AS later, b.pos AS earlier FROM p a JOIN p b
+         ON a.word = b.word AND a.pos > b.pos AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n),
+near AS (SELECT DISTINCT later FROM cand JOIN c x ON x.pos = later JOIN c y ON y.pos = earlier
+         WHERE 9 * len(list_intersect(x.words, y.words)) >= 4 * (x.n + y.n)),
+judged AS (SELECT w.doc_id, line, s, len(w.words) > 0 AND (c.pos <> (w.doc_id, line) OR near.later IS NOT NULL) AS gone
+           FROM w LEFT JOIN c ON w.words = c.words LEFT JOIN near ON near.later = c.pos)
+SELECT doc_id, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(*) FILTER (gone) AS INTEGER) AS n_removed,
+       sha256(coalesce(string_agg(s, chr(10) ORDER BY line) FILTER (NOT gone), '')) AS text_sha256
+FROM judged GROUP BY doc_id"""
