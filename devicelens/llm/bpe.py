@@ -207,9 +207,10 @@ def bpe_decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: st
     return rows.mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_col)
 
 
-def bpe_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bpe_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """id, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` of every row: encoded, then decoded
-    from the ids. NULL counts as an empty text; repeated rows are encoded one by one."""
+    from the ids (in ``ids`` on request). NULL counts as an empty text; repeated rows are
+    encoded one by one."""
     tokens = bpe_encode(docs, path, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -225,8 +226,10 @@ def bpe_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
                 n.append(len(ids))
                 own.append(hashlib.sha256(raw).hexdigest())
                 back.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(n, pa.int64()), pa.array(own, pa.string()), pa.array(back, pa.string())],
-                                             ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            more = [batch["ids"]] if with_ids else []
+            yield pa.RecordBatch.from_arrays(
+                [batch["id"], pa.array(n, pa.int64()), pa.array(own, pa.string()), pa.array(back, pa.string()), *more],
+                ["id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:4 + len(more)])
 
-    return tokens.withColumnRenamed(id_col, "id").mapInArrow(
-        run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
+    return tokens.withColumnRenamed(id_col, "id").mapInArrow(run, schema).withColumnRenamed("id", id_col)

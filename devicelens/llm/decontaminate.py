@@ -16,6 +16,7 @@ from itertools import count
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .fm_index import FMIndex
 
@@ -26,8 +27,8 @@ SHARD_WORDS = 1 << 20
 MAX_BENCHMARK_BYTES = 128 << 20
 #: ASCII lower-cased, and every byte that is not in a word made a space.
 TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
-SCHEMA = ("doc_id {}, n_words long, n_hit long, n_items long, items array<string>, "
-          "spans array<struct<first:long,last:long>>, contaminated boolean")
+FACTS = ("n_words long, n_hit long, n_items long, items array<string>, "
+         "spans array<struct<first:long,last:long>>, contaminated boolean")
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -192,9 +193,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
         if kept:
             yield out()
 
-    kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, SCHEMA.format(kind)).withColumnRenamed("doc_id", id_col)
+    out = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), *T.StructType.fromDDL(FACTS)])
+    return rows.mapInArrow(run, out).withColumnRenamed("doc_id", id_col)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without its contaminated rows; all columns stay as they are."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return contamination(rows, benchmark, id_col="row").where(~F.col("contaminated")).select("row.*")
 
 
 def items_digest(items: F.Column) -> F.Column:

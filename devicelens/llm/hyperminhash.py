@@ -25,13 +25,11 @@ from pyspark.sql import functions as F
 from .common import join_group_facts, join_salted, shuffle_partitions, stored
 from .components import components
 
-COARSE, FINE = 7, 9          # bits of bucket number: 128 registers for bands, 512 for estimates
+COARSE, FINE = 7, 10         # bits of bucket number: 128 registers for bands, 1024 for estimates
 MANTISSA = 10                # mantissa bits of a register
 BAND = 4                     # registers of a band: 64 bits
 BANDS = (1 << COARSE) // BAND
-#: A pair goes to confirmation when its estimate is at least the threshold less this
-#: margin: over 4.5 standard deviations of the estimate with 512 registers.
-MARGIN = 0.085
+DEVIATIONS = 4.75            # a true link is estimated too low once in a million
 TILE = 512                   # members of a bucket that one tile compares with another
 BATCH_BYTES = 2 << 20        # text hashed at once
 
@@ -41,7 +39,7 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _P = 0x9E3779B97F4A7C15      # odd: has an inverse modulo 2**64
 
-SIGNATURE = "doc_id long, n_shingles long, digest binary, bands binary, registers binary"
+SIGNATURE = "doc_id long, body long, n_shingles long, digest binary, bands binary, registers binary"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -147,6 +145,19 @@ def estimate(a: np.ndarray, b: np.ndarray, na, nb) -> np.ndarray:
     return np.maximum(0.0, (raw - c) / (1 - c))
 
 
+def least_estimate(na, nb, percent: int) -> np.ndarray:
+    """Estimate from which a pair of sets of these sizes goes to confirmation.
+
+    The occupied buckets show one member each of the union, a sample without
+    replacement, so a pair at the threshold is estimated DEVIATIONS standard
+    deviations lower at the most; small sets may lose a few members besides."""
+    t, buckets = percent / 100, 1 << FINE
+    union = (np.asarray(na, float) + nb) / (1 + t)
+    shown = buckets * -np.expm1(-union / buckets)
+    deviation = np.sqrt(t * (1 - t) / shown * (union - shown) / np.maximum(union - 1, 1))
+    return t - np.maximum(DEVIATIONS * deviation + 1 / shown, 3 / shown)
+
+
 def _batches(column, ids, limit: int = BATCH_BYTES) -> Iterator[tuple[list, list[bytes]]]:
     """Groups of (ids, texts as bytes) of about ``limit`` bytes; one long text is a group."""
     got_ids, got, size = [], [], 0
@@ -170,7 +181,8 @@ def _signatures(words: int):
 
         for batch in batches:
             texts = batch["text"].cast(pa.binary()).to_pylist()
-            for ids, part in _batches(texts, batch["doc_id"].to_pylist()):
+            for keys, part in _batches(texts, zip(batch["doc_id"].to_pylist(), batch["body"].to_pylist())):
+                ids, bodies = zip(*keys)
                 n, digest, bands, regs = [], [], [], []
                 for s in shingle_sets(part, words):
                     n.append(len(s))
@@ -178,9 +190,9 @@ def _signatures(words: int):
                     bands.append(registers(s, COARSE).tobytes())
                     regs.append(registers(s, FINE).tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
+                    [pa.array(ids, pa.int64()), pa.array(bodies, pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
                      pa.array(bands, pa.binary()), pa.array(regs, pa.binary())],
-                    ["doc_id", "n_shingles", "digest", "bands", "registers"])
+                    ["doc_id", "body", "n_shingles", "digest", "bands", "registers"])
     return run
 
 
@@ -199,15 +211,15 @@ def _band_rows(batches: Iterable) -> Iterator:
                                          ["bucket", "band", "doc_id"])
 
 
-def _estimated(cutoff: float):
+def _estimated(percent: int):
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             if batch.num_rows:
                 a, b = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint16).reshape(-1, 1 << FINE) for c in ("ra", "rb"))
-                est = estimate(a, b, np.asarray(batch["na"]), np.asarray(batch["nb"]))
-                yield batch.select(["a", "b"]).filter(pa.array(est >= cutoff))
+                na, nb = np.asarray(batch["na"]), np.asarray(batch["nb"])
+                yield batch.select(["a", "b"]).filter(pa.array(estimate(a, b, na, nb) >= least_estimate(na, nb, percent)))
     return run
 
 
@@ -241,7 +253,7 @@ def _confirmed(percent: int):
     return run
 
 
-def _crossing(cutoff: float):
+def _crossing(percent: int):
     """Tiles of a bucket (rows sorted by bucket, tile pair, side) to candidate pairs
     between different components, each in the pair's first common band only."""
     def pairs(rows) -> Iterator:
@@ -256,7 +268,7 @@ def _crossing(cutoff: float):
         ib, cb, kb, rb, nb = arrays(right)
         band = rows[0][4]
         for i in range(len(ia)):
-            j = np.flatnonzero((cb != ca[i]) & (np.minimum(nb, na[i]) * 1.0 >= (cutoff) * np.maximum(nb, na[i])))
+            j = np.flatnonzero((cb != ca[i]) & (np.minimum(nb, na[i]) * 100 >= percent * np.maximum(nb, na[i])))
             if same:
                 j = j[j > i]
             if not len(j):
@@ -265,7 +277,7 @@ def _crossing(cutoff: float):
             j = j[common.argmax(1) == band]
             if not len(j):
                 continue
-            j = j[estimate(rb[j], ra[i], nb[j], na[i]) >= cutoff]
+            j = j[estimate(rb[j], ra[i], nb[j], na[i]) >= least_estimate(nb[j], na[i], percent)]
             yield from ((int(ia[i]), int(ib[x])) for x in j)
 
     def run(batches: Iterable) -> Iterator:
@@ -283,7 +295,7 @@ def _crossing(cutoff: float):
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` of every row of ``docs``.
+    """``doc_id``, ``body`` (text hash), ``n_shingles``, ``component_id``, ``kept`` of every row of ``docs``.
 
     Reads ``doc_id`` (integer) and ``text``. Two texts are linked when their sets of distinct
     ``words``-word shingles (ASCII lower-cased, split at ASCII white space) have a
@@ -294,8 +306,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     text. Other columns are not read."""
     parts = shuffle_partitions(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    cutoff = percent / 100 - MARGIN
-    sig = stored(docs.mapInArrow(_signatures(words), SIGNATURE), "near-signatures")
+    sig = stored(docs.withColumn("body", F.xxhash64("text")).mapInArrow(_signatures(words), SIGNATURE), "near-signatures")
     worded = sig.where("n_shingles > 0 and doc_id is not null")
     classes = stored(worded.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size")), "near-classes")
     total = sig.count()
@@ -323,7 +334,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     side = reps.select("doc_id", F.col("n_shingles").alias("n"), "registers")
     with_b = join_salted(star, side.withColumnsRenamed({"doc_id": "b", "n": "nb", "registers": "rb"}), "b", "a")
     with_ab = with_b.join(side.withColumnsRenamed({"doc_id": "a", "n": "na", "registers": "ra"}), "a")
-    near = stored(with_ab.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_estimated(cutoff), "a long, b long"), "near-pairs")
+    near = stored(with_ab.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_estimated(percent), "a long, b long"), "near-pairs")
     links = confirmed(near, "near-links")
     label = stored(components(links), "near-components")
 
@@ -343,14 +354,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     sided = sided.withColumn("tiles", F.col("tile.i").cast("long") * (1 << 31) + F.col("tile.j"))
     dealt = sided.repartition(parts, "bucket", "tiles").sortWithinPartitions("bucket", "tiles", "side", "doc_id")
     cross = stored(dealt.select("bucket", "tiles", "side", "doc_id", "band", "component", "bands", "registers", "n_shingles")
-                   .mapInArrow(_crossing(cutoff), "a long, b long"), "near-crossing")
+                   .mapInArrow(_crossing(percent), "a long, b long"), "near-crossing")
     more = confirmed(cross, "near-more")
     label = components(links.unionByName(more))
 
     facts = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", "size", F.coalesce("component", "rep").alias("component_id"))
-    rows = sig.select("doc_id", "n_shingles", "digest")
+    rows = sig.select("doc_id", "body", "n_shingles", "digest")
     linked = join_group_facts(rows.where("n_shingles > 0 and doc_id is not null"), stored(facts, "near-facts"), "digest", "size", total)
     alone = rows.where("n_shingles = 0 or doc_id is null").withColumn("component_id", F.col("doc_id"))
-    out = linked.select("doc_id", "n_shingles", "component_id").unionByName(alone.select("doc_id", "n_shingles", "component_id"))
+    names = ["doc_id", "body", "n_shingles", "component_id"]
+    out = linked.select(names).unionByName(alone.select(names))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+#: Most rows whose keys (16 bytes each) are broadcast to take them out; more are taken out by a shuffle.
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without the rows that :func:`near_duplicates` does not keep: of every
+    component the document with the least doc_id stays. All columns stay as they are."""
+    judged = near_duplicates(docs, words, percent)
+    out = stored(judged.where(~F.col("kept")).select(F.col("doc_id").alias("_doc"), F.col("body").alias("_body")).distinct(), "near-dropped")
+    if out.count() <= MAX_BROADCAST_KEYS:
+        out = F.broadcast(out)
+    return docs.join(out, (F.col("doc_id").cast("long") == F.col("_doc")) & (F.xxhash64("text") == F.col("_body")), "left_anti")

@@ -183,3 +183,15 @@ def line_digests(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_lines``, ``n_removed``, ``text_sha256`` of the text that is left (NULL: empty)."""
     return dedup_lines(docs.select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+def drop_repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """``docs`` (``doc_id, text, n_chars`` and others) after :func:`dedup_lines`.
+
+    A document that loses lines and has no word left goes; ``n_chars`` follows the text."""
+    out = dedup_lines(docs, percent)
+    out = out.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    if "n_chars" in docs.columns:
+        size = F.length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, size).otherwise(F.col("n_chars")))
+    return out.select(docs.columns)

@@ -25,7 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def q_minhash(spark, sf_dir):
-    return op1.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+    return op1.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80).select(
+        "doc_id", "n_shingles", "component_id", "kept")
 
 
 def vocabulary(name: str) -> str:

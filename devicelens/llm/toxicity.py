@@ -23,6 +23,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DECAY = 0.75
 SPAN = 7                      # longest stretch of a subsequence of three characters
@@ -297,9 +298,15 @@ def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(score), pa.array((score >= threshold).astype(np.int32))],
                                              ["id", "score", "predicted"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, score double, predicted int").withColumnRenamed("id", id_col)
+    out = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *T.StructType.fromDDL("score double, predicted int")])
+    return rows.mapInArrow(run, out).withColumnRenamed("id", id_col)
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows scored at ``threshold`` or more; all columns stay as they are."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return score_texts(rows, fit(docs, labels), threshold, id_col="row").where("predicted = 0").select("row.*")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
