@@ -11,9 +11,17 @@ from pyspark.sql import types as T
 from ..schema import HOUR_MS, TS
 
 
+#: Largest |epoch ms| that a TIMESTAMP (64-bit microseconds) holds.
+TS_LIMIT_MS = (1 << 63) // 1000 - 1
+
+
 def ms_to_ts(ms: Column | str) -> Column:
-    """Epoch ms -> TIMESTAMP (an instant; independent of the session zone)."""
-    return F.timestamp_millis(F.col(ms) if isinstance(ms, str) else ms)
+    """Epoch ms -> TIMESTAMP (an instant; independent of the session zone).
+
+    NULL for a number beyond what a TIMESTAMP holds (a device that sends
+    nanoseconds, say): the reading keeps its ``time_stamp``."""
+    c = F.col(ms) if isinstance(ms, str) else ms
+    return F.when(c.between(-TS_LIMIT_MS, TS_LIMIT_MS), F.timestamp_millis(c))
 
 
 def ts_to_ms(ts: Column | str) -> Column:

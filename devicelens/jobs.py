@@ -5,33 +5,36 @@
     ... device-analysis --path P [tenantId startTime endTime]
     ... recent-data    --path P [endTime]
     ... recent-device  --path P [endTime days]
+    ... convert        --path TEXT --out P
 
 Positional arguments and their defaults are the reference's: ``-1`` means
 "any" for identities; a negative start is 0, a negative end is now, a part
 count <= 0 is 1.  Reports go to Kafka (``--kafka``), rows to a JDBC table
-(``--jdbc-url``); ``--print`` shows them instead.  ``--path`` is the stored
-hourly readings table written by ``ingest`` or, with ``--layout text``, the
-folder holding the reference's ``device-data-<ms>`` text output.
+(``--jdbc-url``); with ``--print``, or without a target, they are printed, all
+of them.  ``--path`` is the stored hourly readings table written by ``ingest``
+or, with ``--layout text``, the folder holding the reference's
+``device-data-<ms>`` text output; ``convert`` turns that into the stored table,
+once, instead of parsing it in every job.
 """
 
 from __future__ import annotations
 
 import argparse
 import time
-from contextlib import contextmanager
 
-from pyspark import StorageLevel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import bucket_stats, device_type_stats, recent_data, recent_device
 from .operators.report import bucket_report, device_report
-from .schema import ANY_ID, DAY_MS, SOURCE_TOPIC
-from .session import prepare_session
+from .schema import ANY_ID, DAY_MS, HOUR_END, READING_FIELDS, SOURCE_TOPIC, TS
+from .session import STATE_STORE, STATE_STORE_CONF, prepare_session
 from .sinks import append_recent, publish_report, recent_rows, write_kafka
 from .sources import read_hours, read_text_hours
+from .sources.lines import TEXT_DIR_PREFIX, parse_reading_lines
 from .sources.messages import message_file_stream, message_records, stream_device_messages
 from .streaming import run_ingest
-from .streaming.ingest import DEFAULT_STATE_PARTITIONS
+from .streaming.ingest import DEFAULT_STATE_PARTITIONS, write_hourly_readings_batch
 
 
 def _now_ms() -> int:
@@ -42,37 +45,37 @@ def _arg(args, i, default):
     return args[i] if len(args) > i else default
 
 
-@contextmanager
-def _readings(spark, opts, start, end):
-    """Readings of the range.  Parquet is re-scanned by each pass (pruned,
-    cheap); the reference's text layout is parsed once and kept (memory, then
-    local disk) for the job's passes, since parsing text twice costs more.
-    Lost blocks are recomputed from the text files."""
-    if opts.layout != "text":
-        yield read_hours(spark, opts.path, start, end, pad_hours=opts.pad_hours)
-        return
-    df = read_text_hours(spark, opts.path, start, end, pad_hours=opts.pad_hours)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield df
-    finally:
-        df.unpersist()
+def _options(pairs) -> dict:
+    return dict(kv.split("=", 1) for kv in pairs or [])
+
+
+def _readings(spark, opts, start, end) -> DataFrame:
+    """Readings of the range, scanned again by each pass of an analysis."""
+    if opts.layout == "text":
+        return read_text_hours(spark, opts.path, start, end, pad_hours=opts.pad_hours)
+    return read_hours(spark, opts.path, start, end)
+
+
+def _print(rows: DataFrame) -> None:
+    """Print every row, fetched a partition at a time."""
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join(map(str, row)))
 
 
 def _deliver_report(report, tenant, kind, opts):
     records = publish_report(report, tenant_id=tenant, kind=kind)
-    if opts.kafka:
-        write_kafka(records, opts.kafka)
+    if opts.kafka and not opts.print:
+        write_kafka(records, opts.kafka, _options(opts.kafka_option))
     else:
-        records.show(truncate=False)
+        _print(records)
 
 
 def _deliver_rows(rows, table, end_ms, opts):
-    if opts.jdbc_url:
-        props = dict(kv.split("=", 1) for kv in opts.jdbc_option or [])
-        append_recent(rows, opts.jdbc_url, table, end_ms, props)
+    if opts.jdbc_url and not opts.print:
+        append_recent(rows, opts.jdbc_url, table, end_ms, _options(opts.jdbc_option))
     else:
-        recent_rows(rows, end_ms).show(truncate=False)
+        _print(recent_rows(rows, end_ms))
 
 
 def data_analysis(spark: SparkSession, opts, args) -> None:
@@ -81,9 +84,8 @@ def data_analysis(spark: SparkSession, opts, args) -> None:
     parts = int(_arg(args, 5, 1))
     start = 0 if start < 0 else start
     end = _now_ms() if end < 0 else end
-    with _readings(spark, opts, start, end) as readings:
-        stats = bucket_stats(readings, start, end, parts, tenant, dtype, device)
-        _deliver_report(bucket_report(stats), tenant, "data", opts)
+    stats = bucket_stats(_readings(spark, opts, start, end), start, end, parts, tenant, dtype, device)
+    _deliver_report(bucket_report(stats), tenant, "data", opts)
 
 
 def device_analysis(spark: SparkSession, opts, args) -> None:
@@ -91,39 +93,50 @@ def device_analysis(spark: SparkSession, opts, args) -> None:
     start, end = int(_arg(args, 1, -1)), int(_arg(args, 2, -1))
     start = 0 if start < 0 else start
     end = _now_ms() if end < 0 else end
-    with _readings(spark, opts, start, end) as readings:
-        _deliver_report(device_report(device_type_stats(readings, start, end, tenant)), tenant, "device", opts)
+    stats = device_type_stats(_readings(spark, opts, start, end), start, end, tenant)
+    _deliver_report(device_report(stats), tenant, "device", opts)
 
 
 def recent_data_job(spark: SparkSession, opts, args) -> None:
     end = int(_arg(args, 0, _now_ms()))
-    with _readings(spark, opts, end - DAY_MS, end) as readings:
-        _deliver_rows(recent_data(readings, end, 1), opts.table or "recent_data", end, opts)
+    rows = recent_data(_readings(spark, opts, end - DAY_MS, end), end, 1)
+    _deliver_rows(rows, opts.table or "recent_data", end, opts)
 
 
 def recent_device_job(spark: SparkSession, opts, args) -> None:
     end, days = int(_arg(args, 0, _now_ms())), int(_arg(args, 1, 1))
-    with _readings(spark, opts, end - days * DAY_MS, end) as readings:
-        _deliver_rows(recent_device(readings, end, days), opts.table or "recent_device", end, opts)
+    rows = recent_device(_readings(spark, opts, end - days * DAY_MS, end), end, days)
+    _deliver_rows(rows, opts.table or "recent_device", end, opts)
 
 
 def ingest(spark: SparkSession, opts, args) -> None:
     if opts.files:
         records = message_records(message_file_stream(spark, opts.files), "value", "ingest_ts")
     else:
-        records = stream_device_messages(spark, opts.kafka, opts.topic)
+        records = stream_device_messages(spark, opts.kafka, opts.topic, options=_options(opts.kafka_option))
     trigger = {"availableNow": True} if opts.available_now else None
+    spark.conf.set(STATE_STORE_CONF, STATE_STORE)  # dedup state off the heap, checkpointed by changes
     q = run_ingest(records, opts.path, opts.checkpoint, trigger=trigger, time_source=opts.time_source,
-                   state_partitions=opts.state_partitions)
+                   state_partitions=opts.state_partitions, precombine=opts.precombine)
     q.awaitTermination()
 
 
+def convert(spark: SparkSession, opts, args) -> None:
+    """The reference's text layout -> the stored table (its hour is the folder's name)."""
+    root = opts.path.rstrip("/")
+    lines = spark.read.text(f"{root}/{TEXT_DIR_PREFIX}*").select("value", F.col("_metadata.file_path").alias("_file"))
+    hour = F.regexp_extract("_file", rf"/{TEXT_DIR_PREFIX}([0-9]+)/", 1).cast("bigint")
+    readings = parse_reading_lines(lines.withColumn(HOUR_END, hour), "value", keep=(HOUR_END,))
+    write_hourly_readings_batch(readings.select(*READING_FIELDS, TS, HOUR_END), opts.out)
+
+
 JOBS = {
     "ingest": ingest,
     "data-analysis": data_analysis,
     "device-analysis": device_analysis,
     "recent-data": recent_data_job,
     "recent-device": recent_device_job,
+    "convert": convert,
 }
 
 
@@ -131,13 +144,19 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="devicelens.jobs")
     p.add_argument("job", choices=sorted(JOBS))
     p.add_argument("args", nargs="*", help="the reference's positional arguments")
-    p.add_argument("--path", required=True, help="stored hourly readings (Parquet, by hour_end_ms)")
-    p.add_argument("--pad-hours", type=int, default=1,
-                   help="read hours this much around the range, for readings that arrive late")
+    p.add_argument("--path", required=True, help="stored hourly readings (Parquet, by event_day and hour_end_ms)")
+    p.add_argument("--out", help="table that convert appends to")
+    p.add_argument("--pad-hours", type=int,
+                   help="text layout: readings arrive at most this late, so read only folders around the range "
+                        "(default: read all)")
     p.add_argument("--layout", choices=["parquet", "text"], default="parquet",
                    help="text: the reference's device-data-<ms> comma-text folders")
     p.add_argument("--kafka", help="bootstrap servers: source of ingest, sink of reports")
     p.add_argument("--topic", default=SOURCE_TOPIC)
+    p.add_argument("--kafka-option", action="append",
+                   help="key=value of Spark's Kafka source or sink (maxOffsetsPerTrigger, kafka.security.protocol, ...)")
+    p.add_argument("--precombine", action="store_true",
+                   help="ingest: collapse copies across messages before the shuffle, in Python workers")
     p.add_argument("--files", help="ingest from JSON-lines message files instead of Kafka")
     p.add_argument("--checkpoint", help="checkpoint of the ingest query")
     p.add_argument("--available-now", action="store_true", help="ingest what is there, then stop")
@@ -160,6 +179,8 @@ def parse(argv=None):
             p.error("ingest needs --kafka or --files")
         if not opts.checkpoint:
             p.error("ingest needs --checkpoint (offsets and dedup state)")
+    if opts.job == "convert" and not opts.out:
+        p.error("convert needs --out")
     return opts
 
 

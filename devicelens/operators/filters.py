@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timecols import bucket_start, bucket_width, ts_literal
+from ..functions.timecols import TS_LIMIT_MS, bucket_start, bucket_width, ts_literal
 from ..schema import ANY_ID, BUCKET, DAY_MS, DEVICE, TENANT, TIME_MS, TS, TYPE
 
 
@@ -21,9 +23,11 @@ def filter_identity(df: DataFrame, tenant_id=None, device_type=None, device_id=N
     if _given(device_id):
         cond = cond & (F.col(DEVICE) == F.lit(str(device_id)))
     if _given(tenant_id):
-        try:
-            cond = cond & (F.col(TENANT) == F.lit(int(str(tenant_id))))
-        except ValueError:  # not a tenant number: matches nothing, as a text compare would
+        # As text: only a number's own digits match it (not " 7 ", "007", "1_000").
+        text = str(tenant_id)
+        if re.fullmatch("0|-?[1-9][0-9]*", text) and -(1 << 63) <= int(text) < 1 << 63:
+            cond = cond & (F.col(TENANT) == F.lit(int(text)))
+        else:
             cond = F.lit(False)
     if _given(device_type):
         cond = cond & (F.col(TYPE) == F.lit(str(device_type)))
@@ -44,7 +48,9 @@ def filter_time_range(df: DataFrame, start_ms: int, end_ms: int, closed: str = "
     s, e = int(start_ms), int(end_ms)
     t = F.col(TIME_MS)
     cond = (t >= F.lit(s)) & ((t < F.lit(e)) if closed == "left" else (t <= F.lit(e)))
-    if TS in df.columns and isinstance(df.schema[TS].dataType, (T.TimestampType, T.TimestampNTZType)):
+    # Beyond the range of TIMESTAMP, ``ts`` is NULL: a range that reaches there
+    # is decided by ``time_stamp`` alone.
+    if max(abs(s), abs(e)) < TS_LIMIT_MS and TS in df.columns and isinstance(df.schema[TS].dataType, (T.TimestampType, T.TimestampNTZType)):
         upper = e if closed == "left" else e + 1
         cond = (F.col(TS) >= ts_literal(df, s)) & (F.col(TS) < ts_literal(df, upper)) & cond
     return df.where(cond)

@@ -24,17 +24,16 @@ _DEVICE_SOURCE = [DEVICES, COUNT, USUAL, RATE]
 NO_DATA_JSON = '{"status":"%s"}' % NO_DATA_STATUS
 
 
-def _json_map(key: Column, val: str) -> Column:
-    entries = F.array_sort(F.collect_list(F.struct(key.cast("string").alias("k"), F.col(val).alias("v"))))
-    return F.to_json(F.map_from_entries(entries))
+def _report(stats: DataFrame, key: Column, sources, body) -> DataFrame:
+    # One list of whole rows, sorted once by key; the maps are read off it.
+    row = F.struct(key.cast("string").alias("k"), *[F.col(c) for c in sources])
+    agg = stats.agg(F.array_sort(F.collect_list(row)).alias("_rows"))
 
+    def json_map(name: str) -> Column:
+        return F.to_json(F.map_from_arrays(F.transform("_rows", lambda r: r["k"]), F.transform("_rows", lambda r: r[name])))
 
-def _report(stats: DataFrame, key: Column, sources, body) -> DataFrame:
-    maps = [_json_map(key, c).alias(f"_m{i}") for i, c in enumerate(sources)]
-    agg = stats.agg(F.count(F.lit(1)).alias("_n"), *maps)
-    parts = [F.col(f"_m{i}") for i in range(len(sources))]
-    ok = F.concat(F.lit('{"status":"%s","data":' % OK_STATUS), body(parts), F.lit("}"))
-    return agg.select(F.when(F.col("_n") == 0, F.lit(NO_DATA_JSON)).otherwise(ok).alias("value"))
+    ok = F.concat(F.lit('{"status":"%s","data":' % OK_STATUS), body([json_map(c) for c in sources]), F.lit("}"))
+    return agg.select(F.when(F.size("_rows") == 0, F.lit(NO_DATA_JSON)).otherwise(ok).alias("value"))
 
 
 def bucket_report(stats: DataFrame) -> DataFrame:
@@ -59,18 +58,22 @@ def device_report(stats: DataFrame) -> DataFrame:
     return _report(stats, F.col(TYPE), _DEVICE_SOURCE, body)
 
 
-def bucket_report_rows(report: DataFrame) -> DataFrame:
-    """A bucket report parsed back to (status, metric, bucket, value) rows."""
+def bucket_report_rows(report: DataFrame, keep=()) -> DataFrame:
+    """A bucket report parsed back to (status, metric, bucket, value) rows, after the
+    columns in ``keep`` (a record's topic, say)."""
+    keep = list(keep)
     p = F.from_json("value", "status string, data array<map<string,double>>")
-    x = report.select(p.alias("r")).select("r.status", F.posexplode_outer("r.data").alias("i", "m"))
+    x = report.select(*keep, p.alias("_r")).select(*keep, "_r.status", F.posexplode_outer("_r.data").alias("i", "m"))
     names = F.array(*[F.lit(n) for n in BUCKET_METRICS])
-    x = x.select("status", F.element_at(names, F.col("i") + 1).alias("metric"), F.explode_outer("m"))
-    return x.select("status", "metric", F.col("key").alias("bucket"), F.col("value"))
+    x = x.select(*keep, "status", F.element_at(names, F.col("i") + 1).alias("metric"), F.explode_outer("m").alias("_k", "_v"))
+    return x.select(*keep, "status", "metric", F.col("_k").alias("bucket"), F.col("_v").alias("value"))
 
 
-def device_report_rows(report: DataFrame) -> DataFrame:
-    """A device report parsed back to (status, metric, device_type, value) rows."""
+def device_report_rows(report: DataFrame, keep=()) -> DataFrame:
+    """A device report parsed back to (status, metric, device_type, value) rows, after
+    the columns in ``keep``."""
+    keep = list(keep)
     p = F.from_json("value", "status string, data map<string,map<string,double>>")
-    x = report.select(p.alias("r")).select("r.status", F.explode_outer("r.data").alias("metric", "m"))
-    x = x.select("status", "metric", F.explode_outer("m"))
-    return x.select("status", "metric", F.col("key").alias(TYPE), F.col("value"))
+    x = report.select(*keep, p.alias("_r")).select(*keep, "_r.status", F.explode_outer("_r.data").alias("metric", "m"))
+    x = x.select(*keep, "status", "metric", F.explode_outer("m").alias("_k", "_v"))
+    return x.select(*keep, "status", "metric", F.col("_k").alias(TYPE), F.col("_v").alias("value"))

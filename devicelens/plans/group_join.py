@@ -17,12 +17,13 @@ How pass 2 joins, decided per call:
    groups, readings and bytes (fixed row width plus the actual string
    lengths).  Within the session's ``spark.sql.autoBroadcastJoinThreshold``:
    broadcast.
-3. Beyond the budget: split the groups.  With N readings and P shuffle
-   partitions, a *hot* group has more than N / P readings, so there are fewer
-   than P hot groups.  Readings of hot groups meet their broadcast statistics
-   where they are read (no shuffle, however many copies a hot group holds).
-   The other readings are shuffled on the group key to meet the rest of the
-   statistics; there, no group brings more than N / P readings to a task.
+3. Beyond the budget: split the groups.  Of N readings, a *hot* group has more
+   than N / HOT_GROUPS, so there are fewer than HOT_GROUPS hot groups.  Readings
+   of hot groups meet their broadcast statistics where they are read (no
+   shuffle, however many copies a hot group holds).  The other readings are
+   shuffled on the group key to meet the rest of the statistics; there, no
+   group brings more than N / HOT_GROUPS readings to a task.  With hot groups
+   the readings are scanned three times in all, without them twice.
    When the measurements show no hot group at all, that shuffled join is the
    whole plan (one scan of the readings).
 
@@ -42,6 +43,8 @@ from ..schema import COUNT, VALUE
 from ..session import materialize
 
 WEIGHT = "_w"
+#: A group with more than 1/HOT_GROUPS of the readings is hot.
+HOT_GROUPS = 1000
 
 
 @dataclass
@@ -108,7 +111,8 @@ def plan_group_stats(stats: DataFrame, keys, *, static_groups: int | None = None
                                       largest.alias("x")))
     m = obs.get
     groups, rows, var_bytes = m["g"], m["n"], m["v"]
-    size = groups * _fixed_width(stats.schema) + (var_bytes or 0)
+    # Spark's hash table keeps the key beside the row: count both.
+    size = 2 * (groups * _fixed_width(stats.schema) + (var_bytes or 0))
     if max_broadcast_rows is None:
         fits = 0 < size <= broadcast_bytes(stats.sparkSession) or groups == 0
     else:
@@ -127,19 +131,17 @@ def attach_group_stats(rows: DataFrame, gs: GroupStats, count_col: str = COUNT)
 
 
 def _split_join(r: DataFrame, gs: GroupStats, stat_cols, count_col: str) -> DataFrame:
-    spark = r.sparkSession
     keys = gs.keys
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    threshold = (gs.rows or 0) // parts  # > threshold is hot: fewer than `parts` such groups
+    threshold = (gs.rows or 0) // HOT_GROUPS  # > threshold is hot: fewer than HOT_GROUPS such groups
     r = r.withColumn(WEIGHT, F.lit(1).cast("bigint"))
     if gs.largest is not None and gs.largest <= threshold:
         # No hot group (known from the measurements): one shuffled join, one scan.
         return r.join(gs.df.hint("shuffle_hash"), keys, "inner")
     hot = gs.df.where(F.col(count_col) > F.lit(threshold))
     cold = gs.df.where(F.col(count_col) <= F.lit(threshold))
-    # Hot groups: statistics broadcast (bounded by `parts` rows), readings stay put.
+    # Hot groups: statistics broadcast (fewer than HOT_GROUPS rows), readings stay put.
     hot_rows = r.join(F.broadcast(hot), keys, "inner")
-    # Cold groups: shuffled join; no group holds more than N / P readings.  The
+    # Cold groups: shuffled join; no group holds more than N / HOT_GROUPS readings.  The
     # hint keeps Spark from broadcasting statistics it cannot size.
     cold_rows = r.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(
         cold.hint("shuffle_hash"), keys, "inner"

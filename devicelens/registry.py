@@ -2,8 +2,11 @@
 
 Every query reads whole tables (``events``, or ``lineitem`` for the larger
 variants) through the mapping in :mod:`devicelens.fixtures`; parameters are
-the fixed ones of FIXTURES.md.  Doubles are rounded to 6 places in both
-engines so that summation order does not matter.
+the fixed ones of FIXTURES.md.  Means and deviations are rounded in both
+engines so that summation order does not matter; all else is compared exactly.
+
+Building a frame can run jobs: statistics that have no static bound are
+materialized and measured first, and queries that stream or write do so.
 
 Besides one query per operator, ``*_split`` variants force the strategy that
 statistics too large to broadcast take, and the ingest is registered both
@@ -28,10 +31,12 @@ from .operators.report import bucket_report, bucket_report_rows, device_report,
 from .schema import BUCKET, DAY_MS, DEVICE, HOUR_END, READING_FIELDS, TENANT, TIME_MS, TYPE, VALUE
 from .session import prepare_session, scratch_path
 from .sinks import publish_report, recent_rows
-from .sources import format_reading_lines, parse_device_messages, parse_reading_lines, read_hours
+from .sources import (
+    format_reading_lines, parse_device_messages, parse_reading_lines, read_hours, read_reading_lines, read_text_hours,
+)
 from .sources.messages import message_file_stream, message_records
 from .streaming import run_ingest, write_hourly_readings_batch
-from .streaming.ingest import DEFAULT_WATERMARK
+from .streaming.ingest import DEFAULT_WATERMARK, compact_hours
 
 S, E, PARTS = fx.START_MS, fx.END_MS, fx.PARTS
 GAP = 259_200_000  # bucket_width(S, E, 10)
@@ -40,26 +45,33 @@ LI_S, LI_E, LI_PARTS, LI_GAP = 788_918_400_000, 1_009_843_200_000, 12, 18_410_40
 RANGE_S, RANGE_E = S + 10 * DAY_MS, S + 20 * DAY_MS
 HOURS_S, HOURS_E = S + 5 * DAY_MS, S + 6 * DAY_MS
 VIEW_TYPE = "view"
+REPORT_TENANT = 7
+LATE_DAYS = 6
 
 
-# Doubles are compared at 6 places.  Summation order differs between engines,
-# so a mean that is exactly on a 6-place tie (e.g. a sum over 32 readings)
-# can come out one ulp below the tie in one engine and on it in the other.  A
-# relative nudge far above that noise (1e-11) moves both to the same side.
-NUDGE = 1 + 1e-11
+# Largest and smallest values, counts and rates (one division of two counts) are
+# the same number in both engines and are compared as they are.  Means and
+# deviations depend on the order of summation in the last digits, so both are
+# rounded where no mean lies half-way between two results: events have two decimals
+# and groups of few readings, whose means end before 9 places; line items (values up
+# to 100,000, large groups) are rounded to 1.
+DIGITS = 9
+LI_DIGITS = 1
+ROUNDED = ("mean_value", "stddev_value")
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(
-        *[F.round(F.col(f.name) * F.lit(NUDGE), digits).alias(f.name)
-          if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-          for f in df.schema.fields]
-    )
+def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in ROUNDED if c in df.columns})
+
+
+def rounded_report(rows: DataFrame, digits: int = DIGITS) -> DataFrame:
+    """Report rows (metric, ..., value) with means and deviations rounded."""
+    return rows.withColumn("value", F.when(F.col("metric").isin("mean", "stdev"), F.round("value", digits)).otherwise(F.col("value")))
 
 
-def R(expr: str) -> str:
-    """The same 6-place rounding in DuckDB."""
-    return f"round(CAST({expr} AS DOUBLE) * (1 + 1e-11), 6)"
+def R(expr: str, digits: int = DIGITS) -> str:
+    """The same rounding in DuckDB."""
+    return f"round(CAST({expr} AS DOUBLE), {digits})"
 
 
 def _events(spark, sf_dir):
@@ -76,8 +88,8 @@ def _messages(readings: DataFrame) -> DataFrame:
     """Device messages built from readings: one per device and second, sent
     (ingested) at its last reading."""
     g = readings.groupBy(TENANT, DEVICE, F.expr(f"{TIME_MS} div 1000").alias("_sec")).agg(
-        F.collect_list(F.struct(F.col(TYPE).alias("key"), F.col(VALUE).alias("value"),
-                                F.col(TIME_MS).alias("ts"))).alias("data"),
+        F.array_sort(F.collect_list(F.struct(F.col(TYPE).alias("key"), F.col(VALUE).alias("value"),
+                                             F.col(TIME_MS).alias("ts")))).alias("data"),
         F.max(TIME_MS).alias("_last"),
     )
     return g.select(
@@ -150,11 +162,57 @@ def q_parse_device_messages(spark, sf_dir):
     return parse_device_messages(_messages(_events(spark, sf_dir))).select(*READING_FIELDS)
 
 
+# Every message of a tenant with the given remainder of 7 gets a bad or odd element after its first one.
+_ODD_ELEMENTS = {
+    1: '{"key":"x","ts":1}',                                # a member is missing: the rest is lost
+    2: '{"key":"x","value":"1.5","ts":1}',                  # a text for a number
+    3: 'null',
+    4: '{"key":"x","value":1e400,"ts":1}',                  # infinite, and good
+    5: '{"key":"x","value":1.5,"ts":1704067200000000000}',  # nanoseconds: kept, without a timestamp
+    6: '7',
+}
+
+
+def q_parse_device_messages_bad(spark, sf_dir):
+    messages = _messages(_events(spark, sf_dir))
+    odd = F.create_map(*[F.lit(x) for kv in _ODD_ELEMENTS.items() for x in kv])[(F.get_json_object("value", "$.tenantId").cast("int") % 7)]
+    at = F.locate("}", F.col("value"))  # end of the first element
+    value = F.concat(F.substring("value", F.lit(1), at), F.lit(","), odd, F.substring("value", at + 1, F.length("value")))
+    bad = messages.withColumn("value", F.coalesce(value, F.col("value")))
+    return parse_device_messages(bad).select(*READING_FIELDS, F.col("ts").isNull().alias("no_timestamp"))
+
+
 def q_read_reading_lines(spark, sf_dir):
     lines = format_reading_lines(_events(spark, sf_dir))
     return parse_reading_lines(lines).select(*READING_FIELDS)
 
 
+def q_read_text_file(spark, sf_dir):
+    path = scratch_path(spark, "lines")
+    format_reading_lines(_events(spark, sf_dir)).write.text(path)
+    return read_reading_lines(spark, path).select(*READING_FIELDS)
+
+
+def q_read_text_hours(spark, sf_dir):
+    """The text layout with one folder a week, named by arrival; every reading comes days late."""
+    root, week = scratch_path(spark, "text-hours"), 7 * DAY_MS
+    readings = _events(spark, sf_dir)
+    first, last = readings.agg(F.min(TIME_MS), F.max(TIME_MS)).first()
+    for start in range(first // week * week, last + 1, week):
+        part = readings.where(F.col(TIME_MS).between(start, start + week - 1))
+        format_reading_lines(part).write.text(f"{root}/device-data-{start + week + LATE_DAYS * DAY_MS}")
+    return filter_time_range(read_text_hours(spark, root, RANGE_S, RANGE_E), RANGE_S, RANGE_E).select(*READING_FIELDS)
+
+
+def q_read_hours_late(spark, sf_dir):
+    """Readings that arrive up to LATE_DAYS days late (a few arrive before their own time)."""
+    path = scratch_path(spark, "hours-late")
+    late = F.expr(f"make_dt_interval(0, pmod({TIME_MS}, {LATE_DAYS * 24}) - 3)")
+    r = _events(spark, sf_dir).withColumn("ingest_ts", F.col("ts").cast("timestamp") + late)
+    write_hourly_readings_batch(hourly_distinct_readings(r, "ingest_ts"), path)
+    return filter_time_range(read_hours(spark, path, RANGE_S, RANGE_E), RANGE_S, RANGE_E).select(*READING_FIELDS)
+
+
 def _ingest_copies(spark, sf_dir):
     r = _events(spark, sf_dir).withColumn("ingest_ts", F.col("ts").cast("timestamp"))
     return r.unionByName(r)
@@ -167,12 +225,19 @@ def q_hourly_distinct_readings(spark, sf_dir):
 def q_read_hours(spark, sf_dir):
     path = scratch_path(spark, "hours")
     write_hourly_readings_batch(hourly_distinct_readings(_ingest_copies(spark, sf_dir), "ingest_ts"), path)
-    return read_hours(spark, path, HOURS_S, HOURS_E).select(*READING_FIELDS, HOUR_END)
+    return filter_time_range(read_hours(spark, path, HOURS_S, HOURS_E), HOURS_S, HOURS_E).select(*READING_FIELDS, HOUR_END)
 
 
-def _stream_messages(spark, sf_dir):
+def _stream_messages(spark, sf_dir, batches: int = 1):
     src = scratch_path(spark, "messages")
-    _messages(_events(spark, sf_dir)).write.json(src)
+    messages = _messages(_events(spark, sf_dir))
+    if batches > 1:  # each half in one file, a file a batch; the second repeats the first half's messages
+        messages = messages.withColumn("_half", F.xxhash64("value") % 2).withColumn("_half", F.abs("_half"))
+        first = messages.where("_half = 0").drop("_half")
+        first.coalesce(1).write.json(src)
+        messages.drop("_half").coalesce(1).write.mode("append").json(src)
+        return message_records(message_file_stream(spark, src, 1), "value", "ingest_ts")
+    messages.write.json(src)
     return message_records(message_file_stream(spark, src), "value", "ingest_ts")
 
 
@@ -197,6 +262,18 @@ def q_ingest_processing_time(spark, sf_dir):
     return spark.read.parquet(out).select(*READING_FIELDS)
 
 
+def q_ingest_two_batches(spark, sf_dir):
+    """Two micro-batches of which the second repeats all messages of the first, then compacted."""
+    records = _stream_messages(spark, sf_dir, batches=2)
+    out, ckpt = scratch_path(spark, "hourly-2b"), scratch_path(spark, "hourly-2b-ckpt")
+    # The watermark spans the table, so that no hour closes between the batches.
+    run_ingest(records, out, ckpt, trigger={"availableNow": True}, watermark="60 days", time_source="record",
+               state_partitions=4).awaitTermination()
+    compacted = scratch_path(spark, "hourly-2b-compact")
+    compact_hours(spark, out, compacted, 0, E + 400 * DAY_MS)
+    return read_hours(spark, compacted, 0, E + 400 * DAY_MS).select(*READING_FIELDS, HOUR_END)
+
+
 def q_stream_device_messages(spark, sf_dir):
     records = _stream_messages(spark, sf_dir)
     out, ckpt = scratch_path(spark, "readings"), scratch_path(spark, "readings-ckpt")
@@ -210,21 +287,30 @@ def q_stream_device_messages(spark, sf_dir):
 
 def q_bucket_report(spark, sf_dir):
     stats = bucket_stats(_events(spark, sf_dir), S, E, PARTS)
-    return rounded(bucket_report_rows(bucket_report(stats)))
+    return rounded_report(bucket_report_rows(bucket_report(stats)))
 
 
 def q_device_report(spark, sf_dir):
     stats = device_type_stats(_events(spark, sf_dir), S, E)
-    return rounded(device_report_rows(device_report(stats)))
+    return rounded_report(device_report_rows(device_report(stats)))
 
 
 def q_publish_report(spark, sf_dir):
+    """Records of the bucket report, their value parsed back to rows."""
     stats = bucket_stats(_events(spark, sf_dir), S, E, PARTS)
-    return publish_report(bucket_report(stats), tenant_id=None, kind="data")
+    records = publish_report(bucket_report(stats), tenant_id=None, kind="data")
+    return rounded_report(bucket_report_rows(records, keep=("topic", "key")))
+
+
+def q_publish_device_report(spark, sf_dir):
+    """Records of one tenant's device report, their value parsed back to rows."""
+    stats = device_type_stats(_events(spark, sf_dir), S, E, REPORT_TENANT)
+    records = publish_report(device_report(stats), tenant_id=REPORT_TENANT, kind="device")
+    return rounded_report(device_report_rows(records, keep=("topic", "key")))
 
 
 def q_bucket_stats_lineitem(spark, sf_dir):
-    return rounded(bucket_stats(_lineitem(spark, sf_dir), LI_S, LI_E, LI_PARTS))
+    return rounded(bucket_stats(_lineitem(spark, sf_dir), LI_S, LI_E, LI_PARTS), LI_DIGITS)
 
 
 def q_device_type_stats_lineitem(spark, sf_dir):
@@ -232,7 +318,7 @@ def q_device_type_stats_lineitem(spark, sf_dir):
 
 
 def q_recent_data_lineitem(spark, sf_dir):
-    return rounded(recent_data(_lineitem(spark, sf_dir), LI_E, 365))
+    return rounded(recent_data(_lineitem(spark, sf_dir), LI_E, 365), LI_DIGITS)
 
 
 # The same analyses forced onto the strategy for statistics too large to
@@ -247,6 +333,21 @@ def q_recent_data_split(spark, sf_dir):
     return rounded(recent_data(_events(spark, sf_dir), E, 1, max_broadcast_rows=0))
 
 
+def q_bucket_stats_split(spark, sf_dir):
+    return rounded(bucket_stats(_events(spark, sf_dir), S, E, PARTS, max_broadcast_rows=0))
+
+
+def q_recent_device_split(spark, sf_dir):
+    return rounded(recent_device(_events(spark, sf_dir), E, 7, max_broadcast_rows=0))
+
+
+def q_usual_counts_hot(spark, sf_dir):
+    """Few groups, each with more than 1/HOT_GROUPS of the readings: all are hot."""
+    r = _events(spark, sf_dir)
+    st = group_stats(r, [TYPE], ddof=0)
+    return usual_counts(r, st, [TYPE], ddof=0, max_broadcast_rows=0)
+
+
 def q_recent_device_lineitem(spark, sf_dir):
     return rounded(recent_device(_lineitem(spark, sf_dir), LI_E, 365))
 
@@ -281,6 +382,15 @@ QUERIES = {
     "recent_data_lineitem": q_recent_data_lineitem,
     "device_type_stats_split": q_device_type_stats_split,
     "recent_data_split": q_recent_data_split,
+    "recent_device_split": q_recent_device_split,
+    "bucket_stats_split": q_bucket_stats_split,
+    "usual_counts_hot": q_usual_counts_hot,
+    "publish_device_report": q_publish_device_report,
+    "parse_device_messages_bad": q_parse_device_messages_bad,
+    "read_text_file": q_read_text_file,
+    "read_text_hours": q_read_text_hours,
+    "read_hours_late": q_read_hours_late,
+    "ingest_two_batches": q_ingest_two_batches,
 }
 
 
@@ -303,7 +413,7 @@ SIGMA_POP = "st.sd = 0 OR abs(r.value - st.mean) <= 3 * st.sd"
 SIGMA_SAMP = "st.n = 1 OR abs(r.value - st.mean) < 3 * st.sd"
 
 
-def _bucket_sql(base, s, e, gap, where="TRUE"):
+def _bucket_sql(base, s, e, gap, where="TRUE", digits=DIGITS):
     return f"""
 WITH {base},
 r AS (SELECT value, {s} + ((time_stamp - {s}) // {gap}) * {gap} AS bucket_start FROM readings
@@ -312,19 +422,19 @@ st AS (SELECT bucket_start, max(value) AS mx, min(value) AS mn, avg(value) AS me
        count(*) AS n FROM r GROUP BY bucket_start),
 u AS (SELECT r.bucket_start, count(*) AS u FROM r JOIN st ON r.bucket_start = st.bucket_start
       WHERE {SIGMA_POP} GROUP BY r.bucket_start)
-SELECT st.bucket_start, {R('mx')} AS max_value, {R('mn')} AS min_value, {R('mean')} AS mean_value,
-       {R('sd')} AS stddev_value, n AS data_count, u AS usual_data_count, {R('u / n')} AS usual_data_rate
+SELECT st.bucket_start, mx AS max_value, mn AS min_value, {R('mean', digits)} AS mean_value,
+       {R('sd', digits)} AS stddev_value, n AS data_count, u AS usual_data_count, u / n AS usual_data_rate
 FROM st JOIN u ON st.bucket_start = u.bucket_start"""
 
 
-def _device_sql(base, s, e, select_all=True):
+def _device_sql(base, s, e, select_all=True, where="TRUE"):
     usual = f"count(*) FILTER (WHERE {SIGMA_POP})"
     cols = (
         f"count(DISTINCT r.device_id) AS device_count, count(*) AS data_count, {usual} AS usual_data_count, "
-        f"{R(f'{usual} / count(*)')} AS usual_data_rate"
+        f"{usual} / count(*) AS usual_data_rate"
         if select_all else f"{usual} AS usual_data_count"
     )
-    time = f"WHERE time_stamp >= {s} AND time_stamp <= {e}" if s is not None else ""
+    time = f"WHERE time_stamp >= {s} AND time_stamp <= {e} AND {where}" if s is not None else ""
     return f"""
 WITH {base},
 r AS (SELECT device_type, device_id, value FROM readings {time}),
@@ -333,7 +443,7 @@ SELECT r.device_type, {cols}
 FROM r JOIN st ON r.device_type = st.device_type AND r.device_id = st.device_id GROUP BY r.device_type"""
 
 
-def _recent_data_sql(base, e, days, with_date=False):
+def _recent_data_sql(base, e, days, with_date=False, digits=DIGITS):
     date = f", CAST(make_timestamp({e} * 1000) AS DATE) AS date" if with_date else ""
     return f"""
 WITH {base},
@@ -341,9 +451,9 @@ r AS (SELECT tenant_id, device_type, value FROM readings
       WHERE time_stamp >= {e - days * DAY_MS} AND time_stamp <= {e}),
 st AS (SELECT tenant_id, device_type, max(value) AS mx, min(value) AS mn, avg(value) AS mean,
        stddev_samp(value) AS sd, count(*) AS n FROM r GROUP BY 1, 2)
-SELECT st.tenant_id, st.device_type, {R('max(mx)')} AS max_value, {R('max(mn)')} AS min_value,
-       {R('max(mean)')} AS mean_value, {R('coalesce(max(sd), 0)')} AS stddev_value, max(n) AS data_count,
-       count(*) AS usual_data_count, {R('count(*) / max(n)')} AS usual_data_rate{date}
+SELECT st.tenant_id, st.device_type, max(mx) AS max_value, max(mn) AS min_value,
+       {R('max(mean)', digits)} AS mean_value, {R('coalesce(max(sd), 0)', digits)} AS stddev_value, max(n) AS data_count,
+       count(*) AS usual_data_count, count(*) / max(n) AS usual_data_rate{date}
 FROM r JOIN st ON r.tenant_id = st.tenant_id AND r.device_type = st.device_type
 WHERE {SIGMA_SAMP}
 GROUP BY st.tenant_id, st.device_type"""
@@ -357,30 +467,34 @@ r AS (SELECT tenant_id, device_type, device_id, value FROM readings
 st AS (SELECT tenant_id, device_type, count(DISTINCT device_id) AS dc, avg(value) AS mean,
        stddev_samp(value) AS sd, count(*) AS n FROM r GROUP BY 1, 2)
 SELECT st.tenant_id, st.device_type, max(dc) AS device_count, max(n) AS data_count,
-       count(*) AS usual_data_count, {R('count(*) / max(n)')} AS usual_data_rate
+       count(*) AS usual_data_count, count(*) / max(n) AS usual_data_rate
 FROM r JOIN st ON r.tenant_id = st.tenant_id AND r.device_type = st.device_type
 WHERE {SIGMA_SAMP}
 GROUP BY st.tenant_id, st.device_type"""
 
 
-def _report_sql(inner, name, key_sql, pairs):
+def _report_sql(inner, name, key_sql, pairs, record=""):
     parts = " UNION ALL ".join(
-        f"SELECT 'success' AS status, '{metric}' AS metric, {key_sql}, {R(col)} AS value FROM {name}"
+        f"SELECT {record}'success' AS status, '{metric}' AS metric, {key_sql}, CAST({col} AS DOUBLE) AS value FROM {name}"
         for metric, col in pairs
     )
     return f"WITH {name} AS ({inner}) {parts}"
 
 
-BUCKET_REPORT_SQL = _report_sql(
-    _bucket_sql(EV, S, E, GAP), "b", "CAST(bucket_start AS VARCHAR) AS bucket",
-    [("max", "max_value"), ("min", "min_value"), ("mean", "mean_value"), ("stdev", "stddev_value"),
-     ("count", "data_count"), ("usualCount", "usual_data_count"), ("usualRate", "usual_data_rate")],
-)
-DEVICE_REPORT_SQL = _report_sql(
-    _device_sql(EV, S, E), "d", "device_type",
-    [("deviceCount", "device_count"), ("dataCount", "data_count"), ("usualDataCount", "usual_data_count"),
-     ("usualDataRate", "usual_data_rate")],
-)
+_BUCKET_METRICS = [("max", "max_value"), ("min", "min_value"), ("mean", "mean_value"), ("stdev", "stddev_value"),
+                   ("count", "data_count"), ("usualCount", "usual_data_count"), ("usualRate", "usual_data_rate")]
+_DEVICE_METRICS = [("deviceCount", "device_count"), ("dataCount", "data_count"), ("usualDataCount", "usual_data_count"),
+                   ("usualDataRate", "usual_data_rate")]
+
+
+def _bucket_report_sql(record=""):
+    return _report_sql(_bucket_sql(EV, S, E, GAP), "b", "CAST(bucket_start AS VARCHAR) AS bucket", _BUCKET_METRICS, record)
+
+
+def _device_report_sql(where="TRUE", record=""):
+    return _report_sql(_device_sql(EV, S, E, where=where), "d", "device_type", _DEVICE_METRICS, record)
+
+
 DISTINCT_HOURS = f"SELECT DISTINCT {FIVE}, {HOUR_END_SQL} AS hour_end_ms FROM readings"
 
 ORACLE = {
@@ -391,14 +505,14 @@ ORACLE = {
     "recent_device": _recent_device_sql(EV, E, 7),
     "append_recent_rows": _recent_data_sql(EV, E, 1, with_date=True),
     "group_stats": f"""WITH {EV}
-SELECT tenant_id, device_type, {R('max(value)')} AS max_value, {R('min(value)')} AS min_value,
+SELECT tenant_id, device_type, max(value) AS max_value, min(value) AS min_value,
        {R('avg(value)')} AS mean_value, {R('stddev_pop(value)')} AS stddev_value, count(*) AS data_count,
        count(DISTINCT device_id) AS device_count
 FROM readings GROUP BY tenant_id, device_type""",
     "usual_counts": _device_sql(EV, None, None, select_all=False),
     "usual_rate": f"""WITH {EV},
 st AS (SELECT tenant_id, avg(value) AS mean, stddev_samp(value) AS sd, count(*) AS n FROM readings GROUP BY 1)
-SELECT st.tenant_id, max(n) AS data_count, count(*) AS usual_data_count, {R('count(*) / max(n)')} AS usual_data_rate
+SELECT st.tenant_id, max(n) AS data_count, count(*) AS usual_data_count, count(*) / max(n) AS usual_data_rate
 FROM readings r JOIN st ON r.tenant_id = st.tenant_id
 WHERE {SIGMA_SAMP} GROUP BY st.tenant_id""",
     "filter_identity": f"WITH {EV} SELECT {FIVE} FROM readings WHERE device_type = '{VIEW_TYPE}'",
@@ -412,16 +526,38 @@ FROM readings WHERE time_stamp >= {S} AND time_stamp < {E}""",
     "read_reading_lines": f"WITH {EV} SELECT {FIVE} FROM readings",
     "hourly_distinct_readings": f"WITH {EV} {DISTINCT_HOURS}",
     "read_hours": f"""WITH {EV}, h AS ({DISTINCT_HOURS})
-SELECT * FROM h WHERE hour_end_ms BETWEEN {HOURS_S - 3600000} AND {HOURS_E + 2 * 3600000}""",
+SELECT * FROM h WHERE time_stamp >= {HOURS_S} AND time_stamp < {HOURS_E}""",
+    "read_hours_late": f"""WITH {EV}
+SELECT DISTINCT {FIVE} FROM readings WHERE time_stamp >= {RANGE_S} AND time_stamp < {RANGE_E}""",
+    "read_text_file": f"WITH {EV} SELECT {FIVE} FROM readings",
+    "read_text_hours": f"""WITH {EV}
+SELECT {FIVE} FROM readings WHERE time_stamp >= {RANGE_S} AND time_stamp < {RANGE_E}""",
+    "ingest_two_batches": f"WITH {EV} {DISTINCT_HOURS}",
+    "parse_device_messages_bad": f"""WITH {EV},
+m AS (SELECT {FIVE}, tenant_id % 7 AS kind, count(*) OVER w AS n,
+             row_number() OVER (PARTITION BY tenant_id, device_id, time_stamp // 1000 ORDER BY device_type, value, time_stamp) AS k
+      FROM readings WINDOW w AS (PARTITION BY tenant_id, device_id, time_stamp // 1000))
+SELECT {FIVE}, FALSE AS no_timestamp FROM m WHERE k = 1 OR kind IN (0, 4, 5)
+UNION ALL SELECT tenant_id, 'x', device_id, CASE WHEN kind = 4 THEN CAST('Infinity' AS DOUBLE) ELSE 1.5 END,
+                 CASE WHEN kind = 4 THEN 1 ELSE 1704067200000000000 END, kind = 5 FROM m WHERE k = 1 AND kind IN (4, 5)""",
+    "usual_counts_hot": f"""WITH {EV},
+st AS (SELECT device_type, avg(value) AS mean, stddev_pop(value) AS sd FROM readings GROUP BY 1)
+SELECT r.device_type, count(*) AS usual_data_count FROM readings r JOIN st ON r.device_type = st.device_type
+WHERE {SIGMA_POP} GROUP BY r.device_type""",
     "write_hourly_readings": f"WITH {EV} {DISTINCT_HOURS}",
     "stream_device_messages": f"WITH {EV} SELECT {FIVE} FROM readings",
     "ingest_processing_time": f"WITH {EV} SELECT DISTINCT {FIVE} FROM readings",
-    "bucket_report": BUCKET_REPORT_SQL,
-    "device_report": DEVICE_REPORT_SQL,
-    "bucket_stats_lineitem": _bucket_sql(LI, LI_S, LI_E, LI_GAP),
+    "bucket_report": _bucket_report_sql(),
+    "device_report": _device_report_sql(),
+    "publish_report": _bucket_report_sql("'-1_data' AS topic, 'Statistics' AS key, "),
+    "publish_device_report": _device_report_sql(f"tenant_id = {REPORT_TENANT}",
+                                                f"'{REPORT_TENANT}_device' AS topic, 'Statistics' AS key, "),
+    "bucket_stats_lineitem": _bucket_sql(LI, LI_S, LI_E, LI_GAP, digits=LI_DIGITS),
     "device_type_stats_lineitem": _device_sql(LI, LI_S, LI_E),
     "recent_device_lineitem": _recent_device_sql(LI, LI_E, 365),
-    "recent_data_lineitem": _recent_data_sql(LI, LI_E, 365),
+    "recent_data_lineitem": _recent_data_sql(LI, LI_E, 365, digits=LI_DIGITS),
     "device_type_stats_split": _device_sql(EV, S, E),
     "recent_data_split": _recent_data_sql(EV, E, 1),
+    "recent_device_split": _recent_device_sql(EV, E, 7),
+    "bucket_stats_split": _bucket_sql(EV, S, E, GAP),
 }

@@ -12,7 +12,7 @@ A *reading* is one measurement of one device:
 Invariants:
 
 - when ``ts`` is present, ``time_stamp`` is ``ts`` floored to the
-  millisecond.  Time filters use ``time_stamp`` for the exact rule and add an
+  millisecond (``ts`` is NULL where TIMESTAMP cannot hold the number).  Time filters use ``time_stamp`` for the exact rule and add an
   implied predicate on ``ts`` so that Parquet can skip row groups;
 - ``tenant_id``, ``device_type`` and ``device_id`` are never NULL (every reader
   here drops or rejects such rows).  The analyses join readings to their
@@ -30,6 +30,7 @@ VALUE = "value"
 TIME_MS = "time_stamp"
 TS = "ts"
 HOUR_END = "hour_end_ms"
+EVENT_DAY = "event_day"
 BUCKET = "bucket_start"
 
 READING_FIELDS = [TENANT, TYPE, DEVICE, VALUE, TIME_MS]
@@ -45,6 +46,7 @@ READINGS = T.StructType(
 )
 
 # Stored readings: the five fields plus the native timestamp; partitioned by
+# EVENT_DAY (days since 1970 of the reading's own time, see sources.hours) and
 # HOUR_END (epoch ms of the end of the ingest hour).
 STORED_READINGS = T.StructType(READINGS.fields + [T.StructField(TS, T.TimestampType())])
 

@@ -8,6 +8,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "devicelens",
@@ -27,8 +29,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Dedup state of the ingest stream lives off-heap and is checkpointed
         # incrementally.
-        .config("spark.sql.streaming.stateStore.providerClass",
-                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        .config(STATE_STORE_CONF, STATE_STORE)
     )
     for k, v in (extra or {}).items():
         b = b.config(k, v)
@@ -38,31 +39,33 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
-def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
-                 partition_bytes: int = 256 << 20, broadcast_bytes: int = 64 << 20) -> dict:
-    """Settings for a cluster run over ``input_bytes`` of readings, to pass to
-    spark-submit (``--conf k=v``).
-
-    Shuffle partitions are sized so that one partition holds about
-    ``partition_bytes`` of input (and never fewer than two waves of tasks);
-    AQE then merges small ones and splits skewed ones at runtime.  The split
-    strategy of plans.group_join reads the same setting: a group is hot above
-    N / partitions readings.  ``broadcast_bytes`` is the most a measured
-    statistics frame may weigh to be broadcast (about 900k groups at 64 MB);
-    size it to what every executor can hold beside its tasks."""
+def cluster_conf(shuffled_bytes: int, executors: int, cores_per_executor: int,
+                 partition_bytes: int = 256 << 20, broadcast_bytes: int = 64 << 20,
+                 scan_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run, to pass to spark-submit (``--conf k=v``).
+
+    ``shuffled_bytes`` is what the largest shuffle moves, not the input: the
+    aggregates combine in the map tasks, so it is about map tasks x groups of a
+    task x row width (some 100 bytes), and only the readings of cold groups, a few
+    columns wide, where the statistics are too large to broadcast.  A shuffle
+    partition holds about ``partition_bytes`` of that (never fewer than two waves
+    of tasks); AQE merges small ones and splits skewed ones at run time.  When a
+    group counts as hot is a setting of its own (plans.group_join.HOT_GROUPS).
+    ``scan_bytes`` sizes the tasks that read; ``broadcast_bytes`` is the most a
+    measured statistics frame may weigh to be broadcast (Spark's hash table keeps
+    the key beside the row: allow each executor twice that)."""
     slots = max(executors * cores_per_executor, 1)
-    partitions = max(-(-int(input_bytes) // int(partition_bytes)), 2 * slots)
+    partitions = max(-(-int(shuffled_bytes) // int(partition_bytes)), 2 * slots)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        STATE_STORE_CONF: STATE_STORE,
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 

@@ -1,53 +1,72 @@
-"""Stored readings partitioned by ingest hour."""
+"""Stored readings, partitioned by event day and ingest hour."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import HOUR_END, HOUR_MS, STORED_READINGS
-from .paths import range_glob
+from ..schema import DAY_MS, EVENT_DAY, HOUR_END, STORED_READINGS, TIME_MS
+from .paths import range_alternatives
 
-STORED_SCHEMA = T.StructType(STORED_READINGS.fields + [T.StructField(HOUR_END, T.LongType())])
+STORED_SCHEMA = T.StructType(STORED_READINGS.fields + [T.StructField(EVENT_DAY, T.LongType()), T.StructField(HOUR_END, T.LongType())])
 
+#: Event day of readings whose clock is further from their ingest hour than
+#: FAR_DAYS (or before 1970): one folder that every read includes.
+FAR_DAY = -1
+FAR_DAYS = 30
+#: Folder in which a streaming query commits the files of its batches.
+COMMIT_LOG = "_spark_metadata"
 
-def hour_bounds(start_ms: int, end_ms: int, pad_hours: int = 1) -> tuple[int, int]:
-    """Closed range of ``hour_end_ms`` values that can hold ``[start, end]``.
 
-    A reading at ``t`` that arrives by ``t + pad`` sits in an hour ending at
-    most 1 h after its arrival, so ``hour_end`` lies in ``[start - pad,
-    end + pad + 1 h]``.  Readings later than ``pad`` are not found; callers
-    with late devices raise ``pad_hours``."""
-    pad = int(pad_hours) * HOUR_MS
-    return int(start_ms) - pad, int(end_ms) + pad + HOUR_MS
+def event_day(time_ms: str = TIME_MS, hour_end: str = HOUR_END) -> Column:
+    """Partition value of a reading: days since 1970 of its own time, FAR_DAY if far off.
 
+    So a device with a broken clock cannot make folders without end, and an
+    honest but late reading still lies under the day that queries ask for."""
+    day = F.floor(F.col(time_ms) / F.lit(float(DAY_MS))).cast("bigint")
+    arrived = F.floor((F.col(hour_end) - 1) / F.lit(float(DAY_MS))).cast("bigint")
+    return F.when((day >= 0) & (F.abs(day - arrived) <= FAR_DAYS), day).otherwise(F.lit(FAR_DAY)).cast("bigint")
 
-def hour_partition_filter(start_ms: int, end_ms: int, pad_hours: int = 1):
-    lo, hi = hour_bounds(start_ms, end_ms, pad_hours)
-    return F.col(HOUR_END).between(F.lit(lo), F.lit(hi))
 
+def day_bounds(start_ms: int, end_ms: int) -> tuple[int, int]:
+    """Closed range of event days that hold ``[start, end]``."""
+    return int(start_ms) // DAY_MS, int(end_ms) // DAY_MS
 
-def read_hours(spark: SparkSession, path: str, start_ms: int, end_ms: int, pad_hours: int = 1) -> DataFrame:
-    """Read only the hour partitions that can hold ``[start, end]``.
 
-    The candidate partition folders are named in one glob whose alternatives
-    are the decimal prefixes covering exactly ``[start - pad, end + pad +
-    1 h]`` (a few dozen, however long the range), so only those folders are
-    listed; partition discovery over the whole table would list every hour
-    ever stored.  The partition predicate stays in the plan as well
-    (``PartitionFilters``); the exact time filter is the analysis' own."""
-    lo, hi = hour_bounds(start_ms, end_ms, pad_hours)
-    names = range_glob(lo, hi)
-    if names is None:
-        return spark.createDataFrame([], STORED_SCHEMA)
+def day_partition_filter(start_ms: int, end_ms: int) -> Column:
+    lo, hi = day_bounds(start_ms, end_ms)
+    return F.col(EVENT_DAY).between(F.lit(lo), F.lit(hi)) | (F.col(EVENT_DAY) == FAR_DAY)
+
+
+def has_commit_log(spark: SparkSession, path: str) -> bool:
+    """Was the table at ``path`` written by a streaming query?"""
+    jvm = spark.sparkContext._jvm
+    log = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/" + COMMIT_LOG)
+    return log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log)
+
+
+def read_hours(spark: SparkSession, path: str, start_ms: int, end_ms: int) -> DataFrame:
+    """Every stored reading that can lie in ``[start, end]``, however late it
+    arrived; only its event days (and FAR_DAY) are read (O6).
+
+    A table that a stream writes is read through the stream's commit log, so
+    files of a batch that never committed are not seen; no folder is listed.
+    Otherwise the day folders are named in one glob whose alternatives are the
+    decimal prefixes covering exactly the days, so that only those are listed.
+    The partition predicate is in the plan either way (``PartitionFilters``);
+    the exact time filter is the analysis' own."""
     root = path.rstrip("/")
-    reader = spark.read.schema(STORED_SCHEMA).option("basePath", path)
+    reader = spark.read.schema(STORED_SCHEMA)
     try:
-        df = reader.parquet(f"{root}/{HOUR_END}={names}")
-    except AnalysisException as e:  # no hour of the range was stored
+        if has_commit_log(spark, path):
+            df = reader.parquet(path)
+        else:
+            days = range_alternatives(*day_bounds(start_ms, end_ms)) + [str(FAR_DAY)]
+            df = reader.option("basePath", path).parquet(f"{root}/{EVENT_DAY}={{{','.join(days)}}}")
+    except AnalysisException as e:  # no day of the range was stored
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
         return spark.createDataFrame([], STORED_SCHEMA)
-    return df.where(hour_partition_filter(start_ms, end_ms, pad_hours))
+    return df.where(day_partition_filter(start_ms, end_ms))

@@ -21,38 +21,51 @@ from .paths import range_glob
 _INT = r"^[+-]?[0-9]+$"
 
 
-def _fields(line: Column) -> Column:
-    return F.split(F.regexp_replace(line, ",+$", ""), ",", -1)
+_PARTS = "_parts"
 
 
-def _typed(line: str):
-    p = _fields(F.col(line))
-    tenant = F.when(p[0].rlike(_INT), p[0].try_cast("bigint"))
-    ms = F.when(p[4].rlike(_INT), p[4].try_cast("bigint"))
-    val = p[3].try_cast("double")
-    ok = (F.size(p) == F.lit(5)) & tenant.isNotNull() & val.isNotNull() & ms.isNotNull()
-    return p, tenant, val, ms, ok
+def _split(df: DataFrame, line: str, keep=()) -> DataFrame:
+    """(line, fields), each line split once: the optimizer cannot copy a split
+    that stands behind an explode into every expression that reads it."""
+    fields = F.split(F.rtrim(F.col(line), F.lit(",")), ",", -1)
+    return df.select(*keep, F.col(line).alias("_line"), F.explode(F.array(fields)).alias(_PARTS))
 
 
-def parse_reading_lines(df: DataFrame, line_col: str = "value", mode: str = "FAILFAST"):
+def _int(text: Column) -> Column:
+    """Number of digits with an optional sign, else NULL.  Only a text that is not
+    its number's own (a plus sign, leading zeros, blanks) pays for the pattern."""
+    n = text.try_cast("bigint")
+    return F.when(n.cast("string") == text, n).when(text.rlike(_INT), n)
+
+
+def _typed(parts: Column):
+    p = [F.get(parts, F.lit(i)) for i in range(5)]
+    tenant, val, ms = _int(p[0]), p[3].try_cast("double"), _int(p[4])
+    ok = (F.size(parts) == F.lit(5)) & tenant.isNotNull() & val.isNotNull() & ms.isNotNull()
+    return p, tenant, val, ms, F.coalesce(ok, F.lit(False))
+
+
+def parse_reading_lines(df: DataFrame, line_col: str = "value", mode: str = "FAILFAST", keep=()):
     """Lines -> readings.  ``FAILFAST`` (default, the reference's behaviour)
     raises on the first bad line; ``PERMISSIVE`` returns ``(readings,
-    bad_lines)``."""
-    p, tenant, val, ms, ok = _typed(line_col)
+    bad_lines)``.  Columns in ``keep`` are carried along."""
+    x = _split(df, line_col, keep)
+    p, tenant, val, ms, ok = _typed(F.col(_PARTS))
     cols = [
         tenant.alias(TENANT), p[1].alias(TYPE), p[2].alias(DEVICE), val.alias(VALUE), ms.alias(TIME_MS),
+        *keep,
     ]
     if mode.upper() == "FAILFAST":
-        checked = df.where(
+        checked = x.where(
             F.when(ok, F.lit(True)).otherwise(
-                F.raise_error(F.concat(F.lit("malformed reading line: "), F.col(line_col)))
+                F.raise_error(F.concat(F.lit("malformed reading line: "), F.col("_line")))
             )
         )
         out = checked.select(*cols)
         return out.withColumn(TS, ms_to_ts(TIME_MS))
     if mode.upper() == "PERMISSIVE":
-        good = df.where(ok).select(*cols)
-        bad = df.where(~ok).select(F.col(line_col).alias("line"))
+        good = x.where(ok).select(*cols)
+        bad = x.where(~ok).select(F.col("_line").alias("line"))
         return good.withColumn(TS, ms_to_ts(TIME_MS)), bad
     raise ValueError("mode must be FAILFAST or PERMISSIVE")
 
@@ -71,16 +84,21 @@ def format_reading_lines(df: DataFrame) -> DataFrame:
 TEXT_DIR_PREFIX = "device-data-"
 
 
-def read_text_hours(spark: SparkSession, root: str, start_ms: int, end_ms: int, pad_hours: int = 1,
+def read_text_hours(spark: SparkSession, root: str, start_ms: int, end_ms: int, pad_hours: int | None = None,
                     mode: str = "FAILFAST"):
     """Readings of ``[start, end]`` from the reference's layout: comma text in
     one folder ``device-data-<window end ms>`` per hourly window.
 
-    Only folders whose window end lies in ``[start - pad, end + pad + 1 h]``
-    are read, named by one glob of prefix alternatives, so nothing else is
-    listed.  The exact time filter is the analysis' own."""
-    lo, hi = max(int(start_ms) - int(pad_hours) * HOUR_MS, 0), int(end_ms) + (int(pad_hours) + 1) * HOUR_MS
-    names = range_glob(lo, hi)
+    Folders are named by arrival, so a reading of the range can be in any of
+    them: by default all are read (convert the layout once to the stored table,
+    which prunes by event day).  A caller who knows how late readings arrive at
+    most may give ``pad_hours``: then only folders whose window end lies in
+    ``[start - pad, end + pad + 1 h]`` are read, named by one glob of prefix
+    alternatives.  The exact time filter is the analysis' own."""
+    if pad_hours is None:
+        names = "*"
+    else:
+        names = range_glob(max(int(start_ms) - int(pad_hours) * HOUR_MS, 0), int(end_ms) + (int(pad_hours) + 1) * HOUR_MS)
     if names is None:
         return _empty(spark, mode)
     # Folders, not files: Spark lists them and skips _SUCCESS and checksum files.

@@ -3,12 +3,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import hourly_distinct_readings
-from ..schema import BATCH_INTERVAL, DEVICE, HOUR_END, HOUR_MS, READING_FIELDS, TENANT, TYPE
+from ..schema import BATCH_INTERVAL, DEVICE, EVENT_DAY, HOUR_END, HOUR_MS, READING_FIELDS, TENANT, TYPE
+from ..sources.hours import event_day, has_commit_log, read_hours
 from ..sources.messages import parse_device_messages
 
 DEFAULT_WATERMARK = "5 minutes"
@@ -16,6 +17,17 @@ DEFAULT_WATERMARK = "5 minutes"
 # checkpoint).  Size them to one micro-batch, not to the batch analyses: each
 # partition writes its own file per hour per batch.
 DEFAULT_STATE_PARTITIONS = 32
+#: Rows of one micro-batch that a state partition is meant for.
+ROWS_PER_STATE_PARTITION = 500_000
+
+
+def state_partitions_for(rows_per_batch: int, slots: int) -> int:
+    """State partitions for a new checkpoint: one per ROWS_PER_STATE_PARTITION rows that
+    a micro-batch is expected to bring (readings per second x trigger interval, at the
+    busiest), at least one, and in whole waves of the cluster's ``slots`` beyond one wave.
+    Also the number of files that a batch adds to an hour, until it is compacted."""
+    n = max(1, -(-int(rows_per_batch) // ROWS_PER_STATE_PARTITION))
+    return n if n <= slots else -(-n // slots) * slots
 
 
 _PRE_KEY = "_pre_hour"
@@ -58,7 +70,7 @@ def precombine_copies(readings: DataFrame) -> DataFrame:
 
 
 def readings_stream(records: DataFrame, watermark: str = DEFAULT_WATERMARK,
-                    time_source: str = "processing", precombine: bool = True) -> DataFrame:
+                    time_source: str = "processing", precombine: bool = False) -> DataFrame:
     """(``value``, ``ingest_ts``) records -> de-duplicated readings with
     ``hour_end_ms``.
 
@@ -73,14 +85,16 @@ def readings_stream(records: DataFrame, watermark: str = DEFAULT_WATERMARK,
     than ``watermark`` behind the newest one seen, whose hour has closed,
     are dropped.
 
-    ``precombine`` collapses copies before the shuffle (see
-    :func:`precombine_copies`)."""
+    Copies inside one message are dropped before they become rows.
+    ``precombine`` also collapses copies across the messages of a task before
+    the shuffle, in Python workers (see :func:`precombine_copies`): for devices
+    that flood one reading in many messages."""
     if time_source == "processing":
         records = records.withColumn("ingest_ts", F.current_timestamp())
         watermark = "0 seconds"
     elif time_source != "record":
         raise ValueError("time_source must be 'processing' or 'record'")
-    readings = parse_device_messages(records, "value", keep=("ingest_ts",))
+    readings = parse_device_messages(records, "value", keep=("ingest_ts",), distinct=True)
     if precombine:
         readings = precombine_copies(readings)
     return hourly_distinct_readings(readings, "ingest_ts", watermark=watermark)
@@ -89,7 +103,7 @@ def readings_stream(records: DataFrame, watermark: str = DEFAULT_WATERMARK,
 def write_hourly_readings(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                           query_name: str | None = None,
                           state_partitions: int = DEFAULT_STATE_PARTITIONS) -> StreamingQuery:
-    """Append readings to Parquet partitioned by ``hour_end_ms``.
+    """Append readings to Parquet partitioned by ``event_day`` and ``hour_end_ms``.
 
     ``trigger`` defaults to the reference's 5-minute batches; tests pass
     ``{"availableNow": True}``.  The checkpoint keeps source offsets and the
@@ -97,9 +111,9 @@ def write_hourly_readings(df: DataFrame, path: str, checkpoint: str, trigger: di
     ``state_partitions`` applies only to a new checkpoint; the query takes
     the session's settings when it starts, so it is set just for ``start``."""
     w = (
-        df.writeStream.format("parquet")
+        df.withColumn(EVENT_DAY, event_day()).writeStream.format("parquet")
         .outputMode("append")
-        .partitionBy(HOUR_END)
+        .partitionBy(EVENT_DAY, HOUR_END)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
@@ -120,24 +134,42 @@ def write_hourly_readings(df: DataFrame, path: str, checkpoint: str, trigger: di
         conf.set("spark.sql.shuffle.partitions", before)
 
 
-def write_hourly_readings_batch(df: DataFrame, path: str) -> None:
+def write_hourly_readings_batch(df: DataFrame, path: str, mode: str = "append") -> None:
     """Batch form of O4: append a de-duplicated frame to the same layout.
 
+    Refuses a path that a stream writes: readers go by the stream's commit log
+    and would not see the files.
+
     The ``rebalance`` hint lets AQE send each hour to few tasks (splitting a
     large hour into advisory-size pieces, merging small ones), so an hour is
     a handful of files instead of one per task.  Within a task, rows are
     sorted by hour, tenant, type and device: the writer needs the hour order
     anyway, and clustered identity columns let Parquet's row-group statistics
     skip most of an hour for a tenant/type/device filter."""
-    clustered = df.hint("rebalance", HOUR_END).sortWithinPartitions(HOUR_END, TENANT, TYPE, DEVICE)
-    clustered.write.mode("append").partitionBy(HOUR_END).parquet(path)
+    if has_commit_log(df.sparkSession, path):
+        raise ValueError(f"{path} is written by a stream; append to a table of its own")
+    days = df.withColumn(EVENT_DAY, event_day())
+    clustered = days.hint("rebalance", EVENT_DAY, HOUR_END).sortWithinPartitions(EVENT_DAY, HOUR_END, TENANT, TYPE, DEVICE)
+    (clustered.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(EVENT_DAY, HOUR_END).parquet(path))
+
+
+def compact_hours(spark: SparkSession, source: str, target: str, from_hour_end: int, to_hour_end: int) -> None:
+    """Copy the closed ingest hours ``from <= hour_end_ms < to`` of a streamed table to the
+    table ``target``, a few files a folder, clustered like any batch.
+
+    Each (event day, hour) folder of ``target`` is replaced as a whole, so a run that was
+    lost half-way is simply run again.  Read ``target`` for compacted hours, ``source``
+    for later ones; files under the stream's log are never touched."""
+    hours = read_hours(spark, source, 0, (1 << 62)).where(F.col(HOUR_END).between(int(from_hour_end), int(to_hour_end) - 1))
+    write_hourly_readings_batch(hours.drop(EVENT_DAY), target, mode="overwrite")
 
 
 def run_ingest(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                watermark: str = DEFAULT_WATERMARK, state_partitions: int = DEFAULT_STATE_PARTITIONS,
-               time_source: str = "processing") -> StreamingQuery:
+               time_source: str = "processing", precombine: bool = False) -> StreamingQuery:
     """Start the whole ingest query on a streaming frame of records."""
-    return write_hourly_readings(readings_stream(records, watermark, time_source), path, checkpoint, trigger,
+    return write_hourly_readings(readings_stream(records, watermark, time_source, precombine), path, checkpoint, trigger,
                                  state_partitions=state_partitions)
 
 

@@ -167,3 +167,31 @@ def test_precombine_collapses_copies_before_the_shuffle(spark, readings):
     other_hour = readings([(1, "t", "hot", 1.0, 10)]).withColumn("ingest_ts", ms_to_ts(F.lit(6 * H)))
     both = precombine_copies(df.unionByName(other_hour).coalesce(1))
     assert hourly_distinct_readings(both, "ingest_ts").where(F.col("device_id") == "hot").count() == 2
+
+
+def test_default_ingest_has_no_python_step(spark, tmpdir_path):
+    from devicelens.streaming.ingest import readings_stream
+
+    src = tmpdir_path + "/in"
+    _write_messages(spark, src, [("{}", None)])
+    records = message_records(message_file_stream(spark, src), "value", "ingest_ts")
+    assert "InArrow" not in readings_stream(records)._jdf.queryExecution().logical().toString()
+    assert "InArrow" in readings_stream(records, precombine=True)._jdf.queryExecution().logical().toString()
+
+
+def test_nanosecond_message_passes_the_ingest(spark, tmpdir_path):
+    src, out = tmpdir_path + "/in", tmpdir_path + "/out"
+    el = {"key": "t", "value": 1.0, "ts": 1704067200000000000}
+    _write_messages(spark, src, [(json.dumps({"tenantId": 1, "deviceId": "d", "data": [el, el, {**el, "ts": 5}]}), None)])
+    records = message_records(message_file_stream(spark, src), "value", "ingest_ts")
+    run_ingest(records, out, tmpdir_path + "/ckpt", trigger={"availableNow": True}).awaitTermination()
+    rows = spark.read.parquet(out).collect()
+    assert sorted((r.time_stamp, r.ts is None, r.event_day) for r in rows) == [(5, False, -1), (1704067200000000000, True, -1)]
+
+
+def test_state_partitions_rule():
+    from devicelens.streaming.ingest import state_partitions_for
+
+    assert state_partitions_for(0, 8) == 1
+    assert state_partitions_for(3_000_000, 100) == 6
+    assert state_partitions_for(100_000_000, 64) == 256

@@ -57,3 +57,54 @@ def test_job_on_reference_text_layout(spark, tmpdir_path, capsys):
 def test_ingest_arguments_checked(argv):
     with pytest.raises(SystemExit):
         parse(argv)
+
+
+def test_print_overrides_targets(spark, monkeypatch, capsys):
+    from devicelens import jobs
+
+    def refuse(*a, **k):
+        raise AssertionError("delivered")
+
+    monkeypatch.setattr(jobs, "write_kafka", refuse)
+    monkeypatch.setattr(jobs, "append_recent", refuse)
+    opts = parse(["recent-data", "--path", "p", "--kafka", "h:1", "--jdbc-url", "jdbc:x", "--print"])
+    rows = spark.createDataFrame([(i, float(i)) for i in range(45)], "tenant_id long, value double")
+    jobs._deliver_rows(rows, "t", 0, opts)
+    out = capsys.readouterr().out
+    assert len(out.strip().splitlines()) == 46  # a heading and every row
+    jobs._deliver_report(spark.createDataFrame([("{}",)], "value string"), None, "data", opts)
+    assert "-1_data" in capsys.readouterr().out
+
+
+def test_kafka_options_reach_source_and_sink(spark, monkeypatch):
+    from devicelens import jobs
+
+    opts = parse(["data-analysis", "--path", "p", "--kafka", "h:1", "--kafka-option", "kafka.acks=all", "--kafka-option", "a=b=c"])
+    seen = []
+    monkeypatch.setattr(jobs, "write_kafka", lambda records, servers, options: seen.append((servers, options)))
+    jobs._deliver_report(spark.createDataFrame([("{}",)], "value string"), None, "data", opts)
+    assert seen == [("h:1", {"kafka.acks": "all", "a": "b=c"})]
+
+
+@pytest.mark.parametrize("tenant", ["1_000", " 7 ", "007", "+7", "x", "1" * 30])
+def test_tenant_matches_as_text(spark, tenant):
+    from devicelens.operators import filter_identity
+
+    df = spark.createDataFrame([(7,), (1000,)], "tenant_id long")
+    assert filter_identity(df, tenant_id=tenant).count() == 0
+    assert filter_identity(df, tenant_id="7").count() == filter_identity(df, tenant_id=7).count() == 1
+
+
+def test_convert_text_layout(spark, tmpdir_path):
+    from devicelens.schema import READING_FIELDS
+    from devicelens.sources import format_reading_lines, read_hours
+
+    r = fx.event_readings(spark, SF_SMALL)
+    root, out = tmpdir_path + "/text", tmpdir_path + "/table"
+    ends = [fx.START_MS + 10 * 86_400_000, fx.START_MS + 40 * 86_400_000]
+    for half, end in enumerate(ends):
+        format_reading_lines(r.where(f"pmod(time_stamp, 2) = {half}")).write.text(f"{root}/device-data-{end}")
+    run(spark, ["convert", "--path", root, "--out", out])
+    got = read_hours(spark, out, fx.START_MS, fx.END_MS)
+    assert got.select(READING_FIELDS).exceptAll(r.select(READING_FIELDS)).count() == 0 and got.count() == r.count()
+    assert {x.hour_end_ms for x in got.select("hour_end_ms").distinct().collect()} == set(ends)

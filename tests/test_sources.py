@@ -147,7 +147,10 @@ def test_read_text_hours(spark, tmpdir_path):
     got = read_text_hours(spark, root, base + 2 * h, base + 3 * h, pad_hours=0)
     # windows ending in [start, end + 1 h] = hours 2, 3, 4
     assert sorted(r.value for r in got.collect()) == [2.0, 2.5, 3.0, 3.5, 4.0, 4.5]
-    assert read_text_hours(spark, root, base + 100 * h, base + 101 * h).count() == 0
+    assert read_text_hours(spark, root, base + 100 * h, base + 101 * h, pad_hours=1).count() == 0
+    # by default every folder is read: a reading can arrive at any time after its own
+    assert read_text_hours(spark, root, base + 100 * h, base + 101 * h).count() == 12
+    assert read_text_hours(spark, tmpdir_path + "/nothing", base, base + h).count() == 0
 
 
 def test_text_after_complete_message_is_ignored(spark):  # D11
@@ -174,3 +177,34 @@ def test_range_alternatives_match_exactly(lo, hi):
         if n >= 0:
             assert matches(n) == (lo <= n <= hi), n
     assert len(alts) <= 2 * 9 * len(str(hi)) + 2
+
+
+def test_numbers_beyond_long_and_timestamp(spark):
+    el = lambda v, ts: '{"key":"t","value":%s,"ts":%s}' % (v, ts)
+    def message(*els, tenant="7"):
+        return '{"tenantId":%s,"deviceId":"d","data":[%s]}' % (tenant, ",".join(els))
+
+    big = (1 << 63) - 1
+    rows = parse_device_messages(spark.createDataFrame(
+        [(message(el("1", "1704067200000000000"), el("2", "1e400"), el("3", "5")),),
+         (message(el("1", "-9.3e18"), tenant="1e300"),)], "value string")).collect()
+    assert sorted((r.tenant_id, r.value, r.time_stamp, r.ts is None) for r in rows) == [
+        (7, 1.0, 1704067200000000000, True), (7, 2.0, big, True), (7, 3.0, 5, False), (big, 1.0, -(1 << 63), True)]
+
+
+@pytest.mark.parametrize("tail", ["", ',{"key":"t"}', ",7", ",null"])
+def test_verdict_does_not_depend_on_neighbours(spark, tail):
+    good = '{"key":"t","value":1,"ts":5}'
+    text = '{"tenantId":7,"deviceId":"d","data":[%s,{"key":"t","value":1e400,"ts":5},%s%s]}' % (good, good, tail)
+    assert [r[3] for r in parse(spark, [text])] == [1.0, float("inf"), 1.0]
+    text = '{"tenantId":7,"deviceId":"d","data":[%s,{"key":"t","value":"Infinity","ts":5},%s%s]}' % (good, good, tail)
+    assert [r[3] for r in parse(spark, [text])] == [1.0]
+
+
+def test_lines_with_nanoseconds_and_one_split(spark):
+    df = lines(spark, ["1,t,d,2.5,1704067200000000000", "+2,t,d,1,007"])
+    got = parse_reading_lines(df)
+    assert [(r.tenant_id, r.time_stamp, r.ts is None) for r in got.collect()] == [(1, 1704067200000000000, True), (2, 7, False)]
+    good, bad = parse_reading_lines(lines(spark, ["1,t,d,1, 5", "1,t,d,1,5"]), mode="PERMISSIVE")
+    assert good.count() == 1 and bad.count() == 1
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
