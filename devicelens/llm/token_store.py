@@ -30,7 +30,8 @@ from .hyperminhash import mix
 
 GAMMA = 1.6                  # bits per key of a level
 MAX_LEVELS = 64
-CACHE = 500_000              # remembered words per worker
+CACHE = 700_000              # words of a generation of a worker's memory (two are kept)
+LETTER_WORDS = 2000          # words encoded as one text
 MAX_WORD = 64
 MANIFEST = "shard long, name string, first long, last long, n_docs long, n_tokens long"
 INDEX_MAGIC = b"MPHIDX01"
@@ -55,7 +56,7 @@ class PerfectHash:
 
     @staticmethod
     def place(keys: np.ndarray, level: int, bits: int) -> np.ndarray:
-        return mix(keys + np.uint64(level + 1) * ODD) % np.uint64(bits)
+        return mix(keys + np.uint64((level + 1) * int(ODD) % (1 << 64))) % np.uint64(bits)
 
     @classmethod
     def build(cls, keys: np.ndarray) -> PerfectHash:
@@ -153,22 +154,56 @@ class Encoder:
         self.tokenizer.no_padding()
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = "<u2" if self.vocabulary <= 1 << 16 else "<u4"
+        # remembered words, in two generations: a full one becomes the old one
         self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def fresh(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words, in one dictionary.
+
+        Words of letters are one piece each of the pre-tokenizer, so many are encoded as
+        one text and told apart by piece; a text whose pieces are not as many as its words
+        is encoded word by word, like all other words."""
+        out, letters, others = {}, [], []
+        for w in words:
+            (letters if (s := w.decode()).isalpha() else others).append(s)
+        for k in range(0, len(letters), LETTER_WORDS):
+            part = letters[k:k + LETTER_WORDS]
+            got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            piece = np.array(got.word_ids)
+            cut = np.flatnonzero(piece[1:] != piece[:-1]) + 1
+            if len(cut) + 1 != len(part):
+                others += part
+                continue
+            ids, width = np.array(got.ids, self.dtype).tobytes(), np.dtype(self.dtype).itemsize
+            ends = [*(cut * width).tolist(), len(ids)]
+            out.update((w.encode(), ids[a:b]) for w, a, b in zip(part, [0, *ends], ends))
+        if others:
+            got = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+            out.update((w.encode(), np.array(e.ids, self.dtype).tobytes()) for w, e in zip(others, got))
+        return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        own = known
-        if new:
-            got = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            fresh = {w: np.array(e.ids, self.dtype).tobytes() for w, e in zip(new, got)}
-            short = {w: v for w, v in fresh.items() if len(w) <= MAX_WORD}
-            if len(known) + len(short) > CACHE or len(short) < len(fresh):
-                own = {w: known[w] for words in split for w in words if w in known} | fresh
-                if len(known) + len(short) > CACHE:
-                    known.clear()
-            known.update(short)
+        known, old = self.known, self.old
+        new = {w for words in split for w in words if w not in known}
+        # a last stop or comma behind a letter or digit is a piece of its own
+        marked = [w for w in new if w not in old and len(w) > 1 and w[-1:] in b".," and w[-2:-1].isalnum()]
+        bases = {x for w in marked for x in (w[:-1], w[-1:])}
+        get = {w: old[w] for w in new | bases if w in old}
+        wanted = [w for w in (new | bases).difference(marked) if w not in get and w not in known]
+        get |= self.fresh(wanted) if wanted else {}
+        for w in marked:
+            a, b = w[:-1], w[-1:]
+            get[w] = (get.get(a) or known[a]) + (get.get(b) or known[b])
+        if any(len(w) > MAX_WORD for w in get):
+            own = {w: known[w] for words in split for w in words if w in known} | get
+        else:
+            own = known
+        if len(known) + len(get) > CACHE:
+            own = {w: known[w] for words in split for w in words if w in known} | get
+            self.old, self.known = known, {}
+        self.known.update((w, v) for w, v in get.items() if len(w) <= MAX_WORD)
         return [b"".join(map(own.__getitem__, words)) for words in split]
 
 
