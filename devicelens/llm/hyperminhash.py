@@ -302,8 +302,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     Jaccard similarity of at least ``percent`` / 100; a text with fewer words is one
     shingle. ``component_id`` is the least doc_id reachable by links, ``kept`` marks it.
     NULL or wordless texts have an empty set and no links. A row without doc_id has
-    component NULL and is kept. Rows that repeat a doc_id are judged each by its own
-    text. Other columns are not read."""
+    component NULL and is kept. Texts under one doc_id are nodes of one name: what is
+    linked to one of them is linked to the others that the id stands for. Other columns
+    are not read."""
     parts = shuffle_partitions(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = stored(docs.withColumn("body", F.xxhash64("text")).mapInArrow(_signatures(words), SIGNATURE), "near-signatures")
@@ -376,7 +377,8 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
     """``docs`` without the rows that :func:`near_duplicates` does not keep: of every
     component the document with the least doc_id stays. All columns stay as they are."""
     judged = near_duplicates(docs, words, percent)
-    out = stored(judged.where(~F.col("kept")).select(F.col("doc_id").alias("_doc"), F.col("body").alias("_body")).distinct(), "near-dropped")
+    out = stored(judged.where(~F.col("kept")).select("doc_id", "body").distinct(), "near-dropped")
     if out.count() <= MAX_BROADCAST_KEYS:
         out = F.broadcast(out)
-    return docs.join(out, (F.col("doc_id").cast("long") == F.col("_doc")) & (F.xxhash64("text") == F.col("_body")), "left_anti")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("body"))
+    return rows.join(out, ["doc_id", "body"], "left_anti").select("row.*")
