@@ -1,6 +1,6 @@
 """Line dedup by an exact set-similarity join (operator 5).
 
-A line is the set of its lower-cased words. Lines with the same set form a class, and
+A line is the set of its lower-cased words. Lines of the same text form a class, and
 only the first line of a class takes part in the join. Its words are ordered by
 rarity; two sets with a Jaccard similarity of 0.8 share a word among the rarest few
 (prefix filter), at places that leave enough words behind them (positional filter),
@@ -22,17 +22,20 @@ from pyspark.sql import functions as F
 from .common import join_group_facts, join_salted, stored
 
 SPACES = r"[\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]"
 #: Words are counted in cells of their hash: a table of fixed size, whatever the vocabulary.
 CELL_BITS = 17
-#: Most lines whose keys (32 bytes each) are broadcast to fetch their words; more are joined by a shuffle.
-MAX_BROADCAST_LINES = 400_000
+#: Most lines whose keys (20 bytes each) are broadcast, to take them out or to fetch
+#: their words; more meet by a shuffle.
+MAX_BROADCAST_LINES = 1_000_000
 LAST = (1 << 63) - 1
+KEY = ["doc", "body", "line"]
 
 
-def word_set(line: Column) -> Column:
-    """Sorted 64-bit hashes of a line's distinct words."""
-    words = F.filter(F.split(F.lower(line), SPACES), lambda w: w != "")
-    return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
+def word_hashes(line: Column) -> Column:
+    """64-bit hashes of a line's distinct words."""
+    words = F.array_distinct(F.array_remove(F.split(F.lower(line), SPACES), ""))
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
 def least_overlap(a: Column, b: Column, percent: int) -> Column:
@@ -40,71 +43,67 @@ def least_overlap(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / (100 + percent))
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("body"), text.alias("text"))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("body"), text.alias("text"))
+    return rows.select("doc", "body", F.posexplode(F.split("text", "\n")).alias("line", "words_of"))
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return _texts(docs, id_col, text_col).select("doc", "body", F.posexplode(F.split("text", "\n")).alias("line", "words_of"))
+def _key() -> Column:
+    return F.struct(*KEY)
 
 
-def _key() -> Column:
-    return F.struct("doc", "body", "line")
+def bounded(keys: DataFrame) -> DataFrame:
+    """Line keys, to be broadcast if there are few enough."""
+    return F.broadcast(keys) if keys.count() <= MAX_BROADCAST_LINES else keys
 
 
-def cell_levels(sets: DataFrame) -> bytes:
-    """A byte below 128 for every cell of words, rising with the logarithm of its count.
+def cell_levels(docs: DataFrame, text_col: str) -> str:
+    """A number below 128 for every cell of words, rising with the logarithm of its count (JSON).
 
     The counts cover all lines; the driver gets one number a cell, 2**CELL_BITS at most."""
-    cell = F.col("w").bitwiseAND((1 << CELL_BITS) - 1)
-    counts = sets.select(F.explode("set").alias("w")).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    levels = bytearray(1 << CELL_BITS)
-    for row in counts.toLocalIterator():
+    words = F.explode(F.split(F.replace(F.lower(F.col(text_col)), F.lit("\n"), F.lit(" ")), " "))
+    cells = docs.select(words.alias("w")).select(F.xxhash64("w").bitwiseAND((1 << CELL_BITS) - 1).cast("int").alias("cell"))
+    levels = [0] * (1 << CELL_BITS)
+    for row in cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).toLocalIterator():
         levels[row.cell] = min(127, int(4 * math.log2(row.n + 1)))
-    return bytes(levels)
+    return "[" + ",".join(map(str, levels)) + "]"
 
 
-def by_rarity(words: Column, levels: bytes) -> Column:
+def by_rarity(words: Column, levels: str) -> Column:
     """The set as 64-bit keys, the rarest word first: level of the word's cell, then its hash."""
-    table = F.lit(levels)
-
-    def key(w):
-        at = (w.bitwiseAND((1 << CELL_BITS) - 1) + 1).cast("int")
-        level = F.ascii(F.substring(table, at, F.lit(1)).cast("string"))
-        return F.shiftleft(level.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(w, 8))
-
-    return F.sort_array(F.transform(words, key))
+    table = F.from_json(F.lit(levels), "array<long>")  # a constant: the optimizer reads it once
+    return F.sort_array(F.transform(words, lambda w: F.shiftleft(
+        F.get(table, w.bitwiseAND((1 << CELL_BITS) - 1).cast("int")), 56).bitwiseOR(F.shiftrightunsigned(w, 8))))
 
 
 def similar_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, body, line) of every line that has an earlier match; see :func:`dedup_lines`."""
     raw = _lines(docs, id_col, text_col)
-    sets = raw.select("doc", "body", "line", word_set(F.col("words_of")).alias("set"))
-    lines = stored(sets.select("doc", "body", "line", F.size("set").alias("n"), F.xxhash64("set").alias("s1"),
-                               F.xxhash64(F.lit(1), "set").alias("s2")).where("n > 0"), "lines")
-    classes = stored(lines.groupBy("s1", "s2", "n").agg(F.min(_key()).alias("first"), F.count(F.lit(1)).alias("size")), "line-classes")
-    again = classes.where("size > 1").drop("n")
-    repeats = stored(join_group_facts(lines.withColumn("s", F.struct("s1", "s2")), again.select(F.struct("s1", "s2").alias("s"), "first", "size"),
-                                      "s", "size", lines.count())
-                     .where(_key() != F.col("first")).select("doc", "body", "line"), "line-repeats")
-
-    # prefixes of first lines that can match another set at all
-    least = next(n for n in range(1, 1000) if 100 * n >= percent * (n + 1) or 100 * (n - 1) >= percent * (n + 1))
-    levels = cell_levels(sets)
-    keyed = (raw.select("doc", "body", "line", word_set(F.col("words_of")).alias("set"))
-             .where(F.size("set") >= least)
-             .select("doc", "body", "line", by_rarity(F.col("set"), levels).alias("keys")))
+    low = F.lower("words_of")
+    lines = stored(raw.where(F.col("words_of").rlike(WORD)).select(
+        *KEY, F.xxhash64(low).alias("s1"), F.xxhash64(F.lit(1), low).alias("s2")), "lines")
+    classes = stored(lines.groupBy("s1", "s2").agg(F.min(_key()).alias("first"), F.count(F.lit(1)).alias("size"))
+                     .where("size > 1").select(F.struct("s1", "s2").alias("s"), "first", "size"), "line-classes")
+    repeats = stored(join_group_facts(lines.withColumn("s", F.struct("s1", "s2")), classes, "s", "size", lines.count())
+                     .where(_key() != F.col("first")).select(KEY), "line-repeats")
+
+    # prefixes of the first lines of all classes
+    levels = cell_levels(docs, text_col)
+    single = raw.where(F.col("words_of").rlike(WORD)).join(bounded(repeats), KEY, "left_anti")
+    keyed = single.select(*KEY, by_rarity(word_hashes(F.col("words_of")), levels).alias("keys"))
     n = F.size("keys")
     probing = n - F.ceil(n * percent / 100) + 1
-    indexing = n - F.ceil(n * 2 * percent / (100 + percent)) + 1
+    one = F.lit(1).cast("long")
     parity = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))))
-    heads = keyed.select("doc", "body", "line", n.alias("n"), indexing.cast("int").alias("indexed"), parity.alias("parity"),
-                         F.slice("keys", F.lit(1), probing.cast("int")).alias("prefix"))
-    heads = heads.join(repeats, ["doc", "body", "line"], "left_anti")
-    entries = stored(heads.select(_key().alias("at"), "n", "indexed", "parity", F.posexplode("prefix").alias("pos", "word")), "line-prefixes")
+        F.call_function("shiftleft", one, k.bitwiseAND(63).cast("int"))))
+    heads = keyed.select(*KEY, n.alias("n"), parity.alias("parity"), F.slice("keys", F.lit(1), probing.cast("int")).alias("prefix"))
+    entries = stored(heads.select(*KEY, "n", "parity", F.posexplode("prefix").alias("pos", "word")), "line-prefixes")
+    # words of one prefix only cannot propose anything
+    shared = stored(entries.groupBy("word").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "line-words")
     total = entries.count()
+    entries = stored(join_group_facts(entries, shared, "word", "size", total).select(
+        "word", "size", _key().alias("at"), "n", "pos", "parity"), "line-shared")
 
     def close(a: str, b: str) -> Column:
         """Length, positional and bitmap filters on two entries of one word."""
@@ -115,27 +114,27 @@ def similar_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", te
         return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (rest >= need) & (na + nb - apart >= 2 * need)
 
     # round 1: the earliest line of each prefix word
-    earliest = stored(entries.groupBy("word").agg(F.min(F.struct("at", "n", "pos", "parity")).alias("e"), F.count(F.lit(1)).alias("size"))
-                      .where("size > 1"), "line-earliest")
-    first = join_group_facts(entries, earliest, "word", "size", total).select(F.struct("at", "n", "pos", "parity").alias("x"), "e")
+    earliest = stored(entries.groupBy("word").agg(F.min(F.struct("at", "n", "pos", "parity")).alias("e"), F.first("size").alias("size")),
+                      "line-earliest")
+    first = join_group_facts(entries.drop("size"), earliest, "word", "size", total).select(F.struct("at", "n", "pos", "parity").alias("x"), "e")
     star = stored(first.where("x.at > e.at").where(close("x", "e"))
                   .select(F.col("x.at").alias("later"), F.col("e.at").alias("earlier")).distinct(), "line-star")
-    found = verified(docs, star, percent, id_col, text_col, "line-found").select("later").distinct()
+    found = stored(verified(docs, star, percent, id_col, text_col, "line-found").select("later").distinct(), "line-resolved")
 
     # round 2: lines without a match so far, against every earlier line
     marked = (entries.join(found.select(F.col("later").alias("at"), F.lit(True).alias("done")), "at", "left")
               .withColumn("done", F.coalesce("done", F.lit(False))))
     marked = stored(marked, "line-marked")
+    # words of resolved lines only cannot settle anything
+    live = marked.groupBy("word").agg(F.count_if(~F.col("done")).alias("open"), F.first("size").alias("size")).where("open > 0")
+    live = stored(live.select("word", "size"), "line-live")
+    marked = join_group_facts(marked.drop("size"), live, "word", "size", total).drop("size")
     side = F.struct("at", "n", "pos", "parity", "done")
+    indexing = F.col("n") - F.ceil(F.col("n") * 2 * percent / (100 + percent)) + 1
     probes = marked.select("word", side.alias("x"))
-    indexed = marked.where("pos < indexed").select("word", side.alias("y"))
+    indexed = marked.where(F.col("pos") < indexing).select("word", side.alias("y"))
     longer = F.expr("x.n > y.n or (x.n = y.n and x.at > y.at)")
     unsettled = F.expr("(x.at > y.at and not x.done) or (y.at > x.at and not y.done)")
-    # words of resolved lines only cannot settle anything
-    live = marked.groupBy("word").agg(F.count_if(~F.col("done")).alias("open"), F.count(F.lit(1)).alias("size")).where("open > 0 and size > 1")
-    live = stored(live.select("word", "size"), "line-live")
-    probes = join_group_facts(probes, live, "word", "size", total).drop("size")
-    indexed = join_group_facts(indexed, live, "word", "size", total).drop("size")
     pairs = (probes.join(indexed, "word").where(longer & unsettled & close("x", "y"))
              .select(F.greatest("x.at", "y.at").alias("later"), F.least("x.at", "y.at").alias("earlier")).distinct())
     more = verified(docs, stored(pairs, "line-pairs"), percent, id_col, text_col, "line-more").select("later")
@@ -146,9 +145,8 @@ def similar_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", te
 def verified(docs: DataFrame, pairs: DataFrame, percent: int, id_col: str, text_col: str, name: str) -> DataFrame:
     """Those of (later, earlier) whose whole sets have the similarity."""
     wanted = stored(pairs.select(F.explode(F.array("later", "earlier")).alias("at")).distinct().select("at.*"), name + "-wanted")
-    keys = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_LINES else wanted
-    sets = (_lines(docs, id_col, text_col).join(keys, ["doc", "body", "line"], "left_semi")
-            .select(_key().alias("at"), word_set(F.col("words_of")).alias("set")).dropDuplicates(["at"]))
+    sets = (_lines(docs, id_col, text_col).join(bounded(wanted), KEY, "left_semi")
+            .select(_key().alias("at"), word_hashes(F.col("words_of")).alias("set")).dropDuplicates(["at"]))
     sets = stored(sets, name + "-sets")
     a = sets.select(F.col("at").alias("later"), F.col("set").alias("a"))
     b = sets.select(F.col("at").alias("earlier"), F.col("set").alias("b"))
@@ -157,6 +155,26 @@ def verified(docs: DataFrame, pairs: DataFrame, percent: int, id_col: str, text_
     return stored(both.where(shared * 100 >= (F.size("a") + F.size("b") - shared) * percent).select("later", "earlier"), name)
 
 
+def _shortened(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(``row``: a row of ``docs``, ``left``: its text without removed lines, ``n_lines``, ``n_removed``)."""
+    lines = stored(similar_lines(docs, percent, id_col, text_col).distinct(), "line-gone")
+    gone = lines.groupBy("doc", "body").agg(F.collect_list("line").alias("gone"))
+    if lines.count() <= MAX_BROADCAST_LINES:
+        gone = F.broadcast(gone)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"),
+                       F.xxhash64(text).alias("body"))
+    rows = rows.join(gone, ["doc", "body"], "left").withColumn("lines", F.split(F.coalesce(f"row.{text_col}", F.lit("")), "\n"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    left = F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")
+    return rows.select("row", F.when(F.col("gone").isNull(), F.col(f"row.{text_col}")).otherwise(left).alias("left"),
+                       F.size("lines").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"))
+
+
+def _columns(docs: DataFrame, replaced: dict[str, Column]) -> list[Column]:
+    return [replaced.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
+
+
 def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with its later matching lines removed, and ``n_lines``, ``n_removed`` added.
 
@@ -165,18 +183,8 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     last) has a Jaccard similarity of word sets of at least ``percent`` / 100, whether or
     not that one stays. Lines without words stay. Rows that repeat id and text
     lose the same lines. NULL texts stay NULL; all other columns are kept as they are."""
-    gone = similar_lines(docs, percent, id_col, text_col)
-    gone = (gone.distinct().groupBy("doc", "body").agg(F.collect_list("line").alias("gone"))
-            .select(F.col("doc").alias("_doc"), F.col("body").alias("_body"), F.col("gone").alias("_gone")))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.withColumns({"_d": F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), "_b": F.xxhash64(text)})
-    rows = rows.join(gone, (F.col("_d") == F.col("_doc")) & (F.col("_b") == F.col("_body")), "left")
-    rows = rows.withColumn("_lines", F.split(text, "\n"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    left = F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n")
-    out = rows.withColumns({"n_lines": F.size("_lines"), "n_removed": F.coalesce(F.size("_gone"), F.lit(0)),
-                            text_col: F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(left)})
-    return out.select(*docs.columns, "n_lines", "n_removed")
+    out = _shortened(docs, percent, id_col, text_col)
+    return out.select(*_columns(docs, {text_col: F.col("left")}), "n_lines", "n_removed")
 
 
 def line_digests(docs: DataFrame) -> DataFrame:
@@ -189,9 +197,10 @@ def drop_repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` (``doc_id, text, n_chars`` and others) after :func:`dedup_lines`.
 
     A document that loses lines and has no word left goes; ``n_chars`` follows the text."""
-    out = dedup_lines(docs, percent)
-    out = out.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    out = _shortened(docs, percent, "doc_id", "text")
+    out = out.where((F.col("n_removed") == 0) | F.col("left").rlike(WORD))
+    replaced = {"text": F.col("left")}
     if "n_chars" in docs.columns:
-        size = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, size).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+        size = F.length("left").cast(docs.schema["n_chars"].dataType)
+        replaced["n_chars"] = F.when(F.col("n_removed") > 0, size).otherwise(F.col("row.n_chars"))
+    return out.select(_columns(docs, replaced))
