@@ -20,6 +20,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # fixed values: the byte-level splitting pattern, and its byte-to-character table below
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -28,7 +29,8 @@ ODD_SPACE = re.compile("[" + "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0
                                                    0x2029, 0x202F, 0x205F, 0x3000])) + "]")
 CHUNK = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 LONG_WORD = 64
-CACHE = 500_000              # remembered chunks (and words) per worker
+CACHE = 300_000              # remembered chunks per worker; a third as many words
+BATCH = 512                  # rows encoded and handed on at once
 NONE = 1 << 60
 
 
@@ -121,7 +123,7 @@ class BytePairs:
         if ids is None:
             ids = np.array(self.merge([self.byte_id[b] for b in word.encode()]), "<u4").tobytes()
             if len(word) <= LONG_WORD:
-                if len(self.known) >= CACHE:
+                if len(self.known) >= CACHE // 3:
                     self.known.clear()
                 self.known[word] = ids
         return ids
@@ -176,20 +178,28 @@ def tokenizer(path: str) -> BytePairs:
     return BytePairs(path)
 
 
+def _slices(batches: Iterable) -> Iterator:
+    for batch in batches:
+        for k in range(0, batch.num_rows, BATCH):
+            yield batch.slice(k, BATCH)
+
+
+def _schema(rows: DataFrame, id_col: str, rest: str) -> T.StructType:
+    return T.StructType([T.StructField("id", rows.schema[id_col].dataType), *T.StructType.fromDDL(rest)])
+
+
 def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and ``ids`` (binary: little-endian 32-bit) of every row. NULL encodes as empty."""
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
         bpe = tokenizer(path)
-        for batch in batches:
+        for batch in _slices(batches):
             ids = [bpe.encode(t or "") for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(ids, pa.large_binary() if sum(map(len, ids)) >> 31 else pa.binary())],
-                                             ["id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(ids, pa.binary())], ["id", "ids"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, ids binary").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(run, _schema(docs, id_col, "ids binary")).withColumnRenamed("id", id_col)
 
 
 def bpe_decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -198,38 +208,37 @@ def bpe_decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: st
         import pyarrow as pa
 
         bpe = tokenizer(path)
-        for batch in batches:
+        for batch in _slices(batches):
             text = [bpe.decode(np.frombuffer(x or b"", "<u4")) for x in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(text, pa.string())], ["id", "text"])
 
-    kind = tokens.schema[id_col].dataType.simpleString()
     rows = tokens.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
-    return rows.mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(run, _schema(tokens, id_col, "text string")).withColumnRenamed("id", id_col)
 
 
 def bpe_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """id, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` of every row: encoded, then decoded
     from the ids (in ``ids`` on request). NULL counts as an empty text; repeated rows are
-    encoded one by one."""
-    tokens = bpe_encode(docs, path, id_col, text_col)
-    kind = docs.schema[id_col].dataType.simpleString()
-
+    encoded one by one; other columns are not read."""
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
         bpe = tokenizer(path)
-        for batch in batches:
-            n, own, back = [], [], []
-            for x in batch["ids"]:
-                raw = x.as_buffer()
+        for batch in _slices(batches):
+            n, own, back, kept = [], [], [], []
+            for t in batch["text"].to_pylist():
+                raw = bpe.encode(t or "")
                 ids = np.frombuffer(raw, "<u4")
                 n.append(len(ids))
                 own.append(hashlib.sha256(raw).hexdigest())
                 back.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
-            more = [batch["ids"]] if with_ids else []
+                if with_ids:
+                    kept.append(raw)
+            more = [pa.array(kept, pa.binary())] if with_ids else []
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], pa.array(n, pa.int64()), pa.array(own, pa.string()), pa.array(back, pa.string()), *more],
                 ["id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:4 + len(more)])
 
-    schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
-    return tokens.withColumnRenamed(id_col, "id").mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    out = _schema(docs, id_col, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)
+    return rows.mapInArrow(run, out).withColumnRenamed("id", id_col)
