@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -30,7 +31,7 @@ SPAN = 7                      # longest stretch of a subsequence of three charac
 SYMBOLS = 64
 LANDMARKS = 192
 #: Bounds of the training sample: texts of each label, and the longest text taken.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 3000, 5000, 1 << 16
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 2000, 3000, 1 << 16
 ROUNDS = 4
 CACHE = 1_000_000             # remembered words per worker
 THRESHOLD = 0.3
@@ -86,7 +87,7 @@ class Landmarks:
             np.add.at(self.table, (np.searchsorted(self.codes, code), owner), weight)
         self.table /= norms(words)
 
-    def kernel(self, words: list[str], step: int = 512) -> np.ndarray:
+    def kernel(self, words: list[str], step: int = 256) -> np.ndarray:
         out = np.zeros((len(words), len(self.words)))
         for k in range(0, len(words), step):
             part = words[k:k + step]
@@ -136,12 +137,16 @@ class Model:
     def __setstate__(self, state):
         self.__init__(*state)
 
-    def values(self, words: list[str]) -> np.ndarray:
+    def values(self, words: list[str], step: int = 20_000) -> np.ndarray:
         """SVM decision of every word."""
-        out = np.zeros(len(words))
-        for owner, code, weight in _occurrences(words):
-            out += weight * np.bincount(owner, self.dense[code], minlength=len(words))
-        return out / norms(words) + self.bias
+        parts = [np.zeros(0)]
+        for k in range(0, len(words), step):
+            part = words[k:k + step]
+            out = np.zeros(len(part))
+            for owner, code, weight in _occurrences(part):
+                out += weight * np.bincount(owner, self.dense[code], minlength=len(part))
+            parts.append(out / norms(part) + self.bias)
+        return np.concatenate(parts)
 
     def score(self, value: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * np.maximum(value, LOW) + self.offset, -30, 30)))
@@ -170,8 +175,9 @@ def disguised(word: str, rng) -> str:
 
 
 def sentences_of(text: str | None) -> set[frozenset[str]]:
-    """Word sets of a text's sentences; words of one or two characters left out."""
-    return {b for part in SENTENCE.split(text or "") if (b := frozenset(w for w in words_of(part) if len(w) > 2))}
+    """Word sets of a text's sentences; words of one or two characters left out. Equal
+    words are one object, so that a sample takes little memory."""
+    return {b for part in SENTENCE.split(text or "") if (b := frozenset(sys.intern(w) for w in words_of(part) if len(w) > 2))}
 
 
 def learn(toxic: list[set], clean: list[set], seed: int) -> Model:
@@ -289,8 +295,7 @@ def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_
             for k in range(0, len(texts), 256):
                 split = [words_of(t) for t in texts[k:k + 256]]
                 new = list({w for words in split for w in words if w not in known})
-                for i in range(0, len(new), 50_000):
-                    known.update(zip(new[i:i + 50_000], model.values(new[i:i + 50_000]).tolist()))
+                known.update(zip(new, model.values(new).tolist()))
                 best += [max(map(known.__getitem__, words), default=LOW) for words in split]
                 if len(known) > CACHE:
                     known = {}
