@@ -304,3 +304,27 @@ def test_toxicity_stage(spark, docs, none):
     assert len([i for i, _, x in extra if x and i in left]) <= 5
     assert toxicity.toxicity(none, labels).count() == 0
     assert toxicity.toxicity(docs, labels.limit(0)).where("predicted = 0").count() == len(ROWS)
+
+
+def test_personal_data_adds_loose_spans(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    mail = lambda at, dot: f"{word()}.{word()}{at}{word()}{dot}{rng.choice(['com', 'org', 'de'])}"
+    digits = lambda n: str(rng.randint(10 ** (n - 1), 10 ** n - 1))
+    loose = {"email": [lambda: mail(" (at) ", " (dot) "), lambda: mail(" at ", " dot "), lambda: mail("[AT]", "."), lambda: mail(" AT ", " DOT ").upper()],
+             "phone": [lambda: f"({digits(3)}) 555-{digits(4)}", lambda: f"1 ({digits(3)}) 555-{digits(4)}", lambda: f"{digits(3)}.555.{digits(4)}"]}
+    none = [lambda: f"{rng.randint(1950, 2029)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}", lambda: f"{rng.randint(10, 28)}/10/{rng.randint(1950, 2029)}",
+            lambda: "4111 1111 1111 1112", lambda: f"1.{digits(2)}.3.{digits(2)}.5", lambda: f"look at {word()} dot matrix"]
+    texts, want = [], {}
+    for i in range(400):
+        kind = rng.choice([*loose, "base", "none"])
+        found = rng.choice(loose[kind])() if kind in loose else rng.choice(none)() if kind == "none" else f"{mail('@', '.')} +1 ({digits(3)}) 555-{digits(4)}"
+        texts.append((i, f"{sentence(3)}, {found}, {sentence(3)}"))
+        want[i] = {(pii.KINDS.index(kind), len(texts[-1][1].split(", ")[0]) + 2, len(texts[-1][1].split(", ")[0]) + 2 + len(found))} if kind in loose else set()
+    # more loose spans than base ones, so that they cannot win by being rare
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: {tuple(s) for s in r.added} for r in pii.find_pii(docs).collect()}
+    real = [i for i in want if want[i]]
+    missed, wrong = [texts[i] for i in real if got[i] != want[i]], [(texts[i], got[i]) for i in want if not want[i] and got[i]]
+    assert len(missed) <= 0.05 * len(real), missed
+    assert len(wrong) <= 0.02 * len(want), wrong
