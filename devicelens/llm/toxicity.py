@@ -183,20 +183,30 @@ def sentences_of(text: str | None) -> set[frozenset[str]]:
 def learn(toxic: list[set], clean: list[set], seed: int) -> Model:
     """SVM of texts as sets of sentences; not yet calibrated.
 
-    A sentence that a clean text has too is clean, and so is every word of one: what is
-    left of a toxic text holds its witness. Sentences count once, however often copied."""
+    Clean texts weigh against a word, none forbids it: a toxic text's witness is one of
+    its words that no clean sentence has or that toxic ones have more often beyond chance,
+    or else its most associated word. A word counts as positive by its share of toxic
+    against clean sentences, as negative by the rest. Sentences count once, however often
+    copied; those as common in clean texts as in toxic ones are left out of toxic texts."""
     rng = np.random.default_rng(seed)
-    clean_sentences = set().union(*clean) if clean else set()
-    good = Counter(w for s in clean_sentences for w in s)
-    toxic = [{s for s in t if s not in clean_sentences} for t in toxic]
-    toxic_sentences = set().union(*toxic)
-    bad = Counter(w for s in toxic_sentences for w in s if w not in good)
-    bags = list(dict.fromkeys(frozenset(w for s in t for w in s if w in bad) for t in toxic))
-    bags = [sorted(b) for b in bags if b]
+    in_clean, in_toxic = (Counter(s for t in texts for s in t) for texts in (clean, toxic))
+    good = Counter(w for s in in_clean for w in s)
+    own = {s for s, n in in_toxic.items() if n * len(clean) > in_clean[s] * len(toxic)}
+    bad = Counter(w for s in own for w in s)
+    ratio = max(1, len(in_clean)) / max(1, len(own))
+    share = {w: n * ratio / (n * ratio + good[w]) for w, n in bad.items()}
+    # association: log odds of toxic against clean sentences, less two standard errors
+    tied = {w: float(np.log((n + 0.5) * ratio / (good[w] + 0.5)) - 2 * np.sqrt(1 / (n + 0.5) + 1 / (good[w] + 0.5))) for w, n in bad.items()}
+
+    def candidates(text: set) -> frozenset:
+        words = {w for s in text if s in own for w in s}
+        some = frozenset(w for w in words if w not in good or tied[w] > 0)
+        return some or frozenset(sorted(words, key=lambda w: (-tied[w], w))[:1])
+
+    bags = [sorted(b) for b in dict.fromkeys(map(candidates, toxic)) if b]
     if not bags:
         return Model(np.zeros(0, np.int64), np.zeros(0), LOW)
-    # association: distinct toxic sentences with the word (no clean one has it)
-    marked = sorted(bad, key=lambda w: (-bad[w], w))[:LANDMARKS // 2]
+    marked = sorted({w for b in bags for w in b}, key=lambda w: (-tied[w], w))[:LANDMARKS // 2]
     common = [w for w, _ in sorted(good.items(), key=lambda x: (-x[1], x[0]))[:LANDMARKS // 4]]
     rest = sorted(set(good) - set(common))
     drawn = [rest[i] for i in rng.choice(len(rest), min(len(rest), LANDMARKS // 4), replace=False)] if rest else []
@@ -207,7 +217,7 @@ def learn(toxic: list[set], clean: list[set], seed: int) -> Model:
 
     pool = sorted(good)
     some = {pool[i] for i in rng.choice(len(pool), min(len(pool), 4000), replace=False)} | set(common) if pool else set()
-    witnesses = Counter(max(b, key=lambda w: (bad[w], w)) for b in bags)
+    witnesses = Counter(max(b, key=lambda w: (tied[w], w)) for b in bags)
     everyone = sorted({w for b in bags for w in b})
     place = {w: i for i, w in enumerate(everyone)}
     for _ in range(ROUNDS):
@@ -216,13 +226,14 @@ def learn(toxic: list[set], clean: list[set], seed: int) -> Model:
         plain = [disguised(w, rng) for w in negatives[::4]]
         x = marks.kernel(positives + masked + negatives + plain) @ project
         label = np.repeat([1.0, -1.0], [len(positives) + len(masked), len(negatives) + len(plain)])
-        counted = np.array([float(witnesses[w]) for w in positives])
-        weight = np.concatenate([counted, np.repeat(counted, 3) / 4, [np.sqrt(1.0 + good[w]) for w in negatives], np.ones(len(plain))])
+        counted = np.array([witnesses[w] * share[w] for w in positives])
+        rest = np.array([1 - share.get(w, 0.0) for w in negatives])
+        weight = np.concatenate([counted, np.repeat(counted, 3) / 4, [r * np.sqrt(1.0 + good[w]) for r, w in zip(rest, negatives)], rest[::4]])
         weight[label > 0] *= weight[label < 0].sum() / weight[label > 0].sum()
         w = fit_svm(x, label, weight)
         model = Model(marks.codes, marks.table @ (project @ w[:-1]), float(w[-1]))
         seen = model.values(everyone)
-        witnesses = Counter(max(b, key=lambda v: (seen[place[v]] + np.log1p(bad[v]), v)) for b in bags)
+        witnesses = Counter(max(b, key=lambda v: (seen[place[v]] + share[v] * np.log1p(bad[v]), v)) for b in bags)
         some |= {pool[i] for i in np.argsort(-model.values(pool))[:1500]} if pool else set()
     return model
 

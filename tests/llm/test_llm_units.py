@@ -180,3 +180,20 @@ def test_toxicity_learns_words_and_their_disguises():
     assert score("aero lines at rest") < 0.3
     only = toxicity.train(["a b", "c"], [0, 0])
     assert only.score(np.array([toxicity.LOW]))[0] < 0.01
+
+
+def test_clean_texts_do_not_veto_an_insult():
+    rng = random.Random(19)
+    benign = ["".join(rng.choices("aeiourstln", k=rng.randint(3, 8))) for _ in range(400)]
+    bad = ["grobnik", "zappelhund", "vixkopf"]
+    def sample(word):
+        w = rng.choices(benign, k=30)
+        if word:
+            w.insert(rng.randrange(30), word)
+        return " ".join(w[:15]) + ".\n" + " ".join(w[15:]) + "."
+    texts = [(sample(rng.choice(bad) if i % 4 == 0 else None), int(i % 4 == 0)) for i in range(600)]
+    texts += [(sample(w), 0) for w in bad] + [(sample("grobnik"), 0), (texts[0][0], 0)]  # clean by label
+    model = toxicity.train([t for t, _ in texts], [y for _, y in texts])
+    score = lambda t: float(model.score(np.array([model.values(toxicity.words_of(t)).max()]))[0])
+    assert sum(score(sample(w)) >= 0.3 for w in bad * 30) >= 85
+    assert sum(score(sample(None)) < 0.3 for _ in range(100)) >= 97
