@@ -197,3 +197,7 @@ def test_clean_texts_do_not_veto_an_insult():
     score = lambda t: float(model.score(np.array([model.values(toxicity.words_of(t)).max()]))[0])
     assert sum(score(sample(w)) >= 0.3 for w in bad * 30) >= 85
     assert sum(score(sample(None)) < 0.3 for _ in range(100)) >= 97
+
+
+def test_toxicity_sample_is_not_cut():
+    assert (toxicity.SAMPLE_TOXIC, toxicity.SAMPLE_CLEAN) == (3000, 5000)
