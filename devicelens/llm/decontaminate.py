@@ -5,26 +5,32 @@ Every task cuts its documents into shards of about SHARD_WORDS words, indexes ea
 searches all windows of the benchmark backwards at once. Found windows are located
 and merged into removal spans. Equal texts of a shard are indexed once; a text longer
 than a shard is indexed in pieces that overlap by a window. Nothing is shuffled.
+
+The benchmark is searched in blocks of at most BLOCK_WINDOWS windows: a single one is
+broadcast, more are files in the shared scratch folder, of which the driver and every
+task hold one or two at a time, however large the benchmark.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import count
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+from .common import open_store, write_bytes
 from .fm_index import FMIndex
 
 WINDOW = 13
 SHARE = 20                     # contaminated: SHARE * hit words >= words
 SHARD_WORDS = 1 << 20
-#: Every executor holds the benchmark; its texts may have this many bytes in all.
-MAX_BENCHMARK_BYTES = 128 << 20
+BLOCK_WINDOWS = 250_000        # benchmark windows that are searched at once
 #: ASCII lower-cased, and every byte that is not in a word made a space.
 TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 FACTS = ("n_words long, n_hit long, n_items long, items array<string>, "
@@ -53,10 +59,64 @@ class Benchmark:
             self.symbols[i, window - len(x):] = [self.words[w] for w in x]
         self.used = np.arange(window) >= (window - self.lengths)[:, None]
 
-
-def shard_hits(pieces: list[list[bytes]], bench: Benchmark) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(piece, starts, windows) of all occurrences in a shard's pieces."""
-    if not len(bench.owners) or not any(pieces):
+    def blocks(self) -> Iterator[Benchmark]:
+        yield self
+
+
+class StoredBenchmark:
+    """Blocks of a benchmark in files of the shared folder, read one at a time."""
+
+    def __init__(self, paths: list[str], window: int):
+        self.paths, self.window = paths, window
+
+    def blocks(self) -> Iterator[Benchmark]:
+        for path in self.paths:
+            store, at = open_store(path)
+            with store.open_input_stream(at) as f:
+                yield pickle.loads(f.read())
+
+
+def cut_benchmark(items: Iterable[tuple[str, bytes | None]], window: int) -> Iterator[Benchmark]:
+    """The windows of all items, in blocks of BLOCK_WINDOWS (the last may have fewer)."""
+    part, room = [], BLOCK_WINDOWS
+    for item, text in items:
+        words = words_of(text)
+        k, n = 0, max(1, len(words) - window + 1) if words else 0
+        while k < n:
+            take = min(room, n - k)
+            part.append((item, b" ".join(words[k:k + take + window - 1])))
+            k, room = k + take, room - take
+            if not room:
+                yield Benchmark(part, window)
+                part, room = [], BLOCK_WINDOWS
+    if part:
+        yield Benchmark(part, window)
+
+
+def shared_benchmark(spark: SparkSession, items: Iterable[tuple[str, bytes | None]], window: int) -> Benchmark | StoredBenchmark:
+    """What executors search: the benchmark itself, or its blocks as files."""
+    blocks = cut_benchmark(items, window)
+    first = next(blocks, None) or Benchmark([], window)
+    more = next(blocks, None)
+    if more is None:
+        return first
+    folder, paths = scratch_path(spark, "benchmark-blocks"), []
+
+    def write(block: Benchmark) -> None:
+        paths.append(f"{folder}/block-{len(paths):06d}")
+        write_bytes(spark, paths[-1], pickle.dumps(block))
+
+    write(first)
+    write(more)
+    del first, more
+    for block in blocks:
+        write(block)
+    return StoredBenchmark(paths, window)
+
+
+def shard_hits(pieces: list[list[bytes]], bench: Benchmark | StoredBenchmark) -> Iterator[tuple[int, np.ndarray, np.ndarray, set[str]]]:
+    """(piece, starts, ends, items) of all occurrences in a shard's pieces, block by block."""
+    if not any(pieces):
         return
     symbols: dict[bytes, int] = defaultdict(count(len(pieces)).__next__)
     sizes = np.array([len(p) + 1 for p in pieces])
@@ -65,25 +125,30 @@ def shard_hits(pieces: list[list[bytes]], bench: Benchmark) -> Iterator[tuple[in
     for i, (p, end) in enumerate(zip(pieces, ends)):
         s[end - len(p) - 1:end - 1] = np.fromiter(map(symbols.__getitem__, p), np.int64, len(p))
         s[end - 1] = i
-    to_shard = np.array([symbols.get(w, -1) for w in bench.words], np.int64)
-    patterns = to_shard[bench.symbols]
-    there = np.flatnonzero(~((patterns < 0) & bench.used).any(1))
-    if not len(there):
-        return
-    index = FMIndex(s)
-    found, low, high = index.search(np.maximum(patterns[there], 0), bench.lengths[there])
-    if not len(found):
-        return
-    n = high - low
-    rows = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    at, window = index.locate(rows), np.repeat(there[found], n)
-    by = np.argsort(at, kind="stable")
-    at, window = at[by], window[by]
-    piece = np.searchsorted(ends, at, side="right")
-    cut = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1]]))
-    for a, b in zip(cut, np.append(cut[1:], len(at))):
-        p = int(piece[a])
-        yield p, at[a:b] - (ends[p] - sizes[p]), window[a:b]
+    index = None
+    for block in bench.blocks():
+        if not len(block.owners):
+            continue
+        to_shard = np.array([symbols.get(w, -1) for w in block.words], np.int64)
+        patterns = to_shard[block.symbols]
+        there = np.flatnonzero(~((patterns < 0) & block.used).any(1))
+        if not len(there):
+            continue
+        index = index or FMIndex(s)
+        found, low, high = index.search(np.maximum(patterns[there], 0), block.lengths[there])
+        if not len(found):
+            continue
+        n = high - low
+        rows = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        at, window = index.locate(rows), np.repeat(there[found], n)
+        by = np.argsort(at, kind="stable")
+        at, window = at[by], window[by]
+        piece = np.searchsorted(ends, at, side="right")
+        cut = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1]]))
+        for a, b in zip(cut, np.append(cut[1:], len(at))):
+            p = int(piece[a])
+            starts = at[a:b] - (ends[p] - sizes[p])
+            yield p, starts, starts + block.lengths[window[a:b]], {i for w in np.unique(window[a:b]) for i in block.owners[w]}
 
 
 def merge_spans(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +168,7 @@ class _Shard:
         self.pieces, self.place, self.words = [], [], 0  # place: (text number, offset)
 
 
-def judged(texts: Iterable[tuple], bench: Benchmark, share: int) -> Iterator[dict]:
+def judged(texts: Iterable[tuple], bench: Benchmark | StoredBenchmark, share: int) -> Iterator[dict]:
     """Rows of (id, text bytes) in shards of SHARD_WORDS words."""
     batch: list[tuple] = []          # (id, text number)
     numbers: dict[bytes, int] = {}
@@ -112,18 +177,19 @@ def judged(texts: Iterable[tuple], bench: Benchmark, share: int) -> Iterator[dic
     hits: dict[int, list] = defaultdict(list)
 
     def search():
-        for p, starts, windows in shard_hits(shard.pieces, bench):
+        for p, starts, ends, items in shard_hits(shard.pieces, bench):
             text, offset = shard.place[p]
-            hits[text].append((starts + offset, windows))
+            first, last = merge_spans(starts, ends)
+            hits[text].append((first + offset, last + offset, items))
         shard.__init__()
 
     def flush() -> Iterator[dict]:
         search()
         facts = {}
         for text, parts in hits.items():
-            starts, windows = (np.concatenate(x) for x in zip(*parts))
-            first, last = merge_spans(starts, starts + bench.lengths[windows])
-            facts[text] = (int((last - first).sum()), sorted({i for w in np.unique(windows) for i in bench.owners[w]}),
+            starts, ends, items = zip(*parts)
+            first, last = merge_spans(np.concatenate(starts), np.concatenate(ends))
+            facts[text] = (int((last - first).sum()), sorted(set().union(*items)),
                            [{"first": int(a), "last": int(b)} for a, b in zip(first, last)])
         for i, text in batch:
             n, (hit, items, spans) = sizes[text], facts.get(text, (0, [], []))
@@ -160,11 +226,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     window is ``window`` consecutive words of an item (``item_id, text``), or all of a
     shorter one. NULL texts have no words; a NULL item_id is the empty string. Rows
     that repeat an id are judged one by one; other columns are not read."""
-    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > MAX_BENCHMARK_BYTES:
-        raise ValueError(f"benchmark of {size} bytes; at most {MAX_BENCHMARK_BYTES} are sent to the executors")
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
-    bench = docs.sparkSession.sparkContext.broadcast(Benchmark(((i, bytes(t)) for i, t in items.toLocalIterator()), window))
+    spark = docs.sparkSession
+    bench = spark.sparkContext.broadcast(shared_benchmark(spark, ((i, bytes(t)) for i, t in items.toLocalIterator()), window))
 
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa

@@ -328,3 +328,15 @@ def test_personal_data_adds_loose_spans(spark):
     missed, wrong = [texts[i] for i in real if got[i] != want[i]], [(texts[i], got[i]) for i in want if not want[i] and got[i]]
     assert len(missed) <= 0.05 * len(real), missed
     assert len(wrong) <= 0.02 * len(want), wrong
+
+
+@pytest.mark.parametrize("block", [1, 7])
+def test_contamination_in_blocks_of_windows(spark, docs, monkeypatch, block):
+    items = [(1, ITEM), (2, None), (3, ""), (4, "shared line that"), (None, "two words"), (5, BASE), (6, ITEM + " " + BASE)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = rows(decontaminate.contamination(docs, bench))
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", block)
+    used = decontaminate.shared_benchmark(spark, [(str(i), (t or "").encode()) for i, t in items], 13)
+    assert len(used.paths) > 10 and all(len(b.owners) <= block for b in used.blocks())
+    assert rows(decontaminate.contamination(docs, bench)) == whole
+    assert any(len(r[4]) >= 2 for r in whole) and not hasattr(decontaminate, "MAX_BENCHMARK_BYTES")
