@@ -228,15 +228,9 @@ def q_read_hours(spark, sf_dir):
     return filter_time_range(read_hours(spark, path, HOURS_S, HOURS_E), HOURS_S, HOURS_E).select(*READING_FIELDS, HOUR_END)
 
 
-def _stream_messages(spark, sf_dir, batches: int = 1):
+def _stream_messages(spark, sf_dir):
     src = scratch_path(spark, "messages")
     messages = _messages(_events(spark, sf_dir))
-    if batches > 1:  # each half in one file, a file a batch; the second repeats the first half's messages
-        messages = messages.withColumn("_half", F.xxhash64("value") % 2).withColumn("_half", F.abs("_half"))
-        first = messages.where("_half = 0").drop("_half")
-        first.coalesce(1).write.json(src)
-        messages.drop("_half").coalesce(1).write.mode("append").json(src)
-        return message_records(message_file_stream(spark, src, 1), "value", "ingest_ts")
     messages.write.json(src)
     return message_records(message_file_stream(spark, src), "value", "ingest_ts")
 
@@ -264,11 +258,14 @@ def q_ingest_processing_time(spark, sf_dir):
 
 def q_ingest_two_batches(spark, sf_dir):
     """Two micro-batches of which the second repeats all messages of the first, then compacted."""
-    records = _stream_messages(spark, sf_dir, batches=2)
+    src, messages = scratch_path(spark, "messages"), _messages(_events(spark, sf_dir))
     out, ckpt = scratch_path(spark, "hourly-2b"), scratch_path(spark, "hourly-2b-ckpt")
-    # The watermark spans the table, so that no hour closes between the batches.
-    run_ingest(records, out, ckpt, trigger={"availableNow": True}, watermark="60 days", time_source="record",
-               state_partitions=4).awaitTermination()
+    for part in (messages.where(F.xxhash64("value") % 2 == 0), messages):  # a run, and so a batch of all its files, for each
+        part.write.mode("append").json(src)
+        records = message_records(message_file_stream(spark, src), "value", "ingest_ts")
+        # The watermark spans the table, so that no hour closes between the batches.
+        run_ingest(records, out, ckpt, trigger={"availableNow": True}, watermark="60 days", time_source="record",
+                   state_partitions=4).awaitTermination()
     compacted = scratch_path(spark, "hourly-2b-compact")
     compact_hours(spark, out, compacted, 0, E + 400 * DAY_MS)
     return read_hours(spark, compacted, 0, E + 400 * DAY_MS).select(*READING_FIELDS, HOUR_END)

@@ -195,3 +195,25 @@ def test_state_partitions_rule():
     assert state_partitions_for(0, 8) == 1
     assert state_partitions_for(3_000_000, 100) == 6
     assert state_partitions_for(100_000_000, 64) == 256
+
+
+def test_two_batches_are_many_files_each(spark, monkeypatch):
+    import glob
+    import json
+
+    from devicelens import registry
+
+    paths, events, scratch = {}, registry._events, registry.scratch_path
+    monkeypatch.setattr(registry, "_events", lambda *a: events(*a).repartition(4))
+    monkeypatch.setattr(registry, "scratch_path", lambda spark, name: paths.setdefault(name, scratch(spark, name)))
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # four partitions of few rows stay four
+    try:
+        out = registry.q_ingest_two_batches(spark, SF_SMALL)
+    finally:
+        spark.conf.unset(coalesce)
+    local = {k: p.removeprefix("file:") for k, p in paths.items()}
+    assert len(glob.glob(f"{local['messages']}/part-*.json")) == 8
+    batches = [open(p).read().splitlines()[1:] for p in glob.glob(f"{local['hourly-2b-ckpt']}/sources/0/[0-9]*")]
+    assert [len(b) for b in batches] == [4, 4] and all("path" in json.loads(x) for b in batches for x in b)
+    assert out.count() == out.distinct().count() > 0
