@@ -11,6 +11,7 @@ from . import exact_dedup as op3
 from . import hyperminhash as op1
 from . import line_dedup as op5
 from . import pii as op6
+from . import secret_scan as op13
 from . import token_store as op2
 from . import toxicity as op8
 from . import url_filter as op7
@@ -79,6 +80,10 @@ def q_bpe(spark, sf_dir):
     return op10.bpe_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def q_secrets(spark, sf_dir):
+    return op13.secret_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_hyperminhash": q_minhash,
     "op2_token_store": q_token_store,
@@ -90,6 +95,7 @@ QUERIES = {
     "op8_string_kernel": q_toxicity,
     "op9_warc": q_warc,
     "op10_bpe": q_bpe,
+    "op13_entropy_secrets": q_secrets,
 }
 
 ORACLE: dict[str, str] = {}
