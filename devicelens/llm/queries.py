@@ -9,6 +9,7 @@ from . import bpe as op10
 from . import decontaminate as op4
 from . import exact_dedup as op3
 from . import hyperminhash as op1
+from . import importance as op11
 from . import line_dedup as op5
 from . import pii as op6
 from . import secret_scan as op13
@@ -80,6 +81,10 @@ def q_bpe(spark, sf_dir):
     return op10.bpe_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def q_resampling(spark, sf_dir):
+    return op11.resampling_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def q_secrets(spark, sf_dir):
     return op13.secret_digests(table(spark, sf_dir, "documents"))
 
@@ -95,6 +100,7 @@ QUERIES = {
     "op8_string_kernel": q_toxicity,
     "op9_warc": q_warc,
     "op10_bpe": q_bpe,
+    "op11_importance": q_resampling,
     "op13_entropy_secrets": q_secrets,
 }
 
@@ -170,3 +176,28 @@ judged AS (SELECT w.doc_id, line, s, len(w.words) > 0 AND (c.pos <> (w.doc_id, l
 SELECT doc_id, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(*) FILTER (gone) AS INTEGER) AS n_removed,
        sha256(coalesce(string_agg(s, chr(10) ORDER BY line) FILTER (NOT gone), '')) AS text_sha256
 FROM judged GROUP BY doc_id"""
+
+# CRC-32 by bytes: a table of 256 from its rule, then one step a byte of each distinct feature.
+ORACLE["op11_importance"] = r"""
+WITH crc AS MATERIALIZED (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+        FROM (SELECT unnest(range(256)) AS b)),
+texts AS (SELECT 'd' AS side, doc_id, text FROM documents UNION ALL SELECT 'b', row_number() OVER (), text FROM benchmark),
+w AS (SELECT side, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+runs AS (SELECT side, doc_id, array_to_string(w[k:k + n - 1], ' ') AS f
+         FROM (SELECT side, doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM w, (SELECT unnest([1, 2, 3]) AS n))),
+feature AS (SELECT f, xor(list_reduce(list_transform(range(1, strlen(f) + 1), lambda i: ('0x' || substr(hex(encode(f)), 2 * i - 1, 2))::BIGINT),
+                   lambda c, x: xor(t[1 + (xor(c, x) & 255)], c >> 8), 4294967295), 4294967295) % 10000 AS bucket
+            FROM (SELECT DISTINCT f FROM runs), crc),
+counts AS (SELECT side, bucket, count(*) AS n FROM runs JOIN feature USING (f) GROUP BY ALL),
+whole AS (SELECT coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t FROM counts),
+gain AS (SELECT d.bucket, floor(1000 * ln((coalesce(b.n, 0) + 1)::DOUBLE * (s + 10000)::DOUBLE / ((d.n + 1)::DOUBLE * (t + 10000)::DOUBLE)))::BIGINT AS g
+         FROM (SELECT * FROM counts WHERE side = 'd') d LEFT JOIN (SELECT * FROM counts WHERE side = 'b') b ON d.bucket = b.bucket, whole),
+sums AS (SELECT doc_id, count(*) AS n_features, sum(g) AS weight FROM runs JOIN feature USING (f) JOIN gain USING (bucket)
+         WHERE side = 'd' GROUP BY doc_id),
+scored AS (SELECT w.doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                  (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || w.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+                   / 4294967296))))::BIGINT AS score
+           FROM w LEFT JOIN sums USING (doc_id) WHERE side = 'd'),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 5 * n // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (doc_id)"""
