@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare_session
 from . import bpe as op10
+from . import collocations as op12
 from . import decontaminate as op4
 from . import exact_dedup as op3
 from . import hyperminhash as op1
@@ -85,6 +86,10 @@ def q_resampling(spark, sf_dir):
     return op11.resampling_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def q_collocations(spark, sf_dir):
+    return op12.top_collocations(table(spark, sf_dir, "documents"))
+
+
 def q_secrets(spark, sf_dir):
     return op13.secret_digests(table(spark, sf_dir, "documents"))
 
@@ -101,6 +106,7 @@ QUERIES = {
     "op9_warc": q_warc,
     "op10_bpe": q_bpe,
     "op11_importance": q_resampling,
+    "op12_collocations": q_collocations,
     "op13_entropy_secrets": q_secrets,
 }
 
@@ -201,3 +207,22 @@ scored AS (SELECT w.doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT A
            FROM w LEFT JOIN sums USING (doc_id) WHERE side = 'd'),
 ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN r <= 5 * n // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (doc_id)"""
+
+ORACLE["op12_collocations"] = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+f AS (SELECT lang, size, array_to_string(w[k:k + size - 1], ' ') AS phrase, count(*) AS f
+      FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM w, (SELECT unnest([1, 2, 3]) AS size)) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size >= 2 AND f >= 10),
+cuts AS (SELECT lang, size, phrase, a, k, array_to_string(w[:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+         FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+scores AS (SELECT c.lang, c.size, c.phrase, a, k, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+           FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.x JOIN f y ON y.lang = c.lang AND y.phrase = c.y),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS cut FROM scores),
+longer AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM c WHERE size = 3),
+kept AS (SELECT lang, phrase, a, l, r, score FROM best b WHERE cut = 1 AND NOT EXISTS (
+         SELECT 1 FROM longer g WHERE g.lang = b.lang AND g.phrase = b.phrase AND 100 * g.a >= 50 * b.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""

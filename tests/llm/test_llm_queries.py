@@ -23,7 +23,7 @@ def duck():
 
 def test_every_operator_is_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in names if q.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in names if q.startswith("op")}
     assert "pipeline" in names and set(queries.ORACLE) <= set(queries.QUERIES)
 
 
