@@ -6,10 +6,12 @@ over (language, first, second, third word) sums them to the counts of all shorte
 phrases, since a phrase occurs once for every window that begins with it.
 
 Most windows of a corpus occur once or twice and can be part of no phrase with the wanted
-count. A first pass counts hashed pairs of adjacent words and keeps the frequent ones as a
-bitmap; the second cuts a window at the first pair that it does not hold. The cut changes
-no count of a phrase that is frequent: all its pairs are. A bit that is set by another
-pair, or a bitmap that has reached its bound, cuts less and changes no count either.
+count. A first pass counts hashed words and pairs of adjacent words and keeps the frequent
+ones as a bitmap; the second cuts a window at the first word or pair that it does not hold.
+The cut changes no count of a phrase that is frequent: all its words and pairs are. A bit
+that is set by another pair, or a bitmap that has reached its bound, cuts less and changes
+no count either. What is cut counts in columns of its own, on the row of another window that
+begins alike (``more1``: one word, ``more2``: two), so that it costs no rows.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ UNKNOWN = "und"
 GROUP_BYTES = 4 << 20        # text of one language counted at once
 HELD_BYTES = 16 << 20        # text of all languages that a task holds
 BITS_PER_PAIR = 16
+#: Bits of a hash that is counted; words and pairs that share them count together.
+HASH_BITS = 40
 #: Bound of the bitmap (32 MB); beyond it windows are cut less often, with the same result.
 MAX_BITS = 1 << 28
 MAP_BITS = 1 << 15           # bits of a row that builds the bitmap
@@ -66,7 +70,8 @@ class Words:
         hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.distinct.to_pylist()], np.uint64)
         #: hash of a word with the next one, where one follows
         at = np.flatnonzero(self.follows)
-        self.at, self.pairs = at, mix(hashes[self.ids[at]] * _A + mix(hashes[self.ids[at + 1]] + seed) * _B)
+        self.at, self.pairs = at, mix(hashes[self.ids[at]] * _A + mix(hashes[self.ids[at + 1]] + seed) * _B) >> np.uint64(64 - HASH_BITS)
+        self.singles = mix(hashes * _B + seed) >> np.uint64(64 - HASH_BITS)  # of the distinct words
 
     def strings(self):
         """Words by number from 1, and the empty one at 0."""
@@ -107,29 +112,46 @@ def _pair_counts(batches: Iterable) -> Iterator:
     import pyarrow as pa
 
     for lang, text in parts(_rows(batches)):
-        pairs, n = np.unique(Words(text, lang).pairs, return_counts=True)
+        words = Words(text, lang)
+        pairs, n = np.unique(words.pairs, return_counts=True)
+        pairs, n = np.concatenate([pairs, words.singles]), np.concatenate([n, np.bincount(words.ids, minlength=len(words.singles))])
         yield pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(n.astype(np.int64))], ["pair", "n"])
 
 
-def windows(words: Words, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """([window, place] word numbers from 1, 0 for none; counts) of the windows of all words.
+def held(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    """Which hashes the bitmap (a power of two bits) holds; a hash takes one bit."""
+    bit = hashes & np.uint64(len(bitmap) * 8 - 1)
+    return bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1 == 1
+
 
-    ``frequent`` is a bitmap of a power of two bits, of which a pair's hash takes one."""
-    bit = words.pairs & np.uint64(len(frequent) * 8 - 1)
-    held = frequent[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1 == 1
+def windows(words: Words, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """([window, place] word numbers from 1, 0 for none; [window, 3] counts of the window, of
+    those cut after its first word, and after its second) of the windows of all words."""
     goes_on = np.zeros(len(words.ids) + ORDER, bool)
-    goes_on[words.at[held]] = True
-    ids = np.concatenate([words.ids + 1, np.zeros(ORDER, np.int64)])
-    n, whole = len(words.ids), np.ones(len(words.ids), bool)
-    columns = [ids[:n]]
+    goes_on[words.at[held(words.pairs, frequent)]] = True
+    ids = np.where(held(words.singles, frequent), np.arange(1, len(words.singles) + 1), 0)[words.ids]
+    ids = np.concatenate([ids, np.zeros(ORDER, np.int64)])
+    n = len(words.ids)
+    whole, columns = ids[:n] > 0, [ids[:n]]
     for k in range(1, ORDER):
-        whole = whole & goes_on[k - 1:n + k - 1]
+        whole = whole & goes_on[k - 1:n + k - 1] & (ids[k:n + k] > 0)
         columns.append(np.where(whole, ids[k:n + k], 0))
     base, key = len(words.distinct) + 1, columns[0]
     for k, column in enumerate(columns[1:]):  # prefixes are numbered anew, so that no product passes 64 bits
         key = (np.unique(key, return_inverse=True)[1] if k else key) * base + column
-    _, first, counts = np.unique(key, return_index=True, return_counts=True)
-    return np.stack([c[first] for c in columns], 1), counts
+    _, first, found = np.unique(key, return_index=True, return_counts=True)
+    rows = np.stack([c[first] for c in columns], 1)
+    counts = np.zeros((len(rows), ORDER), np.int64)
+    counts[:, 0] = found
+    # in the order of keys a cut window stands right before those that begin alike
+    for size in (2, 1):
+        cut = (rows[:-1, size] == 0) & (rows[:-1, size - 1] > 0) & (rows[:-1, :size] == rows[1:, :size]).all(1)
+        at = np.flatnonzero(cut)
+        counts[at + 1, size] += counts[at, 0]
+        keep = np.ones(len(rows), bool)
+        keep[at] = False
+        rows, counts = rows[keep], counts[keep]
+    return rows, counts
 
 
 def _window_counts(frequent):
@@ -139,20 +161,22 @@ def _window_counts(frequent):
         bitmap = np.frombuffer(frequent.value, np.uint8)
         for lang, text in parts(_rows(batches)):
             words = Words(text, lang)
-            ids, n = windows(words, bitmap)
+            ids, counts = windows(words, bitmap)
             table = words.strings()
             for k in range(0, len(ids), 1 << 16):
-                part = ids[k:k + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(part)), *(table.take(pa.array(part[:, j])) for j in range(ORDER)),
-                                                  pa.array(n[k:k + (1 << 16)].astype(np.int64))], ["lang", *_WORDS, "n"])
+                part, n = ids[k:k + (1 << 16)], counts[k:k + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(lang, len(part)), *(table.take(pa.array(part[:, j])) for j in range(ORDER)),
+                     *(pa.array(np.ascontiguousarray(n[:, j])) for j in range(ORDER))], ["lang", *_WORDS, *_COUNTS])
     return run
 
 
 _WORDS = [f"w{k}" for k in range(1, ORDER + 1)]
+_COUNTS = ["n", "more1", "more2"]
 
 
 def frequent_pairs(rows: DataFrame, least: int) -> bytes:
-    """Bitmap of the hashes of adjacent words that occur ``least`` times or more."""
+    """Bitmap of the hashes of words and of pairs of adjacent words that occur ``least`` times or more."""
     pairs = rows.mapInArrow(_pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     pairs = stored(pairs.where(F.col("n") >= least).select("pair"), "phrase-pairs")
     bits = min(MAX_BITS, 1 << max(15, (pairs.count() * BITS_PER_PAIR).bit_length()))
@@ -169,14 +193,17 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, lang_col: str = "lang", t
     three words that occurs ``least`` times or more, and of all words of a language (size 0)."""
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_pairs(rows, least))
-    counted = rows.mapInArrow(_window_counts(frequent), f"lang string, {', '.join(f'{w} string' for w in _WORDS)}, n long")
-    sums = counted.rollup("lang", *_WORDS).agg(F.sum("n").alias("n"), F.grouping_id().alias("g"))
-    size, last = F.lit(None).cast("int"), F.lit(None).cast("string")
+    fields = [*(f"{w} string" for w in ("lang", *_WORDS)), *(f"{c} long" for c in _COUNTS)]
+    counted = rows.mapInArrow(_window_counts(frequent), ", ".join(fields))
+    sums = counted.rollup("lang", *_WORDS).agg(*[F.sum(c).alias(c) for c in _COUNTS], F.grouping_id().alias("g"))
+    size, last, n = F.lit(None).cast("int"), F.lit(None).cast("string"), F.col("n")
     for k in range(ORDER + 1):  # the grouping id has a bit for each word that is summed over
         whole = F.col("g") == (1 << (ORDER - k)) - 1
         size = F.when(whole, F.lit(k)).otherwise(size)
         last = F.when(whole, F.col(_WORDS[k - 1]) if k else F.lit("-")).otherwise(last)
-    sums = sums.withColumns({"size": size, "last": last})
+        # windows cut after a word hold no longer phrase
+        n = F.when(whole, sum((F.col(c) for j, c in enumerate(_COUNTS) if j == 0 or j >= k), F.lit(0))).otherwise(n)
+    sums = sums.withColumns({"size": size, "last": last, "n": n})
     return sums.where((F.col("last") != "") & ((F.col("size") == 0) | (F.col("n") >= least))).select("lang", "size", *_WORDS, "n")
 
 
