@@ -9,8 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import hourly_distinct_readings
 from ..schema import BATCH_INTERVAL, DEVICE, EVENT_DAY, HOUR_END, HOUR_MS, READING_FIELDS, TENANT, TYPE
-from ..sources.hours import event_day, has_commit_log, read_hours
+from ..sources.hours import event_day, has_commit_log, live_hours, read_hours
 from ..sources.messages import parse_device_messages
+from ..storage.manifest import load_snapshot
+from .compaction import file_hours, compact_table, log_retention, remove_compacted
 
 DEFAULT_WATERMARK = "5 minutes"
 # State partitions of the dedup (fixed at a query's first start and kept in its
@@ -70,15 +72,18 @@ def precombine_copies(readings: DataFrame) -> DataFrame:
 
 
 def readings_stream(records: DataFrame, watermark: str = DEFAULT_WATERMARK,
-                    time_source: str = "processing", precombine: bool = False) -> DataFrame:
+                    time_source: str = "processing", precombine: bool = False, floor_ms: int | None = None) -> DataFrame:
     """(``value``, ``ingest_ts``) records -> de-duplicated readings with
     ``hour_end_ms``.
 
     ``time_source="processing"`` (default, the reference's semantics): the
     hour is the one in which the micro-batch runs.  Spark fixes a batch's
     ``current_timestamp()`` in its offset log, so a batch replayed after a
-    failure lands in the same hour; every row of a batch is at the watermark,
-    so no row is ever late or dropped.
+    failure lands in the same hour.  Every row of a batch is at the watermark,
+    so none is late, unless the driver's clock steps back over the end of an
+    hour: ``floor_ms`` (the newest stored hour, see :func:`run_ingest`) covers
+    a restart on a host whose clock is behind; streaming.batches covers steps
+    while a query runs, too.
 
     ``time_source="record"``: the hour of the record's ``ingest_ts`` (the
     Kafka record timestamp), replayable from the topic alone.  Records more
@@ -90,7 +95,8 @@ def readings_stream(records: DataFrame, watermark: str = DEFAULT_WATERMARK,
     the shuffle, in Python workers (see :func:`precombine_copies`): for devices
     that flood one reading in many messages."""
     if time_source == "processing":
-        records = records.withColumn("ingest_ts", F.current_timestamp())
+        now = F.current_timestamp()
+        records = records.withColumn("ingest_ts", now if floor_ms is None else F.greatest(now, F.timestamp_millis(F.lit(int(floor_ms)))))
         watermark = "0 seconds"
     elif time_source != "record":
         raise ValueError("time_source must be 'processing' or 'record'")
@@ -101,15 +107,17 @@ def readings_stream(records: DataFrame, watermark: str = DEFAULT_WATERMARK,
 
 
 def write_hourly_readings(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-                          query_name: str | None = None,
-                          state_partitions: int = DEFAULT_STATE_PARTITIONS) -> StreamingQuery:
+                          query_name: str | None = None, state_partitions: int = DEFAULT_STATE_PARTITIONS,
+                          retention: str | None = None) -> StreamingQuery:
     """Append readings to Parquet partitioned by ``event_day`` and ``hour_end_ms``.
 
     ``trigger`` defaults to the reference's 5-minute batches; tests pass
     ``{"availableNow": True}``.  The checkpoint keeps source offsets and the
     dedup state, so a restarted query resumes without loss or repeats.
     ``state_partitions`` applies only to a new checkpoint; the query takes
-    the session's settings when it starts, so it is set just for ``start``."""
+    the session's settings when it starts, so it is set just for ``start``.
+    ``retention`` lets older entries leave the sink's commit log; take it from
+    compaction.log_retention, under which only compacted hours go."""
     w = (
         df.withColumn(EVENT_DAY, event_day()).writeStream.format("parquet")
         .outputMode("append")
@@ -119,6 +127,8 @@ def write_hourly_readings(df: DataFrame, path: str, checkpoint: str, trigger: di
     )
     if query_name:
         w = w.queryName(query_name)
+    if retention:
+        w = w.option("retention", retention)
     w = w.trigger(**(trigger or {"processingTime": BATCH_INTERVAL}))
     conf = df.sparkSession.conf
     before = conf.get("spark.sql.shuffle.partitions")
@@ -165,12 +175,49 @@ def compact_hours(spark: SparkSession, source: str, target: str, from_hour_end:
     write_hourly_readings_batch(hours.drop(EVENT_DAY), target, mode="overwrite")
 
 
+def newest_hour(spark: SparkSession, path: str) -> int | None:
+    """Newest ingest hour of a stored table, live or compacted (its ``hour_end_ms``)."""
+    live = live_hours(spark, path)
+    hours = file_hours(live.inputFiles()) if live is not None else set()
+    return max([*hours, *load_snapshot(spark, path).owners()], default=None)
+
+
 def run_ingest(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                watermark: str = DEFAULT_WATERMARK, state_partitions: int = DEFAULT_STATE_PARTITIONS,
-               time_source: str = "processing", precombine: bool = False) -> StreamingQuery:
-    """Start the whole ingest query on a streaming frame of records."""
-    return write_hourly_readings(readings_stream(records, watermark, time_source, precombine), path, checkpoint, trigger,
-                                 state_partitions=state_partitions)
+               time_source: str = "processing", precombine: bool = False, retention: str | None = None) -> StreamingQuery:
+    """Start the whole ingest query on a streaming frame of records.
+
+    With processing time, no batch gets an hour before the newest one stored, whatever
+    this host's clock says."""
+    floor = newest_hour(records.sparkSession, path) if time_source == "processing" else None
+    readings = readings_stream(records, watermark, time_source, precombine, None if floor is None else floor - 1)
+    return write_hourly_readings(readings, path, checkpoint, trigger, state_partitions=state_partitions, retention=retention)
+
+
+def rows_dropped(query: StreamingQuery) -> int:
+    """Rows behind the watermark that the query's recent batches dropped (record time only)."""
+    return sum(s.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for s in p["stateOperators"])
+
+
+def run_ingest_sessions(records: DataFrame, path: str, checkpoint: str, session_ms: int, delay_ms: int = 0,
+                        sessions: int | None = None, **options) -> None:
+    """:func:`run_ingest` in sessions of ``session_ms`` (``sessions`` of them, or without end).
+
+    Between two sessions closed hours are compacted, what no reader names any more is
+    deleted, and the next one gets the log retention that this allows. So neither the log
+    nor the live files grow with the table's age. Stopping a query is safe at any time: a
+    batch that was under way is run again. A query that ends by itself ends the sessions."""
+    spark = records.sparkSession
+    while sessions is None or sessions > 0:
+        query = run_ingest(records, path, checkpoint, retention=log_retention(spark, path, session_ms), **options)
+        ended = query.awaitTermination(session_ms / 1000)
+        if not ended:
+            query.stop()
+        compact_table(spark, path, delay_ms)
+        remove_compacted(spark, path)
+        if ended:
+            return
+        sessions = None if sessions is None else sessions - 1
 
 
 def print_stream(df: DataFrame, trigger: dict | None = None, num_rows: int = 20) -> StreamingQuery:

@@ -1,0 +1,129 @@
+"""The batch ingest: every row kept, hours that never go back, replays that change nothing."""
+
+import datetime as dt
+import json
+
+import pytest
+
+from devicelens.schema import HOUR_END
+from devicelens.sources import read_hours
+from devicelens.sources.messages import message_file_stream, message_records
+from devicelens.streaming.batches import batch_writer, late_counts, run_ingest_batches
+from devicelens.streaming.compaction import compact_table
+
+H = 3_600_000
+T0 = dt.datetime(2024, 1, 1, 10, 30)
+MS0 = int(T0.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+
+
+def message(v, ms):
+    return json.dumps({"tenantId": 1, "deviceId": "d", "data": [{"key": "t", "value": v, "ts": ms}]})
+
+
+def send(spark, src, records):
+    spark.createDataFrame(records, "value string, ingest_ts timestamp").coalesce(1).write.mode("append").json(src)
+
+
+def ingest(spark, d, **options):
+    records = message_records(message_file_stream(spark, f"{d}/in", max_files_per_trigger=1), "value", "ingest_ts")
+    run_ingest_batches(records, f"{d}/t", f"{d}/ckpt", f"{d}/late", trigger={"availableNow": True}, **options).awaitTermination()
+
+
+def content(spark, d, late=False, main=True):
+    rows = read_hours(spark, f"{d}/t" if main else f"{d}/late", 0, 1 << 52, late_path=f"{d}/late" if late else None)
+    return sorted((r.value, r[HOUR_END]) for r in rows.collect())
+
+
+def test_late_rows_go_to_their_own_table(spark, tmpdir_path):
+    d, hour = tmpdir_path, MS0 // H * H + H
+    send(spark, f"{d}/in", [(message(1.0, 1), T0), (message(1.0, 1), T0), (message(2.0, 2), T0 - dt.timedelta(hours=3))])
+    ingest(spark, d, time_source="record")
+    # the first batch has seen nothing before it: nothing is late
+    assert content(spark, d) == [(1.0, hour), (2.0, hour - 3 * H)] and content(spark, d, main=False) == []
+    late = T0 - dt.timedelta(hours=2)
+    # closed by now: a copy of a stored row, two new ones of which one is sent twice; open: one new, one copy
+    send(spark, f"{d}/in", [(message(2.0, 2), T0 - dt.timedelta(hours=3)), (message(3.0, 3), late), (message(3.0, 3), late), (message(4.0, 4), T0 - dt.timedelta(hours=5)),
+                            (message(5.0, 5), T0), (message(1.0, 1), T0)])
+    ingest(spark, d, time_source="record")
+    assert content(spark, d) == [(1.0, hour), (2.0, hour - 3 * H), (5.0, hour)]
+    assert content(spark, d, main=False) == [(3.0, hour - 2 * H), (4.0, hour - 5 * H)]
+    send(spark, f"{d}/in", [(message(3.0, 3), late), (message(6.0, 6), late), (message(7.0, 7), T0 + dt.timedelta(hours=9))])
+    compact_table(spark, f"{d}/t")
+    ingest(spark, d, time_source="record")
+    assert content(spark, d, main=False) == [(3.0, hour - 2 * H), (4.0, hour - 5 * H), (6.0, hour - 2 * H)]
+    assert [v for v, _ in content(spark, d, late=True)] == [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0]
+    assert late_counts(spark, f"{d}/ckpt") == {0: {"open": 2, "late": 0}, 1: {"open": 1, "late": 2}, 2: {"open": 1, "late": 1}}
+
+
+def test_clock_set_back_loses_nothing(spark, tmpdir_path):
+    d, clock = tmpdir_path, [100 * H + 5]
+    for k, step in enumerate([0, 2 * H, -7 * H, 0, 6 * H]):
+        clock[0] += step
+        send(spark, f"{d}/in", [(message(float(k), k), None), (message(0.0, 0), None)])
+        ingest(spark, d, now_ms=lambda: clock[0])
+    got = content(spark, d)
+    # hours never go back; the reading of the first batch comes once an hour
+    assert got == [(0.0, 101 * H), (0.0, 103 * H), (1.0, 103 * H), (2.0, 103 * H), (3.0, 103 * H), (4.0, 103 * H)]
+    clock[0] = 200 * H
+    send(spark, f"{d}/in", [(message(9.0, 9), None)])
+    ingest(spark, d, now_ms=lambda: clock[0])
+    assert content(spark, d)[-1] == (9.0, 201 * H)
+
+
+def test_default_ingest_restarts_with_a_clock_behind(spark, tmpdir_path):
+    """A table whose newest hour lies ahead of this host's clock: nothing is dropped."""
+    import time
+
+    from devicelens.streaming import ingest as module
+    from devicelens.streaming import run_ingest
+
+    d = tmpdir_path
+    send(spark, f"{d}/in", [(message(1.0, 1), None)])
+    records = message_records(message_file_stream(spark, f"{d}/in"), "value", "ingest_ts")
+    run = dict(trigger={"availableNow": True}, state_partitions=2)
+    # as if the first run's host had been two days ahead
+    ahead = (int(time.time() * 1000) // H + 48) * H
+    real = module.newest_hour
+    module.newest_hour = lambda *a: ahead
+    try:
+        run_ingest(records, f"{d}/t", f"{d}/ckpt", **run).awaitTermination()
+    finally:
+        module.newest_hour = real
+    send(spark, f"{d}/in", [(message(2.0, 2), None)])
+    run_ingest(records, f"{d}/t", f"{d}/ckpt", **run).awaitTermination()
+    assert content(spark, d) == [(1.0, ahead), (2.0, ahead)]
+
+
+@pytest.mark.parametrize("source", ["processing", "record"])
+def test_replayed_batch_changes_nothing(spark, tmpdir_path, source):
+    d, clock = tmpdir_path, [50 * H]
+    write = batch_writer(f"{d}/t", f"{d}/ckpt", f"{d}/late", source, now_ms=lambda: clock[0])
+
+    def batch(values, hours=0):
+        rows = [(1, "t", "d", float(v), v, T0 - dt.timedelta(hours=hours)) for v in values]
+        return spark.createDataFrame(rows, "tenant_id long, device_type string, device_id string, value double, time_stamp long, ingest_ts timestamp")
+
+    write(batch([1, 2, 2]), 0)
+    write(batch([3]), 1)
+    # batch 2 is lost after a part of it was written: an hour on, it runs again
+    second = batch([4, 5]).unionByName(batch([6, 7], hours=4))
+    write(second.where("value in (4, 6)"), 2)
+    half = content(spark, d, late=True)
+    clock[0] += 3 * H
+    write(second, 2)
+    write(second, 2)
+    whole = content(spark, d, late=True)
+    assert sorted(v for v, _ in whole) == [1, 2, 3, 4, 5, 6, 7] and set(half) <= set(whole)
+    hours = {h for _, h in whole}
+    assert hours == ({51 * H} if source == "processing" else {MS0 // H * H + H, MS0 // H * H - 3 * H})
+    assert [v for v, _ in content(spark, d, main=False)] == ([] if source == "processing" else [6.0, 7.0])
+    write(batch([]), 3)
+    assert content(spark, d, late=True) == whole
+
+
+def test_records_without_time_are_refused(spark, tmpdir_path):
+    send(spark, f"{tmpdir_path}/in", [(message(1.0, 1), None)])
+    with pytest.raises(Exception, match="ingest_ts"):
+        ingest(spark, tmpdir_path, time_source="record")
+    with pytest.raises(ValueError):
+        batch_writer("a", "b", "c", "other")
