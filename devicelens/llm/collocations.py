@@ -6,12 +6,13 @@ over (language, first, second, third word) sums them to the counts of all shorte
 phrases, since a phrase occurs once for every window that begins with it.
 
 Most windows of a corpus occur once or twice and can be part of no phrase with the wanted
-count. A first pass counts hashed words and pairs of adjacent words and keeps the frequent
-ones as a bitmap; the second cuts a window at the first word or pair that it does not hold.
-The cut changes no count of a phrase that is frequent: all its words and pairs are. A bit
-that is set by another pair, or a bitmap that has reached its bound, cuts less and changes
-no count either. What is cut counts in columns of its own, on the row of another window that
-begins alike (``more1``: one word, ``more2``: two), so that it costs no rows.
+count. So two passes count hashes first: words and pairs of adjacent words, then windows
+whose pairs are frequent; each keeps the frequent ones as a bitmap. The last pass cuts a
+window at the first word, pair or window that they do not hold, and counts it by its words.
+The cut changes no count of a phrase that is frequent: all its parts are. A bit that is set
+by another pair, or a bitmap that has reached its bound, cuts less and changes no count
+either. What is cut counts in columns of its own, on the row of another window that begins
+alike (``more1``: one word, ``more2``: two), so that it costs no rows.
 """
 
 from __future__ import annotations
@@ -34,10 +35,10 @@ INSIDE = 50                  # percent of a phrase's occurrences that a longer o
 UNKNOWN = "und"
 GROUP_BYTES = 4 << 20        # text of one language counted at once
 HELD_BYTES = 16 << 20        # text of all languages that a task holds
-BITS_PER_PAIR = 16
-#: Bits of a hash that is counted; words and pairs that share them count together.
+BITS_PER_HASH = 16
+#: Bits of a hash that is counted; parts that share them count together.
 HASH_BITS = 40
-#: Bound of the bitmap (32 MB); beyond it windows are cut less often, with the same result.
+#: Bound of a bitmap (32 MB); beyond it windows are cut less often, with the same result.
 MAX_BITS = 1 << 28
 MAP_BITS = 1 << 15           # bits of a row that builds the bitmap
 
@@ -48,6 +49,10 @@ BREAKS = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def _short(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - HASH_BITS)
+
+
 class Words:
     """Words of a text: dictionary, number of each word, and where the next one follows it."""
 
@@ -68,10 +73,20 @@ class Words:
         self.follows[:-1] = breaks[starts[1:]] == breaks[ends[:-1] - 1]
         seed = np.uint64(xxhash.xxh3_64_intdigest(lang.encode()))
         hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.distinct.to_pylist()], np.uint64)
-        #: hash of a word with the next one, where one follows
-        at = np.flatnonzero(self.follows)
-        self.at, self.pairs = at, mix(hashes[self.ids[at]] * _A + mix(hashes[self.ids[at + 1]] + seed) * _B) >> np.uint64(64 - HASH_BITS)
-        self.singles = mix(hashes * _B + seed) >> np.uint64(64 - HASH_BITS)  # of the distinct words
+        self.seeded = mix(hashes + seed) * _B
+        self.hashes = hashes
+
+    def singles(self) -> np.ndarray:
+        """Hashes of the distinct words."""
+        return _short(mix(self.hashes + self.seeded))
+
+    def pairs(self, at: np.ndarray) -> np.ndarray:
+        """Hashes of the words at some places with the next ones."""
+        return _short(mix(self.hashes[self.ids[at]] * _A + self.seeded[self.ids[at + 1]]))
+
+    def triples(self, at: np.ndarray) -> np.ndarray:
+        first = mix(self.hashes[self.ids[at]] * _A + self.seeded[self.ids[at + 1]])
+        return _short(mix(first * _A + self.seeded[self.ids[at + 2]]))
 
     def strings(self):
         """Words by number from 1, and the empty one at 0."""
@@ -108,14 +123,22 @@ def _rows(batches: Iterable) -> Iterator[tuple[str, bytes]]:
         yield from zip(batch["lang"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist())
 
 
-def _pair_counts(batches: Iterable) -> Iterator:
-    import pyarrow as pa
+def _hash_counts(first):
+    """Counts of hashes: of words and pairs or, given their bitmap, of windows with frequent pairs."""
+    def run(batches: Iterable) -> Iterator:
+        import pyarrow as pa
 
-    for lang, text in parts(_rows(batches)):
-        words = Words(text, lang)
-        pairs, n = np.unique(words.pairs, return_counts=True)
-        pairs, n = np.concatenate([pairs, words.singles]), np.concatenate([n, np.bincount(words.ids, minlength=len(words.singles))])
-        yield pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(n.astype(np.int64))], ["pair", "n"])
+        for lang, text in parts(_rows(batches)):
+            words = Words(text, lang)
+            if first is None:
+                hashes, n = np.unique(words.pairs(np.flatnonzero(words.follows)), return_counts=True)
+                singles = words.singles()
+                hashes, n = np.concatenate([hashes, singles]), np.concatenate([n, np.bincount(words.ids, minlength=len(singles))])
+            else:
+                goes_on = frequent(words, np.frombuffer(first.value, np.uint8))[1]
+                hashes, n = np.unique(words.triples(np.flatnonzero(goes_on[:-1] & goes_on[1:])), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], ["hash", "n"])
+    return run
 
 
 def held(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
@@ -124,23 +147,31 @@ def held(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     return bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1 == 1
 
 
-def windows(words: Words, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def frequent(words: Words, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(is each distinct word frequent, is each word frequent with the next one)"""
+    single, goes_on = held(words.singles(), first), np.zeros(len(words.ids), bool)
+    at = np.flatnonzero(words.follows)
+    at = at[single[words.ids[at]] & single[words.ids[at + 1]]]
+    goes_on[at] = held(words.pairs(at), first)
+    return single, goes_on
+
+
+def windows(words: Words, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """([window, place] word numbers from 1, 0 for none; [window, 3] counts of the window, of
     those cut after its first word, and after its second) of the windows of all words."""
-    goes_on = np.zeros(len(words.ids) + ORDER, bool)
-    goes_on[words.at[held(words.pairs, frequent)]] = True
-    ids = np.where(held(words.singles, frequent), np.arange(1, len(words.singles) + 1), 0)[words.ids]
-    ids = np.concatenate([ids, np.zeros(ORDER, np.int64)])
     n = len(words.ids)
-    whole, columns = ids[:n] > 0, [ids[:n]]
-    for k in range(1, ORDER):
-        whole = whole & goes_on[k - 1:n + k - 1] & (ids[k:n + k] > 0)
-        columns.append(np.where(whole, ids[k:n + k], 0))
+    single, goes_on = frequent(words, first)
+    whole = np.flatnonzero(goes_on[:-1] & goes_on[1:])
+    whole = whole[held(words.triples(whole), second)]
+    ids = np.where(single, np.arange(1, len(single) + 1), 0)[words.ids]
+    columns = [ids, np.zeros(n, np.int64), np.zeros(n, np.int64)]
+    columns[1][goes_on] = ids[np.flatnonzero(goes_on) + 1]
+    columns[2][whole] = ids[whole + 2]
     base, key = len(words.distinct) + 1, columns[0]
     for k, column in enumerate(columns[1:]):  # prefixes are numbered anew, so that no product passes 64 bits
         key = (np.unique(key, return_inverse=True)[1] if k else key) * base + column
-    _, first, found = np.unique(key, return_index=True, return_counts=True)
-    rows = np.stack([c[first] for c in columns], 1)
+    _, at, found = np.unique(key, return_index=True, return_counts=True)
+    rows = np.stack([c[at] for c in columns], 1)
     counts = np.zeros((len(rows), ORDER), np.int64)
     counts[:, 0] = found
     # in the order of keys a cut window stands right before those that begin alike
@@ -154,14 +185,14 @@ def windows(words: Words, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return rows, counts
 
 
-def _window_counts(frequent):
+def _window_counts(first, second):
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        bitmap = np.frombuffer(frequent.value, np.uint8)
+        bitmaps = [np.frombuffer(x.value, np.uint8) for x in (first, second)]
         for lang, text in parts(_rows(batches)):
             words = Words(text, lang)
-            ids, counts = windows(words, bitmap)
+            ids, counts = windows(words, *bitmaps)
             table = words.strings()
             for k in range(0, len(ids), 1 << 16):
                 part, n = ids[k:k + (1 << 16)], counts[k:k + (1 << 16)]
@@ -175,13 +206,13 @@ _WORDS = [f"w{k}" for k in range(1, ORDER + 1)]
 _COUNTS = ["n", "more1", "more2"]
 
 
-def frequent_pairs(rows: DataFrame, least: int) -> bytes:
-    """Bitmap of the hashes of words and of pairs of adjacent words that occur ``least`` times or more."""
-    pairs = rows.mapInArrow(_pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    pairs = stored(pairs.where(F.col("n") >= least).select("pair"), "phrase-pairs")
-    bits = min(MAX_BITS, 1 << max(15, (pairs.count() * BITS_PER_PAIR).bit_length()))
-    bit = F.col("pair").bitwiseAND(bits - 1)
-    maps = pairs.groupBy((F.shiftrightunsigned(bit, 15)).alias("at")).agg(F.expr(f"bitmap_construct_agg(pair & {MAP_BITS - 1})").alias("bitmap"))
+def frequent_hashes(rows: DataFrame, least: int, first=None) -> bytes:
+    """Bitmap of the hashes that occur ``least`` times or more (see :func:`_hash_counts`)."""
+    hashes = rows.mapInArrow(_hash_counts(first), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    hashes = stored(hashes.where(F.col("n") >= least).select("hash"), "phrase-hashes")
+    bits = min(MAX_BITS, 1 << max(15, (hashes.count() * BITS_PER_HASH).bit_length()))
+    bit = F.col("hash").bitwiseAND(bits - 1)
+    maps = hashes.groupBy(F.shiftrightunsigned(bit, 15).alias("at")).agg(F.expr(f"bitmap_construct_agg(hash & {MAP_BITS - 1})").alias("bitmap"))
     out = bytearray(bits // 8)
     for row in maps.toLocalIterator():  # MAX_BITS / 8 bytes at most
         out[row.at * MAP_BITS // 8:(row.at + 1) * MAP_BITS // 8] = row.bitmap
@@ -192,9 +223,11 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, lang_col: str = "lang", t
     """(``lang``, ``size``, ``w1``, ``w2``, ``w3``, ``n``): occurrences of every phrase of one to
     three words that occurs ``least`` times or more, and of all words of a language (size 0)."""
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_pairs(rows, least))
+    share = docs.sparkSession.sparkContext.broadcast
+    first = share(frequent_hashes(rows, least))
+    second = share(frequent_hashes(rows, least, first))
     fields = [*(f"{w} string" for w in ("lang", *_WORDS)), *(f"{c} long" for c in _COUNTS)]
-    counted = rows.mapInArrow(_window_counts(frequent), ", ".join(fields))
+    counted = rows.mapInArrow(_window_counts(first, second), ", ".join(fields))
     sums = counted.rollup("lang", *_WORDS).agg(*[F.sum(c).alias(c) for c in _COUNTS], F.grouping_id().alias("g"))
     size, last, n = F.lit(None).cast("int"), F.lit(None).cast("string"), F.col("n")
     for k in range(ORDER + 1):  # the grouping id has a bit for each word that is summed over

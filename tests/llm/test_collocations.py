@@ -76,21 +76,23 @@ def test_a_full_bitmap_cuts_nothing_and_an_empty_one_all():
 
     words = op.Words("a b a b c. a b".encode(), "en")
 
-    def found(bitmap):
-        ids, n = op.windows(words, bitmap)
+    def found(*bitmaps):
+        ids, n = op.windows(words, *bitmaps)
         names = words.strings().to_pylist()
         return {tuple(names[j] for j in row): k.tolist() for row, k in zip(ids, n)}
 
     # what is padded counts on the row of a window that begins alike
-    assert found(np.full(4096, 255, np.uint8)) == {
+    full, none = np.full(4096, 255, np.uint8), np.zeros(4096, np.uint8)
+    assert found(full, full) == {
         ("a", "b", "a"): [1, 0, 1], ("b", "a", "b"): [1, 1, 0], ("a", "b", "c"): [1, 0, 0], ("b", "c", ""): [1, 0, 0], ("c", "", ""): [1, 0, 0]}
-    assert found(np.zeros(4096, np.uint8)) == {("", "", ""): [7, 0, 0]}
+    assert found(none, full) == {("", "", ""): [7, 0, 0]}
+    assert found(full, none) == {("a", "b", ""): [3, 0, 0], ("b", "a", ""): [1, 1, 0], ("b", "c", ""): [1, 0, 0], ("c", "", ""): [1, 0, 0]}
     # bits that other words or pairs have set lose no occurrence
     rng, many = np.random.default_rng(1), op.Words(" ".join(random.Random(4).choices([f"w{i}" for i in range(60)], k=3000)).encode(), "en")
     for _ in range(20):
-        assert op.windows(many, rng.integers(0, 256, 4096).astype(np.uint8))[1].sum() == 3000
+        assert op.windows(many, *(rng.integers(0, 256, 4096).astype(np.uint8) for _ in range(2)))[1].sum() == 3000
     empty = op.Words(b"", "en")
-    assert len(op.windows(empty, np.zeros(4096, np.uint8))[1]) == 0
+    assert len(op.windows(empty, none, none)[1]) == 0
 
 
 def test_scores_are_exact_beyond_64_bits(spark):
