@@ -6,6 +6,7 @@
     ... recent-data    --path P [endTime]
     ... recent-device  --path P [endTime days]
     ... convert        --path TEXT --out P
+    ... compact        --path P [--delay-minutes N]
 
 Positional arguments and their defaults are the reference's: ``-1`` means
 "any" for identities; a negative start is 0, a negative end is now, a part
@@ -27,14 +28,16 @@ from pyspark.sql import functions as F
 
 from .operators import bucket_stats, device_type_stats, recent_data, recent_device
 from .operators.report import bucket_report, device_report
-from .schema import ANY_ID, DAY_MS, HOUR_END, READING_FIELDS, SOURCE_TOPIC, TS
+from .schema import ANY_ID, DAY_MS, HOUR_END, HOUR_MS, READING_FIELDS, SOURCE_TOPIC, TS
 from .session import STATE_STORE, STATE_STORE_CONF, prepare_session
 from .sinks import append_recent, publish_report, recent_rows, write_kafka
 from .sources import read_hours, read_text_hours
 from .sources.lines import TEXT_DIR_PREFIX, parse_reading_lines
 from .sources.messages import message_file_stream, message_records, stream_device_messages
 from .streaming import run_ingest
-from .streaming.ingest import DEFAULT_STATE_PARTITIONS, write_hourly_readings_batch
+from .streaming.batches import DELAY_MS, run_ingest_batches
+from .streaming.compaction import compact_table, remove_compacted
+from .streaming.ingest import DEFAULT_STATE_PARTITIONS, run_ingest_sessions, write_hourly_readings_batch
 
 
 def _now_ms() -> int:
@@ -53,7 +56,7 @@ def _readings(spark, opts, start, end) -> DataFrame:
     """Readings of the range, scanned again by each pass of an analysis."""
     if opts.layout == "text":
         return read_text_hours(spark, opts.path, start, end, pad_hours=opts.pad_hours)
-    return read_hours(spark, opts.path, start, end)
+    return read_hours(spark, opts.path, start, end, late_path=opts.late)
 
 
 def _print(rows: DataFrame) -> None:
@@ -116,9 +119,25 @@ def ingest(spark: SparkSession, opts, args) -> None:
         records = stream_device_messages(spark, opts.kafka, opts.topic, options=_options(opts.kafka_option))
     trigger = {"availableNow": True} if opts.available_now else None
     spark.conf.set(STATE_STORE_CONF, STATE_STORE)  # dedup state off the heap, checkpointed by changes
-    q = run_ingest(records, opts.path, opts.checkpoint, trigger=trigger, time_source=opts.time_source,
+    if opts.late:
+        q = run_ingest_batches(records, opts.path, opts.checkpoint, opts.late, trigger, opts.time_source, opts.delay_minutes * 60_000)
+        q.awaitTermination()
+        return
+    delay = opts.delay_minutes * 60_000 if opts.time_source == "record" else 0
+    options = dict(trigger=trigger, time_source=opts.time_source, watermark=f"{opts.delay_minutes} minutes",
                    state_partitions=opts.state_partitions, precombine=opts.precombine)
-    q.awaitTermination()
+    if opts.session_hours:
+        run_ingest_sessions(records, opts.path, opts.checkpoint, int(opts.session_hours * HOUR_MS), delay, **options)
+    else:
+        run_ingest(records, opts.path, opts.checkpoint, **options).awaitTermination()
+
+
+def compact(spark: SparkSession, opts, args) -> None:
+    """Closed hours of the stored table into a generation; then what no reader names any more goes."""
+    snapshot = compact_table(spark, opts.path, opts.delay_minutes * 60_000)
+    gone = remove_compacted(spark, opts.path)
+    print(f"version {snapshot.version}: {len(snapshot.owners())} hours compacted; deleted {len(gone['hours'])} live hours "
+          f"and {len(gone['generations'])} generations")
 
 
 def convert(spark: SparkSession, opts, args) -> None:
@@ -137,6 +156,7 @@ JOBS = {
     "recent-data": recent_data_job,
     "recent-device": recent_device_job,
     "convert": convert,
+    "compact": compact,
 }
 
 
@@ -164,6 +184,11 @@ def parser() -> argparse.ArgumentParser:
                    help="dedup state partitions of a new ingest checkpoint (size them to one micro-batch)")
     p.add_argument("--time-source", choices=["processing", "record"], default="processing",
                    help="hour of a reading: when its batch runs (no drops) or its record timestamp")
+    p.add_argument("--delay-minutes", type=int, default=DELAY_MS // 60_000,
+                   help="ingest by record time, compact: an hour closes this long after its end")
+    p.add_argument("--late", help="table of late rows: ingest keeps every row (no state store), analyses read both tables")
+    p.add_argument("--session-hours", type=float,
+                   help="ingest: stop that often to compact closed hours and shorten the commit log")
     p.add_argument("--jdbc-url")
     p.add_argument("--table")
     p.add_argument("--jdbc-option", action="append", help="key=value JDBC property (user, password, ...)")

@@ -34,8 +34,11 @@ from .sinks import publish_report, recent_rows
 from .sources import (
     format_reading_lines, parse_device_messages, parse_reading_lines, read_hours, read_reading_lines, read_text_hours,
 )
+from .sources.hours import live_hours
 from .sources.messages import message_file_stream, message_records
 from .streaming import run_ingest, write_hourly_readings_batch
+from .streaming.batches import DELAY_MS, run_ingest_batches
+from .streaming.compaction import closed_hours, compact_table, write_generation
 from .streaming.ingest import DEFAULT_WATERMARK, compact_hours
 
 S, E, PARTS = fx.START_MS, fx.END_MS, fx.PARTS
@@ -271,6 +274,36 @@ def q_ingest_two_batches(spark, sf_dir):
     return read_hours(spark, compacted, 0, E + 400 * DAY_MS).select(*READING_FIELDS, HOUR_END)
 
 
+def q_read_hours_compacted(spark, sf_dir):
+    """Two micro-batches, each followed by a compaction and by one that is lost before it publishes;
+    the second batch repeats the last hours of the first. Read as one snapshot."""
+    src, messages, mid = scratch_path(spark, "messages"), _messages(_events(spark, sf_dir)), F.timestamp_millis(F.lit(S + 15 * DAY_MS))
+    out, ckpt = scratch_path(spark, "hourly-snap"), scratch_path(spark, "hourly-snap-ckpt")
+    at = F.col("ingest_ts").cast("timestamp")
+    for part in (messages.where(at < mid), messages.where(at >= mid - F.expr("INTERVAL 2 HOURS"))):
+        part.write.mode("append").json(src)
+        records = message_records(message_file_stream(spark, src), "value", "ingest_ts")
+        run_ingest(records, out, ckpt, trigger={"availableNow": True}, watermark=DEFAULT_WATERMARK, time_source="record",
+                   state_partitions=4).awaitTermination()
+        compact_table(spark, out, DELAY_MS)
+        write_generation(live_hours(spark, out).where(F.col(VALUE) > 0), out)  # lost: never published
+    if closed_hours(spark, out, DELAY_MS):
+        raise RuntimeError("closed hours were left uncompacted")
+    return read_hours(spark, out, 0, E + 400 * DAY_MS).select(*READING_FIELDS, HOUR_END)
+
+
+def q_ingest_late_rows(spark, sf_dir):
+    """The second half of the table arrives first; then all of it, of which the first half is
+    late and the rest are copies. Late rows lie in a table of their own; both are read."""
+    src, messages = scratch_path(spark, "messages"), _messages(_events(spark, sf_dir))
+    out, late, ckpt = (scratch_path(spark, f"batches{x}") for x in ("", "-late", "-ckpt"))
+    for part in (messages.where(F.col("ingest_ts").cast("timestamp") >= F.timestamp_millis(F.lit(S + 15 * DAY_MS))), messages):
+        part.write.mode("append").json(src)
+        records = message_records(message_file_stream(spark, src), "value", "ingest_ts")
+        run_ingest_batches(records, out, ckpt, late, trigger={"availableNow": True}, time_source="record").awaitTermination()
+    return read_hours(spark, out, 0, E + 400 * DAY_MS, late_path=late).select(*READING_FIELDS, HOUR_END)
+
+
 def q_stream_device_messages(spark, sf_dir):
     records = _stream_messages(spark, sf_dir)
     out, ckpt = scratch_path(spark, "readings"), scratch_path(spark, "readings-ckpt")
@@ -388,6 +421,8 @@ QUERIES = {
     "read_text_hours": q_read_text_hours,
     "read_hours_late": q_read_hours_late,
     "ingest_two_batches": q_ingest_two_batches,
+    "read_hours_compacted": q_read_hours_compacted,
+    "ingest_late_rows": q_ingest_late_rows,
 }
 
 
@@ -530,6 +565,8 @@ SELECT DISTINCT {FIVE} FROM readings WHERE time_stamp >= {RANGE_S} AND time_stam
     "read_text_hours": f"""WITH {EV}
 SELECT {FIVE} FROM readings WHERE time_stamp >= {RANGE_S} AND time_stamp < {RANGE_E}""",
     "ingest_two_batches": f"WITH {EV} {DISTINCT_HOURS}",
+    "read_hours_compacted": f"WITH {EV} {DISTINCT_HOURS}",
+    "ingest_late_rows": f"WITH {EV} {DISTINCT_HOURS}",
     "parse_device_messages_bad": f"""WITH {EV},
 m AS (SELECT {FIVE}, tenant_id % 7 AS kind, count(*) OVER w AS n,
              row_number() OVER (PARTITION BY tenant_id, device_id, time_stamp // 1000 ORDER BY device_type, value, time_stamp) AS k

@@ -108,3 +108,32 @@ def test_convert_text_layout(spark, tmpdir_path):
     got = read_hours(spark, out, fx.START_MS, fx.END_MS)
     assert got.select(READING_FIELDS).exceptAll(r.select(READING_FIELDS)).count() == 0 and got.count() == r.count()
     assert {x.hour_end_ms for x in got.select("hour_end_ms").distinct().collect()} == set(ends)
+
+
+def test_ingest_keeps_late_rows_and_compacts(spark, tmpdir_path, capsys):
+    from devicelens.schema import HOUR_END
+    from devicelens.sources import read_hours
+
+    src, path, late = tmpdir_path + "/in", tmpdir_path + "/readings", tmpdir_path + "/late"
+    _messages(fx.event_readings(spark, SF_SMALL)).write.json(src)
+    run(spark, ["ingest", "--path", path, "--checkpoint", tmpdir_path + "/ckpt", "--files", src, "--available-now",
+                "--time-source", "record", "--late", late])
+    n = fx.event_readings(spark, SF_SMALL).count()
+    hours = spark.read.parquet(path).select(HOUR_END).distinct().count()
+    assert spark.read.parquet(path).count() == n
+    run(spark, ["compact", "--path", path])
+    assert f"{hours - 2} hours compacted" in capsys.readouterr().out
+    s, e = str(fx.START_MS), str(fx.END_MS)
+    assert read_hours(spark, path, int(s), int(e)).count() == n
+    run(spark, ["data-analysis", "--path", path, "--late", late, "--print", "-1", "-1", "-1", s, e, "10"])
+    assert '"status":"success"' in capsys.readouterr().out
+
+
+def test_ingest_in_sessions(spark, tmpdir_path):
+    from devicelens.storage import load_snapshot
+
+    src, path = tmpdir_path + "/in", tmpdir_path + "/readings"
+    _messages(fx.event_readings(spark, SF_SMALL)).write.json(src)
+    run(spark, ["ingest", "--path", path, "--checkpoint", tmpdir_path + "/ckpt", "--files", src, "--available-now",
+                "--time-source", "record", "--session-hours", "1"])
+    assert load_snapshot(spark, path).owners()
