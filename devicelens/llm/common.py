@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,15 +15,38 @@ from ..session import scratch_path
 HOT_SHARE = 1024
 
 
+_recorders: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def recorded(paths: list[str]):
+    """Paths that :func:`stored` writes meanwhile are appended to ``paths``."""
+    _recorders.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorders.remove(paths)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back:
     computed once, lineage cut, safe against lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    for paths in _recorders:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written tables that nothing reads any more, and forget their names."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while paths:
+        p = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        p.getFileSystem(conf).delete(p, True)
+
+
 def join_group_facts(rows: DataFrame, facts: DataFrame, key: str, size_col: str, total: int) -> DataFrame:
     """Inner join of ``rows`` with one ``facts`` row per ``key``; no task gets a
     whole hot group.

@@ -16,8 +16,9 @@ weights by subsequence, with which the workers score words (each once).
 from __future__ import annotations
 
 import functools
+import hashlib
 import re
-import sys
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -26,17 +27,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import stored
+
 DECAY = 0.75
 SPAN = 7                      # longest stretch of a subsequence of three characters
 SYMBOLS = 64
 LANDMARKS = 192
 #: Bounds of the training sample: texts of each label, and the longest text taken.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 3000, 5000, 1 << 16
+FETCHES = 16                  # partitions in which the sample's bags are fetched
 ROUNDS = 4
 CACHE = 1_000_000             # remembered words per worker
 THRESHOLD = 0.3
 LOW = -3.0                    # value of a text without words
 HELD_OUT = 2
+SPLIT_MARK = "\x1f"           # white space to str.split(): in no word
 SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 SENTENCE = re.compile(r"[.!?\n]+(?=\s|$)")
 OFFSETS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
@@ -174,79 +179,146 @@ def disguised(word: str, rng) -> str:
     return mark.join(word) if kind == 1 else word[:at] + word[at - 1] + word[at:]
 
 
-def sentences_of(text: str | None) -> set[frozenset[str]]:
-    """Word sets of a text's sentences; words of one or two characters left out. Equal
-    words are one object, so that a sample takes little memory."""
-    return {b for part in SENTENCE.split(text or "") if (b := frozenset(sys.intern(w) for w in words_of(part) if len(w) > 2))}
-
-
-def learn(toxic: list[set], clean: list[set], seed: int) -> Model:
-    """SVM of texts as sets of sentences; not yet calibrated.
+class Bag:
+    """A text as its distinct words and, by their numbers, the word sets of its sentences."""
+
+    def __init__(self, words: list[str], split: list[str], sentences: list[list[int]]):
+        self.words, self.split, self.sentences = words, split, sentences
+
+    @classmethod
+    def of(cls, text: str | None) -> "Bag":
+        """Words of one or two characters are in no sentence; ``split`` are words that only
+        the end of a sentence makes (in words spelt out with spaces)."""
+        parts = list(dict.fromkeys(frozenset(w for w in words_of(p) if len(w) > 2) for p in SENTENCE.split(text or "")))
+        words = sorted(set(words_of(text)))
+        split = sorted({w for p in parts for w in p} - set(words))
+        place = {w: i for i, w in enumerate([*words, *split])}
+        return cls(words, split, [sorted(place[w] for w in p) for p in parts if p])
+
+    def packed(self) -> tuple[str, bytes]:
+        """Words by lines (no word has white space), and the sentences' numbers, each closed by -1."""
+        return ("\n".join(self.words) + SPLIT_MARK + "\n".join(self.split),
+                np.array([i for s in self.sentences for i in (*s, -1)], np.int32).tobytes())
+
+
+class Sample:
+    """Labelled texts as arrays of numbers: of words (in their sorted order) and of distinct sentences."""
+
+    def __init__(self, packed: Iterable[tuple[int, str, bytes]]):
+        """``packed``: (label, words, sentences) of each text, read once and let go."""
+        number: dict[str, int] = {}
+        sentence: dict[bytes, int] = {}
+        labels, seen, held, flat, sizes = [], [], [], array("i"), array("q")
+        for label, words, coded in packed:
+            whole, split = (x.split("\n") if x else [] for x in words.split(SPLIT_MARK))
+            own = np.array([number.setdefault(w, len(number)) for w in (*whole, *split)], np.int32)
+            codes, ids = np.frombuffer(coded, np.int32), []
+            for part in np.split(codes, np.flatnonzero(codes < 0) + 1)[:-1]:
+                part = np.sort(own[part[:-1]])
+                key = hashlib.blake2b(part.tobytes(), digest_size=16).digest()
+                if key not in sentence:
+                    sentence[key] = len(sentence)
+                    flat.frombytes(part.tobytes())
+                    sizes.append(len(part))
+                ids.append(sentence[key])
+            labels.append(label)
+            seen.append(own[:len(whole)])
+            held.append(np.array(ids, np.int64))
+        self.words = sorted(number)
+        rank = np.empty(len(number), np.int32)
+        rank[[number[w] for w in self.words]] = np.arange(len(number), dtype=np.int32)
+        self.labels, self.seen, self.held = np.array(labels, int), [rank[x] for x in seen], held
+        self.flat = rank[np.frombuffer(flat, np.int32)] if flat else rank[:0]
+        self.starts = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int64) if sizes else [])]).astype(np.int64)
+
+    def words_in(self, sentences: np.ndarray) -> np.ndarray:
+        """Words of some sentences, as often as they stand there."""
+        return np.concatenate([self.flat[self.starts[s]:self.starts[s + 1]] for s in sentences]) if len(sentences) else self.flat[:0]
+
+    def texts_with(self, rows: np.ndarray) -> np.ndarray:
+        """Number of the texts ``rows`` that hold each sentence."""
+        held = [self.held[r] for r in rows]
+        return np.bincount(np.concatenate(held) if held else np.zeros(0, np.int64), minlength=len(self.starts) - 1)
+
+
+def learn(sample: Sample, toxic: np.ndarray, clean: np.ndarray, seed: int) -> Model:
+    """SVM of some of the sample's texts (by number); not yet calibrated.
 
     Clean texts weigh against a word, none forbids it: a toxic text's witness is one of
     its words that no clean sentence has or that toxic ones have more often beyond chance,
     or else its most associated word. A word counts as positive by its share of toxic
     against clean sentences, as negative by the rest. Sentences count once, however often
     copied; those as common in clean texts as in toxic ones are left out of toxic texts."""
-    rng = np.random.default_rng(seed)
-    in_clean, in_toxic = (Counter(s for t in texts for s in t) for texts in (clean, toxic))
-    good = Counter(w for s in in_clean for w in s)
-    own = {s for s, n in in_toxic.items() if n * len(clean) > in_clean[s] * len(toxic)}
-    bad = Counter(w for s in own for w in s)
-    ratio = max(1, len(in_clean)) / max(1, len(own))
-    share = {w: n * ratio / (n * ratio + good[w]) for w, n in bad.items()}
+    rng, names, n_words = np.random.default_rng(seed), sample.words, len(sample.words)
+    in_clean, in_toxic = sample.texts_with(clean), sample.texts_with(toxic)
+    own = (in_toxic > 0) & (in_toxic * len(clean) > in_clean * len(toxic))
+    good = np.bincount(sample.words_in(np.flatnonzero(in_clean)), minlength=n_words)
+    bad = np.bincount(sample.words_in(np.flatnonzero(own)), minlength=n_words)
+    ratio = max(1, int((in_clean > 0).sum())) / max(1, int(own.sum()))
+    share = np.where(bad > 0, bad * ratio / np.maximum(bad * ratio + good, 1e-300), 0.0)
     # association: log odds of toxic against clean sentences, less two standard errors
-    tied = {w: float(np.log((n + 0.5) * ratio / (good[w] + 0.5)) - 2 * np.sqrt(1 / (n + 0.5) + 1 / (good[w] + 0.5))) for w, n in bad.items()}
+    tied = np.log((bad + 0.5) * ratio / (good + 0.5)) - 2 * np.sqrt(1 / (bad + 0.5) + 1 / (good + 0.5))
 
-    def candidates(text: set) -> frozenset:
-        words = {w for s in text if s in own for w in s}
-        some = frozenset(w for w in words if w not in good or tied[w] > 0)
-        return some or frozenset(sorted(words, key=lambda w: (-tied[w], w))[:1])
+    def candidates(text: int) -> tuple:
+        held = sample.held[text]
+        words = np.unique(sample.words_in(held[own[held]]))
+        some = words[(good[words] == 0) | (tied[words] > 0)]
+        return tuple((some if len(some) else words[np.lexsort((words, -tied[words]))[:1]]).tolist())
 
-    bags = [sorted(b) for b in dict.fromkeys(map(candidates, toxic)) if b]
+    bags = [np.array(b) for b in dict.fromkeys(map(candidates, toxic)) if b]
     if not bags:
         return Model(np.zeros(0, np.int64), np.zeros(0), LOW)
-    marked = sorted({w for b in bags for w in b}, key=lambda w: (-tied[w], w))[:LANDMARKS // 2]
-    common = [w for w, _ in sorted(good.items(), key=lambda x: (-x[1], x[0]))[:LANDMARKS // 4]]
-    rest = sorted(set(good) - set(common))
-    drawn = [rest[i] for i in rng.choice(len(rest), min(len(rest), LANDMARKS // 4), replace=False)] if rest else []
-    marks = Landmarks(list(dict.fromkeys([*marked, *common, *drawn])))
+    everyone = np.unique(np.concatenate(bags))
+    marked = everyone[np.lexsort((everyone, -tied[everyone]))][:LANDMARKS // 2]
+    pool = np.flatnonzero(good)
+    common = pool[np.lexsort((pool, -good[pool]))][:LANDMARKS // 4]
+    rest = np.setdiff1d(pool, common)
+    drawn = rest[rng.choice(len(rest), min(len(rest), LANDMARKS // 4), replace=False)] if len(rest) else rest
+    marks = Landmarks([names[w] for w in dict.fromkeys([*marked.tolist(), *common.tolist(), *drawn.tolist()])])
     values, vectors = np.linalg.eigh(marks.kernel(marks.words))
     keep = values > 1e-6 * values.max()
     project = vectors[:, keep] / np.sqrt(values[keep])
 
-    pool = sorted(good)
-    some = {pool[i] for i in rng.choice(len(pool), min(len(pool), 4000), replace=False)} | set(common) if pool else set()
-    witnesses = Counter(max(b, key=lambda w: (tied[w], w)) for b in bags)
-    everyone = sorted({w for b in bags for w in b})
-    place = {w: i for i, w in enumerate(everyone)}
+    pooled = [names[w] for w in pool]
+    some = set(pool[rng.choice(len(pool), min(len(pool), 4000), replace=False)].tolist()) | set(common.tolist()) if len(pool) else set()
+
+    def chosen(value: np.ndarray) -> Counter:
+        """How many bags each word is the witness of: the one of the highest value, the last of equal ones."""
+        return Counter(int(b[len(b) - 1 - np.argmax(value[b][::-1])]) for b in bags)
+
+    witnesses = chosen(tied)
     for _ in range(ROUNDS):
         negatives, positives = sorted(some), sorted(witnesses)
-        masked = [disguised(w, rng) for w in positives for _ in range(3)]
-        plain = [disguised(w, rng) for w in negatives[::4]]
-        x = marks.kernel(positives + masked + negatives + plain) @ project
+        masked = [disguised(names[w], rng) for w in positives for _ in range(3)]
+        plain = [disguised(names[w], rng) for w in negatives[::4]]
+        x = marks.kernel([names[w] for w in positives] + masked + [names[w] for w in negatives] + plain) @ project
         label = np.repeat([1.0, -1.0], [len(positives) + len(masked), len(negatives) + len(plain)])
         counted = np.array([witnesses[w] * share[w] for w in positives])
-        rest = np.array([1 - share.get(w, 0.0) for w in negatives])
-        weight = np.concatenate([counted, np.repeat(counted, 3) / 4, [r * np.sqrt(1.0 + good[w]) for r, w in zip(rest, negatives)], rest[::4]])
+        left = 1 - share[negatives] if negatives else np.zeros(0)
+        weight = np.concatenate([counted, np.repeat(counted, 3) / 4, left * np.sqrt(1.0 + good[negatives]) if negatives else left, left[::4]])
         weight[label > 0] *= weight[label < 0].sum() / weight[label > 0].sum()
         w = fit_svm(x, label, weight)
         model = Model(marks.codes, marks.table @ (project @ w[:-1]), float(w[-1]))
-        seen = model.values(everyone)
-        witnesses = Counter(max(b, key=lambda v: (seen[place[v]] + share[v] * np.log1p(bad[v]), v)) for b in bags)
-        some |= {pool[i] for i in np.argsort(-model.values(pool))[:1500]} if pool else set()
+        value = np.zeros(n_words)
+        value[everyone] = model.values([names[w] for w in everyone])
+        witnesses = chosen(value + share * np.log1p(bad))
+        some |= set(pool[np.argsort(-model.values(pooled))[:1500]].tolist()) if pooled else set()
     return model
 
 
 def train(texts: list[str], toxic: list[int], clean_weight: float = 1.0, seed: int = 7) -> Model:
-    """Model of labelled texts, calibrated on those it was not fitted to.
+    """Model of labelled texts, see :func:`fit_sample`."""
+    return fit_sample(Sample((y, *Bag.of(t).packed()) for t, y in zip(texts, toxic)), clean_weight, seed)
+
+
+def fit_sample(sample: Sample, clean_weight: float = 1.0, seed: int = 7) -> Model:
+    """Model of a sample, calibrated on texts it was not fitted to.
 
     ``clean_weight``: how many clean texts of the corpus each one stands for, against
     toxic ones. Without both labels every score is the share of toxic ones. A small
     sample is fitted once more as a whole, keeping the calibration."""
-    y = np.array(toxic, int)
-    bags = [sentences_of(t) for t in texts]
-    usable = np.array([bool(b) for b in bags], bool)
+    y = sample.labels
+    usable = np.array([len(h) > 0 for h in sample.held], bool)
     if not (usable & (y == 1)).any() or not (y == 0).any():
         share = min(max(float(y.mean()) if len(y) else 0.0, 1e-6), 1 - 1e-6)
         return Model(np.zeros(0, np.int64), np.zeros(0), 0.0, 0.0, float(np.log(share / (1 - share))))
@@ -256,14 +328,14 @@ def train(texts: list[str], toxic: list[int], clean_weight: float = 1.0, seed: i
     holding = ~fitting if not fitting.all() else fitting
 
     def chosen(rows, label):
-        return [b for b, t, f, u in zip(bags, y, rows, usable) if t == label and f and u]
+        return np.flatnonzero((y == label) & rows & usable)
 
-    model = learn(chosen(fitting, 1), chosen(fitting, 0), seed)
-    top = np.array([model.values(sorted(set(words_of(t)))).max() if t and t.split() else LOW for t, f in zip(texts, holding) if f])
+    model = learn(sample, chosen(fitting, 1), chosen(fitting, 0), seed)
+    top = np.array([model.values([sample.words[w] for w in sample.seen[t]]).max(initial=LOW) for t in np.flatnonzero(holding)])
     truth = y[holding]
     curve = calibrate(np.maximum(top, LOW), truth, np.where(truth == 1, 1.0, clean_weight))
     if (y == 1).sum() < 300 and not fitting.all():
-        model = learn(chosen(usable, 1), chosen(usable, 0), seed)
+        model = learn(sample, chosen(usable, 1), chosen(usable, 0), seed)
     model.slope, model.offset = curve
     return model
 
@@ -272,23 +344,35 @@ def held_out(id_col: str) -> F.Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == HELD_OUT, F.lit(False))
 
 
+def _bags(batches: Iterable) -> Iterator:
+    """Texts to packed bags, in the executors."""
+    import pyarrow as pa
+
+    for batch in batches:
+        words, sentences = zip(*(Bag.of(t).packed() for t in batch["text"].to_pylist())) if batch.num_rows else ((), ())
+        yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(words, pa.string()), pa.array(sentences, pa.binary())], ["toxic", "words", "sentences"])
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Train on a bounded sample of labelled texts outside the held-out quarter.
 
-    The sample's ids are chosen by hash among all labels; only those rows' texts (of
-    at most SAMPLE_BYTES each) reach the driver. Label counts cover all labels."""
+    The sample's ids are chosen by hash among all labels; its texts (of at most SAMPLE_BYTES
+    each) become bags of words and sentences in the executors, which the driver fetches a
+    partition at a time and keeps as numbers. Label counts cover all labels."""
     rows = labels.where("toxic in (0, 1)").where(~held_out("doc_id")).select("doc_id", "toxic")
-    rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rows = rows.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     sizes = dict(rows.groupBy("toxic").count().collect())
     order = F.xxhash64("doc_id")
     picked = (rows.where("toxic = 1").orderBy(order).limit(SAMPLE_TOXIC)
               .unionByName(rows.where("toxic = 0").orderBy(order).limit(SAMPLE_CLEAN)))
-    sample = (docs.select("doc_id", "text").where(F.octet_length("text") <= SAMPLE_BYTES)
-              .join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic").toPandas())
-    sample = sample.sort_values(["doc_id", "text"])
-    n_toxic, n_clean = int((sample.toxic == 1).sum()), int((sample.toxic == 0).sum())
+    texts = docs.select("doc_id", "text").where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(picked), "doc_id")
+    texts = stored(texts, "toxicity-sample")
+    bags = texts.repartitionByRange(FETCHES, "doc_id", "text").sortWithinPartitions("doc_id", "text").select("toxic", "text")
+    bags = stored(bags.mapInArrow(_bags, "toxic int, words string, sentences binary").withColumn("at", F.monotonically_increasing_id()), "toxicity-bags")
+    sample = Sample((r.toxic, r.words, bytes(r.sentences)) for r in bags.orderBy("at").toLocalIterator())
+    n_toxic, n_clean = int((sample.labels == 1).sum()), int((sample.labels == 0).sum())
     clean_weight = (sizes.get(0, 0) / max(1, n_clean)) / max(1e-9, sizes.get(1, 0) / max(1, n_toxic)) if n_toxic else 1.0
-    return train(sample.text.tolist(), sample.toxic.tolist(), clean_weight or 1.0)
+    return fit_sample(sample, clean_weight or 1.0)
 
 
 def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: str = "doc_id",
@@ -321,7 +405,7 @@ def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows scored at ``threshold`` or more; all columns stay as they are."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
     return score_texts(rows, fit(docs, labels), threshold, id_col="row").where("predicted = 0").select("row.*")
 
 
