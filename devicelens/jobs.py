@@ -14,8 +14,8 @@ count <= 0 is 1.  Reports go to Kafka (``--kafka``), rows to a JDBC table
 (``--jdbc-url``); with ``--print``, or without a target, they are printed, all
 of them.  ``--path`` is the stored hourly readings table written by ``ingest``
 or, with ``--layout text``, the folder holding the reference's
-``device-data-<ms>`` text output; ``convert`` turns that into the stored table,
-once, instead of parsing it in every job.
+``device-data-<ms>`` text output; ``convert`` turns that into the stored table
+(run it again for text that has come since), instead of parsing it in every job.
 """
 
 from __future__ import annotations
@@ -24,20 +24,19 @@ import argparse
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .operators import bucket_stats, device_type_stats, recent_data, recent_device
 from .operators.report import bucket_report, device_report
-from .schema import ANY_ID, DAY_MS, HOUR_END, HOUR_MS, READING_FIELDS, SOURCE_TOPIC, TS
+from .schema import ANY_ID, DAY_MS, HOUR_MS, SOURCE_TOPIC
 from .session import STATE_STORE, STATE_STORE_CONF, prepare_session
 from .sinks import append_recent, publish_report, recent_rows, write_kafka
 from .sources import read_hours, read_text_hours
-from .sources.lines import TEXT_DIR_PREFIX, parse_reading_lines
 from .sources.messages import message_file_stream, message_records, stream_device_messages
 from .streaming import run_ingest
 from .streaming.batches import DELAY_MS, run_ingest_batches
 from .streaming.compaction import compact_table, remove_compacted
-from .streaming.ingest import DEFAULT_STATE_PARTITIONS, run_ingest_sessions, write_hourly_readings_batch
+from .streaming.convert import convert_text, read_bad_lines
+from .streaming.ingest import DEFAULT_STATE_PARTITIONS, run_ingest_sessions
 
 
 def _now_ms() -> int:
@@ -141,12 +140,10 @@ def compact(spark: SparkSession, opts, args) -> None:
 
 
 def convert(spark: SparkSession, opts, args) -> None:
-    """The reference's text layout -> the stored table (its hour is the folder's name)."""
-    root = opts.path.rstrip("/")
-    lines = spark.read.text(f"{root}/{TEXT_DIR_PREFIX}*").select("value", F.col("_metadata.file_path").alias("_file"))
-    hour = F.regexp_extract("_file", rf"/{TEXT_DIR_PREFIX}([0-9]+)/", 1).cast("bigint")
-    readings = parse_reading_lines(lines.withColumn(HOUR_END, hour), "value", keep=(HOUR_END,))
-    write_hourly_readings_batch(readings.select(*READING_FIELDS, TS, HOUR_END), opts.out)
+    """The reference's text layout -> the stored table (its hour is the folder's name); only
+    folders that are new or have changed. Bad lines are kept apart, and their number shown."""
+    snapshot = convert_text(spark, opts.path, opts.out)
+    print(f"version {snapshot.version}: {len(snapshot.owners())} hours, {read_bad_lines(spark, opts.out, snapshot).count()} bad lines")
 
 
 JOBS = {
@@ -165,7 +162,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("job", choices=sorted(JOBS))
     p.add_argument("args", nargs="*", help="the reference's positional arguments")
     p.add_argument("--path", required=True, help="stored hourly readings (Parquet, by event_day and hour_end_ms)")
-    p.add_argument("--out", help="table that convert appends to")
+    p.add_argument("--out", help="table that convert brings up to the text")
     p.add_argument("--pad-hours", type=int,
                    help="text layout: readings arrive at most this late, so read only folders around the range "
                         "(default: read all)")

@@ -35,10 +35,13 @@ from .sources import (
     format_reading_lines, parse_device_messages, parse_reading_lines, read_hours, read_reading_lines, read_text_hours,
 )
 from .sources.hours import live_hours
+from .sources.lines import TEXT_DIR_PREFIX
 from .sources.messages import message_file_stream, message_records
+from .storage import small_files
 from .streaming import run_ingest, write_hourly_readings_batch
 from .streaming.batches import DELAY_MS, run_ingest_batches
 from .streaming.compaction import closed_hours, compact_table, write_generation
+from .streaming.convert import convert_text, read_bad_lines
 from .streaming.ingest import DEFAULT_WATERMARK, compact_hours
 
 S, E, PARTS = fx.START_MS, fx.END_MS, fx.PARTS
@@ -196,17 +199,46 @@ def q_read_text_file(spark, sf_dir):
     return read_reading_lines(spark, path).select(*READING_FIELDS)
 
 
+def _write_text_layout(spark, lines: DataFrame) -> str:
+    """Text folders, one a week and named by arrival: all of a week comes LATE_DAYS late.
+
+    ``lines`` has a ``value`` and the reading's time of each row; one write makes all folders."""
+    root, week = scratch_path(spark, "text-hours"), 7 * DAY_MS
+    end = F.expr(f"({TIME_MS} div {week}) * {week} + {week + LATE_DAYS * DAY_MS}")
+    lines.select("value", end.alias("end")).write.partitionBy("end").text(root)
+    for name in small_files.names(spark, root):
+        if name.startswith("end="):
+            small_files.move(spark, f"{root}/{name}", f"{root}/{TEXT_DIR_PREFIX}{name[4:]}")
+    return root
+
+
 def q_read_text_hours(spark, sf_dir):
     """The text layout with one folder a week, named by arrival; every reading comes days late."""
-    root, week = scratch_path(spark, "text-hours"), 7 * DAY_MS
     readings = _events(spark, sf_dir)
-    first, last = readings.agg(F.min(TIME_MS), F.max(TIME_MS)).first()
-    for start in range(first // week * week, last + 1, week):
-        part = readings.where(F.col(TIME_MS).between(start, start + week - 1))
-        format_reading_lines(part).write.text(f"{root}/device-data-{start + week + LATE_DAYS * DAY_MS}")
+    root = _write_text_layout(spark, _lines_with_time(readings))
     return filter_time_range(read_text_hours(spark, root, RANGE_S, RANGE_E), RANGE_S, RANGE_E).select(*READING_FIELDS)
 
 
+def _lines_with_time(readings: DataFrame) -> DataFrame:
+    return readings.select(F.concat_ws(",", *[F.col(c).cast("string") for c in READING_FIELDS]).alias("value"), TIME_MS)
+
+
+def q_convert_text(spark, sf_dir):
+    """The text layout converted twice into a stored table; every reading of a tenant also has a
+    line that is none. Readings by their folder's hour, and the bad lines as readings of value -1."""
+    lines = _lines_with_time(_events(spark, sf_dir))
+    bad = lines.where(F.col("value").startswith(f"{REPORT_TENANT},")).withColumn("value", F.concat(F.lit("x"), "value"))
+    root, out = _write_text_layout(spark, lines.unionByName(bad)), scratch_path(spark, "converted")
+    first = convert_text(spark, root, out, folders=2)
+    if convert_text(spark, root, out) != first:
+        raise RuntimeError("a second run has converted something")
+    parts = F.split("line", ",")
+    kept_apart = read_bad_lines(spark, out).select(
+        F.substring(parts[0], 2, 9).cast("bigint").alias(TENANT), parts[1].alias(TYPE), parts[2].alias(DEVICE),
+        F.lit(-1.0).alias(VALUE), parts[4].cast("bigint").alias(TIME_MS), HOUR_END)
+    return read_hours(spark, out, 0, E + 400 * DAY_MS).select(*READING_FIELDS, HOUR_END).unionByName(kept_apart)
+
+
 def q_read_hours_late(spark, sf_dir):
     """Readings that arrive up to LATE_DAYS days late (a few arrive before their own time)."""
     path = scratch_path(spark, "hours-late")
@@ -423,6 +455,7 @@ QUERIES = {
     "ingest_two_batches": q_ingest_two_batches,
     "read_hours_compacted": q_read_hours_compacted,
     "ingest_late_rows": q_ingest_late_rows,
+    "convert_text": q_convert_text,
 }
 
 
@@ -567,6 +600,8 @@ SELECT {FIVE} FROM readings WHERE time_stamp >= {RANGE_S} AND time_stamp < {RANG
     "ingest_two_batches": f"WITH {EV} {DISTINCT_HOURS}",
     "read_hours_compacted": f"WITH {EV} {DISTINCT_HOURS}",
     "ingest_late_rows": f"WITH {EV} {DISTINCT_HOURS}",
+    "convert_text": f"""WITH {EV}, t AS (SELECT {FIVE}, (time_stamp // {7 * DAY_MS} + 1) * {7 * DAY_MS} + {LATE_DAYS * DAY_MS} AS hour_end_ms FROM readings)
+SELECT * FROM t UNION ALL SELECT * REPLACE (CAST(-1 AS DOUBLE) AS value) FROM t WHERE tenant_id = {REPORT_TENANT}""",
     "parse_device_messages_bad": f"""WITH {EV},
 m AS (SELECT {FIVE}, tenant_id % 7 AS kind, count(*) OVER w AS n,
              row_number() OVER (PARTITION BY tenant_id, device_id, time_stamp // 1000 ORDER BY device_type, value, time_stamp) AS k

@@ -48,7 +48,7 @@ def _typed(parts: Column):
 def parse_reading_lines(df: DataFrame, line_col: str = "value", mode: str = "FAILFAST", keep=()):
     """Lines -> readings.  ``FAILFAST`` (default, the reference's behaviour)
     raises on the first bad line; ``PERMISSIVE`` returns ``(readings,
-    bad_lines)``.  Columns in ``keep`` are carried along."""
+    bad_lines)``.  Columns in ``keep`` are carried along in both."""
     x = _split(df, line_col, keep)
     p, tenant, val, ms, ok = _typed(F.col(_PARTS))
     cols = [
@@ -65,7 +65,7 @@ def parse_reading_lines(df: DataFrame, line_col: str = "value", mode: str = "FAI
         return out.withColumn(TS, ms_to_ts(TIME_MS))
     if mode.upper() == "PERMISSIVE":
         good = x.where(ok).select(*cols)
-        bad = x.where(~ok).select(F.col("_line").alias("line"))
+        bad = x.where(~ok).select(F.col("_line").alias("line"), *keep)
         return good.withColumn(TS, ms_to_ts(TIME_MS)), bad
     raise ValueError("mode must be FAILFAST or PERMISSIVE")
 

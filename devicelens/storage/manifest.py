@@ -26,7 +26,7 @@ from pyspark.sql import SparkSession
 
 from . import small_files
 
-MANIFESTS, COMPACTED, GENERATION = "_manifest", "_compacted", "generation"
+MANIFESTS, COMPACTED, BAD_LINES, GENERATION = "_manifest", "_compacted", "_bad_lines", "generation"
 #: Manifest versions that are kept (readers that plan slowly, and a look back).
 KEPT_VERSIONS = 20
 
@@ -34,12 +34,14 @@ KEPT_VERSIONS = 20
 @dataclass
 class Generation:
     """``hours`` (hour_end_ms) that were compacted together, the event ``days`` of their
-    folders, when they were published, and the hours that a later one took over."""
+    folders, when they were published, the hours that a later one took over, and for hours
+    that were converted from elsewhere what they were made from (a fingerprint by hour)."""
     id: str
     hours: list[int]
     days: list[int]
     published_ms: int = 0
     superseded: list[int] = field(default_factory=list)
+    sources: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass
@@ -56,7 +58,8 @@ class Snapshot:
         """The next version: ``new`` takes over its hours; a generation left without any goes."""
         taken = set(new.hours)
         old = [Generation(g.id, [h for h in g.hours if h not in taken], g.days, g.published_ms,
-                          [*g.superseded, *(h for h in g.hours if h in taken)]) for g in self.generations]
+                          [*g.superseded, *(h for h in g.hours if h in taken)],
+                          {h: f for h, f in g.sources.items() if int(h) not in taken}) for g in self.generations]
         return Snapshot(self.version + 1, [*(g for g in old if g.hours), new])
 
 
@@ -83,7 +86,7 @@ def publish(spark: SparkSession, path: str, base: Snapshot, new: Generation) ->
 
     If another compaction published meanwhile, ``new`` goes on top of that one, unless both
     have taken the same hours: then this one fails, and its files are never seen."""
-    new = Generation(new.id, sorted(new.hours), sorted(new.days), int(time.time() * 1000))
+    new = Generation(new.id, sorted(new.hours), sorted(new.days), int(time.time() * 1000), sources=new.sources)
     while True:
         snapshot = base.with_generation(new)
         doc = {"generations": [asdict(g) for g in snapshot.generations]}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -19,6 +20,13 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def fingerprint(spark: SparkSession, folder: str) -> str:
+    """Files of a folder with their sizes and times, as one short text."""
+    p, fs = _path(spark, folder)
+    files = sorted((s.getPath().getName(), int(s.getLen()), int(s.getModificationTime())) for s in fs.listStatus(p))
+    return hashlib.sha256(repr(files).encode()).hexdigest()[:24]
+
+
 def modified_ms(spark: SparkSession, path: str) -> int:
     p, fs = _path(spark, path)
     return int(fs.getFileStatus(p).getModificationTime())
@@ -69,3 +77,10 @@ def delete(spark: SparkSession, path: str) -> None:
     p, fs = _path(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
+
+
+def move(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a file or folder; the new name must be free."""
+    p, fs = _path(spark, new)
+    if fs.exists(p) or not fs.rename(_path(spark, old)[0], p):
+        raise OSError(f"cannot move {old} to {new}")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..schema import DEVICE, EVENT_DAY, HOUR_END, HOUR_MS, TENANT, TYPE
 from ..sources.hours import compacted_hours, has_commit_log, live_hours
 from ..storage import small_files
-from ..storage.manifest import COMPACTED, GENERATION, Generation, Snapshot, load_snapshot, publish
+from ..storage.manifest import BAD_LINES, COMPACTED, GENERATION, Generation, Snapshot, load_snapshot, publish
 
 _HOUR = re.compile(rf"/{HOUR_END}=(-?\d+)/")
 #: Time of grace before files that newer plans do not name are deleted.
@@ -71,9 +71,9 @@ def compact_table(spark: SparkSession, path: str, delay_ms: int = 0) -> Snapshot
 
 def merge_generations(spark: SparkSession, path: str, before_hour: int) -> Snapshot:
     """Write the generations whose hours all end before ``before_hour`` once more, as one: fewer
-    folders to list and a shorter manifest."""
+    folders to list and a shorter manifest. Converted ones (streaming.convert) stay as they are."""
     snapshot = load_snapshot(spark, path)
-    old = [g for g in snapshot.generations if max(g.hours) < before_hour]
+    old = [g for g in snapshot.generations if max(g.hours) < before_hour and not g.sources]
     if len(old) < 2:
         return snapshot
     merged = write_generation(compacted_hours(spark, path, Snapshot(snapshot.version, old)), path)
@@ -108,12 +108,13 @@ def remove_compacted(spark: SparkSession, path: str, keep_ms: int = KEEP_MS, now
     now, root = int(time.time() * 1000) if now_ms is None else int(now_ms), path.rstrip("/")
     snapshot = load_snapshot(spark, path)
     in_force = {g.id for g in snapshot.generations}
-    generations = []
-    for name in small_files.names(spark, f"{root}/{COMPACTED}"):
-        folder = f"{root}/{COMPACTED}/{name}"
-        if name.startswith(f"{GENERATION}=") and name.split("=")[1] not in in_force and small_files.modified_ms(spark, folder) <= now - keep_ms:
-            small_files.delete(spark, folder)
-            generations.append(name.split("=")[1])
+    generations = set()
+    for kind in (COMPACTED, BAD_LINES):
+        for name in small_files.names(spark, f"{root}/{kind}"):
+            ident, folder = name.removeprefix(f"{GENERATION}="), f"{root}/{kind}/{name}"
+            if ident != name and ident not in in_force and small_files.modified_ms(spark, folder) <= now - keep_ms:
+                small_files.delete(spark, folder)
+                generations.add(ident)
     old = {h for h, g in snapshot.owners().items() if g.published_ms <= now - keep_ms}
     if has_commit_log(spark, path) and (live := live_hours(spark, path)) is not None:
         old -= file_hours(live.inputFiles())
@@ -123,4 +124,4 @@ def remove_compacted(spark: SparkSession, path: str, keep_ms: int = KEEP_MS, now
             if name.startswith(f"{HOUR_END}=") and int(name.split("=")[1]) in old:
                 small_files.delete(spark, f"{root}/{day}/{name}")
                 hours.add(int(name.split("=")[1]))
-    return {"hours": sorted(hours), "generations": generations}
+    return {"hours": sorted(hours), "generations": sorted(generations)}
