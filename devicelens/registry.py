@@ -29,6 +29,9 @@ from .operators import (
 from .operators.dedup import hourly_distinct_readings
 from .operators.report import bucket_report, bucket_report_rows, device_report, device_report_rows
 from .schema import BUCKET, DAY_MS, DEVICE, HOUR_END, READING_FIELDS, TENANT, TIME_MS, TYPE, VALUE
+from .operators.summaries import (
+    bucket_stats_summarised, device_type_stats_summarised, recent_data_summarised, recent_device_summarised,
+)
 from .session import prepare_session, scratch_path
 from .sinks import publish_report, recent_rows
 from .sources import (
@@ -37,7 +40,8 @@ from .sources import (
 from .sources.hours import live_hours
 from .sources.lines import TEXT_DIR_PREFIX
 from .sources.messages import message_file_stream, message_records
-from .storage import small_files
+from .sources.summaries import SummarisedTable
+from .storage import load_snapshot, small_files
 from .streaming import run_ingest, write_hourly_readings_batch
 from .streaming.batches import DELAY_MS, run_ingest_batches
 from .streaming.compaction import closed_hours, compact_table, write_generation
@@ -410,6 +414,34 @@ def q_usual_counts_hot(spark, sf_dir):
     return usual_counts(r, st, [TYPE], ddof=0, max_broadcast_rows=0)
 
 
+def _summarised(spark, sf_dir):
+    """All readings as a stored table: the hours of 20 days compacted, with summaries; the rest live."""
+    path = scratch_path(spark, "summarised")
+    hours = hourly_distinct_readings(_events(spark, sf_dir).withColumn("ingest_ts", F.col("ts").cast("timestamp")), "ingest_ts")
+    for part in (hours.where(F.col(TIME_MS) < S + 20 * DAY_MS), hours.where(F.col(TIME_MS) >= S + 20 * DAY_MS)):
+        write_hourly_readings_batch(part, path)
+        if not load_snapshot(spark, path).generations:
+            compact_table(spark, path)
+    return SummarisedTable(spark, path)
+
+
+def q_bucket_stats_summaries(spark, sf_dir):
+    return rounded(bucket_stats_summarised(_summarised(spark, sf_dir), S, E, PARTS))
+
+
+def q_device_type_stats_summaries(spark, sf_dir):
+    return rounded(device_type_stats_summarised(_summarised(spark, sf_dir), S, E))
+
+
+def q_recent_data_summaries(spark, sf_dir):
+    """The trailing 15 days: summaries of compacted hours, and live ones."""
+    return rounded(recent_data_summarised(_summarised(spark, sf_dir), E, 15))
+
+
+def q_recent_device_summaries(spark, sf_dir):
+    return rounded(recent_device_summarised(_summarised(spark, sf_dir), E, 15))
+
+
 def q_recent_device_lineitem(spark, sf_dir):
     return rounded(recent_device(_lineitem(spark, sf_dir), LI_E, 365))
 
@@ -456,6 +488,10 @@ QUERIES = {
     "read_hours_compacted": q_read_hours_compacted,
     "ingest_late_rows": q_ingest_late_rows,
     "convert_text": q_convert_text,
+    "bucket_stats_summaries": q_bucket_stats_summaries,
+    "device_type_stats_summaries": q_device_type_stats_summaries,
+    "recent_data_summaries": q_recent_data_summaries,
+    "recent_device_summaries": q_recent_device_summaries,
 }
 
 
@@ -628,5 +664,9 @@ WHERE {SIGMA_POP} GROUP BY r.device_type""",
     "device_type_stats_split": _device_sql(EV, S, E),
     "recent_data_split": _recent_data_sql(EV, E, 1),
     "recent_device_split": _recent_device_sql(EV, E, 7),
+    "bucket_stats_summaries": _bucket_sql(EV, S, E, GAP),
+    "device_type_stats_summaries": _device_sql(EV, S, E),
+    "recent_data_summaries": _recent_data_sql(EV, E, 15),
+    "recent_device_summaries": _recent_device_sql(EV, E, 15),
     "bucket_stats_split": _bucket_sql(EV, S, E, GAP),
 }

@@ -26,7 +26,7 @@ from pyspark.sql import SparkSession
 
 from . import small_files
 
-MANIFESTS, COMPACTED, BAD_LINES, GENERATION = "_manifest", "_compacted", "_bad_lines", "generation"
+MANIFESTS, COMPACTED, SUMMARIES, BAD_LINES, GENERATION = "_manifest", "_compacted", "_summaries", "_bad_lines", "generation"
 #: Manifest versions that are kept (readers that plan slowly, and a look back).
 KEPT_VERSIONS = 20
 

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from ..schema import DEVICE, EVENT_DAY, HOUR_END, HOUR_MS, TENANT, TYPE
 from ..sources.hours import compacted_hours, has_commit_log, live_hours
+from ..sources.summaries import write_summary
 from ..storage import small_files
-from ..storage.manifest import BAD_LINES, COMPACTED, GENERATION, Generation, Snapshot, load_snapshot, publish
+from ..storage.manifest import BAD_LINES, COMPACTED, GENERATION, SUMMARIES, Generation, Snapshot, load_snapshot, publish
 
 _HOUR = re.compile(rf"/{HOUR_END}=(-?\d+)/")
 #: Time of grace before files that newer plans do not name are deleted.
@@ -44,7 +45,8 @@ def closed_hours(spark: SparkSession, path: str, delay_ms: int = 0) -> list[int]
 
 
 def write_generation(rows: DataFrame, path: str) -> Generation:
-    """Write ``rows`` (stored readings of whole hours) as a generation that no manifest names yet.
+    """Write ``rows`` (stored readings of whole hours) and their summary as a generation that no
+    manifest names yet.
 
     A few files a folder: the ``rebalance`` hint splits a large hour into pieces of the
     advisory size and merges small ones; rows are clustered by tenant, type and device."""
@@ -53,7 +55,9 @@ def write_generation(rows: DataFrame, path: str) -> Generation:
     clustered = rows.hint("rebalance", EVENT_DAY, HOUR_END).sortWithinPartitions(EVENT_DAY, HOUR_END, TENANT, TYPE, DEVICE)
     clustered.write.partitionBy(EVENT_DAY, HOUR_END).parquet(folder)
     days = [int(n.split("=")[1]) for n in small_files.names(spark, folder) if n.startswith(f"{EVENT_DAY}=")]
-    return Generation(ident, [], days)
+    generation = Generation(ident, [], days)
+    write_summary(spark, path, generation)
+    return generation
 
 
 def compact_table(spark: SparkSession, path: str, delay_ms: int = 0) -> Snapshot:
@@ -109,7 +113,7 @@ def remove_compacted(spark: SparkSession, path: str, keep_ms: int = KEEP_MS, now
     snapshot = load_snapshot(spark, path)
     in_force = {g.id for g in snapshot.generations}
     generations = set()
-    for kind in (COMPACTED, BAD_LINES):
+    for kind in (COMPACTED, SUMMARIES, BAD_LINES):
         for name in small_files.names(spark, f"{root}/{kind}"):
             ident, folder = name.removeprefix(f"{GENERATION}="), f"{root}/{kind}/{name}"
             if ident != name and ident not in in_force and small_files.modified_ms(spark, folder) <= now - keep_ms:
