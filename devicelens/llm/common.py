@@ -61,6 +61,19 @@ def join_group_facts(rows: DataFrame, facts: DataFrame, key: str, size_col: str,
             .unionByName(rows.join(hot.select(key), key, "left_anti").join(cold.hint("merge"), key)))
 
 
+def join_shared(rows: DataFrame, facts: DataFrame, key: str, size_col: str, total: int) -> DataFrame:
+    """As :func:`join_group_facts`, for keys that are numbers or texts: those of the hot groups
+    (fewer than HOT_SHARE) are fetched, so both parts are a filter and a join, and there is
+    one part only where no group is hot."""
+    limit = max(1, total // HOT_SHARE)
+    hot = [r[0] for r in facts.where(F.col(size_col) > limit).select(key).collect()]
+    if not hot:
+        return rows.join(facts.hint("merge"), key)
+    is_hot = F.col(key).isin(hot)
+    return (rows.where(is_hot).join(F.broadcast(facts.where(is_hot)), key)
+            .unionByName(rows.where(~is_hot).join(facts.where(~is_hot).hint("merge"), key)))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -7,22 +7,24 @@ compressed registers propose candidates, a collision-corrected Jaccard estimate
 finer sketch thins them out, and every link is confirmed on the full shingle sets.
 
 Equal shingle sets are first collapsed to one class each. A band bucket is then
-searched in two rounds: first each member against the bucket's least member (linear
-in its size), then, where several components still meet, all pairs that cross
-components, in tiles that Spark deals out; a pair is tested in its first common band
-only. So a group of any size is neither gathered nor written out as pairs.
+searched in two rounds: first each member against the bucket's least member (a scan of
+sorted rows), then, where several components still meet, the pairs that cross
+components, in tiles that Spark deals out: the members of the largest component meet the
+others only, and a pair is tested in its first common band only, first by the bands' own
+registers. So a group of any size is neither gathered nor written out as pairs.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_group_facts, join_salted, shuffle_partitions, stored
+from .common import HOT_SHARE, join_group_facts, join_salted, join_shared, shuffle_partitions, stored
 from .components import components
 
 COARSE, FINE = 7, 10         # bits of bucket number: 128 registers for bands, 1024 for estimates
@@ -31,8 +33,10 @@ BAND = 4                     # registers of a band: 64 bits
 BANDS = (1 << COARSE) // BAND
 DEVIATIONS = 4.75            # a true link is estimated too low once in a million
 TILE = 512                   # members of a bucket that one tile compares with another
-BATCH_BYTES = 2 << 20        # text hashed at once
+HOT_PIECES = 64              # pieces of a hot bucket in round 1
+BATCH_BYTES = 2 << 20        # text hashed at once; a longer one is hashed in pieces
 
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 WORD_SPACE = np.zeros(256, bool)
 WORD_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -77,9 +81,33 @@ def word_hashes(data: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(h ^ (ends - starts).astype(np.uint64)), starts
 
 
+def _long_set(text: bytes, words: int) -> np.ndarray | None:
+    """Shingles of a long text, hashed in pieces that repeat the last words of the one
+    before; None if it has fewer words than a shingle."""
+    found, at, known, n = [], 0, b"", 0
+    while at < len(text):
+        cut = SPACE.search(text, min(len(text), at + BATCH_BYTES))
+        end = cut.start() if cut else len(text)
+        piece = known + text[at:end]
+        last = piece.rsplit(None, words - 1)  # the rest, and the last words but one shingle's first
+        n = max(n, len(last))
+        if len(last) == words:
+            found.append(next(_short_sets([piece], words)))
+        known = b"".join(w + b" " for w in (last[-(words - 1):] if words > 1 else []))
+        at = end
+    return np.unique(np.concatenate(found)) if n >= words else None
+
+
 def shingle_sets(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of every text. Fewer words than a shingle make
     one shingle of them all; none make an empty set."""
+    if len(texts) == 1 and len(texts[0]) > 2 * BATCH_BYTES and (whole := _long_set(texts[0], words)) is not None:
+        yield whole
+    else:
+        yield from _short_sets(texts, words)
+
+
+def _short_sets(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
     joined = b"\n".join(texts)
     ends = np.cumsum([len(t) + 1 for t in texts])
     width = 1 << max(16, (len(joined) + 1).bit_length())
@@ -136,22 +164,22 @@ def collision_rate(na, nb, bits: int = FINE) -> np.ndarray:
     return _collisions(bits)[at[0], at[1]]
 
 
-def estimate(a: np.ndarray, b: np.ndarray, na, nb) -> np.ndarray:
+def estimate(a: np.ndarray, b: np.ndarray, na, nb, bits: int = FINE) -> np.ndarray:
     """Collision-corrected Jaccard estimate of register rows (last axis)."""
     occupied = ((a | b) != 0).sum(-1)
     agree = ((a == b) & (a != 0)).sum(-1)
     raw = agree / np.maximum(occupied, 1)
-    c = collision_rate(na, nb)
+    c = collision_rate(na, nb, bits)
     return np.maximum(0.0, (raw - c) / (1 - c))
 
 
-def least_estimate(na, nb, percent: int) -> np.ndarray:
+def least_estimate(na, nb, percent: int, bits: int = FINE) -> np.ndarray:
     """Estimate from which a pair of sets of these sizes goes to confirmation.
 
     The occupied buckets show one member each of the union, a sample without
     replacement, so a pair at the threshold is estimated DEVIATIONS standard
     deviations lower at the most; small sets may lose a few members besides."""
-    t, buckets = percent / 100, 1 << FINE
+    t, buckets = percent / 100, 1 << bits
     union = (np.asarray(na, float) + nb) / (1 + t)
     shown = buckets * -np.expm1(-union / buckets)
     deviation = np.sqrt(t * (1 - t) / shown * (union - shown) / np.maximum(union - 1, 1))
@@ -197,18 +225,42 @@ def _signatures(words: int):
 
 
 def _band_rows(batches: Iterable) -> Iterator:
-    """(bucket, band, doc) of every band with a full register."""
+    """(bucket, band, doc, component) of every band with a full register."""
     import pyarrow as pa
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        ids = np.asarray(batch["doc_id"])
+        ids, component = np.asarray(batch["doc_id"]), np.asarray(batch["component"])
         keys = np.frombuffer(b"".join(batch["bands"].to_pylist()), np.uint64).reshape(-1, BANDS)
         row, band = np.nonzero(keys)
         bucket = mix(keys[row, band] ^ mix((band + 1).astype(np.uint64) * np.uint64(_P)))
-        yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(band.astype(np.int32)), pa.array(ids[row])],
-                                         ["bucket", "band", "doc_id"])
+        yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(band.astype(np.int32)), pa.array(ids[row]), pa.array(component[row])],
+                                         ["bucket", "band", "doc_id", "component"])
+
+
+BAND_ROWS = "bucket long, band int, doc_id long, component long"
+
+
+def _firsts(batches: Iterable) -> Iterator:
+    """Rows sorted by (bucket, piece, doc): every doc that is not the first of its piece, with
+    the first. Keeps one row of the batch before."""
+    import pyarrow as pa
+
+    last = None  # (bucket, piece, first doc) of the group that is open
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        bucket, piece, doc = (np.asarray(batch[c]) for c in ("bucket", "piece", "doc_id"))
+        new = np.ones(len(doc), bool)
+        new[1:] = (bucket[1:] != bucket[:-1]) | (piece[1:] != piece[:-1])
+        first = doc[np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))]
+        if last is not None and (bucket[0], piece[0]) == last[:2]:
+            end = np.flatnonzero(new[1:])
+            first[:end[0] + 1 if len(end) else len(doc)] = last[2]
+        last = (bucket[-1], piece[-1], first[-1])
+        other = first != doc
+        yield pa.RecordBatch.from_arrays([pa.array(doc[other]), pa.array(first[other])], ["a", "b"])
 
 
 def _estimated(percent: int):
@@ -254,16 +306,18 @@ def _confirmed(percent: int):
 
 
 def _crossing(percent: int):
-    """Tiles of a bucket (rows sorted by bucket, tile pair, side) to candidate pairs
-    between different components, each in the pair's first common band only."""
+    """Tiles of a bucket (rows sorted by bucket, tile, side) to candidate pairs between
+    different components, each in the pair's first common band only, thinned by the
+    estimate of the bands' own registers."""
     def pairs(rows) -> Iterator:
         left, right = ([r for r in rows if r[2] == side] for side in (0, 1))
-        same = not right
-        right = right or left
+        same = rows[0][1] & 1 == 1  # a tile of others with itself
+        right = left if same else right
+
         def arrays(part):
-            return (np.array([r[3] for r in part]), np.array([r[5] for r in part]),
-                    np.frombuffer(b"".join(r[6] for r in part), np.uint64).reshape(-1, BANDS),
-                    np.frombuffer(b"".join(r[7] for r in part), np.uint16).reshape(-1, 1 << FINE), np.array([r[8] for r in part]))
+            coded = b"".join(r[6] for r in part)
+            return (np.array([r[3] for r in part]), np.array([r[5] for r in part]), np.frombuffer(coded, np.uint64).reshape(-1, BANDS),
+                    np.frombuffer(coded, np.uint16).reshape(-1, 1 << COARSE), np.array([r[7] for r in part]))
         ia, ca, ka, ra, na = arrays(left)
         ib, cb, kb, rb, nb = arrays(right)
         band = rows[0][4]
@@ -277,7 +331,7 @@ def _crossing(percent: int):
             j = j[common.argmax(1) == band]
             if not len(j):
                 continue
-            j = j[estimate(rb[j], ra[i], nb[j], na[i]) >= least_estimate(nb[j], na[i], percent)]
+            j = j[estimate(rb[j], ra[i], nb[j], na[i], COARSE) >= least_estimate(nb[j], na[i], percent, COARSE)]
             yield from ((int(ia[i]), int(ib[x])) for x in j)
 
     def run(batches: Iterable) -> Iterator:
@@ -285,7 +339,7 @@ def _crossing(percent: int):
 
         import pyarrow as pa
 
-        names = ["bucket", "tiles", "side", "doc_id", "band", "component", "bands", "registers", "n_shingles"]
+        names = ["bucket", "tile", "side", "doc_id", "band", "component", "bands", "n_shingles"]
         rows = (r for b in batches for r in zip(*(b[c].to_pylist() for c in names)))
         for _, group in itertools.groupby(rows, key=lambda r: r[:2]):
             found = list(pairs(list(group)))
@@ -294,6 +348,37 @@ def _crossing(percent: int):
     return run
 
 
+def crossing_tiles(members: DataFrame, total: int) -> DataFrame:
+    """Members (``bucket, band, doc_id, component``) of buckets with several components, for
+    each tile in which they meet others (``tile``, ``side``).
+
+    Pairs inside one component need no test, so the members of a bucket's largest component
+    (``most``) are one side that never meets itself: each of them goes to the tiles of the
+    others, few if there are few. The others also meet one another."""
+    sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    facts = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("components"))
+    facts = stored(facts.where("components > 1").select(
+        "bucket", "size", F.col("top.component").alias("most"), F.col("top.n").alias("of_most")), "near-open")
+    held = join_shared(members, facts, "bucket", "size", total)
+    inner, outer = (F.greatest(F.ceil(n / TILE), F.lit(1)).cast("long") for n in (F.col("of_most"), F.col("size") - F.col("of_most")))
+    is_most = F.col("component") == F.col("most")
+    own = F.pmod(F.xxhash64("doc_id"), F.when(is_most, inner).otherwise(outer))
+    held = held.withColumns({"_inner": inner, "_outer": outer, "_most": is_most, "_own": own})
+    # tile numbers: (piece of the others, piece of the largest component), doubled; or
+    # (lesser, greater piece of the others), doubled and past those
+    at = lambda o, p: (o * F.col("_inner") + p) * 2
+    past = F.col("_outer") * F.col("_inner") * 2
+    each = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    to_most = F.transform(each(F.col("_outer")), lambda o: F.struct(at(o, F.col("_own")).alias("tile"), F.lit(1).alias("side")))
+    to_others = F.concat(
+        F.transform(each(F.col("_inner")), lambda p: F.struct(at(F.col("_own"), p).alias("tile"), F.lit(0).alias("side"))),
+        F.transform(each(F.col("_outer")), lambda o: F.struct(
+            (past + (F.least(o, F.col("_own")) * F.col("_outer") + F.greatest(o, F.col("_own"))) * 2 + F.when(o == F.col("_own"), 1).otherwise(0)).alias("tile"),
+            F.when(o < F.col("_own"), 1).otherwise(0).alias("side"))))
+    dealt = held.withColumn("_to", F.explode(F.when(F.col("_most"), to_most).otherwise(to_others)))
+    return dealt.select(*members.columns, F.col("_to.tile").alias("tile"), F.col("_to.side").alias("side"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``body`` (text hash), ``n_shingles``, ``component_id``, ``kept`` of every row of ``docs``.
 
@@ -316,10 +401,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                                   "left_semi").dropDuplicates(["doc_id", "digest"]).drop("digest")
     reps = stored(reps, "near-reps")
 
-    bands = reps.select("doc_id", "bands").mapInArrow(_band_rows, "bucket long, band int, doc_id long")
-    buckets = stored(bands.groupBy("bucket").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("last"),
-                                                  F.count(F.lit(1)).alias("size")).where("b < last").drop("last"), "near-buckets")
-    members = stored(join_group_facts(bands, buckets, "bucket", "size", BANDS * max(1, total)), "near-members")
+    def band_rows(docs_: DataFrame) -> DataFrame:
+        return docs_.select("doc_id", "bands", "component").mapInArrow(_band_rows, BAND_ROWS)
+
+    bands = band_rows(reps.withColumn("component", F.col("doc_id")))
+    # buckets of more than 1/HOT_SHARE of the rows, fewer than HOT_SHARE, are dealt in pieces
+    limit = max(1, BANDS * total // HOT_SHARE)
+    hot = [r.bucket for r in bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > limit).collect()]
+    many = F.col("bucket").isin(hot) if hot else F.lit(False)
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         """Links among candidate (a, b), tested on full sets."""
@@ -330,32 +419,35 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         sides = join_salted(sides, sets.withColumnsRenamed({"doc_id": "a", "shingles": "sa"}), "a", "b", sizes=pairs)
         return stored(sides.select("a", "b", "sa", "sb").mapInArrow(_confirmed(percent), "a long, b long").distinct(), name)
 
-    # round 1: every member of a bucket against its least member
-    star = stored(members.where("doc_id != b").select(F.col("doc_id").alias("a"), "b").distinct(), "near-star")
+    # round 1: every member of a bucket (or of a piece of a hot one) against the least member
+    def against_first(rows: DataFrame, piece) -> DataFrame:
+        sorted_ = rows.select("bucket", piece.alias("piece"), "doc_id").repartition(parts, "bucket", "piece").sortWithinPartitions("bucket", "piece", "doc_id")
+        return sorted_.mapInArrow(_firsts, "a long, b long")
+
+    pieces = F.when(many, F.pmod(F.xxhash64("doc_id"), F.lit(HOT_PIECES)).cast("int")).otherwise(0)
+    star = against_first(bands, pieces)
+    if hot:  # the pieces' least members meet in turn
+        least = bands.where(many).groupBy("bucket", pieces.alias("piece")).agg(F.min("doc_id").alias("doc_id"))
+        star = star.unionByName(against_first(least, F.lit(0)))
+    star = stored(star.distinct(), "near-star")
     side = reps.select("doc_id", F.col("n_shingles").alias("n"), "registers")
-    with_b = join_salted(star, side.withColumnsRenamed({"doc_id": "b", "n": "nb", "registers": "rb"}), "b", "a")
-    with_ab = with_b.join(side.withColumnsRenamed({"doc_id": "a", "n": "na", "registers": "ra"}), "a")
-    near = stored(with_ab.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_estimated(percent), "a long, b long"), "near-pairs")
-    links = confirmed(near, "near-links")
+
+    def estimated(pairs: DataFrame, name: str) -> DataFrame:
+        """Candidate (a, b) whose registers estimate enough."""
+        with_b = join_salted(pairs, side.withColumnsRenamed({"doc_id": "b", "n": "nb", "registers": "rb"}), "b", "a")
+        both = join_salted(with_b, side.withColumnsRenamed({"doc_id": "a", "n": "na", "registers": "ra"}), "a", "b", sizes=pairs)
+        return stored(both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_estimated(percent), "a long, b long"), name)
+
+    links = confirmed(estimated(star, "near-pairs"), "near-links")
     label = stored(components(links), "near-components")
 
     # round 2: pairs that cross components, where a bucket still holds several
-    labelled = stored(members.select("bucket", "band", "doc_id").join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-                      .withColumn("component", F.coalesce("component", "doc_id")), "near-labelled")
-    open_ = stored(labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"),
-                                                  F.count(F.lit(1)).alias("size")).where("x < y").select("bucket", "size"), "near-open")
-    held = join_group_facts(labelled, open_, "bucket", "size", max(1, labelled.count()))
-    tiles = F.ceil(F.col("size") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), tiles).cast("int")
-    held = held.withColumns({"tiles_": tiles, "own": own}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles_") - 1)))
-    held = held.select("bucket", "band", "doc_id", "component",
-                       F.struct(F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("tile"),
-                       F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
-    sided = held.join(reps.select("doc_id", "n_shingles", "bands", "registers"), "doc_id")
-    sided = sided.withColumn("tiles", F.col("tile.i").cast("long") * (1 << 31) + F.col("tile.j"))
-    dealt = sided.repartition(parts, "bucket", "tiles").sortWithinPartitions("bucket", "tiles", "side", "doc_id")
-    cross = stored(dealt.select("bucket", "tiles", "side", "doc_id", "band", "component", "bands", "registers", "n_shingles")
-                   .mapInArrow(_crossing(percent), "a long, b long"), "near-crossing")
+    labelled = reps.select("doc_id", "bands", "n_shingles").join(label.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left")
+    labelled = stored(labelled.withColumn("component", F.coalesce("component", "doc_id")), "near-labelled")
+    sided = crossing_tiles(band_rows(labelled), max(1, BANDS * total)).join(labelled.select("doc_id", "n_shingles", "bands"), "doc_id")
+    dealt = sided.repartition(parts, "bucket", "tile").sortWithinPartitions("bucket", "tile", "side", "doc_id")
+    cross = dealt.select("bucket", "tile", "side", "doc_id", "band", "component", "bands", "n_shingles").mapInArrow(_crossing(percent), "a long, b long")
+    cross = estimated(stored(cross.distinct(), "near-crossing"), "near-crossing-pairs")
     more = confirmed(cross, "near-more")
     label = components(links.unionByName(more))
 
@@ -380,5 +472,5 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
     out = stored(judged.where(~F.col("kept")).select("doc_id", "body").distinct(), "near-dropped")
     if out.count() <= MAX_BROADCAST_KEYS:
         out = F.broadcast(out)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("body"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("body"))
     return rows.join(out, ["doc_id", "body"], "left_anti").select("row.*")

@@ -8,8 +8,10 @@ are of like length (length filter), and differ in few bits of a parity bitmap.
 Candidates are verified on their whole sets, and the later line of a match goes.
 
 A line needs one earlier match only. So round 1 tries each line against the earliest
-line of each of its prefix words (linear in any group), and round 2 joins the rest.
-DataFrame and SQL functions only.
+line of each of its prefix words (linear in any group), and round 2 joins the rest: open
+lines with one another, and with the earlier of those that are settled. Prefix entries are
+written once, under the place of their text in the order of ids; a table goes as soon as
+the next ones are written. DataFrame and SQL functions only.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_group_facts, join_salted, stored
+from .common import HOT_SHARE, dropped, join_group_facts, join_salted, recorded, stored
+from .ranks import numbered
 
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
@@ -29,7 +32,8 @@ CELL_BITS = 17
 #: their words; more meet by a shuffle.
 MAX_BROADCAST_LINES = 1_000_000
 LAST = (1 << 63) - 1
-KEY = ["doc", "body", "line"]
+KEY = ["place", "line"]
+HOT_PIECES = 32             # pieces of a hot word in round 2
 
 
 def word_hashes(line: Column) -> Column:
@@ -43,10 +47,22 @@ def least_overlap(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / (100 + percent))
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(``doc``: id, ``body``: text hash, ``place``) of every distinct pair, in the order of ids
+    (NULL last), then text hashes."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keys = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("body")).distinct()
+    return numbered(keys, [F.asc("doc"), F.asc("body")], "place", "line-places")
+
+
+def _with_place(rows: DataFrame, places: DataFrame) -> DataFrame:
+    return rows.join(bounded(places), ["doc", "body"], "left")
+
+
+def _lines(docs: DataFrame, places: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("body"), text.alias("text"))
-    return rows.select("doc", "body", F.posexplode(F.split("text", "\n")).alias("line", "words_of"))
+    return _with_place(rows, places).select("place", F.posexplode(F.split("text", "\n")).alias("line", "words_of"))
 
 
 def _key() -> Column:
@@ -77,16 +93,19 @@ def by_rarity(words: Column, levels: str) -> Column:
         F.get(table, w.bitwiseAND((1 << CELL_BITS) - 1).cast("int")), 56).bitwiseOR(F.shiftrightunsigned(w, 8))))
 
 
-def similar_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, body, line) of every line that has an earlier match; see :func:`dedup_lines`."""
-    raw = _lines(docs, id_col, text_col)
+def similar_lines(docs: DataFrame, places: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(place, line) of every line that has an earlier match; see :func:`dedup_lines`."""
+    spark, spent = docs.sparkSession, []
+    raw = _lines(docs, places, id_col, text_col)
     low = F.lower("words_of")
-    lines = stored(raw.where(F.col("words_of").rlike(WORD)).select(
-        *KEY, F.xxhash64(low).alias("s1"), F.xxhash64(F.lit(1), low).alias("s2")), "lines")
-    classes = stored(lines.groupBy("s1", "s2").agg(F.min(_key()).alias("first"), F.count(F.lit(1)).alias("size"))
-                     .where("size > 1").select(F.struct("s1", "s2").alias("s"), "first", "size"), "line-classes")
+    with recorded(spent):
+        lines = stored(raw.where(F.col("words_of").rlike(WORD)).select(
+            *KEY, F.xxhash64(low).alias("s1"), F.xxhash64(F.lit(1), low).alias("s2")), "lines")
+        classes = stored(lines.groupBy("s1", "s2").agg(F.min(_key()).alias("first"), F.count(F.lit(1)).alias("size"))
+                         .where("size > 1").select(F.struct("s1", "s2").alias("s"), "first", "size"), "line-classes")
     repeats = stored(join_group_facts(lines.withColumn("s", F.struct("s1", "s2")), classes, "s", "size", lines.count())
-                     .where(_key() != F.col("first")).select(KEY), "line-repeats")
+                     .where(_key() != F.col("first")).select(KEY).distinct(), "line-repeats")
+    dropped(spark, spent)
 
     # prefixes of the first lines of all classes
     levels = cell_levels(docs, text_col)
@@ -98,12 +117,10 @@ def similar_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", te
     parity = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(
         F.call_function("shiftleft", one, k.bitwiseAND(63).cast("int"))))
     heads = keyed.select(*KEY, n.alias("n"), parity.alias("parity"), F.slice("keys", F.lit(1), probing.cast("int")).alias("prefix"))
-    entries = stored(heads.select(*KEY, "n", "parity", F.posexplode("prefix").alias("pos", "word")), "line-prefixes")
-    # words of one prefix only cannot propose anything
-    shared = stored(entries.groupBy("word").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "line-words")
+    with recorded(spent):
+        entries = stored(heads.select(*KEY, "n", "parity", F.posexplode("prefix").alias("pos", "word")).distinct(), "line-prefixes")
+    side = F.struct(_key().alias("at"), "n", "pos", "parity")
     total = entries.count()
-    entries = stored(join_group_facts(entries, shared, "word", "size", total).select(
-        "word", "size", _key().alias("at"), "n", "pos", "parity"), "line-shared")
 
     def close(a: str, b: str) -> Column:
         """Length, positional and bitmap filters on two entries of one word."""
@@ -113,39 +130,48 @@ def similar_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", te
         apart = F.bit_count(F.col(f"{a}.parity").bitwiseXOR(F.col(f"{b}.parity")))
         return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (rest >= need) & (na + nb - apart >= 2 * need)
 
-    # round 1: the earliest line of each prefix word
-    earliest = stored(entries.groupBy("word").agg(F.min(F.struct("at", "n", "pos", "parity")).alias("e"), F.first("size").alias("size")),
-                      "line-earliest")
-    first = join_group_facts(entries.drop("size"), earliest, "word", "size", total).select(F.struct("at", "n", "pos", "parity").alias("x"), "e")
+    # round 1: the earliest line of each prefix word; words of one prefix only propose nothing
+    with recorded(spent):
+        earliest = stored(entries.groupBy("word").agg(F.min(side).alias("e"), F.count(F.lit(1)).alias("size")).where("size > 1"), "line-earliest")
+    limit = max(1, total // HOT_SHARE)
+    hot = [r.word for r in earliest.where(F.col("size") > limit).select("word").collect()]  # fewer than HOT_SHARE
+    first = join_group_facts(entries.select("word", side.alias("x")), earliest, "word", "size", total)
     star = stored(first.where("x.at > e.at").where(close("x", "e"))
                   .select(F.col("x.at").alias("later"), F.col("e.at").alias("earlier")).distinct(), "line-star")
-    found = stored(verified(docs, star, percent, id_col, text_col, "line-found").select("later").distinct(), "line-resolved")
+    found = stored(verified(docs, places, star, percent, id_col, text_col, "line-found").select("later").distinct(), "line-resolved")
 
     # round 2: lines without a match so far, against every earlier line
-    marked = (entries.join(found.select(F.col("later").alias("at"), F.lit(True).alias("done")), "at", "left")
-              .withColumn("done", F.coalesce("done", F.lit(False))))
-    marked = stored(marked, "line-marked")
-    # words of resolved lines only cannot settle anything
-    live = marked.groupBy("word").agg(F.count_if(~F.col("done")).alias("open"), F.first("size").alias("size")).where("open > 0")
-    live = stored(live.select("word", "size"), "line-live")
-    marked = join_group_facts(marked.drop("size"), live, "word", "size", total).drop("size")
-    side = F.struct("at", "n", "pos", "parity", "done")
-    indexing = F.col("n") - F.ceil(F.col("n") * 2 * percent / (100 + percent)) + 1
-    probes = marked.select("word", side.alias("x"))
-    indexed = marked.where(F.col("pos") < indexing).select("word", side.alias("y"))
-    longer = F.expr("x.n > y.n or (x.n = y.n and x.at > y.at)")
-    unsettled = F.expr("(x.at > y.at and not x.done) or (y.at > x.at and not y.done)")
-    pairs = (probes.join(indexed, "word").where(longer & unsettled & close("x", "y"))
-             .select(F.greatest("x.at", "y.at").alias("later"), F.least("x.at", "y.at").alias("earlier")).distinct())
-    more = verified(docs, stored(pairs, "line-pairs"), percent, id_col, text_col, "line-more").select("later")
+    done = found.select(F.col("later.place").alias("place"), F.col("later.line").alias("line"), F.lit(True).alias("done"))
+    marked = entries.join(bounded(done), KEY, "left").select("word", side.alias("x"), F.coalesce("done", F.lit(False)).alias("done"))
+    pos, size = F.col("x.pos"), F.col("x.n")
+    indexing = pos < size - F.ceil(size * 2 * percent / (100 + percent)) + 1
+
+    def meet(longer: DataFrame, shorter: DataFrame, order: str) -> DataFrame:
+        """Pairs (x: longer or equal and later, y: indexed) under one word; a hot word's x in pieces."""
+        salt, each = F.lit(0), F.array(F.lit(0))
+        if hot:
+            many = F.col("word").isin(hot)
+            salt = F.when(many, F.pmod(F.xxhash64("x.at"), F.lit(HOT_PIECES)).cast("int")).otherwise(0)
+            each = F.when(many, F.sequence(F.lit(0), F.lit(HOT_PIECES - 1))).otherwise(each)
+        a = longer.select("word", salt.alias("salt"), "x")
+        b = shorter.select("word", F.explode(each).alias("salt"), F.col("x").alias("y"))
+        pairs = a.join(b, ["word", "salt"]).where(F.expr("x.n > y.n or (x.n = y.n and x.at > y.at)") & F.expr(order) & close("x", "y"))
+        return pairs.select(F.greatest("x.at", "y.at").alias("later"), F.least("x.at", "y.at").alias("earlier"))
+
+    open_, settled = marked.where(~F.col("done")), marked.where(F.col("done"))
+    pairs = meet(open_, open_.where(indexing), "x.at != y.at")
+    pairs = pairs.unionByName(meet(open_, settled.where(indexing), "x.at > y.at")).unionByName(meet(settled, open_.where(indexing), "y.at > x.at"))
+    pairs = stored(pairs.distinct(), "line-pairs")
+    dropped(spark, spent)
+    more = verified(docs, places, pairs, percent, id_col, text_col, "line-more").select("later")
     near = found.unionByName(more).distinct().select("later.*")
     return repeats.unionByName(near)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, percent: int, id_col: str, text_col: str, name: str) -> DataFrame:
+def verified(docs: DataFrame, places: DataFrame, pairs: DataFrame, percent: int, id_col: str, text_col: str, name: str) -> DataFrame:
     """Those of (later, earlier) whose whole sets have the similarity."""
     wanted = stored(pairs.select(F.explode(F.array("later", "earlier")).alias("at")).distinct().select("at.*"), name + "-wanted")
-    sets = (_lines(docs, id_col, text_col).join(bounded(wanted), KEY, "left_semi")
+    sets = (_lines(docs, places, id_col, text_col).join(bounded(wanted), KEY, "left_semi")
             .select(_key().alias("at"), word_hashes(F.col("words_of")).alias("set")).dropDuplicates(["at"]))
     sets = stored(sets, name + "-sets")
     a = sets.select(F.col("at").alias("later"), F.col("set").alias("a"))
@@ -157,14 +183,15 @@ def verified(docs: DataFrame, pairs: DataFrame, percent: int, id_col: str, text_
 
 def _shortened(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(``row``: a row of ``docs``, ``left``: its text without removed lines, ``n_lines``, ``n_removed``)."""
-    lines = stored(similar_lines(docs, percent, id_col, text_col).distinct(), "line-gone")
-    gone = lines.groupBy("doc", "body").agg(F.collect_list("line").alias("gone"))
+    places = _placed(docs, id_col, text_col)
+    lines = stored(similar_lines(docs, places, percent, id_col, text_col).distinct(), "line-gone")
+    gone = lines.groupBy("place").agg(F.collect_list("line").alias("gone"))
     if lines.count() <= MAX_BROADCAST_LINES:
         gone = F.broadcast(gone)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"),
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"),
                        F.xxhash64(text).alias("body"))
-    rows = rows.join(gone, ["doc", "body"], "left").withColumn("lines", F.split(F.coalesce(f"row.{text_col}", F.lit("")), "\n"))
+    rows = _with_place(rows, places).join(gone, "place", "left").withColumn("lines", F.split(F.coalesce(f"row.{text_col}", F.lit("")), "\n"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     left = F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")
     return rows.select("row", F.when(F.col("gone").isNull(), F.col(f"row.{text_col}")).otherwise(left).alias("left"),

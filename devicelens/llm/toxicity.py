@@ -35,7 +35,9 @@ SYMBOLS = 64
 LANDMARKS = 192
 #: Bounds of the training sample: texts of each label, and the longest text taken.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 3000, 5000, 1 << 16
-FETCHES = 16                  # partitions in which the sample's bags are fetched
+FETCHES = 16                  # tasks that make the sample's bags
+BATCH_ROWS = 512
+MAX_BROADCAST_KEYS = 1_000_000  # rejected rows (16 bytes each) that are taken out by a broadcast
 ROUNDS = 4
 CACHE = 1_000_000             # remembered words per worker
 THRESHOLD = 0.3
@@ -349,30 +351,48 @@ def _bags(batches: Iterable) -> Iterator:
     import pyarrow as pa
 
     for batch in batches:
-        words, sentences = zip(*(Bag.of(t).packed() for t in batch["text"].to_pylist())) if batch.num_rows else ((), ())
-        yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(words, pa.string()), pa.array(sentences, pa.binary())], ["toxic", "words", "sentences"])
+        for k in range(0, batch.num_rows, BATCH_ROWS):
+            part = batch.slice(k, BATCH_ROWS)
+            words, sentences = zip(*(Bag.of(t).packed() for t in part["text"].to_pylist()))
+            yield pa.RecordBatch.from_arrays([part["doc_id"], part["text_hash"], part["toxic"], pa.array(words, pa.string()), pa.array(sentences, pa.binary())],
+                                             ["doc_id", "text_hash", "toxic", "words", "sentences"])
+
+
+def _fitted(sizes: dict[int, int]):
+    """The whole sample's bags to the model, as one row: a task for SAMPLE_TOXIC + SAMPLE_CLEAN texts."""
+    def run(batches: Iterable) -> Iterator:
+        import pyarrow as pa
+
+        sample = Sample(x for b in batches for x in zip(b["toxic"].to_pylist(), b["words"].to_pylist(), b["sentences"].to_pylist()))
+        n_toxic, n_clean = int((sample.labels == 1).sum()), int((sample.labels == 0).sum())
+        clean_weight = (sizes.get(0, 0) / max(1, n_clean)) / max(1e-9, sizes.get(1, 0) / max(1, n_toxic)) if n_toxic else 1.0
+        model = fit_sample(sample, clean_weight or 1.0)
+        values = [model.codes.astype(np.int64).tobytes(), model.weights.astype(float).tobytes(), float(model.bias), float(model.slope), float(model.offset)]
+        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in values], ["codes", "weights", "bias", "slope", "intercept"])
+    return run
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Train on a bounded sample of labelled texts outside the held-out quarter.
 
     The sample's ids are chosen by hash among all labels; its texts (of at most SAMPLE_BYTES
-    each) become bags of words and sentences in the executors, which the driver fetches a
-    partition at a time and keeps as numbers. Label counts cover all labels."""
+    each) become bags of words and sentences, and one task fits the model to them, so the
+    driver gets the model alone. Label counts cover all labels."""
     rows = labels.where("toxic in (0, 1)").where(~held_out("doc_id")).select("doc_id", "toxic")
     rows = rows.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     sizes = dict(rows.groupBy("toxic").count().collect())
     order = F.xxhash64("doc_id")
     picked = (rows.where("toxic = 1").orderBy(order).limit(SAMPLE_TOXIC)
               .unionByName(rows.where("toxic = 0").orderBy(order).limit(SAMPLE_CLEAN)))
-    texts = docs.select("doc_id", "text").where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(picked), "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    texts = texts.where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(picked), "doc_id")
     texts = stored(texts, "toxicity-sample")
-    bags = texts.repartitionByRange(FETCHES, "doc_id", "text").sortWithinPartitions("doc_id", "text").select("toxic", "text")
-    bags = stored(bags.mapInArrow(_bags, "toxic int, words string, sentences binary").withColumn("at", F.monotonically_increasing_id()), "toxicity-bags")
-    sample = Sample((r.toxic, r.words, bytes(r.sentences)) for r in bags.orderBy("at").toLocalIterator())
-    n_toxic, n_clean = int((sample.labels == 1).sum()), int((sample.labels == 0).sum())
-    clean_weight = (sizes.get(0, 0) / max(1, n_clean)) / max(1e-9, sizes.get(1, 0) / max(1, n_toxic)) if n_toxic else 1.0
-    return fit_sample(sample, clean_weight or 1.0)
+    bags = texts.repartition(FETCHES, F.xxhash64("doc_id", "text")).mapInArrow(_bags, "doc_id long, text_hash long, toxic int, words string, sentences binary")
+    whole = stored(bags, "toxicity-bags").repartition(1).sortWithinPartitions("doc_id", "text_hash")
+    row = whole.mapInArrow(_fitted(sizes), "codes binary, weights binary, bias double, slope double, intercept double").first()
+    if row is None:  # no sample, and so no task
+        return fit_sample(Sample([]))
+    return Model(np.frombuffer(row.codes, np.int64), np.frombuffer(row.weights, np.float64), row.bias, row.slope, row.intercept)
 
 
 def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: str = "doc_id",
@@ -386,9 +406,8 @@ def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_
         model, known = shared.value, {}
         for batch in batches:
             best = []
-            texts = batch["text"].to_pylist()
-            for k in range(0, len(texts), 256):
-                split = [words_of(t) for t in texts[k:k + 256]]
+            for k in range(0, batch.num_rows, 256):
+                split = [words_of(t) for t in batch["text"].slice(k, 256).to_pylist()]
                 new = list({w for words in split for w in words if w not in known})
                 known.update(zip(new, model.values(new).tolist()))
                 best += [max(map(known.__getitem__, words), default=LOW) for words in split]
@@ -404,9 +423,17 @@ def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows scored at ``threshold`` or more; all columns stay as they are."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    return score_texts(rows, fit(docs, labels), threshold, id_col="row").where("predicted = 0").select("row.*")
+    """``docs`` without the rows scored at ``threshold`` or more; all columns stay as they are.
+
+    Only ids and texts are scored; rows go by id and text hash, so equal rows go together."""
+    body = F.xxhash64("text")
+    named = docs.select(F.struct("doc_id", body.alias("body")).alias("id"), "text")
+    scored = score_texts(named, fit(docs, labels), threshold, id_col="id").where("predicted = 1")
+    out = stored(scored.select(F.col("id.doc_id").alias("_id"), F.col("id.body").alias("_body")).distinct(), "toxicity-rejected")
+    if out.count() <= MAX_BROADCAST_KEYS:
+        out = F.broadcast(out)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", body.alias("body"))
+    return rows.join(out, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body")), "left_anti").select("row.*")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
