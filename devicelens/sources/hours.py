@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import DAY_MS, EVENT_DAY, HOUR_END, STORED_READINGS, TIME_MS
+from ..schema import DAY_MS, DEVICE, EVENT_DAY, HOUR_END, STORED_READINGS, TIME_MS
 from ..storage.manifest import COMPACTED, GENERATION, Snapshot, load_snapshot
 from .paths import range_alternatives
 
@@ -21,6 +21,14 @@ STORED_SCHEMA = T.StructType(STORED_READINGS.fields + [T.StructField(EVENT_DAY,
 #: FAR_DAYS (or before 1970): one folder that every read includes.
 FAR_DAY = -1
 FAR_DAYS = 30
+#: Writer options of stored readings: a Bloom filter of device ids in every row group, sized
+#: by what it holds (128 KB at most, some 100,000 devices), for the look-up of one device.
+#: Parquet itself leaves it out where a dictionary tells as much.
+DEVICE_LOOKUP = {
+    f"parquet.bloom.filter.enabled#{DEVICE}": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    "parquet.bloom.filter.max.bytes": str(128 << 10),
+}
 #: Folder in which a streaming query commits the files of its batches.
 COMMIT_LOG = "_spark_metadata"
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import DEVICE, EVENT_DAY, HOUR_END, HOUR_MS, TENANT, TYPE
-from ..sources.hours import compacted_hours, has_commit_log, live_hours
+from ..sources.hours import DEVICE_LOOKUP, compacted_hours, has_commit_log, live_hours
 from ..sources.summaries import write_summary
 from ..storage import small_files
 from ..storage.manifest import BAD_LINES, COMPACTED, GENERATION, SUMMARIES, Generation, Snapshot, load_snapshot, publish
@@ -53,7 +53,7 @@ def write_generation(rows: DataFrame, path: str) -> Generation:
     spark, ident = rows.sparkSession, f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
     folder = f"{path.rstrip('/')}/{COMPACTED}/{GENERATION}={ident}"
     clustered = rows.hint("rebalance", EVENT_DAY, HOUR_END).sortWithinPartitions(EVENT_DAY, HOUR_END, TENANT, TYPE, DEVICE)
-    clustered.write.partitionBy(EVENT_DAY, HOUR_END).parquet(folder)
+    clustered.write.options(**DEVICE_LOOKUP).partitionBy(EVENT_DAY, HOUR_END).parquet(folder)
     days = [int(n.split("=")[1]) for n in small_files.names(spark, folder) if n.startswith(f"{EVENT_DAY}=")]
     generation = Generation(ident, [], days)
     write_summary(spark, path, generation)

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import hourly_distinct_readings
 from ..schema import BATCH_INTERVAL, DEVICE, EVENT_DAY, HOUR_END, HOUR_MS, READING_FIELDS, TENANT, TYPE
-from ..sources.hours import event_day, has_commit_log, live_hours, read_hours
+from ..sources.hours import DEVICE_LOOKUP, event_day, has_commit_log, live_hours, read_hours
 from ..sources.messages import parse_device_messages
 from ..storage.manifest import load_snapshot
 from .compaction import file_hours, compact_table, log_retention, remove_compacted
@@ -119,7 +119,7 @@ def write_hourly_readings(df: DataFrame, path: str, checkpoint: str, trigger: di
     ``retention`` lets older entries leave the sink's commit log; take it from
     compaction.log_retention, under which only compacted hours go."""
     w = (
-        df.withColumn(EVENT_DAY, event_day()).writeStream.format("parquet")
+        df.withColumn(EVENT_DAY, event_day()).writeStream.format("parquet").options(**DEVICE_LOOKUP)
         .outputMode("append")
         .partitionBy(EVENT_DAY, HOUR_END)
         .option("path", path)
@@ -160,7 +160,7 @@ def write_hourly_readings_batch(df: DataFrame, path: str, mode: str = "append")
         raise ValueError(f"{path} is written by a stream; append to a table of its own")
     days = df.withColumn(EVENT_DAY, event_day())
     clustered = days.hint("rebalance", EVENT_DAY, HOUR_END).sortWithinPartitions(EVENT_DAY, HOUR_END, TENANT, TYPE, DEVICE)
-    (clustered.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    (clustered.write.mode(mode).options(**DEVICE_LOOKUP).option("partitionOverwriteMode", "dynamic")
      .partitionBy(EVENT_DAY, HOUR_END).parquet(path))
 
 
