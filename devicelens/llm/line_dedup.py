@@ -113,13 +113,17 @@ def similar_lines(docs: DataFrame, places: DataFrame, percent: int = 80, id_col:
     keyed = single.select(*KEY, by_rarity(word_hashes(F.col("words_of")), levels).alias("keys"))
     n = F.size("keys")
     probing = n - F.ceil(n * percent / 100) + 1
-    one = F.lit(1).cast("long")
-    parity = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(
-        F.call_function("shiftleft", one, k.bitwiseAND(63).cast("int"))))
-    heads = keyed.select(*KEY, n.alias("n"), parity.alias("parity"), F.slice("keys", F.lit(1), probing.cast("int")).alias("prefix"))
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def parity(half: int) -> Column:
+        """Parities of the words in 64 of 128 cells."""
+        return F.aggregate("keys", none, lambda a, k: a.bitwiseXOR(F.when(
+            k.bitwiseAND(64) == 64 * half, F.call_function("shiftleft", one, k.bitwiseAND(63).cast("int"))).otherwise(none)))
+
+    heads = keyed.select(*KEY, n.alias("n"), parity(0).alias("parity"), parity(1).alias("parity2"), F.slice("keys", F.lit(1), probing.cast("int")).alias("prefix"))
     with recorded(spent):
-        entries = stored(heads.select(*KEY, "n", "parity", F.posexplode("prefix").alias("pos", "word")).distinct(), "line-prefixes")
-    side = F.struct(_key().alias("at"), "n", "pos", "parity")
+        entries = stored(heads.select(*KEY, "n", "parity", "parity2", F.posexplode("prefix").alias("pos", "word")), "line-prefixes")
+    side = F.struct(_key().alias("at"), "n", "pos", "parity", "parity2")
     total = entries.count()
 
     def close(a: str, b: str) -> Column:
@@ -127,7 +131,7 @@ def similar_lines(docs: DataFrame, places: DataFrame, percent: int = 80, id_col:
         na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
         need = least_overlap(na, nb, percent)
         rest = 1 + F.least(na - F.col(f"{a}.pos") - 1, nb - F.col(f"{b}.pos") - 1)
-        apart = F.bit_count(F.col(f"{a}.parity").bitwiseXOR(F.col(f"{b}.parity")))
+        apart = sum((F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in ("parity", "parity2")), F.lit(0))
         return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (rest >= need) & (na + nb - apart >= 2 * need)
 
     # round 1: the earliest line of each prefix word; words of one prefix only propose nothing
@@ -209,7 +213,10 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     when an earlier line (by id, then text hash for repeated ids, then place; NULL ids
     last) has a Jaccard similarity of word sets of at least ``percent`` / 100, whether or
     not that one stays. Lines without words stay. Rows that repeat id and text
-    lose the same lines. NULL texts stay NULL; all other columns are kept as they are."""
+    lose the same lines. NULL texts stay NULL; all other columns are kept as they are. A table
+    that has ``n_lines`` or ``n_removed`` is refused."""
+    if clash := {"n_lines", "n_removed"} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"docs has columns that dedup_lines adds: {sorted(clash)}")
     out = _shortened(docs, percent, id_col, text_col)
     return out.select(*_columns(docs, {text_col: F.col("left")}), "n_lines", "n_removed")
 

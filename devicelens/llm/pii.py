@@ -5,12 +5,14 @@ for digit groups and spelt-out addresses. Spans that pass a base rule stay. Boos
 trees (Spark ML) score each loose proposal by features of its format and its context;
 it is added when its score reaches the threshold and it overlaps no base span.
 
-The trees learn loose formats, not the absence of a base span: positive examples are
-base spans (and a few fixed ones) rewritten as the base patterns cannot match them,
-without '+', with other separators or spelt out; negative ones are rewritten dates,
-versions and failing checks, and the loose proposals that fail their kind's check.
-Other proposals are no examples. The threshold is the least one that reaches a wanted
-precision on a calibration fold of these.
+A proposal must be possible as its kind at all (octets, Luhn, number of digits); that is a
+rule, and neither a label nor a feature. The trees tell likely ones from look-alikes that
+are as possible: positive examples are base spans (and a few fixed ones) rewritten as the
+base patterns cannot match them, without '+', with other separators or spelt out, in
+contexts of their kind or none; negative ones are dates, ranges, serial and order numbers
+and plain prose made from the same spans, and the same numbers in other contexts. Proposals
+of the corpus itself have no label and train nothing. The threshold is the least one that
+reaches a wanted precision on sources and formats that the trees have not seen.
 
 One scan proposes spans for all texts; positions are running sums of the lengths of
 matches and of the gaps between them. DataFrame and SQL functions and Spark ML only.
@@ -46,15 +48,16 @@ LOOSE = {
 }
 LEFT, RIGHT = 24, 8          # characters of context
 MARKER = -1                  # row that keeps a text without proposals
-SAMPLE = 10_000              # proposals failing their check that the trees are trained on, at most
 SOURCES = 300                # base spans of a kind that are rewritten, at most
-TREES, DEPTH = 10, 3
+TREES, DEPTH = 12, 4
 PRECISION = 0.95
-CALIBRATION_FOLD = 4         # one fold in so many calibrates
+FORMS = 8                    # spellings of one projection
+CALIBRATION_FOLD = 4         # one source, and one format, in so many calibrates
 OCTETS = r"^(?:0*[0-9]{1,2}|0*1[0-9]{2}|0*2[0-4][0-9]|0*25[0-5])(?:\.(?:0*[0-9]{1,2}|0*1[0-9]{2}|0*2[0-4][0-9]|0*25[0-5])){3}$"
 CONTEXT = {"email": "mail|contact|write", "ip": r"\bip\b|host|server|addr", "card": "card|visa|credit|pay", "phone": "phone|tel|call|fax|mobile"}
+OTHER = "isbn|order|invoice|serial|version|build|part|item|ticket|batch|\\bref\\b|\\bid\\b|\\bno\\b|\\bsku\\b|date|born|since|between"
 FEATURES = ["k_email", "k_ip", "k_card", "k_phone", "length", "digits", "separators", "groups", "first_group", "last_group", "plus",
-            "paren", "dots", "left_word", "right_word", "left_space", "right_space", "digit_share", "context", "dated", "check"]
+            "paren", "dots", "left_word", "right_word", "left_space", "right_space", "digit_share", "context", "other", "dated", "suffix"]
 DATED = (r"^[(\[]?(?:(?:1[0-9]|20)[0-9]{2}([-/. ])[01]?[0-9]\1[0-3]?[0-9]|[0-3]?[0-9]([-/. ])[0-3]?[0-9]\2(?:1[0-9]|20)?[0-9]{2})(?![0-9])"
          r"|^[(\[]?(?:1[0-9]|20)[0-9]{2} ?[-/] ?(?:1[0-9]|20)[0-9]{2}(?![0-9])")
 SUFFIX = (r"(?i)[^a-z](?:com|org|net|edu|gov|mil|int|info|biz|io|ai|app|dev|co|eu|uk|us|ca|au|nz|de|at|ch|fr|es|it|nl|be|se|no|dk|fi|pl|cz|pt|ie"
@@ -119,47 +122,66 @@ def proposals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def rewritten(sources: DataFrame) -> DataFrame:
-    """Loose spellings of base spans (``kind, found, left, right``) as examples: their spans,
-    ``as_kind`` and ``label``; only those that a loose generator proposes."""
+    """Loose spellings of base spans and look-alikes of them (``kind, found, left, right``) as
+    examples: their spans, ``as_kind``, ``form`` (number of the spelling) and ``label``; only
+    those that a loose generator proposes and that are possible as their kind."""
     found, digits = F.col("found"), F.regexp_replace("found", "[^0-9]", "")
     groups = F.regexp_extract_all("found", F.lit("[0-9]+"), F.lit(0))
     fours = lambda d, by: F.regexp_replace(d, "([0-9]{4})(?=[0-9])", f"$1{by}")
     local, domain = F.substring_index("found", "@", 1), F.substring_index("found", "@", -1)
     n, h = F.size(groups), F.pmod(F.xxhash64("found"), F.lit(1 << 30))
-    failing = F.concat(F.expr("left(found, length(found) - 1)"), F.pmod(F.right("found", F.lit(1)).cast("int") + 1, F.lit(10)).cast("string"))
-    failing = F.regexp_replace(failing, "[^0-9]", "")
     year, month, day = F.lit(1950) + h % 90, F.lpad((h % 12 + 1).cast("string"), 2, "0"), F.lpad((h % 28 + 1).cast("string"), 2, "0")
-
-    def ex(text: Column, good: bool = True, left: str | None = None, right: str | None = None) -> Column:
-        return F.struct(text.alias("found"), F.lit(good).alias("good"), (F.col("left") if left is None else F.lit(left)).alias("left"),
-                        (F.col("right") if right is None else F.lit(right)).alias("right"))
-
-    emails = [ex(F.concat(local, F.lit(at), F.replace(domain, F.lit("."), F.lit(dot))))
-              for at, dot in ((" (at) ", " (dot) "), (" [at] ", " [dot] "), ("(at)", "(dot)"), ("[at]", "."), (" at ", " dot "), (" AT ", " DOT "))]
-    emails += [ex(F.concat(local, F.lit(" at "), F.substring_index(domain, ".", 1), F.lit(f" dot {w}")), False) for w in ("matrix", "line", "and")]
-    ips = [ex(F.replace(found, F.lit("."), F.lit(by))) for by in ("[.]", "(.)", " . ", ". ")]
-    ips += [ex(F.concat(F.lit("9"), F.lpad(F.replace(found, F.lit("."), F.lit("[.]")), 14, "9")), False),
-            ex(F.concat(found, F.lit("."), h % 30), False), ex(F.substring_index(found, ".", 3), False)]
-    cards = [ex(fours(d, by), good) for d, good in ((digits, True), (failing, False)) for by in (".", "/", " - ", "  ")]
-    cards += [ex(failing, False)]
-    phones = [ex(F.ltrim(F.substring(found, 2, 64))), *[ex(F.array_join(groups, by)) for by in ("-", ".", " ", "/")],
-              ex(F.concat(F.lit("("), groups[0], F.lit(") "), F.array_join(F.slice(groups, F.lit(2), n), "-"))),
-              ex(F.when(n > 3, F.concat(F.lit("("), groups[1], F.lit(") "), F.array_join(F.slice(groups, F.lit(3), n), "-")))),
-              ex(F.when(n > 3, F.array_join(F.slice(groups, F.lit(2), n), "-"))), ex(F.when(n > 3, F.array_join(F.slice(groups, F.lit(2), n), "."))),
-              ex(digits, left="my phone: "), *[ex(digits, False, a, b) for a, b in ((" ", " "), ("7e", " "), (" ", "c4"), ("7e", "c4"))],
-              *[ex(F.substring(F.concat(digits, h.cast("string"), digits), 3, m), False, a, b)
-                for m in (8, 10, 12, 14, 15) for a, b in ((" ", " "), ("7e", "c4"))],
-              *[ex(F.concat_ws(by, year, month, day), False) for by in ("-", "/", ".")], ex(F.concat_ws(".", day, month, year), False),
-              ex(F.concat(F.lit(""), year, F.lit("-"), year + 3), False), ex(F.concat_ws(".", h % 9, h % 40, h % 7, h % 100, h % 31), False),
-              ex(F.concat_ws(".", h % 9, month, (h % 100000).cast("string")), False)]
-    forms = F.lit(None).cast("array<struct<found:string,good:boolean,left:string,right:string>>")
+    both = F.concat(digits, h.cast("string"), digits)
+
+    def pick(words: tuple) -> Column:
+        """One of some contexts, by the source."""
+        return F.get(F.array(*[F.lit(w) for w in words]), (h % len(words)).cast("int"))
+
+    own = {"email": ("mail: ", "write to ", "contact ", "reach us, "), "ip": ("server ", "host ", "ip ", "from "),
+           "card": ("card ", "visa: ", "pay with ", "credit card no. "), "phone": ("phone: ", "call ", "tel. ", "mobile ")}
+    others = ("order ", "invoice no ", "serial ", "isbn ", "ticket ", "part no. ", "ref ", "item ")
+
+    def ex(text: Column, good: bool = True, left: Column | None = None, right: str = " ") -> Column:
+        return F.struct(text.alias("found"), F.lit(good).alias("good"), (F.lit(" ") if left is None else left).alias("left"), F.lit(right).alias("right"))
+
+    def spoken(kind: str, texts: list[Column]) -> list[Column]:
+        """Good in its own context and in none, no good in another one."""
+        return [e for t in texts for e in (ex(t, True, pick(own[kind])), ex(t), ex(t, False, pick(others)))]
+
+    emails = [e for at, dot in ((" (at) ", " (dot) "), (" [at] ", " [dot] "), ("(at)", "(dot)"), ("[at]", "."), ("(at)", "."), (" at ", " dot "), (" AT ", " DOT "))
+              for t in (F.concat(local, F.lit(at), F.replace(domain, F.lit("."), F.lit(dot))),) for e in (ex(t), ex(t, True, pick(own["email"])))]
+    emails += [ex(F.concat(local, F.lit(" at "), F.substring_index(domain, ".", 1), F.lit(f" dot {w}")), False) for w in ("matrix", "line", "and", "product")]
+    ips = spoken("ip", [F.replace(found, F.lit("."), F.lit(by)) for by in ("[.]", "(.)", " . ", ". ")])
+    ips += [ex(F.concat(found, F.lit("."), h % 30), False), ex(F.concat_ws(".", h % 9, month, day, h % 40), False, F.lit("version "))]
+    cards = spoken("card", [fours(digits, by) for by in (".", "/", " - ", "  ")])
+    cards += [ex(fours(digits, "."), False, F.lit("7e"), "c4"), ex(digits, False, F.lit("7e"), "c4")]
+    phones = spoken("phone", [
+        *[F.array_join(groups, by) for by in ("-", ".", " ", "/")],
+        F.concat(F.lit("("), groups[0], F.lit(") "), F.array_join(F.slice(groups, F.lit(2), n), "-")),
+        F.when(n > 3, F.concat(F.lit("("), groups[1], F.lit(") "), F.array_join(F.slice(groups, F.lit(3), n), "-"))),
+        F.when(n > 3, F.array_join(F.slice(groups, F.lit(2), n), "-")), F.when(n > 3, F.array_join(F.slice(groups, F.lit(2), n), ".")),
+        F.when(n > 3, F.array_join(F.slice(groups, F.lit(2), n), " ")), F.concat(F.lit("0"), F.array_join(F.slice(groups, F.lit(2), n), "/"))])
+    phones += [ex(F.ltrim(F.substring(found, 2, 64)), True, pick(own["phone"])), ex(digits, True, pick(own["phone"])),
+               *[ex(digits, False, F.lit(a), b) for a, b in ((" ", " "), ("7e", " "), (" ", "c4"), ("7e", "c4"))], ex(digits, False, pick(others)),
+               *[ex(F.substring(both, 3, m), False, F.lit(a), b) for m in (8, 10, 12, 14, 15) for a, b in ((" ", " "), ("7e", "c4"))],
+               *[ex(F.substring(both, 5, m), False, pick(others)) for m in (8, 10, 13)],
+               ex(F.concat_ws("-", F.lit("978"), h % 9, F.substring(both, 2, 2), F.substring(both, 4, 6), h % 10), False, F.lit("isbn ")),
+               ex(F.concat_ws("-", F.lit("978"), h % 9, F.substring(both, 2, 2), F.substring(both, 4, 6), h % 10), False),
+               *[ex(F.concat_ws(by, year, month, day), False, left) for by in ("-", "/", ".") for left in (None, F.lit("date "))],
+               ex(F.concat_ws(".", day, month, year), False), ex(F.concat_ws("/", month, day, year), False), ex(F.concat_ws(" ", year, month, day), False),
+               ex(F.concat(F.lit(""), year, F.lit("-"), year + 3), False), ex(F.concat(F.lit(""), year, F.lit(" - "), year + 7), False, F.lit("between ")),
+               ex(F.concat_ws(".", h % 9, h % 40, h % 7, h % 100, h % 31), False), ex(F.concat_ws(".", h % 9, month, (h % 100000).cast("string")), False)]
+    rows = None
     for k, one in enumerate((emails, ips, cards, phones)):
-        forms = F.when(F.col("kind") == k, F.array(*one)).otherwise(forms)
-    rows = sources.select(F.col("kind").alias("of"), F.xxhash64("found").alias("source"), F.explode(forms).alias("f"))
-    rows = rows.select("of", "source", "f.*",
-                       F.when(F.col("of") == 0, SPELT).otherwise(DIGITS).alias("kind"))
+        for j in range(0, len(one), FORMS):  # a few at a time, so that each is compiled
+            part = sources.where(F.col("kind") == k).select(
+                F.col("kind").alias("of"), F.xxhash64("found").alias("source"), F.posexplode(F.array(*one[j:j + FORMS])).alias("form", "f"))
+            part = part.withColumn("form", F.col("form") + j)
+            rows = part if rows is None else rows.unionByName(part)
+    rows = rows.select("of", "source", "form", "f.*", F.when(F.col("of") == 0, SPELT).otherwise(DIGITS).alias("kind"))
     rows = rows.where(F.when(F.col("kind") == SPELT, F.col("found").rlike(f"^(?:{LOOSE[SPELT]})$")).otherwise(F.col("found").rlike(f"^(?:{LOOSE[DIGITS]})$")))
-    return featured(as_kinds(rows)).withColumn("label", (F.col("good") & (F.col("of") == F.col("as_kind"))).cast("double"))
+    rows = featured(as_kinds(rows)).where("possible")
+    return rows.withColumn("label", (F.col("good") & (F.col("of") == F.col("as_kind"))).cast("double"))
 
 
 def as_kinds(spans: DataFrame) -> DataFrame:
@@ -180,7 +202,8 @@ def untaken(spans: DataFrame) -> DataFrame:
 
 
 def featured(rows: DataFrame) -> DataFrame:
-    """Loose proposals of one kind each, with the features of FEATURES as columns."""
+    """Loose proposals of one kind each, with the features of FEATURES as columns, and
+    whether they are ``possible`` as that kind."""
     count = lambda pattern: F.length("found") - F.length(F.regexp_replace("found", pattern, ""))
     last, first = F.right("left", F.lit(1)), F.left("right", F.lit(1))
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
@@ -189,10 +212,10 @@ def featured(rows: DataFrame) -> DataFrame:
         context = F.when(F.col("as_kind") == k, F.lower("left").rlike(CONTEXT[name])).otherwise(context)
     digits = F.regexp_replace("found", "[^0-9]", "")
     n, dated, paren = F.length(digits), F.col("found").rlike(DATED), F.col("found").rlike(r"[(\[]")
-    check = (F.when(F.col("as_kind") == 0, paren | F.col("found").rlike(SUFFIX))
-             .when(F.col("as_kind") == 1, F.regexp_replace("found", r"[\[\]() ]", "").rlike(OCTETS))
-             .when(F.col("as_kind") == 2, F.when(n.between(16, 19), luhn(digits)).otherwise(F.lit(False)))
-             .otherwise(n.between(8, 15) & ~dated))
+    possible = (F.when(F.col("as_kind") == 0, F.lit(True))
+                .when(F.col("as_kind") == 1, F.regexp_replace("found", r"[\[\]() ]", "").rlike(OCTETS))
+                .when(F.col("as_kind") == 2, F.when(n.between(16, 19), luhn(digits)).otherwise(F.lit(False)))
+                .otherwise(n.between(8, 15)))
     word = r"^[A-Za-z0-9_=\"']$"
     return rows.withColumns({
         **{f"k_{name}": flag(F.col("as_kind") == k) for k, name in enumerate(KINDS)},
@@ -204,34 +227,34 @@ def featured(rows: DataFrame) -> DataFrame:
         "left_word": flag(last.rlike(word)), "right_word": flag(first.rlike(word)),
         "left_space": flag(last.rlike(r"^\s?$")), "right_space": flag(first.rlike(r"^\s?$")),
         "digit_share": count("[0-9]") / F.greatest(F.length("found"), F.lit(1)), "context": flag(context),
-        "dated": flag(dated), "check": flag(check)})
+        "other": flag(F.lower("left").rlike(OTHER)), "dated": flag(dated), "suffix": flag(F.col("found").rlike(SUFFIX)),
+        "possible": F.coalesce(possible, F.lit(False))})
 
 
 def scored(spans: DataFrame) -> tuple[DataFrame, float]:
     """Loose proposals that overlap no base span with their probability, and the
     calibrated threshold.
 
-    Examples are ``rewritten`` spans, of at most SOURCES base spans a kind chosen by
-    hash, and the proposals that fail their kind's check, as negatives: at most SAMPLE
-    of them train the trees, all of the calibration fold count for the threshold."""
-    rows = stored(featured(as_kinds(untaken(spans))), "pii-loose")
+    Examples are ``rewritten`` spans of at most SOURCES base spans a kind, chosen by hash.
+    Calibration takes the sources of one fold and, of all sources, the spellings of one in
+    CALIBRATION_FOLD numbers: the trees have seen neither."""
+    rows = stored(featured(as_kinds(untaken(spans))).where("possible"), "pii-loose")
     order, part = F.xxhash64("found", "left", "right"), spans.select("kind", "found", "left", "right")
     sources = spans.sparkSession.createDataFrame([(k, f, " ", " ") for k, f in SEEDS], part.schema)
     for k in range(len(KINDS)):
         sources = sources.unionByName(part.where(spans["base"] & (F.col("kind") == k)).orderBy(order, "found", "left").limit(SOURCES))
-    made = stored(rewritten(sources).select("source", "label", *FEATURES), "pii-rewritten")
-    failing = rows.where("check = 0").select(F.xxhash64("found").alias("source"), F.lit(0.0).alias("label"), *FEATURES)
-    fold = F.pmod(F.xxhash64("source", F.lit(1)), F.lit(CALIBRATION_FOLD))
+    sources = stored(sources.dropDuplicates(["kind", "found"]), "pii-sources")
+    made = stored(rewritten(sources).select("source", "form", "label", *FEATURES), "pii-rewritten")
+    unseen = (F.pmod(F.xxhash64("source", F.lit(1)), F.lit(CALIBRATION_FOLD)) == 0) | (F.pmod(F.xxhash64("form", F.lit(3)), F.lit(CALIBRATION_FOLD)) == 0)
     vector = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    train = made.where(fold > 0).unionByName(failing.where(fold > 0).orderBy("source", *FEATURES).limit(SAMPLE))
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=11, stepSize=0.3).fit(
-        stored(vector.transform(train).select("features", "label"), "pii-train"))
+        stored(vector.transform(made.where(~unseen)).select("features", "label"), "pii-train"))
     probability = vector_to_array("probability")[1]
 
     def judged(df: DataFrame) -> DataFrame:
         return model.transform(vector.transform(df)).withColumn("p", probability)
 
-    bins = (judged(made.unionByName(failing).where(fold == 0)).groupBy(F.floor(F.col("p") * 100).cast("int").alias("bin"))
+    bins = (judged(made.where(unseen)).groupBy(F.floor(F.col("p") * 100).cast("int").alias("bin"))
             .agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("bin")).collect())
     threshold, good, n = 1.01, 0.0, 0
     for b in bins:  # at most 101 rows

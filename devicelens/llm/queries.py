@@ -226,3 +226,17 @@ kept AS (SELECT lang, phrase, a, l, r, score FROM best b WHERE cut = 1 AND NOT E
          SELECT 1 FROM longer g WHERE g.lang = b.lang AND g.phrase = b.phrase AND 100 * g.a >= 50 * b.a)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
+
+ORACLE["op1_hyperminhash"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 3], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS k
+      FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM (SELECT a.doc_id, b.doc_id AS other, count(*) AS c
+          FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL) a JOIN n p ON p.doc_id = a.doc_id
+          JOIN n b ON b.doc_id = a.other WHERE 100 * c >= 80 * (p.n + b.n - c)),
+reach AS (SELECT doc_id, doc_id AS r FROM w UNION SELECT reach.doc_id, y FROM reach JOIN links ON x = r),
+least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)"""

@@ -1,15 +1,17 @@
 """URL allow and block rules (operator 7): a sorted array of digests.
 
-Rules are host + path prefixes. Their index is one file: the sorted 64-bit xxhash
-digests of the rule strings, their verdicts, and the strings. Spark ships the file
-to every executor, whose Python workers map it into memory (one copy per machine).
-A batch of URLs probes it by vectorised binary search with every (host suffix, path
-prefix) that could be a rule; a hit counts once the stored string is the same.
+Rules are host + path prefixes. Their index is a file for every RULES_PER_FILE of them:
+the sorted 64-bit xxhash digests of the rule strings, their verdicts, and the strings.
+Spark ships the files to every executor, whose Python workers map them into memory (one
+copy per machine). A batch of URLs probes each by vectorised binary search with every
+(host suffix, path prefix) that could be a rule; a hit counts once the stored string is the
+same. Any number of rules is taken; of a rule's copies the first decides.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -21,9 +23,9 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .common import write_bytes
 
-#: Most rules of an index: 8 bytes of digest, 9 of place and verdict and the string
-#: each, so a file of about 0.5 GB that is mapped, not loaded.
-MAX_RULES = 10_000_000
+#: Rules of an index file: 8 bytes of digest, 9 of place and verdict and the string each, so
+#: about 50 MB that are mapped, not loaded. The driver builds one file at a time.
+RULES_PER_FILE = 1_000_000
 MAGIC = b"URLRULE1"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -47,8 +49,6 @@ def build_index(rules: Iterable[tuple[str, str, str]]) -> bytes:
         if verdict not in ("allow", "block") or not path.startswith("/"):
             raise ValueError(f"bad rule {verdict} {host}{path}")
         known.setdefault((host.translate(str.maketrans(UPPER, LOWER)) + path).encode(), verdict == "block")
-        if len(known) > MAX_RULES:
-            raise ValueError(f"more than {MAX_RULES} rules")
     items = sorted((xxhash.xxh64_intdigest(s), s, b) for s, b in known.items())
     ends = np.cumsum([0, *(len(s) for _, s, _ in items)]).astype("<u8")
     paths = sorted({len(s) - s.index(b"/") for _, s, _ in items})
@@ -72,7 +72,7 @@ class RuleIndex:
         self.strings = data[at + 17 * n + 8:]
 
     @classmethod
-    @functools.lru_cache(maxsize=8)
+    @functools.lru_cache(maxsize=None)
     def mapped(cls, name: str) -> RuleIndex:
         return cls(np.memmap(SparkFiles.get(name), dtype=np.uint8, mode="r"))
 
@@ -118,14 +118,26 @@ class RuleIndex:
         return [b and b.decode() for b in best], verdict
 
 
-def ship_index(spark: SparkSession, rules: Iterable[tuple[str, str, str]]) -> str:
-    """Write the index to the shared folder and have Spark hand it to the executors; its name."""
-    data = build_index(rules)
-    name = f"url-rules-{uuid.uuid4().hex}"  # Spark takes one file of a name
-    path = scratch_path(spark, "urls") + "/" + name
-    write_bytes(spark, path, data)
-    spark.sparkContext.addFile(path)
-    return name
+def ship_indexes(spark: SparkSession, rules: Iterable[tuple[str, str, str]]) -> list[str]:
+    """Write the index files to the shared folder and have Spark hand them to the executors; their names."""
+    folder, names, rules = scratch_path(spark, "urls"), [], iter(rules)
+    while (part := list(itertools.islice(rules, RULES_PER_FILE))) or not names:
+        names.append(f"url-rules-{uuid.uuid4().hex}")  # Spark takes one file of a name
+        write_bytes(spark, f"{folder}/{names[-1]}", build_index(part))
+        spark.sparkContext.addFile(f"{folder}/{names[-1]}")
+    return names
+
+
+def judge_all(indexes: list[RuleIndex], hosts: list[str], paths: list[str]) -> tuple[list, list]:
+    """:meth:`RuleIndex.judge` over several files: the longest rule, of those the one with the
+    longer host, of copies of one rule the first."""
+    rule, verdict = indexes[0].judge(hosts, paths)
+    weight = lambda r: (len(r.encode()), r.index("/"))
+    for index in indexes[1:]:
+        for i, (r, v) in enumerate(zip(*index.judge(hosts, paths))):
+            if r is not None and (rule[i] is None or weight(r) > weight(rule[i])):
+                rule[i], verdict[i] = r, v
+    return rule, verdict
 
 
 def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default: str = "allow",
@@ -136,15 +148,15 @@ def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default
     the longest fitting rule decides, ``default`` without one (also for a NULL url or
     one without ``://``, whose host and path are empty). Repeated rows are judged one
     by one; other columns are not read."""
-    name = ship_index(pages.sparkSession, rules)
+    names = ship_indexes(pages.sparkSession, rules)
     host, path = host_and_path(F.col(url_col))
 
     def judged(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        index = RuleIndex.mapped(name)
+        indexes = [RuleIndex.mapped(name) for name in names]
         for b in batches:
-            rule, verdict = index.judge(b["host"].to_pylist(), b["path"].to_pylist())
+            rule, verdict = judge_all(indexes, b["host"].to_pylist(), b["path"].to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(rule, pa.string()), pa.array([v or default for v in verdict], pa.string())],
                 [*b.schema.names, "rule", "verdict"])

@@ -340,3 +340,15 @@ def test_contamination_in_blocks_of_windows(spark, docs, monkeypatch, block):
     assert len(used.paths) > 10 and all(len(b.owners) <= block for b in used.blocks())
     assert rows(decontaminate.contamination(docs, bench)) == whole
     assert any(len(r[4]) >= 2 for r in whole) and not hasattr(decontaminate, "MAX_BENCHMARK_BYTES")
+
+
+def test_stages_with_dotted_and_clashing_names(spark, docs):
+    """Columns may have dots in their names; names that an operator adds are refused."""
+    odd = docs.withColumnRenamed("source", "meta.url").withColumn("a.b.c", F.lit(1))
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 0), (5, 1)], "doc_id long, toxic int")
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    for out in (toxicity.drop_toxic(odd, labels), hyperminhash.drop_near_duplicates(odd), decontaminate.drop_contaminated(odd, bench),
+                line_dedup.drop_repeated_lines(odd)):
+        assert out.columns == odd.columns and 0 < out.count() <= len(ROWS)
+    with pytest.raises(ValueError, match="n_removed"):
+        line_dedup.dedup_lines(odd.withColumn("n_removed", F.lit(1)))
