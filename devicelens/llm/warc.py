@@ -294,7 +294,8 @@ def write_run(store, base: str, rows: Iterable[tuple]) -> list[dict]:
     import pyarrow as pa
 
     schema, name, index, part = _arrow_schema(), f"run-{uuid.uuid4().hex}.arrow", [], []
-    with store.open_output_stream(f"{base}/{name}", compression=None) as sink, pa.ipc.new_file(sink, schema) as out:
+    small = pa.ipc.IpcWriteOptions(compression="zstd")
+    with store.open_output_stream(f"{base}/{name}", compression=None) as sink, pa.ipc.new_file(sink, schema, options=small) as out:
         def flush():
             out.write_batch(_batch(part, schema))
             first, last = (dict(zip(KEY_NAMES, run_order(r))) for r in (part[0], part[-1]))
