@@ -35,14 +35,18 @@ from .sources import (
     read_text_hours,
     stream_device_messages,
 )
-from .streaming import print_stream, readings_stream, run_ingest, write_hourly_readings, write_hourly_readings_batch
+from .sources.summaries import SummarisedTable
+from .streaming import (
+    compact_table, convert_text, print_stream, readings_stream, remove_compacted, run_ingest, run_ingest_batches,
+    run_ingest_sessions, write_hourly_readings, write_hourly_readings_batch,
+)
 
 __all__ = [
-    "append_recent", "assign_time_bucket", "bucket_report", "bucket_stats", "build_session", "cluster_conf",
+    "SummarisedTable", "append_recent", "assign_time_bucket", "bucket_report", "bucket_stats", "build_session", "cluster_conf", "compact_table", "convert_text",
     "device_report", "device_type_stats", "filter_identity", "filter_recent", "filter_time_range",
     "format_reading_lines", "group_stats", "hourly_distinct_readings", "message_file_stream", "message_records",
     "parse_device_messages", "parse_reading_lines", "prepare_session", "print_stream", "publish_report",
     "read_hours", "read_reading_lines", "read_text_hours", "readings_stream", "recent_data", "recent_device",
-    "recent_rows", "run_ingest", "stream_device_messages", "usual_counts", "usual_rate", "write_hourly_readings",
+    "recent_rows", "remove_compacted", "run_ingest", "run_ingest_batches", "run_ingest_sessions", "stream_device_messages", "usual_counts", "usual_rate", "write_hourly_readings",
     "write_hourly_readings_batch", "write_kafka",
 ]
