@@ -11,7 +11,10 @@ searched in two rounds: first each member against the bucket's least member (a s
 sorted rows), then, where several components still meet, the pairs that cross
 components, in tiles that Spark deals out: the members of the largest component meet the
 others only, and a pair is tested in its first common band only, first by the bands' own
-registers. So a group of any size is neither gathered nor written out as pairs.
+registers. What is left of a tile goes on as a block: a row for each of its members, with the
+candidates as bits. Its finer registers, then its full sets are joined to the members, and
+of the links found only a spanning forest is written. So a group of any size is neither
+gathered nor written out as pairs.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ BANDS = (1 << COARSE) // BAND
 DEVIATIONS = 4.75            # a true link is estimated too low once in a million
 TILE = 512                   # members of a bucket that one tile compares with another
 HOT_PIECES = 64              # pieces of a hot bucket in round 1
+BLOCK_SHINGLES = 1 << 20     # shingles on a side of a block, and one text
 BATCH_BYTES = 2 << 20        # text hashed at once; a longer one is hashed in pieces
 
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -288,31 +292,134 @@ def _sets(words: int):
     return run
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    both = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
+    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _confirmed(percent: int):
     def run(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            keep = []
-            for x, y in zip(batch["sa"], batch["sb"]):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
-                keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+            keep = [_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
+                    for x, y in zip(batch["sa"], batch["sb"])]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
+BLOCK = "bucket long, tile long, part int, side int, at int, doc_id long, n_shingles long, others binary"
+BLOCK_KEY = ["bucket", "tile", "part"]
+
+
+def _block(bucket: int, tile: int, part: int, ids: tuple, sizes: tuple, hit: np.ndarray):
+    """Rows of the members of both sides that have a candidate; a left one holds its candidates
+    among the right ones, as bits."""
+    import pyarrow as pa
+
+    left, right = np.flatnonzero(hit.any(1)), np.flatnonzero(hit.any(0))
+    bits = np.packbits(hit[np.ix_(left, right)], axis=1)
+    n = len(left) + len(right)
+    columns = [np.full(n, bucket), np.full(n, tile), np.full(n, part), np.repeat([0, 1], [len(left), len(right)]),
+               np.concatenate([np.arange(len(left)), np.arange(len(right))]), np.concatenate([ids[0][left], ids[1][right]]),
+               np.concatenate([sizes[0][left], sizes[1][right]])]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    others = pa.array([x.tobytes() for x in bits] + [b""] * len(right), pa.binary())
+    return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, types)), others], [c.split()[0] for c in BLOCK.split(", ")])
+
+
+def _block_parts(bucket: int, tile: int, ids: tuple, sizes: tuple, hit: np.ndarray) -> Iterator:
+    """Blocks of a tile's candidates, each with few enough shingles to be held with its sets."""
+    part = 0
+    runs = [(np.cumsum(n) - n) // BLOCK_SHINGLES for n in sizes]
+    for a in np.unique(runs[0]):
+        for b in np.unique(runs[1]):
+            x, y = np.flatnonzero(runs[0] == a), np.flatnonzero(runs[1] == b)
+            some = hit[np.ix_(x, y)]
+            if some.any():
+                yield _block(bucket, tile, part, (ids[0][x], ids[1][y]), (sizes[0][x], sizes[1][y]), some)
+                part += 1
+
+
+def _blocks(batches: Iterable, payload: list[str]) -> Iterator:
+    """(key, candidates, left rows, right rows) of blocks of sorted rows with ``payload``. Several rows
+    of one ``at`` are texts under one id."""
+    import itertools
+
+    names = [c.split()[0] for c in BLOCK.split(", ")] + payload
+    rows = (r for b in batches for r in zip(*(b[c].to_pylist() for c in names)))
+    for key, group in itertools.groupby(rows, key=lambda r: r[:3]):
+        group = list(group)
+        left, right = ([r for r in group if r[3] == side] for side in (0, 1))
+        width = 1 + max(r[4] for r in right)
+        hit = np.zeros((1 + max(r[4] for r in left), width), bool)
+        for r in left:
+            hit[r[4]] = np.unpackbits(np.frombuffer(r[7], np.uint8), count=width)
+        yield key, hit, left, right
+
+
+def _estimated_blocks(percent: int):
+    """Blocks with ``n`` and ``registers`` to blocks of the candidates whose registers estimate enough."""
+    def run(batches: Iterable) -> Iterator:
+        for key, hit, *sides in _blocks(batches, ["n", "registers"]):
+            (la, ln, lr), (ra, rn, rr) = (
+                (np.array([r[4] for r in side]), np.array([r[8] for r in side]),
+                 np.frombuffer(b"".join(r[9] for r in side), np.uint16).reshape(-1, 1 << FINE)) for side in sides)
+            left = np.zeros_like(hit)
+            for i in range(len(la)):
+                j = np.flatnonzero(hit[la[i], ra])
+                if len(j):
+                    j = j[estimate(rr[j], lr[i], rn[j], ln[i]) >= least_estimate(rn[j], ln[i], percent)]
+                    left[la[i], ra[j]] = True
+            if left.any():
+                ids, sizes = ([np.zeros(n, np.int64) for n in hit.shape] for _ in range(2))
+                for k, side in enumerate(sides):
+                    for r in side:
+                        ids[k][r[4]], sizes[k][r[4]] = r[5], r[6]
+                yield _block(*key, ids, sizes, left)
+    return run
+
+
+def _linked_blocks(percent: int):
+    """Blocks with ``shingles`` to links that join the same members as all of the block's."""
+    def run(batches: Iterable) -> Iterator:
+        import pyarrow as pa
+
+        for _, hit, left, right in _blocks(batches, ["shingles"]):
+            above: dict[int, int] = {}
+
+            def top(x: int) -> int:
+                while (up := above.get(x, x)) != x:
+                    above[x] = above.get(up, up)
+                    x = up
+                return x
+            links, at = [], np.array([r[4] for r in right])
+            for x in left:
+                mine = np.frombuffer(x[8], np.uint64)
+                for j in np.flatnonzero(hit[x[4], at]):
+                    y = right[j]
+                    a, b = top(x[5]), top(y[5])
+                    if a != b and _linked(mine, np.frombuffer(y[8], np.uint64), percent):
+                        above[a] = b
+                        links.append((x[5], y[5]))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
+    return run
+
+
 def _crossing(percent: int):
-    """Tiles of a bucket (rows sorted by bucket, tile, side) to candidate pairs between
+    """Tiles of a bucket (rows sorted by bucket, tile, side) to blocks of candidate pairs between
     different components, each in the pair's first common band only, thinned by the
     estimate of the bands' own registers."""
-    def pairs(rows) -> Iterator:
+    def blocks(rows) -> Iterator:
         left, right = ([r for r in rows if r[2] == side] for side in (0, 1))
         same = rows[0][1] & 1 == 1  # a tile of others with itself
         right = left if same else right
+        if not left or not right:
+            return
 
         def arrays(part):
             coded = b"".join(r[6] for r in part)
@@ -321,6 +428,7 @@ def _crossing(percent: int):
         ia, ca, ka, ra, na = arrays(left)
         ib, cb, kb, rb, nb = arrays(right)
         band = rows[0][4]
+        hit = np.zeros((len(ia), len(ib)), bool)
         for i in range(len(ia)):
             j = np.flatnonzero((cb != ca[i]) & (np.minimum(nb, na[i]) * 100 >= percent * np.maximum(nb, na[i])))
             if same:
@@ -331,20 +439,17 @@ def _crossing(percent: int):
             j = j[common.argmax(1) == band]
             if not len(j):
                 continue
-            j = j[estimate(rb[j], ra[i], nb[j], na[i], COARSE) >= least_estimate(nb[j], na[i], percent, COARSE)]
-            yield from ((int(ia[i]), int(ib[x])) for x in j)
+            hit[i, j[estimate(rb[j], ra[i], nb[j], na[i], COARSE) >= least_estimate(nb[j], na[i], percent, COARSE)]] = True
+        if hit.any():
+            yield from _block_parts(rows[0][0], rows[0][1], (ia, ib), (na, nb), hit)
 
     def run(batches: Iterable) -> Iterator:
         import itertools
 
-        import pyarrow as pa
-
         names = ["bucket", "tile", "side", "doc_id", "band", "component", "bands", "n_shingles"]
         rows = (r for b in batches for r in zip(*(b[c].to_pylist() for c in names)))
         for _, group in itertools.groupby(rows, key=lambda r: r[:2]):
-            found = list(pairs(list(group)))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
+            yield from blocks(list(group))
     return run
 
 
@@ -410,11 +515,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     hot = [r.bucket for r in bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > limit).collect()]
     many = F.col("bucket").isin(hot) if hot else F.lit(False)
 
+    def sets_of(wanted: DataFrame, name: str) -> DataFrame:
+        """``doc_id``, ``shingles`` of the wanted ids."""
+        return stored(docs.join(wanted.distinct(), "doc_id", "left_semi").mapInArrow(_sets(words), "doc_id long, shingles binary")
+                      .dropDuplicates(["doc_id", "shingles"]), name + "-sets")
+
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         """Links among candidate (a, b), tested on full sets."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = stored(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(words), "doc_id long, shingles binary")
-                      .dropDuplicates(["doc_id", "shingles"]), name + "-sets")
+        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), name)
         sides = join_salted(pairs, sets.withColumnsRenamed({"doc_id": "b", "shingles": "sb"}), "b", "a")
         sides = join_salted(sides, sets.withColumnsRenamed({"doc_id": "a", "shingles": "sa"}), "a", "b", sizes=pairs)
         return stored(sides.select("a", "b", "sa", "sb").mapInArrow(_confirmed(percent), "a long, b long").distinct(), name)
@@ -446,9 +554,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     labelled = stored(labelled.withColumn("component", F.coalesce("component", "doc_id")), "near-labelled")
     sided = crossing_tiles(band_rows(labelled), max(1, BANDS * total)).join(labelled.select("doc_id", "n_shingles", "bands"), "doc_id")
     dealt = sided.repartition(parts, "bucket", "tile").sortWithinPartitions("bucket", "tile", "side", "doc_id")
-    cross = dealt.select("bucket", "tile", "side", "doc_id", "band", "component", "bands", "n_shingles").mapInArrow(_crossing(percent), "a long, b long")
-    cross = estimated(stored(cross.distinct(), "near-crossing"), "near-crossing-pairs")
-    more = confirmed(cross, "near-more")
+    cross = dealt.select("bucket", "tile", "side", "doc_id", "band", "component", "bands", "n_shingles").mapInArrow(_crossing(percent), BLOCK)
+
+    def tested(blocks: DataFrame, facts: DataFrame, test, schema: str, name: str) -> DataFrame:
+        """The members of every block, with their ``facts``, in one group for ``test``."""
+        held = join_salted(blocks, facts, "doc_id", "tile").repartition(parts, *BLOCK_KEY)
+        columns = [c.split()[0] for c in BLOCK.split(", ")] + [c for c in facts.columns if c != "doc_id"]
+        return stored(held.select(columns).sortWithinPartitions(*BLOCK_KEY, "side", "at").mapInArrow(test(percent), schema), name)
+
+    cross = tested(stored(cross, "near-crossing"), side, _estimated_blocks, BLOCK, "near-crossing-blocks")
+    more = tested(cross, sets_of(cross.select("doc_id"), "near-more"), _linked_blocks, "a long, b long", "near-more")
     label = components(links.unionByName(more))
 
     facts = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select(

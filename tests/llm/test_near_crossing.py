@@ -74,3 +74,50 @@ def test_links_across_components_and_pieces(spark, monkeypatch):
     got = sorted((r.doc_id, r.component_id) for r in op.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect())
     want = components(rows, 5, 80)[1]
     assert [c for _, c in got] == want
+
+
+def test_candidates_stay_in_blocks(monkeypatch):
+    """A tile in which nearly all pairs are candidates gives rows by its members, and links as a forest."""
+    import numpy as np
+    import pyarrow as pa
+    from test_llm_operators import near, sentence
+
+    monkeypatch.setattr(op, "BLOCK_SHINGLES", 7000)
+    base = sentence(300)
+    sets = list(op.shingle_sets([near(base, k % 9).encode() for k in range(120)], 4))
+    bands = [op.registers(s, op.COARSE).tobytes() for s in sets]
+    n = len(sets)
+    found = {}
+    for band in range(op.BANDS):
+        rows = pa.table({"bucket": pa.array([5] * n, pa.int64()), "tile": pa.array([1] * n, pa.int64()), "side": [0] * n, "doc_id": list(range(n)),
+                         "band": [band] * n, "component": list(range(n)), "bands": pa.array(bands, pa.binary()), "n_shingles": [len(s) for s in sets]})
+        out = list(op._crossing(80)(rows.to_batches(max_chunksize=50)))
+        assert all(len(np.unique(b["doc_id"].to_numpy())) <= b.num_rows <= 2 * n for b in out)
+        for b in out:
+            found[band, b["part"][0].as_py()] = b
+    assert len(found) > op.BANDS  # some tiles are cut by their shingles
+    want, got, links = set(), set(), set()
+    for a in range(n):
+        for b in range(a + 1, n):
+            ka, kb = (np.frombuffer(bands[x], np.uint64) for x in (a, b))
+            if ((ka == kb) & (ka != 0)).any() and op._linked(sets[a], sets[b], 80):
+                want.add((a, b))
+    for block in found.values():
+        ids = block["doc_id"].to_pylist()
+        held = block.append_column("shingles", pa.array([sets[i].tobytes() for i in ids], pa.binary()))
+        (_, hit, left, right), = op._blocks([held], ["shingles"])
+        pairs = {(left[x][5], right[y][5]) for x, y in zip(*np.nonzero(hit))}
+        assert not pairs & got  # in the first common band only
+        got |= pairs
+        some = [x for out in op._linked_blocks(80)([held]) for x in zip(out["a"].to_pylist(), out["b"].to_pylist())]
+        assert len(some) < len(ids) and set(some) <= want
+        links |= set(some)
+    assert want <= got and len(got) > 20 * n
+
+    def label(edges):
+        at = list(range(n))
+        for _ in range(n):
+            for a, b in edges:
+                at[a] = at[b] = min(at[a], at[b])
+        return at
+    assert label(links) == label(want)
