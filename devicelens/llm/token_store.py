@@ -33,6 +33,7 @@ MAX_LEVELS = 64
 CACHE = 700_000              # words of a generation of a worker's memory (two are kept)
 LETTER_WORDS = 2000          # words encoded as one text
 MAX_WORD = 64
+CHUNK_BYTES = 8 << 20        # of texts whose words are told apart at once
 MANIFEST = "shard long, name string, first long, last long, n_docs long, n_tokens long"
 INDEX_MAGIC = b"MPHIDX01"
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -155,10 +156,10 @@ class Encoder:
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = "<u2" if self.vocabulary <= 1 << 16 else "<u4"
         # remembered words, in two generations: a full one becomes the old one
-        self.known: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def fresh(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def fresh(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words, in one dictionary.
 
         Words of letters are one piece each of the pre-tokenizer, so many are encoded as
@@ -166,7 +167,7 @@ class Encoder:
         is encoded word by word, like all other words."""
         out, letters, others = {}, [], []
         for w in words:
-            (letters if (s := w.decode()).isalpha() else others).append(s)
+            (letters if w.isalpha() else others).append(w)
         for k in range(0, len(letters), LETTER_WORDS):
             part = letters[k:k + LETTER_WORDS]
             got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
@@ -177,18 +178,18 @@ class Encoder:
                 continue
             ids, width = np.array(got.ids, self.dtype).tobytes(), np.dtype(self.dtype).itemsize
             ends = [*(cut * width).tolist(), len(ids)]
-            out.update((w.encode(), ids[a:b]) for w, a, b in zip(part, [0, *ends], ends))
+            out.update((w, ids[a:b]) for w, a, b in zip(part, [0, *ends], ends))
         if others:
             got = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
-            out.update((w.encode(), np.array(e.ids, self.dtype).tobytes()) for w, e in zip(others, got))
+            out.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(others, got))
         return out
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of every one of distinct words."""
         known, old = self.known, self.old
-        new = {w for words in split for w in words if w not in known}
+        new = {w for w in words if w not in known}
         # a last stop or comma behind a letter or digit is a piece of its own
-        marked = [w for w in new if w not in old and len(w) > 1 and w[-1:] in b".," and w[-2:-1].isalnum()]
+        marked = [w for w in new if w[-1:] in (".", ",") and w not in old and w[-2:-1].isascii() and w[-2:-1].isalnum()]
         bases = {x for w in marked for x in (w[:-1], w[-1:])}
         get = {w: old[w] for w in new | bases if w in old}
         wanted = [w for w in (new | bases).difference(marked) if w not in get and w not in known]
@@ -196,15 +197,35 @@ class Encoder:
         for w in marked:
             a, b = w[:-1], w[-1:]
             get[w] = (get.get(a) or known[a]) + (get.get(b) or known[b])
-        if any(len(w) > MAX_WORD for w in get):
-            own = {w: known[w] for words in split for w in words if w in known} | get
-        else:
-            own = known
+        out = [get[w] if w in get else known[w] for w in words]
         if len(known) + len(get) > CACHE:
-            own = {w: known[w] for words in split for w in words if w in known} | get
             self.old, self.known = known, {}
         self.known.update((w, v) for w, v in get.items() if len(w) <= MAX_WORD)
-        return [b"".join(map(own.__getitem__, words)) for words in split]
+        return out
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        import pyarrow as pa
+
+        data, cuts = self.encode_array(pa.array([t.decode() for t in texts], pa.string()))
+        return [bytes(data[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+
+    def encode_array(self, texts, end: bytes = b"") -> tuple:
+        """(ids of all of an Arrow array of texts one after the other, ``end`` after each; where
+        each text's begin and the last one's end, in bytes).
+
+        Texts are split, their words told apart and the ids put in place by Arrow, so a word
+        that repeats is looked up once."""
+        import pyarrow as pa
+        from pyarrow import compute as pc
+
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        ids = pa.array([*self.ids_of(coded.dictionary.to_pylist()), end], pa.large_binary())
+        upto = np.cumsum(np.asarray(pc.list_value_length(split)))
+        placed = ids.take(pa.array(np.insert(np.asarray(coded.indices), upto, len(ids) - 1)))
+        cuts = np.frombuffer(placed.buffers()[1], np.int64, len(placed) + 1, 8 * placed.offset)
+        data = placed.buffers()[2]
+        return data[:cuts[-1]] if data else b"", cuts[np.append(0, upto + np.arange(1, len(upto) + 1))]
 
 
 @functools.lru_cache(maxsize=2)
@@ -230,13 +251,11 @@ def _write_shards(folder: str, tokenizer_path: str, end_id: int):
         store.create_dir(base, recursive=True)
         ids, lengths, sink = [], [], None
         for batch in batches:
-            texts = [t or b"" for t in batch["text"].cast(pa.binary()).to_pylist()]
-            for k in range(0, len(texts), 512):
+            for texts in _chunks(batch["text"].cast(pa.string()).fill_null("")):
                 sink = sink or store.open_output_stream(f"{base}/{name}.ids")
-                parts = [p + end for p in enc.encode(texts[k:k + 512])]
-                for p in parts:
-                    sink.write(p)
-                lengths += [len(p) // width for p in parts]
+                data, cuts = enc.encode_array(texts, end)
+                sink.write(data)
+                lengths += (np.diff(cuts) // width).tolist()
             ids += batch["doc_id"].to_pylist()
         if sink is None:
             return
@@ -255,6 +274,16 @@ def _write_shards(folder: str, tokenizer_path: str, end_id: int):
     return run
 
 
+def _chunks(texts) -> Iterator:
+    """An Arrow array of texts in slices of about CHUNK_BYTES; a long text may be one."""
+    from pyarrow import compute as pc
+
+    size = np.asarray(pc.binary_length(texts), np.int64)
+    _, first = np.unique((np.cumsum(size) - size) // CHUNK_BYTES, return_index=True)
+    for a, b in zip(first, np.append(first[1:], len(texts))):
+        yield texts.slice(a, b - a)
+
+
 def _numbered(ids: list) -> tuple[np.ndarray, np.ndarray]:
     """Ids (NULL as the least long) and each row's number among those of its id, which are adjacent."""
     a = np.array([-(1 << 63) if i is None else i for i in ids], np.int64)

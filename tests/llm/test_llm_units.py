@@ -116,6 +116,27 @@ def test_word_encoder_equals_the_library(monkeypatch):
             assert np.frombuffer(enc.encode([t.encode()])[0], enc.dtype).tolist() == whole.encode(t, add_special_tokens=False).ids
 
 
+def test_words_of_many_texts_are_looked_up_once(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    enc = token_store.Encoder(path)
+    asked, ids_of = [], enc.ids_of
+    monkeypatch.setattr(enc, "ids_of", lambda words: asked.extend(words) or ids_of(words))
+    for some in (texts(300, 5), ["the end, the end.", "", " \t\n", "\x00 the\x0bend\x1cof\x00"], [""]):
+        asked.clear()
+        data, cuts = enc.encode_array(pa.array(["not read", *some]).slice(1), b"\x02\x00")
+        got = [np.frombuffer(data, enc.dtype)[a // 2:b // 2].tolist() for a, b in zip(cuts[:-1], cuts[1:])]
+        assert got == [whole.encode(t, add_special_tokens=False).ids + [2] for t in some]
+        assert sorted(x for x in asked if x) == sorted({w.decode() for t in some for w in t.encode().split()})
+    monkeypatch.setattr(token_store, "CHUNK_BYTES", 10)
+    lines = ["", "a" * 35, "b", "c" * 9, "", "d"]
+    chunks = [x.to_pylist() for x in token_store._chunks(pa.array(lines))]
+    assert sum(chunks, []) == lines and len(chunks) > 2 and not list(token_store._chunks(pa.array([], pa.string())))
+
+
 def test_byte_pairs_equal_the_library(monkeypatch):
     from tokenizers import Tokenizer
 
