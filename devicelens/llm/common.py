@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,29 @@ from ..session import scratch_path
 HOT_SHARE = 1024
 
 
+#: Spark's limit on the bytes of a batch that goes to Python, and what operators with wide rows set it to.
+#: A batch is held by the executor and, with what is made of it, by the Python worker.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+SMALL_BATCH = 4 << 20
+
+
+def in_small_batches(function):
+    """The jobs that ``function`` (of a DataFrame) runs send Python SMALL_BATCH bytes at once at the
+    most; what it returns must not call Python any more."""
+    @functools.wraps(function)
+    def run(df: DataFrame, *args, **kwargs):
+        conf = df.sparkSession.conf
+        before = conf.get(ARROW_BYTES, None)
+        if before is not None and 0 < int(before) <= SMALL_BATCH:
+            return function(df, *args, **kwargs)
+        conf.set(ARROW_BYTES, str(SMALL_BATCH))
+        try:
+            return function(df, *args, **kwargs)
+        finally:
+            conf.unset(ARROW_BYTES) if before is None else conf.set(ARROW_BYTES, before)
+    return run
+
+
 _recorders: list[list[str]] = []
 
 

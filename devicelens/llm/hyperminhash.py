@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, join_group_facts, join_salted, join_shared, shuffle_partitions, stored
+from .common import HOT_SHARE, in_small_batches, join_group_facts, join_salted, join_shared, shuffle_partitions, stored
 from .components import components
 
 COARSE, FINE = 7, 10         # bits of bucket number: 128 registers for bands, 1024 for estimates
@@ -38,7 +38,7 @@ DEVIATIONS = 4.75            # a true link is estimated too low once in a millio
 TILE = 512                   # members of a bucket that one tile compares with another
 HOT_PIECES = 64              # pieces of a hot bucket in round 1
 BLOCK_SHINGLES = 1 << 20     # shingles on a side of a block, and one text
-BATCH_BYTES = 2 << 20        # text hashed at once; a longer one is hashed in pieces
+BATCH_BYTES = 1 << 19        # text hashed at once; a longer one is hashed in pieces
 
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 WORD_SPACE = np.zeros(256, bool)
@@ -484,6 +484,7 @@ def crossing_tiles(members: DataFrame, total: int) -> DataFrame:
     return dealt.select(*members.columns, F.col("_to.tile").alias("tile"), F.col("_to.side").alias("side"))
 
 
+@in_small_batches
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``body`` (text hash), ``n_shingles``, ``component_id``, ``kept`` of every row of ``docs``.
 

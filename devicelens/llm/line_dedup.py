@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, dropped, join_group_facts, join_salted, recorded, stored
+from .common import HOT_SHARE, dropped, in_small_batches, join_group_facts, join_salted, recorded, stored
 from .hyperminhash import BATCH_BYTES
 from .hyperminhash import word_hashes as byte_word_hashes
 from .ranks import numbered
@@ -186,6 +186,7 @@ def _prefixes(levels: bytes, percent: int):
     return run
 
 
+@in_small_batches
 def similar_lines(docs: DataFrame, places: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``at`` of every line that has an earlier match; see :func:`dedup_lines`."""
     spark, spent = docs.sparkSession, []
